@@ -125,7 +125,7 @@ SQL_HIST = f"""
 WITH b AS (SELECT y, s FROM (SELECT y, {SC.SCORE_SQL} AS s FROM scored) x WHERE s >= 300.0 AND s <= 850.0),
 c AS (SELECT y, cast(least(floor((s - 300.0) / {_W!r}), 38) AS int) AS bin, count(*) AS n FROM b GROUP BY 1, 2),
 t AS (SELECT y, count(*) AS n_class FROM b GROUP BY y)
-SELECT c.y, bin, 300.0 + bin * {_W!r} AS bin_lo, n, n / (n_class * {_W!r}) AS density FROM c JOIN t ON c.y = t.y"""
+SELECT c.y, bin, 300.0::double + bin * {_W!r}::double AS bin_lo, n, n / (n_class * {_W!r}::double) AS density FROM c JOIN t ON c.y = t.y"""
 
 
 @register("score_histogram", with_fixtures(SQL_HIST, "scored"), ["bin_lo", "density"])
