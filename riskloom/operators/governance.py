@@ -102,19 +102,19 @@ def bias_audit(
     ).select(score, label, "g.group_col", "g.group_val")
     t = cumulative_table(long, score, label, ["group_col", "group_val"])
     g = t.groupBy("group_col", "group_val").agg(
-        (F.max("P") + F.max("N")).alias("n"),
-        F.max("P").alias("P"),
-        F.max("N").alias("N"),
+        (F.max("P") + F.max("N")).alias("n_rows"),
+        F.max("P").alias("n_pos"),
+        F.max("N").alias("n_neg"),
         _auc_expr().alias("auc_raw"),
     )
-    g = g.where((F.col("n") >= min_group) & (F.col("P") > 0) & (F.col("N") > 0))
+    g = g.where((F.col("n_rows") >= min_group) & (F.col("n_pos") > 0) & (F.col("n_neg") > 0))
     g = g.select(
         "group_col",
         "group_val",
-        "n",
+        F.col("n_rows").alias("n"),
         F.round("auc_raw", 4).alias("auc"),
         F.round(2 * F.col("auc_raw") - 1, 4).alias("gini"),
-        F.round(F.col("P") / F.col("n"), 4).alias("event_rate"),
+        F.round(F.col("n_pos") / F.col("n_rows"), 4).alias("event_rate"),
         F.round(F.col("auc_raw") - F.lit(overall_auc), 4).alias("auc_delta"),
     )
     return overall.unionByName(g)
