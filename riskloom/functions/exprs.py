@@ -90,7 +90,23 @@ def nan_to_null(x: ColLike) -> Column:
     return F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(x)
 
 
-def bin_right(edges: ColLike, x: ColLike) -> Column:
+# Bin indices are sums of comparisons (whole-stage codegen), not
+# higher-order ``filter`` lambdas (interpreted). ``max_len`` bounds the
+# edge array length (e.g. q+1 quantile edges).
+MAX_EDGES = 64
+
+
+def _count_less(e: Column, x: Column, first: int, last_from_end: int, max_len: int, strict: bool) -> Column:
+    """#{ e[i] (0-based) < x } for first <= i <= size(e)-1-last_from_end."""
+    out = F.lit(0)
+    for i in range(first, max_len):
+        hit = (F.get(e, i) < x) if strict else (F.get(e, i) <= x)
+        ok = F.lit(i) <= F.size(e) - 1 - last_from_end
+        out = out + F.when(ok & hit, F.lit(1)).otherwise(F.lit(0))
+    return out
+
+
+def bin_right(edges: ColLike, x: ColLike, max_len: int = MAX_EDGES) -> Column:
     """Right-closed bin index of ``x`` against sorted unique ``edges``.
 
     Bins are (e0,e1], (e1,e2], ... with the lowest edge included
@@ -98,21 +114,32 @@ def bin_right(edges: ColLike, x: ColLike) -> Column:
     or last bin. Counting only the inner edges keeps ties on an edge in
     the lower bin.
     """
-    e = c(edges)
-    inner = F.slice(e, 2, F.greatest(F.size(e) - 2, F.lit(0)))
-    return F.size(F.filter(inner, lambda z: z < c(x)))
+    return _count_less(c(edges), c(x), 1, 1, max_len, strict=True)
 
 
-def bin_left(edges: ColLike, x: ColLike) -> Column:
+def bin_left(edges: ColLike, x: ColLike, max_len: int = MAX_EDGES) -> Column:
     """Left-closed bin index (NumPy ``histogram`` with open outer edges)."""
-    e = c(edges)
-    inner = F.slice(e, 2, F.greatest(F.size(e) - 2, F.lit(0)))
-    return F.size(F.filter(inner, lambda z: z <= c(x)))
+    return _count_less(c(edges), c(x), 1, 1, max_len, strict=False)
 
 
-def bin_value(values: ColLike, x: ColLike) -> Column:
+def bin_value(values: ColLike, x: ColLike, max_len: int = MAX_EDGES) -> Column:
     """Index of ``x`` among sorted distinct ``values`` (one bin per value)."""
-    return F.size(F.filter(c(values), lambda z: z < c(x)))
+    return _count_less(c(values), c(x), 0, 0, max_len, strict=True)
+
+
+def bin_right_lit(edges: Sequence[float], x: ColLike) -> Column:
+    """``bin_right`` for edges known on the driver: literal comparisons."""
+    inner = list(edges)[1:-1]
+    return sum(((c(x) > F.lit(float(e))).cast("int") for e in inner), F.lit(0))
+
+
+def bin_left_lit(edges: Sequence[float], x: ColLike) -> Column:
+    inner = list(edges)[1:-1]
+    return sum(((c(x) >= F.lit(float(e))).cast("int") for e in inner), F.lit(0))
+
+
+def bin_value_lit(values: Sequence[float], x: ColLike) -> Column:
+    return sum(((c(x) > F.lit(float(v))).cast("int") for v in values), F.lit(0))
 
 
 def logit(p: ColLike) -> Column:

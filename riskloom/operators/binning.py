@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import constants as K
-from riskloom.functions.exprs import bin_left, bin_right, bin_value
-from riskloom.operators.ordered import _attach_group_table, exact_quantiles, group_sizes
+from riskloom.functions.exprs import bin_left, bin_right, bin_right_lit, bin_value, bin_value_lit
+from riskloom.operators.ordered import _attach_group_table, exact_quantiles, group_sizes, materialize
 
 # pandas qcut asks for linspace(0, 1, q+1): i * (1/q) ...
 def qcut_probs(q: int) -> list[float]:
@@ -74,6 +74,8 @@ def fit_bins(
     coll = long.groupBy("feature", "x").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("ev")
     )
+    # stats, edges and bins all read the collapsed table: write it once
+    coll = materialize(coll, "woe-coll")
     stats = group_sizes(coll, ["feature"], {"E": F.sum("ev"), "T": F.sum("n")})
     low = [r["feature"] for r in stats if r["_rows"] <= n_bins]
     high = [r["feature"] for r in stats if r["_rows"] > n_bins]
@@ -92,10 +94,11 @@ def fit_bins(
     return coll, edges.select("feature", "kind", "edges"), stats
 
 
-def _assign_bins(coll: DataFrame, edges: DataFrame) -> DataFrame:
+def _assign_bins(coll: DataFrame, edges: DataFrame, n_bins: int = K.WOE_MAX_BINS) -> DataFrame:
     # edges: one row per feature (tiny) -> broadcast
     j = coll.join(F.broadcast(edges), "feature")
-    b = F.when(F.col("kind") == "value", bin_value("edges", "x")).otherwise(bin_right("edges", "x"))
+    m = n_bins + 1
+    b = F.when(F.col("kind") == "value", bin_value("edges", "x", m)).otherwise(bin_right("edges", "x", m))
     return j.withColumn("bin", b)
 
 
@@ -109,7 +112,7 @@ def woe_table(
     one class are skipped (their IV is 0).
     """
     coll, edges, stats = fit_bins(df, features, label, n_bins)
-    b = _assign_bins(coll, edges)
+    b = _assign_bins(coll, edges, n_bins)
     g = b.groupBy("feature", "bin").agg(
         F.sum("n").alias("n_total"),
         F.sum("ev").alias("n_events"),
@@ -181,7 +184,7 @@ class WoEModel:
     def fit(cls, df: DataFrame, features: Sequence[str], label: str = "y", n_bins: int = K.WOE_MAX_BINS):
         coll, edges, stats = fit_bins(df, features, label, n_bins)
         e = {r["feature"]: (r["kind"], [float(v) for v in r["edges"]]) for r in edges.collect()}
-        b = _assign_bins(coll, edges)
+        b = _assign_bins(coll, edges, n_bins)
         g = b.groupBy("feature", "bin").agg(F.sum("n").alias("n_total"), F.sum("ev").alias("n_events"))
         for r in stats:
             r["N"] = r["T"] - r["E"]
@@ -194,9 +197,8 @@ class WoEModel:
 
     def bin_expr(self, feature: str) -> Column:
         kind, edges = self.edges[feature]
-        arr = F.array(*[F.lit(v) for v in edges]) if edges else F.array().cast("array<double>")
         x = F.col(f"`{feature}`").cast("double")
-        return bin_value(arr, x) if kind == "value" else bin_right(arr, x)
+        return bin_value_lit(edges, x) if kind == "value" else bin_right_lit(edges, x)
 
     def woe_expr(self, feature: str) -> Column:
         table = self.woe.get(feature, {})
@@ -228,7 +230,7 @@ def psi_table(
     one ``groupBy(feature, part, x)`` over a single scan.
     """
     long = unpivot_features(df.where(F.col(part_col).isin(expected, actual)), features, extra=[part_col])
-    coll = long.groupBy("feature", part_col, "x").agg(F.count(F.lit(1)).alias("n"))
+    coll = materialize(long.groupBy("feature", part_col, "x").agg(F.count(F.lit(1)).alias("n")), "psi-coll")
     e = exact_quantiles(
         coll.where(F.col(part_col) == expected), ["feature"], "x", percentile_probs(n_bins), weight="n"
     ).select("feature", F.array_distinct("edges").alias("edges"))
@@ -237,7 +239,7 @@ def psi_table(
         "n_exp": F.sum(F.when(F.col(part_col) == expected, F.col("n")).otherwise(0)),
         "n_act": F.sum(F.when(F.col(part_col) == actual, F.col("n")).otherwise(0)),
     })
-    b = coll.join(F.broadcast(e), "feature").withColumn("bin", bin_left("edges", "x"))
+    b = coll.join(F.broadcast(e), "feature").withColumn("bin", bin_left("edges", "x", n_bins + 1))
     counts = b.groupBy("feature", "bin").agg(
         F.sum(F.when(F.col(part_col) == expected, F.col("n")).otherwise(0)).alias("c_exp"),
         F.sum(F.when(F.col(part_col) == actual, F.col("n")).otherwise(0)).alias("c_act"),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import constants as K
-from riskloom.functions.exprs import bin_right
+from riskloom.functions.exprs import bin_right_lit
 from riskloom.operators.binning import psi_report, quantile_edges
 from riskloom.operators.metrics import _auc_expr, cumulative_table
 
@@ -21,8 +21,8 @@ def period_column(df: DataFrame, order_col: str, n_periods: int = K.N_PERIODS) -
     """Equal-count periods 0..n-1 of ``order_col`` (exact quantile bins,
     right-closed, duplicate edges dropped) when no time column exists."""
     e = quantile_edges(df, [order_col], q=n_periods).collect()
-    arr = F.array(*[F.lit(float(v)) for v in (e[0]["edges"] if e else [])])
-    return df.withColumn("period", bin_right(arr, F.col(order_col).cast("double")))
+    edges = [float(v) for v in (e[0]["edges"] if e else [])]
+    return df.withColumn("period", bin_right_lit(edges, F.col(order_col).cast("double")))
 
 
 def gini_stability(

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.functions.exprs import bin_right_lit
 from riskloom.operators.ordered import _attach_group_table, group_sizes, prefix_sums
 
 
@@ -143,8 +144,8 @@ def roc_curve(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()) -
 # Right-closed inner edges of ten equal-width probability bins
 def calibration_curve(df: DataFrame, score: str, label: str, n_bins: int = 10, keys: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins on [0,1] (right-closed, 0 in the first); empty bins dropped."""
-    inner = F.array(*[F.lit(i * (1.0 / n_bins)) for i in range(1, n_bins)])
-    b = _base(df, score, label, keys).withColumn("bin", F.size(F.filter(inner, lambda e: e < F.col("s"))))
+    edges = [i * (1.0 / n_bins) for i in range(0, n_bins + 1)]
+    b = _base(df, score, label, keys).withColumn("bin", bin_right_lit(edges, "s"))
     return b.groupBy(*keys, "bin").agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("s").alias("mean_predicted"),

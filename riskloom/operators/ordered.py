@@ -29,12 +29,31 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKET_ROWS = 2_000_000
 # Broadcast a helper table only when it has at most this many rows.
 BROADCAST_ROWS = 200_000
+# Upper bound on buckets per group (edges per group stay small).
+MAX_BUCKETS = 256
 
 
 def _lit_value(v):
     return F.lit(v)
 
 
+def materialize(df: DataFrame, name: str = "t") -> DataFrame:
+    """Write ``df`` as parquet under the shared ``spark.checkpoint.dir`` and read it back.
+
+    For intermediate tables that several later jobs read (collapsed value
+    counts): the upstream scan runs once, the lineage is cut (a lost
+    executor re-reads the files instead of replaying the scan), and later
+    reads are split across many files.
+    """
+    import uuid
+
+    from riskloom.session import checkpoint_dir
+
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def group_sizes(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column] | None = None) -> list[dict]:
     """Small per-group statistics collected to the driver (one row per group)."""
     aggs = dict(aggs or {})
@@ -102,20 +121,29 @@ def prefix_sums(
         )
         return df.withColumns({f"{x}{suffix}": F.sum(x).over(w) for x in cols})
 
-    n_buckets = min(int(math.ceil(max_rows / bucket_rows)), 100_000)
+    n_buckets = min(int(math.ceil(max_rows / bucket_rows)), MAX_BUCKETS)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     accuracy = max(10_000, 20 * n_buckets)
     o0 = order[0]
     if keys:
+        # per-group edges (groups x buckets, small) joined on the keys; the
+        # bucket is a codegen'd count of edges below the value
         edges = df.groupBy(*keys).agg(F.percentile_approx(o0, probs, accuracy).alias("_edges"))
         if len(sizes) * n_buckets <= BROADCAST_ROWS:
             edges = F.broadcast(edges)
         b = df.join(edges, on=keys, how="inner")
-        b = b.withColumn("_bucket", F.size(F.filter("_edges", lambda e: e < F.col(o0)))).drop("_edges")
+        from riskloom.functions.exprs import bin_value
+
+        b = b.withColumn("_bucket", bin_value("_edges", F.col(o0), n_buckets)).drop("_edges")
     else:
+        # one global set of edges: binary search via Bucketizer
+        from pyspark.ml.feature import Bucketizer
+
         e = df.agg(F.percentile_approx(o0, probs, accuracy).alias("e")).collect()[0]["e"]
-        arr = F.array(*[F.lit(v) for v in e])
-        b = df.withColumn("_bucket", F.size(F.filter(arr, lambda z: z < F.col(o0))))
+        splits = [float("-inf")] + sorted({float(v) for v in e}) + [float("inf")]
+        b = df.withColumn("_o0", F.col(o0).cast("double"))
+        b = Bucketizer(splits=splits, inputCol="_o0", outputCol="_bk", handleInvalid="keep").transform(b)
+        b = b.withColumn("_bucket", F.col("_bk").cast("int")).drop("_o0", "_bk")
 
     bk = keys + ["_bucket"]
     totals = b.groupBy(*bk).agg(*[F.sum(x).alias(f"_t_{x}") for x in cols])
@@ -159,34 +187,73 @@ def exact_quantiles(
         coll = base.groupBy(*keys, value).agg(F.sum(weight).cast("long").alias("_w"))
     sizes = group_sizes(coll, keys, {"_n": F.sum("_w")})
     pre = prefix_sums(coll, keys, [value], ["_w"], sizes=sizes, bucket_rows=bucket_rows)
-    pre = _attach_group_table(pre, keys, sizes, ["_n"])
-    # Which quantile ranks fall in this value's rank span [cum-w, cum-1]?
+    # Target ranks are known on the driver (n per group): floor/ceil of
+    # (n-1)*p. Keep only the collapsed rows whose rank span
+    # [cum-w, cum-1] holds a target: a codegen'd range test (literal when
+    # ungrouped, a broadcast equi-join on the group keys otherwise), so the
+    # per-target work touches at most 2*len(probs) rows per group.
     start = F.col("_w_cum") - F.col("_w")
     end = F.col("_w_cum") - F.lit(1)
-    targets = F.array(
-        *[
-            F.struct(F.lit(j).alias("j"), ((F.col("_n") - 1).cast("double") * F.lit(float(p))).alias("pos"))
-            for j, p in enumerate(probs)
+    trows = []
+    for r in sizes:
+        n = int(r["_n"] or 0)
+        if n <= 0:
+            continue
+        for j, p in enumerate(probs):
+            pos = (n - 1) * float(p)
+            trows.append((*[r[k] for k in keys], j, pos, int(math.floor(pos)), int(math.ceil(pos))))
+    if keys:
+        from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
+
+        kf = [f for f in pre.schema.fields if f.name in keys]
+        schema = StructType(
+            kf
+            + [
+                StructField("_j", IntegerType()),
+                StructField("_pos", DoubleType()),
+                StructField("_rlo", LongType()),
+                StructField("_rhi", LongType()),
+            ]
+        )
+        tdf = pre.sparkSession.createDataFrame(trows, schema)
+        if len(trows) <= BROADCAST_ROWS:
+            tdf = F.broadcast(tdf)
+        cond = [pre[k] == tdf[k] for k in keys] + [
+            (tdf["_rlo"].between(start, end)) | (tdf["_rhi"].between(start, end))
         ]
-    )
-    hits = pre.select(
-        *keys,
-        F.col(value).cast("double").alias("_v"),
-        F.explode(
-            F.filter(
-                targets,
-                lambda t: (F.floor(t["pos"]).between(start, end)) | (F.ceil(t["pos"]).between(start, end)),
-            )
-        ).alias("_t"),
-        start.alias("_s"),
-        end.alias("_e"),
-    )
-    lo_hit = F.floor(F.col("_t.pos")).between(F.col("_s"), F.col("_e"))
-    hi_hit = F.ceil(F.col("_t.pos")).between(F.col("_s"), F.col("_e"))
-    per_q = hits.groupBy(*keys, F.col("_t.j").alias("j")).agg(
-        F.max(F.when(lo_hit, F.col("_v"))).alias("_lo"),
-        F.max(F.when(hi_hit, F.col("_v"))).alias("_hi"),
-        F.max(F.col("_t.pos")).alias("_pos"),
+        hits = pre.join(tdf, on=cond, how="inner").select(
+            *[pre[k] for k in keys],
+            F.col(value).cast("double").alias("_v"),
+            "_j",
+            "_pos",
+            tdf["_rlo"].between(start, end).alias("_is_lo"),
+            tdf["_rhi"].between(start, end).alias("_is_hi"),
+        )
+    else:
+        ranks = sorted({t[2] for t in trows} | {t[3] for t in trows})
+        any_hit = F.lit(False)
+        for rk in ranks:
+            any_hit = any_hit | F.lit(rk).between(start, end)
+        targets = F.array(
+            *[
+                F.struct(F.lit(t[0]).alias("j"), F.lit(t[1]).alias("pos"), F.lit(t[2]).alias("rlo"), F.lit(t[3]).alias("rhi"))
+                for t in trows
+            ]
+        ) if trows else F.array().cast("array<struct<j:int,pos:double,rlo:bigint,rhi:bigint>>")
+        cand = pre.where(any_hit).select(
+            F.col(value).cast("double").alias("_v"), start.alias("_s"), end.alias("_e"), F.explode(targets).alias("_t")
+        )
+        hits = cand.select(
+            "_v",
+            F.col("_t.j").alias("_j"),
+            F.col("_t.pos").alias("_pos"),
+            F.col("_t.rlo").between(F.col("_s"), F.col("_e")).alias("_is_lo"),
+            F.col("_t.rhi").between(F.col("_s"), F.col("_e")).alias("_is_hi"),
+        ).where(F.col("_is_lo") | F.col("_is_hi"))
+    per_q = hits.groupBy(*keys, F.col("_j").alias("j")).agg(
+        F.max(F.when(F.col("_is_lo"), F.col("_v"))).alias("_lo"),
+        F.max(F.when(F.col("_is_hi"), F.col("_v"))).alias("_hi"),
+        F.max("_pos").alias("_pos"),
     )
     q = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_pos") - F.floor(F.col("_pos")))
     per_q = per_q.select(*keys, "j", q.alias("q"))

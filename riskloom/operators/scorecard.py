@@ -40,12 +40,11 @@ def score_deciles(df: DataFrame, score: str = "score", label: str = "y", q: int
     """Quantile bins of the score (ties share a bin, duplicate edges dropped):
     n, events, min/max/mean score, event rate; highest decile first."""
     from riskloom.operators.binning import quantile_edges
-    from riskloom.functions.exprs import bin_right
+    from riskloom.functions.exprs import bin_right_lit
 
     edges = quantile_edges(df, [score], q=q).collect()
-    e = edges[0]["edges"] if edges else []
-    arr = F.array(*[F.lit(float(v)) for v in e])
-    d = df.where(F.col(score).isNotNull()).withColumn("decile", bin_right(arr, score))
+    e = [float(v) for v in (edges[0]["edges"] if edges else [])]
+    d = df.where(F.col(score).isNotNull()).withColumn("decile", bin_right_lit(e, score))
     out = d.groupBy("decile").agg(
         F.count(F.lit(1)).alias("n_total"),
         F.sum(label).cast("long").alias("n_events"),
