@@ -53,9 +53,21 @@ SELECT event_id, date_trunc('week', ts) AS period, value AS score,
 FROM events""",
 }
 
+def _uci_raw() -> str:
+    cols = ['id AS "Unnamed: 0"', "limit_bal AS X1", "cast(1 + id % 2 AS int) AS X2", "cast(id % 7 AS int) AS X3",
+            "cast(id % 4 AS int) AS X4", "cast(21 + id % 50 AS int) AS X5"]
+    cols += [f"pay_{k} AS X{5 + k}" for k in range(1, 7)]
+    cols += [f"bill_amt{k} AS X{11 + k}" for k in range(1, 7)]
+    cols += [f"pay_amt{k} AS X{17 + k}" for k in range(1, 7)]
+    cols.append("cast(y AS varchar) AS Y")
+    return "SELECT " + ", ".join(cols) + " FROM panel"
+
+
+FIXTURES["uci_raw"] = _uci_raw()
+
 # dependency order
-_ORDER = ["panel", "scored", "li_risk", "docs_q", "events_period"]
-_DEPS = {"scored": ["panel"]}
+_ORDER = ["panel", "scored", "uci_raw", "li_risk", "docs_q", "events_period"]
+_DEPS = {"scored": ["panel"], "uci_raw": ["panel"]}
 
 
 def with_fixtures(sql: str, *names: str, extra: dict[str, str] | None = None) -> str:

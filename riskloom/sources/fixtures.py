@@ -186,3 +186,23 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("seg").alias("NAME_CONTRACT_TYPE"),
         F.when(i % 2 == 0, "M").otherwise("F").alias("CODE_GENDER"),
     )
+
+
+def uci_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The card-statement table as one distribution ships it: generic names
+    X1..X23 / Y, a leading unnamed index column, undocumented codes, text target."""
+    p = panel(spark, sf_dir)
+    i = F.col("id")
+    cols = [
+        i.alias("Unnamed: 0"),
+        F.col("limit_bal").alias("X1"),
+        (1 + i % 2).cast("int").alias("X2"),
+        (i % 7).cast("int").alias("X3"),
+        (i % 4).cast("int").alias("X4"),
+        (21 + i % 50).cast("int").alias("X5"),
+    ]
+    cols += [F.col(f"pay_{k}").alias(f"X{5 + k}") for k in range(1, 7)]
+    cols += [F.col(f"bill_amt{k}").alias(f"X{11 + k}") for k in range(1, 7)]
+    cols += [F.col(f"pay_amt{k}").alias(f"X{17 + k}") for k in range(1, 7)]
+    cols.append(F.col("y").cast("string").alias("Y"))
+    return p.select(*cols)
