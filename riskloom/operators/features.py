@@ -334,3 +334,39 @@ def application_features(df: DataFrame) -> DataFrame:
     for f in (feat_hc_ratios, feat_hc_age_employment, feat_hc_ext_scores, feat_hc_bureau, feat_hc_interactions):
         df = f(df)
     return df
+
+
+class StatementPipeline:
+    """Card-statement feature pipeline: ordered stages, fitted state from train.
+
+    ``fit`` builds the features on the training rows and stores the
+    medians used to fill NULL/inf (one distributed median pass);
+    ``transform`` applies the same stages and the stored medians to any
+    split. State is a small dict, applied as literals (no shuffle).
+    """
+
+    KEEP = ("id", "y")
+    DROP = ("seg", "nationkey")
+
+    def __init__(self, s: StatementCols = S):
+        self.s = s
+        self.imputer = None
+        self.features: list[str] = []
+
+    def _build(self, df: DataFrame) -> DataFrame:
+        return statement_features(df, self.s)
+
+    def fit(self, train: DataFrame) -> "StatementPipeline":
+        from riskloom.operators.cleaning import InfMedianImputer
+
+        f = self._build(train)
+        self.features = [c for c in f.columns if c not in self.KEEP + self.DROP]
+        self.imputer = InfMedianImputer.fit(f, self.features)
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        if self.imputer is None:
+            raise RuntimeError("pipeline is not fitted")
+        f = self._build(df)
+        keep = [c for c in self.KEEP if c in f.columns]
+        return self.imputer.transform(f, self.features).select(*keep, *self.features)
