@@ -140,3 +140,97 @@ def profile_normalized(profiles: DataFrame, cols: Sequence[str], key: str = "clu
             for c in cols
         ],
     )
+
+
+# ------------------------------------------------------------------ clustering
+def _std_vectors(df: DataFrame, features: Sequence[str]):
+    from riskloom.operators.models import assemble
+    from riskloom.operators.scaling import fit_standard
+
+    sm = fit_standard(df, features)
+    z = sm.transform(df)
+    return assemble(z, features), sm
+
+
+def kmeans_segments(
+    df: DataFrame, features: Sequence[str], k: int = K.N_CLUSTERS, restarts: int = 10, max_iter: int = 300,
+    seed: int = 42, min_features: int = 3,
+):
+    """K-Means on standardised features (population std), ``restarts`` seeds,
+    keep the lowest training cost. Returns (model, scaler, cost)."""
+    from pyspark.ml.clustering import KMeans
+
+    feats = [f for f in features if f in df.columns]
+    if len(feats) < min_features:
+        raise ValueError(f"need at least {min_features} clustering features, got {feats}")
+    v, sm = _std_vectors(df, feats)
+    v = v.select("features")
+    best = None
+    for r in range(restarts):
+        m = KMeans(k=k, maxIter=max_iter, seed=seed + r, featuresCol="features", predictionCol="cluster").fit(v)
+        cost = m.summary.trainingCost
+        if best is None or cost < best[2]:
+            best = (m, sm, cost)
+    return best
+
+
+def assign_segments(model, scaler, df: DataFrame, features: Sequence[str], pd_col: str = "pd_score") -> DataFrame:
+    """New rows -> cluster (nearest centroid), PD tier."""
+    from riskloom.operators.models import assemble
+
+    v = assemble(scaler.transform(df), features)
+    out = model.transform(v).drop("features")
+    return out.withColumn("risk_tier", tier_expr(pd_col))
+
+
+def nearest_centroid(df: DataFrame, features: Sequence[str], centroids: list[list[float]], out: str = "cluster") -> Column:
+    """argmin squared distance to fixed centroids (first index on ties), as one expression."""
+    d = [
+        sum(((F.col(f) - F.lit(float(c[i]))) ** 2 for i, f in enumerate(features)), F.lit(0.0))
+        for c in centroids
+    ]
+    best = F.lit(0)
+    best_d = d[0]
+    for j in range(1, len(d)):
+        better = d[j] < best_d
+        best = F.when(better, F.lit(j)).otherwise(best)
+        best_d = F.when(better, d[j]).otherwise(best_d)
+    return best.alias(out)
+
+
+def silhouette(model_df: DataFrame, features_col: str = "features", cluster_col: str = "cluster") -> float:
+    """Mean silhouette (Spark's ClusteringEvaluator, squared Euclidean distance)."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+
+    ev = ClusteringEvaluator(featuresCol=features_col, predictionCol=cluster_col, metricName="silhouette",
+                             distanceMeasure="squaredEuclidean")
+    return float(ev.evaluate(model_df))
+
+
+def elbow(df: DataFrame, features: Sequence[str], ks: Sequence[int] = range(2, 9), seed: int = 42) -> list[tuple]:
+    """(k, inertia, silhouette) for each k."""
+    from pyspark.ml.clustering import KMeans
+
+    v, _ = _std_vectors(df, features)
+    v = v.select("features").persist()
+    try:
+        rows = []
+        for k in ks:
+            m = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(v)
+            rows.append((int(k), float(m.summary.trainingCost), silhouette(m.transform(v))))
+        return rows
+    finally:
+        v.unpersist()
+
+
+def pca_projection(df: DataFrame, features: Sequence[str], key: str, k: int = 2):
+    """First k principal components of the standardised features (Spark ML PCA on
+    centred data) and the explained variance ratios."""
+    from pyspark.ml.feature import PCA
+
+    v, _ = _std_vectors(df, features)
+    m = PCA(k=k, inputCol="features", outputCol="pc").fit(v)
+    from pyspark.ml.functions import vector_to_array
+
+    proj = m.transform(v).select(key, *[vector_to_array("pc")[i].alias(f"pc{i + 1}") for i in range(k)])
+    return proj, [float(x) for x in m.explainedVariance.toArray()]
