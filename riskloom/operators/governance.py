@@ -150,3 +150,78 @@ def psi_status_counts(report: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == h).alias("n_high"),
         F.max("psi").alias("max_psi"),
     )
+
+
+# ------------------------------------------------------------------ model card
+def model_card(
+    spark,
+    name: str,
+    version: str,
+    data: dict,
+    performance: dict,
+    stability: DataFrame,
+    bias: DataFrame,
+    psi_score: float | None,
+    top_features: DataFrame,
+    limitations: list[str],
+) -> DataFrame:
+    """One-row nested document: overview, data, performance, stability,
+    fairness, monitoring, top features, limitations.
+
+    Inputs are Spark results; the scalars that enter the card are small
+    aggregates (min/max of a per-period table, max |delta|, top-n list).
+    """
+    st = stability.agg(F.min("gini").alias("mn"), F.max("gini").alias("mx")).collect()[0]
+    mx_bias = bias.where(F.col("group_col") != "OVERALL").agg(F.max(F.abs("auc_delta")).alias("m")).collect()[0]["m"]
+    feats = [(r[0], float(r[1])) for r in top_features.collect()]
+    min_gini = st["mn"]
+    row = {
+        "overview": {"model_name": name, "version": version},
+        "data": {k: (None if v is None else float(v)) for k, v in data.items()},
+        "performance": {k: (None if v is None else float(v)) for k, v in performance.items()},
+        "stability": {
+            "min_gini": None if min_gini is None else float(min_gini),
+            "max_gini": None if st["mx"] is None else float(st["mx"]),
+            "status": "STABLE" if (min_gini is not None and min_gini >= K.MIN_ACCEPTABLE_GINI) else "DEGRADED",
+        },
+        "fairness": {
+            "max_abs_auc_delta": None if mx_bias is None else float(mx_bias),
+            "status": "PASS" if (mx_bias is not None and mx_bias <= K.BIAS_AUC_DELTA_FLAG) else "REVIEW",
+        },
+        "monitoring": {
+            "score_psi": psi_score,
+            "psi_stable_below": K.PSI_STABLE,
+            "psi_review_above": K.PSI_MODERATE,
+        },
+        "top_features": [{"feature": f, "importance": v} for f, v in feats],
+        "limitations": list(limitations),
+    }
+    schema = (
+        "overview struct<model_name:string,version:string>, "
+        f"data struct<{','.join(f'{k}:double' for k in data)}>, "
+        f"performance struct<{','.join(f'{k}:double' for k in performance)}>, "
+        "stability struct<min_gini:double,max_gini:double,status:string>, "
+        "fairness struct<max_abs_auc_delta:double,status:string>, "
+        "monitoring struct<score_psi:double,psi_stable_below:double,psi_review_above:double>, "
+        "top_features array<struct<feature:string,importance:double>>, limitations array<string>"
+    )
+    return spark.createDataFrame([row], schema)
+
+
+def governance_rows(card: DataFrame) -> DataFrame:
+    """Flatten the card into ordered (line_no, section, key, value) text rows."""
+    parts = []
+    for f in card.schema.fields:
+        t = f.dataType
+        if t.typeName() == "struct":
+            for sub in t.fields:
+                parts.append(F.struct(F.lit(f.name).alias("section"), F.lit(sub.name).alias("key"),
+                                      F.col(f"{f.name}.{sub.name}").cast("string").alias("value")))
+        else:
+            parts.append(F.struct(F.lit(f.name).alias("section"), F.lit(f.name).alias("key"),
+                                  F.to_json(F.col(f.name)).alias("value")))
+    rows = card.select(F.posexplode(F.array(*parts)).alias("line_no", "r")).select("line_no", "r.*")
+    return rows.withColumn(
+        "text", F.concat_ws(" | ", F.upper(F.regexp_replace("section", "_", " ")), F.initcap(F.regexp_replace("key", "_", " ")),
+                            F.coalesce(F.col("value"), F.lit("")))
+    )

@@ -124,3 +124,89 @@ FROM ({SQL_PROFILES}) p"""
 @register("profile_normalized", with_fixtures(SQL_PROFILE_NORM, "scored"), PROFILE_FEATS)
 def q_profile_normalized(spark, sf):
     return sg.profile_normalized(_profiles(spark, sf), PROFILE_FEATS)
+
+
+# ------------------------------------------------------------------ clustering
+def _cluster_table(spark, sf):
+    from riskloom.plans.q_models import modelling_table
+
+    t = modelling_table(spark, sf)
+    return t.join(fx.scored(spark, sf).select("id", "pd_score", "seg"), "id")
+
+
+@register("kmeans_segments")
+def q_kmeans(spark, sf):
+    """k=4 on eight standardised behaviour features, 10 restarts, lowest cost kept;
+    per cluster: size, mean PD, segment name."""
+    from riskloom.plans.q_models import CLUSTER_FEATURES
+
+    t = _cluster_table(spark, sf)
+    model, scaler, cost = sg.kmeans_segments(t, CLUSTER_FEATURES, restarts=3, max_iter=50)
+    a = sg.assign_segments(model, scaler, t, CLUSTER_FEATURES)
+    labels = sg.segment_labels(a, "cluster", "pd_score")
+    sizes = a.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_customers"))
+    return labels.join(sizes, "cluster").withColumn("training_cost", F.lit(float(cost)))
+
+
+_Z_FEATS = ["util_mean", "pay_ratio_mean", "max_delinquency", "balance_to_limit"]
+
+
+def _z_sql() -> str:
+    util = X.rmean([X.clip(X.div(f"bill_amt{k}", "limit_bal"), 0.0, 2.0) for k in range(1, 7)])
+    raw = (f"SELECT id, seg, {util} AS util_mean, {_RMEAN} AS pay_ratio_mean, "
+           "greatest(pay_3, pay_4, pay_5, pay_6) AS max_delinquency, "
+           f"coalesce({X.clip(X.div('bill_amt1', 'limit_bal'), 0.0, 2.0)}, 0.0) AS balance_to_limit FROM panel")
+    z = ", ".join(f"({f} - avg({f}) OVER ()) / stddev_pop({f}) OVER () AS {f}" for f in _Z_FEATS)
+    return f"r AS ({raw}), z AS (SELECT id, seg, {z} FROM r WHERE util_mean IS NOT NULL)"
+
+
+SQL_ASSIGN = f"""WITH {_z_sql()},
+c AS (SELECT cast(row_number() OVER (ORDER BY seg) - 1 AS int) AS cluster, {', '.join(f'avg({f}) AS {f}' for f in _Z_FEATS)}
+      FROM z GROUP BY seg),
+d AS (SELECT z.id, c.cluster, {' + '.join(f'pow(z.{f} - c.{f}, 2)' for f in _Z_FEATS)} AS dist FROM z, c)
+SELECT id, cast(arg_min(cluster, (dist, cluster)) AS int) AS cluster FROM d GROUP BY id"""
+
+
+@register("assign_segments", with_fixtures(SQL_ASSIGN, "panel"))
+def q_assign(spark, sf):
+    """Nearest of fixed centroids (here: per-market-segment means of the
+    standardised features), computed as one expression per row."""
+    from riskloom.operators.scaling import fit_standard
+
+    df = fx.panel(spark, sf)
+    for f in (fe.feat_utilization, fe.feat_payment, fe.feat_delinquency, fe.feat_balance):
+        df = f(df)
+    df = df.where(F.col("util_mean").isNotNull()).select("id", "seg", *_Z_FEATS)
+    z = fit_standard(df, _Z_FEATS).transform(df)
+    cents = z.groupBy("seg").agg(*[F.avg(f).alias(f) for f in _Z_FEATS]).orderBy("seg").collect()
+    centroids = [[r[f] for f in _Z_FEATS] for r in cents]
+    return z.select("id", sg.nearest_centroid(z, _Z_FEATS, centroids).cast("int").alias("cluster"))
+
+
+@register("silhouette")
+def q_silhouette(spark, sf):
+    """Mean silhouette of the 4-cluster solution (squared Euclidean, Spark's evaluator)."""
+    from riskloom.operators.models import assemble
+    from riskloom.plans.q_models import CLUSTER_FEATURES
+
+    t = _cluster_table(spark, sf)
+    model, scaler, _ = sg.kmeans_segments(t, CLUSTER_FEATURES, restarts=2, max_iter=50)
+    v = model.transform(assemble(scaler.transform(t), CLUSTER_FEATURES))
+    return spark.createDataFrame([(4, sg.silhouette(v))], "k int, silhouette double")
+
+
+@register("elbow")
+def q_elbow(spark, sf):
+    from riskloom.plans.q_models import CLUSTER_FEATURES
+
+    rows = sg.elbow(_cluster_table(spark, sf), CLUSTER_FEATURES, range(2, 9))
+    return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
+
+
+@register("pca_projection")
+def q_pca(spark, sf):
+    """Two principal components per customer and the explained variance ratios."""
+    from riskloom.plans.q_models import CLUSTER_FEATURES
+
+    proj, ev = sg.pca_projection(_cluster_table(spark, sf), CLUSTER_FEATURES, "id", 2)
+    return proj.withColumns({"ev1": F.lit(ev[0]), "ev2": F.lit(ev[1])})
