@@ -174,3 +174,17 @@ def q_dependence(spark, sf):
     c = _contrib(spark, sf)
     top = MD.global_importance(c, 1).collect()[0]["feature"]
     return MD.dependence_table(c, top)
+
+
+@register("tree_attribution")
+def q_tree_attribution(spark, sf):
+    """Interventional tree attributions of a fitted GBT for every test row,
+    against a reproducible 200-row background sample of train."""
+    from riskloom.operators.explain import tree_attribution
+
+    t = modelling_table(spark, sf)
+    tr = t.where(F.col("split") == "train")
+    m = MD.fit_gbt(tr, MODEL_FEATURES, "y", "xgboost", N_TREES)
+    bg = SP.sample_n(tr, "id", 200)
+    contrib, base = tree_attribution(t.where(F.col("split") == "test"), m, MODEL_FEATURES, "id", bg)
+    return contrib.withColumn("base_value", F.lit(base))
