@@ -81,13 +81,11 @@ def _tree_predict(tree: dict, x: np.ndarray) -> np.ndarray:
 def margin(trees: list[dict], x: np.ndarray) -> np.ndarray:
     return sum(t["w"] * _tree_predict(t, x) for t in trees)
 
-def _popcount(a: np.ndarray) -> np.ndarray:
-    a = a.copy()
-    c = np.zeros(a.shape, dtype=np.int64)
-    while a.any():
-        c += (a & np.uint64(1)).astype(np.int64)
-        a >>= np.uint64(1)
-    return c
+def _bits(m: np.ndarray, d: int) -> np.ndarray:
+    """uint64 masks -> (len, d) 0/1 matrix (little-endian bit order)."""
+    b = np.unpackbits(m.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return b[:, :d].astype(np.float64)
+
 
 def _shap_tree(tree: dict, x: np.ndarray, bg: np.ndarray, d: int, fact: np.ndarray) -> np.ndarray:
     """Sum over backgrounds of the single-reference Shapley values (length d)."""
@@ -101,23 +99,17 @@ def _shap_tree(tree: dict, x: np.ndarray, bg: np.ndarray, d: int, fact: np.ndarr
             continue
         if left[node] < 0:
             v = val[node]
-            a = _popcount(ma)
-            b = _popcount(mb)
+            ba, bb = _bits(ma, d), _bits(mb, d)
+            a = ba.sum(axis=1).astype(np.int64)
+            b = bb.sum(axis=1).astype(np.int64)
             s = a + b
             has = s > 0
             if not has.any():
                 continue
-            a, b, s, ma_h, mb_h = a[has], b[has], s[has], ma[has], mb[has]
+            a, b, s = a[has], b[has], s[has]
             wa = np.where(a > 0, fact[np.maximum(a - 1, 0)] * fact[b] / fact[s], 0.0) * v
             wb = np.where(b > 0, fact[a] * fact[np.maximum(b - 1, 0)] / fact[s], 0.0) * v
-            for j in range(d):
-                bit = np.uint64(1) << np.uint64(j)
-                ina = (ma_h & bit) != 0
-                inb = (mb_h & bit) != 0
-                if ina.any():
-                    phi[j] += wa[ina].sum()
-                if inb.any():
-                    phi[j] -= wb[inb].sum()
+            phi += wa @ ba[has] - wb @ bb[has]
             continue
         f = feat[node]
         xl = x[f] <= thr[node]
