@@ -34,7 +34,7 @@ def cumulative_table(df: DataFrame, score: str, label: str, keys: Sequence[str]
         .groupBy(*keys, "s")
         .agg(F.sum("y").cast("long").alias("pos"), F.sum(1 - F.col("y")).cast("long").alias("neg"))
     )
-    sizes = group_sizes(coll, keys, {"P": F.sum("pos"), "N": F.sum("neg")})
+    sizes = group_sizes(coll, keys, {"P": F.sum("pos"), "N": F.sum("neg"), "_min": F.min("s"), "_max": F.max("s")})
     pre = prefix_sums(coll, keys, ["s"], ["pos", "neg"], sizes=sizes)
     return _attach_group_table(pre, keys, sizes, ["P", "N"])
 

@@ -29,14 +29,12 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKET_ROWS = 2_000_000
 # Broadcast a helper table only when it has at most this many rows.
 BROADCAST_ROWS = 200_000
+# Below this many collapsed rows a plain window is cheapest.
+PARALLEL_MIN_ROWS = 1_000_000
 # Upper bound on buckets per group (edges per group stay small).
 MAX_BUCKETS = 256
 
 
-def _lit_value(v):
-    return F.lit(v)
-
-
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` as parquet under the shared ``spark.checkpoint.dir`` and read it back.
 
@@ -113,18 +111,32 @@ def prefix_sums(
     if sizes is None:
         sizes = group_sizes(df, keys)
     max_rows = max((r["_rows"] for r in sizes), default=0)
-    run = Window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
+    total = sum(r["_rows"] for r in sizes)
+    o0 = order[0]
     if max_rows <= bucket_rows:
-        w = (Window.partitionBy(*keys) if keys else Window).orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        return df.withColumns({f"{x}{suffix}": F.sum(x).over(w) for x in cols})
+        par = max(1, df.sparkSession.sparkContext.defaultParallelism)
+        ranged = all("_min" in r and "_max" in r for r in sizes) and sizes
+        if total < PARALLEL_MIN_ROWS or not ranged:
+            w = (Window.partitionBy(*keys) if keys else Window).orderBy(*order).rowsBetween(
+                Window.unboundedPreceding, Window.currentRow
+            )
+            return df.withColumns({f"{x}{suffix}": F.sum(x).over(w) for x in cols})
+        # Each group fits one task, but few groups would leave cores idle and
+        # sort long runs of equal keys: cut equal-width value ranges between
+        # the group's min and max (known from the stats job) - no extra job.
+        nb = 2 * par
+        b = _attach_group_table(df, keys, sizes, ["_min", "_max"])
+        span = (F.col("_max") - F.col("_min")).cast("double")
+        pos = F.floor((F.col(o0) - F.col("_min")).cast("double") / span * nb)
+        b = b.withColumn(
+            "_bucket", F.when(span > 0, F.least(F.greatest(pos, F.lit(0)), F.lit(nb - 1))).otherwise(F.lit(0)).cast("int")
+        ).drop("_min", "_max")
+        return _bucket_prefix(b, keys, order, cols, suffix, len(sizes) * nb)
 
     n_buckets = min(int(math.ceil(max_rows / bucket_rows)), MAX_BUCKETS)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     accuracy = max(10_000, 20 * n_buckets)
-    o0 = order[0]
     if keys:
         # per-group edges (groups x buckets, small) joined on the keys; the
         # bucket is a codegen'd count of edges below the value
@@ -145,7 +157,13 @@ def prefix_sums(
         b = Bucketizer(splits=splits, inputCol="_o0", outputCol="_bk", handleInvalid="keep").transform(b)
         b = b.withColumn("_bucket", F.col("_bk").cast("int")).drop("_o0", "_bk")
 
-    bk = keys + ["_bucket"]
+    return _bucket_prefix(b, keys, order, cols, suffix, len(sizes) * n_buckets)
+
+
+def _bucket_prefix(b: DataFrame, keys, order, cols, suffix: str, n_small: int) -> DataFrame:
+    """Exact running sums given a value-range ``_bucket`` column: bucket totals
+    (tiny) -> exclusive offsets -> joined back -> window per (group, bucket)."""
+    bk = list(keys) + ["_bucket"]
     totals = b.groupBy(*bk).agg(*[F.sum(x).alias(f"_t_{x}") for x in cols])
     wt = (Window.partitionBy(*keys) if keys else Window).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
@@ -153,11 +171,10 @@ def prefix_sums(
     offsets = totals.select(
         *bk, *[F.coalesce(F.sum(f"_t_{x}").over(wt), F.lit(0)).alias(f"_o_{x}") for x in cols]
     )
-    if len(sizes) * n_buckets <= BROADCAST_ROWS:
+    if n_small <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     b = b.join(offsets, on=bk, how="inner")
     w = Window.partitionBy(*bk).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    _ = run
     out = b.withColumns({f"{x}{suffix}": F.col(f"_o_{x}") + F.sum(x).over(w) for x in cols})
     return out.drop("_bucket", *[f"_o_{x}" for x in cols])
 

@@ -28,6 +28,8 @@ def hash_rank(df: DataFrame, key: Sequence[str] | str, label: str) -> DataFrame:
     key = [key] if isinstance(key, str) else list(key)
     d = df.withColumn("_h", md5_key(*key)).withColumn("_hk", hash_rank_key("_h")).withColumn("_one", F.lit(1))
     sizes = group_sizes(d, [label])
+    for s in sizes:  # the hash key spans [0, 16^15): its range needs no pass over the data
+        s["_min"], s["_max"] = 0, 16**15 - 1
     r = prefix_sums(d, [label], ["_hk", "_h"], ["_one"], sizes=sizes)
     for s in sizes:
         s["_n"] = s["_rows"]

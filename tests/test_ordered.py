@@ -53,3 +53,14 @@ def test_weighted_quantiles_equal_expanded(spark, data):
 def test_group_sizes(spark, data):
     s = {r["g"]: r["_rows"] for r in group_sizes(data, ["g"])}
     assert sum(s.values()) == 3000
+
+
+def test_equal_width_parallel_path_equals_plain(spark, data, monkeypatch):
+    from riskloom.operators import ordered as O
+
+    coll = data.groupBy("g", "v").agg(F.sum("w").alias("w"))
+    sizes = O.group_sizes(coll, ["g"], {"_min": F.min("v"), "_max": F.max("v")})
+    plain = sorted(tuple(r) for r in O.prefix_sums(coll, ["g"], ["v"], ["w"], sizes=sizes).select("g", "v", "w_cum").collect())
+    monkeypatch.setattr(O, "PARALLEL_MIN_ROWS", 1)
+    par = sorted(tuple(r) for r in O.prefix_sums(coll, ["g"], ["v"], ["w"], sizes=sizes).select("g", "v", "w_cum").collect())
+    assert plain == par
