@@ -156,12 +156,14 @@ def fit_one_hot(df: DataFrame, max_levels: int = 10) -> dict[str, list[str]]:
     strs = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
     if not strs:
         return {}
-    nd = df.agg(*[F.count_distinct(c).alias(c) for c in strs]).collect()[0]
-    low = [c for c in strs if nd[c] <= max_levels]
-    if not low:
+    # HyperLogLog screen (bounded state per column), then an exact distinct
+    # set only for the candidates, whose size the screen bounds.
+    nd = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in strs]).collect()[0]
+    cand = [c for c in strs if nd[c] <= 2 * max_levels]
+    if not cand:
         return {}
-    v = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in low]).collect()[0]
-    return {c: list(v[c]) for c in low}
+    v = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in cand]).collect()[0]
+    return {c: list(v[c]) for c in cand if len(v[c]) <= max_levels}
 
 
 def one_hot_low_card(df: DataFrame, vocab: dict[str, list[str]] | None = None, drop_first: bool = True) -> DataFrame:

@@ -136,12 +136,12 @@ def _cluster_table(spark, sf):
 
 @register("kmeans_segments")
 def q_kmeans(spark, sf):
-    """k=4 on eight standardised behaviour features, 10 restarts, lowest cost kept;
+    """k=4 on eight standardised behaviour features, 10 restarts (300 iterations), lowest cost kept;
     per cluster: size, mean PD, segment name."""
     from riskloom.plans.q_models import CLUSTER_FEATURES
 
     t = _cluster_table(spark, sf)
-    model, scaler, cost = sg.kmeans_segments(t, CLUSTER_FEATURES, restarts=3, max_iter=50)
+    model, scaler, cost = sg.kmeans_segments(t, CLUSTER_FEATURES)
     a = sg.assign_segments(model, scaler, t, CLUSTER_FEATURES)
     labels = sg.segment_labels(a, "cluster", "pd_score")
     sizes = a.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_customers"))
@@ -190,7 +190,7 @@ def q_silhouette(spark, sf):
     from riskloom.plans.q_models import CLUSTER_FEATURES
 
     t = _cluster_table(spark, sf)
-    model, scaler, _ = sg.kmeans_segments(t, CLUSTER_FEATURES, restarts=2, max_iter=50)
+    model, scaler, _ = sg.kmeans_segments(t, CLUSTER_FEATURES)
     v = model.transform(assemble(scaler.transform(t), CLUSTER_FEATURES))
     return spark.createDataFrame([(4, sg.silhouette(v))], "k int, silhouette double")
 
