@@ -76,7 +76,9 @@ def fit_bins(
     )
     # stats, edges and bins all read the collapsed table: write it once
     coll = materialize(coll, "woe-coll")
-    stats = group_sizes(coll, ["feature"], {"E": F.sum("ev"), "T": F.sum("n")})
+    stats = group_sizes(
+        coll, ["feature"], {"E": F.sum("ev"), "T": F.sum("n"), "_n": F.sum("n"), "_min": F.min("x"), "_max": F.max("x")}
+    )
     low = [r["feature"] for r in stats if r["_rows"] <= n_bins]
     high = [r["feature"] for r in stats if r["_rows"] > n_bins]
     parts = []
@@ -86,7 +88,10 @@ def fit_bins(
         )
         parts.append(v.withColumn("kind", F.lit("value")))
     if high:
-        qe = exact_quantiles(coll.where(F.col("feature").isin(high)), ["feature"], "x", qcut_probs(n_bins), weight="n")
+        qe = exact_quantiles(
+            coll.where(F.col("feature").isin(high)), ["feature"], "x", qcut_probs(n_bins), weight="n",
+            sizes=[r for r in stats if r["feature"] in high], collapsed=True,
+        )
         parts.append(qe.select("feature", F.array_distinct("edges").alias("edges"), F.lit("quantile").alias("kind")))
     edges = parts[0]
     for p in parts[1:]:
@@ -231,14 +236,22 @@ def psi_table(
     """
     long = unpivot_features(df.where(F.col(part_col).isin(expected, actual)), features, extra=[part_col])
     coll = materialize(long.groupBy("feature", part_col, "x").agg(F.count(F.lit(1)).alias("n")), "psi-coll")
-    e = exact_quantiles(
-        coll.where(F.col(part_col) == expected), ["feature"], "x", percentile_probs(n_bins), weight="n"
-    ).select("feature", F.array_distinct("edges").alias("edges"))
-    e = e.withColumn("k", F.greatest(F.size("edges") - 1, F.lit(1)))
+    is_exp = F.col(part_col) == expected
     sizes = group_sizes(coll, ["feature"], {
-        "n_exp": F.sum(F.when(F.col(part_col) == expected, F.col("n")).otherwise(0)),
+        "n_exp": F.sum(F.when(is_exp, F.col("n")).otherwise(0)),
         "n_act": F.sum(F.when(F.col(part_col) == actual, F.col("n")).otherwise(0)),
+        "_d_exp": F.count_if(is_exp),
+        "_min": F.min(F.when(is_exp, F.col("x"))),
+        "_max": F.max(F.when(is_exp, F.col("x"))),
     })
+    qsizes = [
+        {"feature": r["feature"], "_rows": r["_d_exp"], "_n": r["n_exp"], "_min": r["_min"], "_max": r["_max"]}
+        for r in sizes
+    ]
+    e = exact_quantiles(
+        coll.where(is_exp), ["feature"], "x", percentile_probs(n_bins), weight="n", sizes=qsizes, collapsed=True
+    ).select("feature", F.array_distinct("edges").alias("edges"))
+    e = e.withColumn("k", F.greatest(F.size("edges") - 1, F.lit(1)))
     b = coll.join(F.broadcast(e), "feature").withColumn("bin", bin_left("edges", "x", n_bins + 1))
     counts = b.groupBy("feature", "bin").agg(
         F.sum(F.when(F.col(part_col) == expected, F.col("n")).otherwise(0)).alias("c_exp"),

@@ -31,6 +31,8 @@ DEFAULT_BUCKET_ROWS = 2_000_000
 BROADCAST_ROWS = 200_000
 # Below this many collapsed rows a plain window is cheapest.
 PARALLEL_MIN_ROWS = 1_000_000
+# Equal-width histogram bins used to locate quantile ranks.
+HIST_BINS = 1024
 # Upper bound on buckets per group (edges per group stay small).
 MAX_BUCKETS = 256
 
@@ -179,6 +181,66 @@ def _bucket_prefix(b: DataFrame, keys, order, cols, suffix: str, n_small: int) -
     return out.drop("_bucket", *[f"_o_{x}" for x in cols])
 
 
+def _selected_bins(
+    coll: DataFrame, keys: list, value: str, probs: Sequence[float], sizes: list[dict], bucket_rows: int,
+    n_bins: int | None = None,
+) -> DataFrame | None:
+    """Rows of the histogram bins that hold a target rank, with exact ``_w_cum``.
+
+    An equal-width histogram per group (exact counts; one aggregation whose
+    result is at most groups x bins rows) tells the driver which bin holds
+    each target rank and how many rows lie below it; only those bins are
+    sorted. Returns None (caller sorts everything with the bucketed prefix
+    sum) when a needed bin holds more than ``bucket_rows`` values.
+    """
+    import bisect
+
+    n_bins = n_bins or HIST_BINS
+    groups = [r for r in sizes if r.get("_n")]
+    if not groups or any(r.get("_min") is None for r in groups):
+        return None
+    b = _attach_group_table(coll, keys, groups, ["_min", "_max"])
+    span = (F.col("_max") - F.col("_min")).cast("double")
+    pos = F.floor((F.col(value) - F.col("_min")).cast("double") / span * n_bins)
+    b = b.withColumn(
+        "_bin", F.when(span > 0, F.least(F.greatest(pos, F.lit(0)), F.lit(n_bins - 1))).otherwise(F.lit(0)).cast("int")
+    ).drop("_min", "_max")
+    hist = b.groupBy(*keys, "_bin").agg(F.sum("_w").alias("c"), F.count(F.lit(1)).alias("d")).collect()
+    per: dict = {}
+    for r in hist:
+        per.setdefault(tuple(r[k] for k in keys), []).append((r["_bin"], r["c"], r["d"]))
+    need = []  # (keys..., bin, weight below the bin)
+    for g in groups:
+        gk = tuple(g[k] for k in keys)
+        bins = sorted(per.get(gk, []))
+        if not bins:
+            continue
+        cum, c0 = [], 0
+        for _, c, _ in bins:
+            cum.append(c0)
+            c0 += c
+        n = int(g["_n"])
+        chosen = set()
+        for p in probs:
+            pos_ = (n - 1) * float(p)
+            for rk in {int(math.floor(pos_)), int(math.ceil(pos_))}:
+                chosen.add(bisect.bisect_right(cum, rk) - 1)
+        for i in sorted(chosen):
+            if bins[i][2] > bucket_rows:
+                return None
+            need.append((*gk, int(bins[i][0]), int(cum[i])))
+    from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+
+    kf = [f for f in coll.schema.fields if f.name in keys]
+    schema = StructType(kf + [StructField("_bin", IntegerType()), StructField("_below", LongType())])
+    sel = coll.sparkSession.createDataFrame(need, schema)
+    if len(need) <= BROADCAST_ROWS:
+        sel = F.broadcast(sel)
+    picked = b.join(sel, on=[*keys, "_bin"], how="inner")
+    w = Window.partitionBy(*keys, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return picked.withColumn("_w_cum", F.col("_below") + F.sum("_w").over(w)).drop("_bin", "_below")
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -187,6 +249,8 @@ def exact_quantiles(
     *,
     weight: str | None = None,
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
+    sizes: list[dict] | None = None,
+    collapsed: bool = False,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per group, fully distributed.
 
@@ -194,16 +258,29 @@ def exact_quantiles(
     prob order. Same rule as ``quantile_cont`` / NumPy ``linear``: position
     ``(n-1)*p``, value ``lo + (hi-lo)*(pos-floor(pos))``. NULL values are
     ignored. ``weight`` names a count column when ``df`` is already
-    collapsed to ``(keys, value, weight)``.
+    collapsed to ``(keys, value, weight)``; ``collapsed=True`` says it already
+    holds one row per ``(keys, value)``. ``sizes`` (per group ``_rows``,
+    ``_n`` = total weight, ``_min``/``_max`` of the value) saves the
+    statistics job.
+
+    The rows holding the target ranks are found through an exact
+    equal-width histogram (see :func:`_selected_bins`), so only a few bins
+    are sorted; with a bin too large (heavy skew) the bucketed prefix sum
+    over all values is used instead. Both are exact.
     """
     keys = list(keys)
     base = df.where(F.col(value).isNotNull())
-    if weight is None:
+    if collapsed:
+        coll = base.select(*keys, value, F.col(weight).cast("long").alias("_w"))
+    elif weight is None:
         coll = base.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_w"))
     else:
         coll = base.groupBy(*keys, value).agg(F.sum(weight).cast("long").alias("_w"))
-    sizes = group_sizes(coll, keys, {"_n": F.sum("_w")})
-    pre = prefix_sums(coll, keys, [value], ["_w"], sizes=sizes, bucket_rows=bucket_rows)
+    if sizes is None or not all(k in r for r in sizes for k in ("_n", "_min", "_max", "_rows")):
+        sizes = group_sizes(coll, keys, {"_n": F.sum("_w"), "_min": F.min(value), "_max": F.max(value)})
+    pre = _selected_bins(coll, keys, value, probs, sizes, bucket_rows)
+    if pre is None:
+        pre = prefix_sums(coll, keys, [value], ["_w"], sizes=sizes, bucket_rows=bucket_rows)
     # Target ranks are known on the driver (n per group): floor/ceil of
     # (n-1)*p. Keep only the collapsed rows whose rank span
     # [cum-w, cum-1] holds a target: a codegen'd range test (literal when
