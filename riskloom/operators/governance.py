@@ -15,6 +15,7 @@ from riskloom.functions import constants as K
 from riskloom.functions.exprs import bin_right_lit
 from riskloom.operators.binning import psi_report, quantile_edges
 from riskloom.operators.metrics import _auc_expr, cumulative_table
+from riskloom.operators.ordered import materialize
 
 
 def period_column(df: DataFrame, order_col: str, n_periods: int = K.N_PERIODS) -> DataFrame:
@@ -36,6 +37,7 @@ def gini_stability(
     """Per period: n, event rate, Gini, AUC (rounded 4); periods with < 50 rows
     or one class skipped; delta from the first kept period; ALERT/WATCH/OK."""
     if time_col is None:
+        df = materialize(df.select(order_col, score, label), "gini-input")
         df = period_column(df, order_col, n_periods)
         time_col = "period"
     t = cumulative_table(df, score, label, [time_col])
@@ -79,6 +81,8 @@ def bias_audit(
     subgroup AUC comes from one grouped cumulative pass.
     """
     group_cols = [c for c in group_cols if c in df.columns]
+    # two grouped passes read the same three or four columns: write them once
+    df = materialize(df.select(score, label, *group_cols), "bias-input")
     overall_t = cumulative_table(df, score, label, [])
     overall = overall_t.agg(
         F.lit("OVERALL").alias("group_col"),
