@@ -47,9 +47,9 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """
     import uuid
 
-    from riskloom.session import checkpoint_dir
+    from riskloom.session import scratch_root
 
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -26,8 +26,27 @@ MODEL_FEATURES = CLUSTER_FEATURES + ["limit_bal", "util_max", "pay_ratio_min", "
 N_TREES = 20
 
 
+_MODEL_TABLES: dict = {}
+
+
 def modelling_table(spark, sf):
-    """Engineered, imputed statement features + split column (fit on train)."""
+    """Engineered, imputed statement features + split column (fit on train).
+
+    Written once per session and input folder to the shared checkpoint
+    folder; every model query reads the same files."""
+    key = (spark.sparkContext.applicationId, sf)
+    path = _MODEL_TABLES.get(key)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - files removed: rebuild
+            _MODEL_TABLES.pop(key, None)
+    t = _build_modelling_table(spark, sf)
+    _MODEL_TABLES[key] = t.inputFiles()[0].rsplit("/", 1)[0] if t.inputFiles() else None
+    return t
+
+
+def _build_modelling_table(spark, sf):
     p = fx.panel(spark, sf)
     s = SP.stratified_split(p, "id", "y")
     train = s.where(F.col("split") == "train").drop("split")

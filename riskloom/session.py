@@ -53,3 +53,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """Per-application folder for intermediate tables, under the shared checkpoint dir."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/riskloom-scratch/{spark.sparkContext.applicationId}"
+
+
+def cleanup_scratch(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables (call at the end of a job)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)

@@ -107,7 +107,10 @@ def assemble_xy(x: DataFrame, y: DataFrame, key: str = "ID") -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under this application's scratch folder (shared storage)."""
+    from riskloom.session import scratch_root
+
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def write_report_csv(df: DataFrame, path: str) -> None:
