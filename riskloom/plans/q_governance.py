@@ -101,8 +101,8 @@ FROM d"""
 
 _Q5 = _dbl_list(B.qcut_probs(K.N_PERIODS))
 GINI_CHUNK_SQL = gini_sql(
-    "scored, e",
-    "cast(len(list_filter(q[2:len(q) - 1], lambda z: z < cast(id AS double))) AS int)",
+    "scored",
+    "cast(len(list_filter((SELECT q FROM e)[2:len((SELECT q FROM e)) - 1], lambda z: z < cast(id AS double))) AS int)",
     f"e AS (SELECT list_sort(list_distinct(quantile_cont(cast(id AS double), {_Q5}))) AS q FROM scored),",
 )
 
@@ -194,10 +194,13 @@ WITH sp AS (SELECT pd_score, y, CASE WHEN rn <= round({K.OOT_FRACTION} * n_y) TH
                    count(*) OVER (PARTITION BY y) AS n_y FROM scored) r),
 m AS (SELECT split, {AUC_SQL} AS auc,
              greatest(max((P - pos_cum + pos) / cast(P AS double) - (N - neg_cum + neg) / cast(N AS double)), 0.0) AS ks
-      FROM ({cum_sql('sp', 'pd_score', 'y', ('split',))}) t GROUP BY split)
-SELECT t.auc AS auc_test, 2 * t.auc - 1 AS gini_test, t.ks AS ks_test, o.auc AS auc_oot, o.auc - t.auc AS auc_delta,
-       t.auc > 0.75 AS auc_ok, 2 * t.auc - 1 > 0.5 AS gini_ok, t.ks > 0.3 AS ks_ok, abs(o.auc - t.auc) < 0.03 AS oot_ok
-FROM m t, m o WHERE t.split = 'test' AND o.split = 'oot'"""
+      FROM ({cum_sql('sp', 'pd_score', 'y', ('split',))}) t GROUP BY split),
+k AS (SELECT max(CASE WHEN split = 'test' THEN auc END) AS auc_test, max(CASE WHEN split = 'test' THEN ks END) AS ks_test,
+             max(CASE WHEN split = 'oot' THEN auc END) AS auc_oot FROM m)
+SELECT auc_test, 2 * auc_test - 1 AS gini_test, ks_test, auc_oot, auc_oot - auc_test AS auc_delta,
+       auc_test > 0.75 AS auc_ok, 2 * auc_test - 1 > 0.5 AS gini_ok, ks_test > 0.3 AS ks_ok,
+       abs(auc_oot - auc_test) < 0.03 AS oot_ok
+FROM k"""
 
 
 @register("kpi_summary", with_fixtures(KPI_SQL, "scored"), ["auc_test", "gini_test", "ks_test", "auc_oot", "auc_delta"])

@@ -69,9 +69,9 @@ def q_woe_table(spark, sf):
 
 
 SQL_QBINS = f"""
-SELECT feature, cast(i AS int) AS edge_idx, q[i] AS edge
+SELECT feature, cast(generate_subscripts(q, 1) AS int) AS edge_idx, unnest(q) AS edge
 FROM (SELECT feature, list_sort(list_distinct(quantile_cont(x, {QCUT}))) AS q
-      FROM ({long_sql('li_risk', FEATS)}) l GROUP BY feature) t, range(1, len(q) + 1) r(i)"""
+      FROM ({long_sql('li_risk', FEATS)}) l GROUP BY feature) t"""
 
 
 @register("quantile_bins", with_fixtures(SQL_QBINS, "li_risk"), ["edge"])
@@ -211,10 +211,10 @@ def q_scorecard_points(spark, sf):
 SQL_DECILES = f"""
 WITH s AS (SELECT y, {SC.SCORE_SQL} AS score FROM scored),
 e AS (SELECT list_sort(list_distinct(quantile_cont(score, {QCUT}))) AS q FROM s)
-SELECT cast(len(list_filter(q[2:len(q) - 1], lambda z: z < score)) AS int) AS decile, count(*) AS n_total,
-       cast(sum(y) AS bigint) AS n_events, min(score) AS score_min, max(score) AS score_max,
+SELECT cast(len(list_filter((SELECT q FROM e)[2:len((SELECT q FROM e)) - 1], lambda z: z < score)) AS int) AS decile,
+       count(*) AS n_total, cast(sum(y) AS bigint) AS n_events, min(score) AS score_min, max(score) AS score_max,
        avg(score) AS score_mean, sum(y) / cast(count(*) AS double) AS event_rate
-FROM s, e GROUP BY 1"""
+FROM s GROUP BY 1"""
 
 
 @register("score_deciles", with_fixtures(SQL_DECILES, "scored"), ["score_min", "score_max", "score_mean", "event_rate"])

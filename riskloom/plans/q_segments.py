@@ -161,10 +161,12 @@ def _z_sql() -> str:
 
 
 SQL_ASSIGN = f"""WITH {_z_sql()},
-c AS (SELECT cast(row_number() OVER (ORDER BY seg) - 1 AS int) AS cluster, {', '.join(f'avg({f}) AS {f}' for f in _Z_FEATS)}
-      FROM z GROUP BY seg),
-d AS (SELECT z.id, c.cluster, {' + '.join(f'pow(z.{f} - c.{f}, 2)' for f in _Z_FEATS)} AS dist FROM z, c)
-SELECT id, cast(arg_min(cluster, (dist, cluster)) AS int) AS cluster FROM d GROUP BY id"""
+c AS (SELECT list(v ORDER BY seg) AS cents
+      FROM (SELECT seg, [{', '.join(f'avg({f})' for f in _Z_FEATS)}] AS v FROM z GROUP BY seg) g),
+d AS (SELECT id, list_transform((SELECT cents FROM c),
+                                lambda ce: {' + '.join(f'pow({f} - ce[{i + 1}], 2)' for i, f in enumerate(_Z_FEATS))}) AS dist
+      FROM z)
+SELECT id, cast(list_position(dist, list_min(dist)) - 1 AS int) AS cluster FROM d"""
 
 
 @register("assign_segments", with_fixtures(SQL_ASSIGN, "panel"))
