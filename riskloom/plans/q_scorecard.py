@@ -37,11 +37,12 @@ def woe_ctes(src: str = "li_risk", feats=FEATS, label: str = "y") -> str:
 long AS ({long_sql(src, feats, label, f'{label} IS NOT NULL')}),
 coll AS (SELECT feature, x, count(*) AS n, sum({label}) AS ev FROM long GROUP BY feature, x),
 fs AS (SELECT feature, count(*) AS d, sum(ev) AS tot_ev, sum(n) - sum(ev) AS tot_ne FROM coll GROUP BY feature),
-vals AS (SELECT feature, list_sort(list(x)) AS v FROM coll GROUP BY feature),
+vals AS (SELECT feature, list_sort(list(x)) AS v FROM coll
+         WHERE feature IN (SELECT feature FROM fs WHERE d <= {K.WOE_MAX_BINS}) GROUP BY feature),
 qs AS (SELECT feature, list_sort(list_distinct(quantile_cont(x, {QCUT}))) AS q FROM long GROUP BY feature),
 ed AS (SELECT fs.feature, CASE WHEN d <= {K.WOE_MAX_BINS} THEN 'value' ELSE 'quantile' END AS kind,
               CASE WHEN d <= {K.WOE_MAX_BINS} THEN v ELSE q END AS edges, tot_ev, tot_ne
-       FROM fs JOIN vals ON fs.feature = vals.feature JOIN qs ON fs.feature = qs.feature),
+       FROM fs LEFT JOIN vals ON fs.feature = vals.feature JOIN qs ON fs.feature = qs.feature),
 binned AS (SELECT c.feature, c.x, c.n, c.ev, ed.kind, ed.tot_ev, ed.tot_ne,
              cast(CASE WHEN kind = 'value' THEN len(list_filter(edges, lambda z: z < c.x))
                   ELSE len(list_filter(edges[2:len(edges) - 1], lambda z: z < c.x)) END AS int) AS bin
