@@ -13,8 +13,8 @@ they add up to f(x) - mean f(background) (tested).
 
 Spark runs it: the tree tables (trees x nodes) and the bounded
 background sample ship to the tasks with the function, and
-``mapInPandas`` explains every input row, batch by batch. The per-row
-walk is vectorised over the background rows with numpy.
+``mapInPandas`` explains every input row, batch by batch. The walk is
+vectorised over (row, background) pairs with numpy.
 """
 
 from __future__ import annotations
@@ -87,18 +87,21 @@ def _bits(m: np.ndarray, d: int) -> np.ndarray:
     return b[:, :d].astype(np.float64)
 
 
-def _shap_tree(tree: dict, x: np.ndarray, bg: np.ndarray, d: int, fact: np.ndarray) -> np.ndarray:
-    """Sum over backgrounds of the single-reference Shapley values (length d)."""
-    phi = np.zeros(d)
-    nb = len(bg)
-    stack = [(0, np.arange(nb), np.zeros(nb, dtype=np.uint64), np.zeros(nb, dtype=np.uint64))]
+def _shap_tree_pairs(tree: dict, x: np.ndarray, bg: np.ndarray, d: int, fact: np.ndarray) -> np.ndarray:
+    """Single-reference values summed over backgrounds, for all rows of ``x`` at
+    once: the walk carries (row, background) pairs instead of one row."""
+    nx, nb = len(x), len(bg)
+    phi = np.zeros((nx, d))
+    rows0 = np.repeat(np.arange(nx), nb)
+    bgs0 = np.tile(np.arange(nb), nx)
+    z = np.zeros(nx * nb, dtype=np.uint64)
+    stack = [(0, rows0, bgs0, z, z.copy())]
     left, right, feat, thr, val = tree["left"], tree["right"], tree["feat"], tree["thr"], tree["val"]
     while stack:
-        node, idx, ma, mb = stack.pop()
-        if len(idx) == 0:
+        node, ri, bi, ma, mb = stack.pop()
+        if len(ri) == 0:
             continue
         if left[node] < 0:
-            v = val[node]
             ba, bb = _bits(ma, d), _bits(mb, d)
             a = ba.sum(axis=1).astype(np.int64)
             b = bb.sum(axis=1).astype(np.int64)
@@ -107,27 +110,41 @@ def _shap_tree(tree: dict, x: np.ndarray, bg: np.ndarray, d: int, fact: np.ndarr
             if not has.any():
                 continue
             a, b, s = a[has], b[has], s[has]
+            v = val[node]
             wa = np.where(a > 0, fact[np.maximum(a - 1, 0)] * fact[b] / fact[s], 0.0) * v
             wb = np.where(b > 0, fact[a] * fact[np.maximum(b - 1, 0)] / fact[s], 0.0) * v
-            phi += wa @ ba[has] - wb @ bb[has]
+            np.add.at(phi, ri[has], wa[:, None] * ba[has] - wb[:, None] * bb[has])
             continue
         f = feat[node]
-        xl = x[f] <= thr[node]
-        rl = bg[idx, f] <= thr[node]
-        cx, co = (left[node], right[node]) if xl else (right[node], left[node])
-        same = rl == xl
-        if same.any():
-            stack.append((cx, idx[same], ma[same], mb[same]))
+        t = thr[node]
+        xl = x[ri, f] <= t
+        rl = bg[bi, f] <= t
+        same = xl == rl
+        bit = np.uint64(1) << np.uint64(f)
+        # same direction: follow it, no feature involved
+        for go_left in (True, False):
+            m = same & (xl == go_left)
+            if m.any():
+                stack.append((left[node] if go_left else right[node], ri[m], bi[m], ma[m], mb[m]))
         diff = ~same
         if diff.any():
-            bit = np.uint64(1) << np.uint64(f)
-            i2, a2, b2 = idx[diff], ma[diff], mb[diff]
-            okx = (b2 & bit) == 0
-            stack.append((cx, i2[okx], a2[okx] | bit, b2[okx]))
-            okr = (a2 & bit) == 0
-            stack.append((co, i2[okr], a2[okr], b2[okr] | bit))
+            r2, b2, a2, c2, x2 = ri[diff], bi[diff], ma[diff], mb[diff], xl[diff]
+            okx = (c2 & bit) == 0  # x side: f joins A unless it is already in B
+            for go_left in (True, False):
+                m = okx & (x2 == go_left)
+                if m.any():
+                    stack.append((left[node] if go_left else right[node], r2[m], b2[m], a2[m] | bit, c2[m]))
+            okr = (a2 & bit) == 0  # reference side: f joins B unless it is already in A
+            for go_left in (True, False):
+                m = okr & (x2 != go_left)
+                if m.any():
+                    stack.append((left[node] if go_left else right[node], r2[m], b2[m], a2[m], c2[m] | bit))
     return phi
 
+
+ROW_CHUNK = 256
+
+
 def shap_values(trees: list[dict], x: np.ndarray, bg: np.ndarray) -> np.ndarray:
     """Interventional values (rows x d) on the margin scale."""
     d = x.shape[1]
@@ -135,13 +152,15 @@ def shap_values(trees: list[dict], x: np.ndarray, bg: np.ndarray) -> np.ndarray:
         raise ValueError("tree attribution supports at most 63 features")
     fact = np.array([math.factorial(k) for k in range(d + 2)], dtype=float)
     out = np.zeros((len(x), d))
-    for i in range(len(x)):
-        acc = np.zeros(d)
+    for lo in range(0, len(x), ROW_CHUNK):
+        xs = x[lo : lo + ROW_CHUNK]
+        acc = np.zeros((len(xs), d))
         for t in trees:
-            acc += t["w"] * _shap_tree(t, x[i], bg, d, fact)
-        out[i] = acc / len(bg)
+            acc += t["w"] * _shap_tree_pairs(t, xs, bg, d, fact)
+        out[lo : lo + ROW_CHUNK] = acc / len(bg)
     return out
 
+
 def tree_attribution(
     df: DataFrame, model, features: Sequence[str], key: str, background: DataFrame
 ) -> tuple[DataFrame, float]:
