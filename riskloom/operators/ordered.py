@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Most groups whose small statistics rows we accept on the driver.
+MAX_DRIVER_GROUPS = 1_000_000
 # Largest number of collapsed rows we let one window task sort.
 DEFAULT_BUCKET_ROWS = 2_000_000
 # Broadcast a helper table only when it has at most this many rows.
@@ -60,7 +62,13 @@ def group_sizes(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column] | No
     aggs.setdefault("_rows", F.count(F.lit(1)))
     exprs = [e.alias(k) for k, e in aggs.items()]
     if keys:
-        rows = df.groupBy(*keys).agg(*exprs).collect()
+        # groups are features, subgroups, periods, classes: bounded, checked
+        rows = df.groupBy(*keys).agg(*exprs).limit(MAX_DRIVER_GROUPS + 1).collect()
+        if len(rows) > MAX_DRIVER_GROUPS:
+            raise ValueError(
+                f"more than {MAX_DRIVER_GROUPS} groups for {list(keys)}: group statistics are kept on the driver; "
+                "aggregate or bucket the grouping columns first"
+            )
     else:
         rows = df.agg(*exprs).collect()
     return [r.asDict() for r in rows]
