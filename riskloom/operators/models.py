@@ -111,18 +111,17 @@ def platt_calibrate(
     f = stratified_kfold(df, key, label, folds).withColumn("label", F.col(label).cast("double"))
     f = f.withColumn("w", class_weight(f, "label", preset))
     f = assemble(f, features)
-    models, calib = [], []
-    for k in range(folds):
+    from riskloom.session import run_parallel
+
+    def one(k):
         m = gbt(preset, n_trees).fit(f.where(F.col("fold") != k))
-        held = m.transform(f.where(F.col("fold") == k)).select(
-            F.array(margin(None)).alias("_m"), "label"
-        )
-        held = held.select(F.col("_m")[0].alias("m"), "label")
+        held = m.transform(f.where(F.col("fold") == k)).select(margin(None).alias("m"), "label")
         lr = LogisticRegression(featuresCol="mv", labelCol="label", regParam=0.0, maxIter=100)
         cm = lr.fit(assemble(held, ["m"], "mv"))
-        models.append(m)
-        calib.append((float(cm.coefficients[0]), float(cm.intercept)))
-    return PlattEnsemble(models, calib, list(features))
+        return m, (float(cm.coefficients[0]), float(cm.intercept))
+
+    fits = run_parallel([lambda k=k: one(k) for k in range(folds)])
+    return PlattEnsemble([m for m, _ in fits], [c for _, c in fits], list(features))
 
 
 def predict_pd(model, df: DataFrame, features: Sequence[str], out: str = "pd_raw") -> DataFrame:
@@ -139,9 +138,11 @@ def gbt_cv(
     f = stratified_kfold(df, key, label, k).withColumn("label", F.col(label).cast("double"))
     f = f.withColumn("w", class_weight(f, "label", preset))
     f = assemble(f, features)
+    from riskloom.session import run_parallel
+
+    models = run_parallel([lambda i=i: gbt(preset, n_trees).fit(f.where(F.col("fold") != i)) for i in range(k)])
     preds = None
-    for i in range(k):
-        m = gbt(preset, n_trees).fit(f.where(F.col("fold") != i))
+    for i, m in enumerate(models):
         p = m.transform(f.where(F.col("fold") == i)).select("fold", F.col("label").cast("int").alias("y"), p_one(None).alias("p"))
         preds = p if preds is None else preds.unionByName(p)
     per_fold = evaluate_model(preds, "p", "y", ["fold"])

@@ -164,14 +164,20 @@ def kmeans_segments(
     if len(feats) < min_features:
         raise ValueError(f"need at least {min_features} clustering features, got {feats}")
     v, sm = _std_vectors(df, feats)
-    v = v.select("features")
-    best = None
-    for r in range(restarts):
-        m = KMeans(k=k, maxIter=max_iter, seed=seed + r, featuresCol="features", predictionCol="cluster").fit(v)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[2]:
-            best = (m, sm, cost)
-    return best
+    from riskloom.session import run_parallel
+
+    v = v.select("features").persist()
+    try:
+        def fit(r):
+            m = KMeans(k=k, maxIter=max_iter, seed=seed + r, featuresCol="features", predictionCol="cluster").fit(v)
+            return m, m.summary.trainingCost
+
+        fits = run_parallel([lambda r=r: fit(r) for r in range(restarts)])
+    finally:
+        v.unpersist()
+    # lowest cost wins; ties keep the earliest seed
+    m, cost = min(fits, key=lambda t: t[1])
+    return m, sm, cost
 
 
 def assign_segments(model, scaler, df: DataFrame, features: Sequence[str], pd_col: str = "pd_score") -> DataFrame:
@@ -211,14 +217,16 @@ def elbow(df: DataFrame, features: Sequence[str], ks: Sequence[int] = range(2, 9
     """(k, inertia, silhouette) for each k."""
     from pyspark.ml.clustering import KMeans
 
+    from riskloom.session import run_parallel
+
     v, _ = _std_vectors(df, features)
     v = v.select("features").persist()
     try:
-        rows = []
-        for k in ks:
+        def one(k):
             m = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(v)
-            rows.append((int(k), float(m.summary.trainingCost), silhouette(m.transform(v))))
-        return rows
+            return (int(k), float(m.summary.trainingCost), silhouette(m.transform(v)))
+
+        return run_parallel([lambda k=k: one(k) for k in ks])
     finally:
         v.unpersist()
 

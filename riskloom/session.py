@@ -67,3 +67,16 @@ def cleanup_scratch(spark: SparkSession) -> None:
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(path):
         fs.delete(path, True)
+
+
+def run_parallel(fns, max_workers: int = 4) -> list:
+    """Submit independent Spark jobs (model fits for folds, restarts, k values)
+    from driver threads so their stages overlap; results keep input order.
+    Same idea as the ``parallelism`` parameter of Spark ML's tuning classes."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    fns = list(fns)
+    if len(fns) <= 1 or max_workers <= 1:
+        return [f() for f in fns]
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(fns))) as ex:
+        return list(ex.map(lambda f: f(), fns))
