@@ -64,9 +64,13 @@ def q_fit_gbt(spark, sf):
     tr = SP.stratified_split(tr.drop("split"), "id", "y", oot=0.0, test=0.15, out="part").withColumn(
         "is_val", F.col("part") == "test"
     )
+    from riskloom.session import run_parallel
+
+    models = run_parallel(
+        [lambda p=p: MD.fit_gbt(tr, MODEL_FEATURES, "y", p, N_TREES, validation_col="is_val") for p in MD.PRESETS]
+    )
     out = None
-    for preset in MD.PRESETS:
-        m = MD.fit_gbt(tr, MODEL_FEATURES, "y", preset, N_TREES, validation_col="is_val")
+    for preset, m in zip(MD.PRESETS, models):
         p = MD.predict_pd(m, t.where(F.col("split") == "test"), MODEL_FEATURES)
         r = M.evaluate_model(p, "pd_raw", "y").withColumn("model", F.lit(preset))
         out = r if out is None else out.unionByName(r)
@@ -112,12 +116,15 @@ def q_scorecard_cv(spark, sf):
     t = fit_standard(t, woe).transform(t)
     t = SP.stratified_kfold(t.select("key", "y", *woe), "key", "y", 5).persist()
     try:
-        rows = []
-        for k in range(5):
+        from riskloom.session import run_parallel
+
+        def one(k):
             model, b0, coefs = SC.fit_logit(t.where(F.col("fold") != k), woe, "y")
             z = b0 + sum(F.lit(coefs[c]) * F.col(c) for c in woe)
             auc = M.auc_gini(t.where(F.col("fold") == k).withColumn("p", z), "p", "y").collect()[0]["auc"]
-            rows.append((k, float(auc)))
+            return (k, float(auc))
+
+        rows = run_parallel([lambda k=k: one(k) for k in range(5)])
         mean = sum(a for _, a in rows) / len(rows)
         std = math.sqrt(sum((a - mean) ** 2 for _, a in rows) / len(rows))
         rows.append((-1, mean))
