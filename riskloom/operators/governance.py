@@ -64,7 +64,7 @@ def gini_stability(
         .when(d < -K.GINI_DEGRADATION_ALERT / 2, "WATCH")
         .otherwise("OK")
     )
-    return g.withColumn("alert", alert)
+    return g.withColumn("alert", alert).orderBy("period")
 
 
 def bias_audit(

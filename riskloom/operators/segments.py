@@ -57,7 +57,7 @@ def tier_summary(df: DataFrame, pd_col: str = "pd_score", label: str = "y") -> D
         F.round("avg_pd", 4).alias("avg_pd"),
         F.round("actual_default_rate", 4).alias("actual_default_rate"),
         F.round("pct_of_portfolio", 4).alias("pct_of_portfolio"),
-    )
+    ).orderBy("tier_order")
 
 
 def action_matrix(
