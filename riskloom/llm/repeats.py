@@ -10,9 +10,9 @@ lie inside both.
    heads that only one id holds are dropped after a count with map-side sums.
 2. The documents that hold shared heads are read again: every shared suffix
    gets WINDOW words to its right (after the head) and to its left.
-3. The suffixes are range-partitioned and sorted by (head, right, left, id)
-   and each is compared with its nearest neighbours of another id on both
-   sides: matching words right and left extend the match. Range borders can
+3. The suffixes are range-partitioned and sorted by (head, right, left, id),
+   and again by (head, left, right, id), and each is compared with its nearest
+   neighbours of another id on both sides: matching words right and left extend the match. Range borders can
    fall inside a head, so a passage that a third of all documents hold is
    spread; the outermost suffixes of every partition are compared once more
    with those of the next.
@@ -20,10 +20,10 @@ lie inside both.
    a passage are at most WINDOW apart, so their spans overlap and their union
    is the whole passage. Spans of a document are merged.
 
-A neighbour in right order shares the longest right part. A passage of
+A neighbour in either order shares the longest part on that side. A passage of
 MIN_WORDS + WINDOW - 1 words or more is always found; a shorter one can be
-missed only where some third text shares more of its right part than the copy
-does but less of its left.
+missed only where other texts share more of its right part and others more of
+its left part than the copy does, and neither of them MIN_WORDS words.
 
 Defined results: a null or empty text has no passage; rows that share an id
 are one document, so equal rows with one id do not repeat each other; rows
@@ -189,8 +189,22 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     records = ws.save(rows.join(held, "id").mapInArrow(extend, _RECORD), "records")
     ws.drop(suffixes)
-    order = ("head", "right", "left", "id", "place")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = [_in_order(records, order, head, min_words, ws) for order in _ORDERS]
+    spans = found[0].unionByName(found[1])
+    by = Window.partitionBy("id").orderBy("start", "end")
+    reach = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    island = F.sum(F.when(F.col("start") <= F.col("reach"), 0).otherwise(1)).over(by.rowsBetween(Window.unboundedPreceding, 0))
+    merged = spans.distinct().withColumn("reach", reach).withColumn("island", island).groupBy("id", "island")
+    merged = merged.agg(F.min("start").alias("start_word"), F.max("end").alias("end_word"))
+    return merged.select(id_or_null("id").alias(id_col), "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"))
+
+
+_ORDERS = (("head", "right", "left", "id", "place"), ("head", "left", "right", "id", "place"))
+
+
+def _in_order(records: DataFrame, order: tuple[str, ...], head: int, min_words: int, ws: Workspace) -> DataFrame:
+    """(id, start, end) of the suffixes that a neighbour in this order extends to ``min_words``."""
+    n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = records.distinct().repartitionByRange(n, *order).sortWithinPartitions(*order)
 
     def compare(batches):
@@ -224,13 +238,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     edges = compared.where("end is null").withColumnRenamed("start", "place").select("head", "right", "left", "id", "place")
     across = edges.coalesce(1).sortWithinPartitions(*order).mapInArrow(_nonempty(borders), "id long, start long, end long")  # four rows a partition
-    spans = compared.where("end is not null").select("id", "start", "end").unionByName(across)
-    by = Window.partitionBy("id").orderBy("start", "end")
-    reach = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    island = F.sum(F.when(F.col("start") <= F.col("reach"), 0).otherwise(1)).over(by.rowsBetween(Window.unboundedPreceding, 0))
-    merged = spans.distinct().withColumn("reach", reach).withColumn("island", island).groupBy("id", "island")
-    merged = merged.agg(F.min("start").alias("start_word"), F.max("end").alias("end_word"))
-    return merged.select(id_or_null("id").alias(id_col), "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"))
+    return compared.where("end is not null").select("id", "start", "end").unionByName(across)
 
 
 def _nonempty(f):
