@@ -178,10 +178,11 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, de
     return rows.mapInArrow(sign, "id long, n long, h1 long, h2 long, tokens array<long>, inside int, bits binary")
 
 
-def prefixes(reps: DataFrame, num: int, den: int) -> DataFrame:
+def prefixes(reps: DataFrame, num: int, den: int, ws: Workspace) -> DataFrame:
     """(token, rid) for the tokens of each class's first-order prefix that another class emits, too."""
     rows = reps.select("rid", F.posexplode("tokens").alias("place", "token"))
-    df = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    # Written first, so that both sides of the join are plain shuffles and a hot token's partition can be split.
+    df = ws.save(rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "frequencies")
     shared = rows.join(df, "token").join(reps.select("rid", "n", "inside"), "rid")
     first = F.col("place") < F.col("inside")
     of = Window.partitionBy("rid")
@@ -192,9 +193,9 @@ def prefixes(reps: DataFrame, num: int, den: int) -> DataFrame:
     return shared.select("token", "rid", rank.alias("rank"), p.alias("p")).where("rank < p").select("token", "rid")
 
 
-def candidates(prefix: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
+def candidates(prefix: DataFrame, reps: DataFrame, num: int, den: int, ws: Workspace) -> DataFrame:
     """Spanning edges between classes that share a prefix token and that size and bitmap leave possible."""
-    groups = prefix.groupBy("token").agg(F.count("*").alias("g")).where("g > 1")
+    groups = ws.save(prefix.groupBy("token").agg(F.count("*").alias("g")).where("g > 1"), "groups")
     rows = prefix.join(groups, "token").join(reps.select("rid", "n", "bits"), "rid")
 
     def pair_up(batches):
@@ -313,8 +314,8 @@ def _classes(docs, ws, id_col, text_col, k, num, den) -> tuple[DataFrame, DataFr
     reps = signed.where("n > 0").groupBy("h1", "h2").agg(F.min("id").alias("id"), *one)
     reps = ws.save(reps.withColumn("rid", F.monotonically_increasing_id()), "classes")
     ws.drop(signed)
-    prefix = ws.save(prefixes(reps, num, den), "prefixes")
-    cand = ws.save(components(ws.save(candidates(prefix, reps, num, den), "candidates"), ws), "candidate-components")
+    prefix = ws.save(prefixes(reps, num, den, ws), "prefixes")
+    cand = ws.save(components(ws.save(candidates(prefix, reps, num, den, ws), "candidates"), ws), "candidate-components")
     links = ws.save(verify(docs, reps, cand, k, num, den, id_col, text_col), "links")
     linked = components(links, ws)
     rooted = reps.select("h1", "h2", "id", "rid").join(linked, F.col("rid") == F.col("node"), "left")

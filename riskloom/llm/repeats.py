@@ -167,6 +167,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     suffixes = ws.save(rows.mapInArrow(emit, "head long, id long, place long"), "suffixes")
     shared = suffixes.groupBy("head").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most").select("head")
+    shared = ws.save(shared, "shared")  # both sides of the join are then plain shuffles, a hot head's can be split
     held = suffixes.join(shared, "head").groupBy("id").agg(F.collect_list("place").alias("places"))  # of one document
 
     def extend(batches):
