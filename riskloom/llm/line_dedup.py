@@ -80,7 +80,7 @@ def build_index(shared: DataFrame, folder: str, shard_keys: int = SHARD_KEYS) ->
     """Publish one index file per shard; returns the number of shards."""
     shards = max(1, -(-shared.count() // shard_keys))
 
-    def build(key, part: pd.DataFrame) -> pd.DataFrame:
+    def build(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["hi", "lo"])
         index = KeyIndex.build(
             part["hi"].to_numpy().view(np.uint64),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import decontaminate, html_text, jaccard_join, langid, line_dedup, nn_descent, packing, quality, repeats, token_store
+from riskloom.llm.oracles import ORACLES  # noqa: F401
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -69,4 +70,3 @@ QUERIES = {
         op7_repeated_passages, op8_nn_descent, op9_line_dedup, op10_jaccard_join,
     )
 }
-ORACLES: dict[str, str] = {}
