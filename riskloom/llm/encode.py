@@ -21,7 +21,9 @@ from array import array
 import numpy as np
 import regex
 
-MEMO = 1_000_000
+MEMO = 700_000
+# A normalizer that only lower-cases ASCII text (white space separates words anyway).
+_LOWERING = ["NFC", "Replace", "Lowercase"]
 # White space before a space: there the pre-tokenizer splits the run itself.
 _RUN = re.compile(r"[^\S\x1c-\x1f] ")
 _PIECES = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
@@ -49,14 +51,20 @@ def _word_pattern(spec: dict) -> str | None:
 
 
 class _Memo(dict):
+    """Two generations: what was not asked for since the last turn goes, so frequent pieces stay and memory is bounded."""
+
     def __init__(self, make, limit):
         super().__init__()
-        self._make, self._limit = make, limit
+        self._make, self._limit, self._old = make, limit // 2, {}
 
     def __missing__(self, key):
+        value = self._old.get(key)
+        if value is None:
+            value = self._make(key)
         if len(self) >= self._limit:
+            self._old = dict(self)
             self.clear()
-        value = self[key] = self._make(key)
+        self[key] = value
         return value
 
 
@@ -75,7 +83,7 @@ class Encoder:
             self._normal = self.tokenizer.normalizer.normalize_str
         self._split = regex.compile(pattern).findall if pattern else None
         self._model = self.tokenizer.model.tokenize
-        self._words = _Memo(self._word, memo)
+        self._simple = [x["type"] for x in (json.loads(tokenizer_json).get("normalizer") or {}).get("normalizers", [])] == _LOWERING
         self._plain = _Memo(self._piece, memo)
         self._led = _Memo(lambda x: self._piece(" " + x), memo)
 
@@ -90,8 +98,12 @@ class Encoder:
         if self._split is None:
             return self._whole(piece)
         if self._normal:
-            piece = self._normal(piece)
-        return b"".join(map(self._words.__getitem__, self._split(piece)))
+            piece = piece.lower() if self._simple and piece.isascii() else self._normal(piece)
+        words = self._split(piece)
+        if len(words) == 1:
+            return self._word(words[0])
+        led = self.spaces == "leads"
+        return b"".join([self._led[w[1:]] if led and w[0] == " " else self._plain[w] for w in words])
 
     def encode(self, text: str | None) -> bytes:
         """All ids of ``text`` as ``dtype`` bytes."""
