@@ -103,7 +103,7 @@ def _count_less(e: Column, x: Column, first: int, last_from_end: int, max_len: i
         hit = (F.get(e, i) < x) if strict else (F.get(e, i) <= x)
         ok = F.lit(i) <= F.size(e) - 1 - last_from_end
         out = out + F.when(ok & hit, F.lit(1)).otherwise(F.lit(0))
-    return out
+    return F.when(F.size(e) > max_len, F.raise_error(F.lit(f"more than {max_len} bin edges"))).otherwise(out)
 
 
 def bin_right(edges: ColLike, x: ColLike, max_len: int = MAX_EDGES) -> Column:

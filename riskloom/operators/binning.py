@@ -211,8 +211,11 @@ class WoEModel:
             return F.lit(0.0)
         keys = sorted(table)
         m = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.lit(table[k]) for k in keys]))
-        x = F.col(f"`{feature}`")
-        return F.when(x.isNull(), F.lit(0.0)).otherwise(F.coalesce(F.element_at(m, self.bin_expr(feature)), F.lit(0.0)))
+        x, bin_ = F.col(f"`{feature}`"), self.bin_expr(feature)
+        kind, edges = self.edges[feature]
+        if kind == "value":  # a value that training never saw has no bin: WoE 0
+            bin_ = F.when(x.cast("double").isin([float(v) for v in edges]), bin_)
+        return F.when(x.isNull() | bin_.isNull(), F.lit(0.0)).otherwise(F.coalesce(F.element_at(m, bin_), F.lit(0.0)))
 
     def transform(self, df: DataFrame, features: Sequence[str] | None = None, prefix: str = "WOE_") -> DataFrame:
         feats = list(features if features is not None else self.edges)

@@ -83,8 +83,10 @@ def drop_artifacts(df: DataFrame, names: Sequence[str] = ARTIFACT_COLUMNS) -> Da
 
 
 def cast_target(df: DataFrame, target: str) -> DataFrame:
-    """Target -> int. ``try_cast`` keeps bad text as NULL (validated later)."""
-    return df.withColumn(target, F.col(target).try_cast("int"))
+    """Target -> int; NULL stays NULL, text that is no number fails the job."""
+    value = F.col(target).try_cast("int")
+    bad = F.concat(F.lit(f"target {target} is not a number: "), F.col(target).cast("string"))
+    return df.withColumn(target, F.when(F.col(target).isNotNull() & value.isNull(), F.raise_error(bad)).otherwise(value))
 
 
 def drop_all_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
@@ -139,7 +141,7 @@ def sentinel_flag(df: DataFrame, col: str = "DAYS_EMPLOYED", sentinel: int = 365
     """Flag the sentinel, turn it into NULL, then fill with the median."""
     d = df.withColumns(
         {
-            f"{col}_PENSIONER": (F.col(col) == sentinel).cast("int"),
+            f"{col}_PENSIONER": F.coalesce((F.col(col) == sentinel).cast("int"), F.lit(0)),
             col: F.when(F.col(col) == sentinel, F.lit(None)).otherwise(F.col(col)).cast("double"),
         }
     )
@@ -173,7 +175,7 @@ def one_hot_low_card(df: DataFrame, vocab: dict[str, list[str]] | None = None, d
     out = {}
     for c, levels in vocab.items():
         for v in levels[1:] if drop_first else levels:
-            out[f"{c}_{v}"] = (F.col(c) == v).cast("int")
+            out[f"{c}_{v}"] = F.coalesce((F.col(c) == v).cast("int"), F.lit(0))
     return df.withColumns(out).drop(*vocab) if out or vocab else df
 
 

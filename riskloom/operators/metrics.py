@@ -50,8 +50,8 @@ def _tp_fp(t: DataFrame) -> tuple[Column, Column]:
 
 
 def _auc_expr() -> Column:
-    num = F.sum(F.col("pos") * (F.col("neg_cum") - F.col("neg") / 2.0))
-    return F.try_divide(num, (F.max("P") * F.max("N")).cast("double"))
+    num = F.sum(F.col("pos").cast("double") * (F.col("neg_cum") - F.col("neg") / 2.0))
+    return F.try_divide(num, F.max("P").cast("double") * F.max("N").cast("double"))
 
 
 def _ks_expr() -> Column:

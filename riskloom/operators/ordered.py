@@ -35,8 +35,8 @@ BROADCAST_ROWS = 200_000
 PARALLEL_MIN_ROWS = 1_000_000
 # Equal-width histogram bins used to locate quantile ranks.
 HIST_BINS = 1024
-# Upper bound on buckets per group (edges per group stay small).
-MAX_BUCKETS = 256
+# Most buckets that one level of cuts makes per group; larger groups are cut again inside their buckets.
+LEVEL_BUCKETS = 256
 
 
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:
@@ -93,9 +93,18 @@ def _attach_group_table(df: DataFrame, keys: Sequence[str], rows: list[dict], co
         fields.append(StructField(k, LongType() if isinstance(sample, int) else DoubleType(), True))
     data = [tuple(r.get(f.name) for f in fields) for r in rows]
     small = spark.createDataFrame(data, StructType(fields))
-    if len(rows) <= BROADCAST_ROWS:
-        small = F.broadcast(small)
-    return df.join(small, on=list(keys), how="inner")
+    return join_groups(df, small, keys, len(rows) <= BROADCAST_ROWS)
+
+
+def join_groups(df: DataFrame, table: DataFrame, keys: Sequence[str], broadcast: bool) -> DataFrame:
+    """Inner join on group keys in which NULL is a group like any other: no row is lost."""
+    other = {k: f"_key{i}" for i, k in enumerate(keys)}
+    table = table.withColumnsRenamed(other)
+    cond = None
+    for k, o in other.items():
+        same = F.col(k).eqNullSafe(F.col(o))
+        cond = same if cond is None else cond & same
+    return df.join(F.broadcast(table) if broadcast else table, cond, "inner").drop(*other.values())
 
 
 def prefix_sums(
@@ -140,53 +149,70 @@ def prefix_sums(
         span = (F.col("_max") - F.col("_min")).cast("double")
         pos = F.floor((F.col(o0) - F.col("_min")).cast("double") / span * nb)
         b = b.withColumn(
-            "_bucket", F.when(span > 0, F.least(F.greatest(pos, F.lit(0)), F.lit(nb - 1))).otherwise(F.lit(0)).cast("int")
+            "_bucket", F.when(F.isnan(F.col(o0).cast("double")), F.lit(nb - 1))
+            .when(span > 0, F.least(F.greatest(pos, F.lit(0)), F.lit(nb - 1)))
+            .otherwise(F.lit(0))
+            .cast("int"),
         ).drop("_min", "_max")
-        return _bucket_prefix(b, keys, order, cols, suffix, len(sizes) * nb)
+        return _bucket_prefix(b, keys, ["_bucket"], order, cols, suffix, len(sizes) * nb)
 
-    n_buckets = min(int(math.ceil(max_rows / bucket_rows)), MAX_BUCKETS)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    accuracy = max(10_000, 20 * n_buckets)
     if keys:
-        # per-group edges (groups x buckets, small) joined on the keys; the
-        # bucket is a codegen'd count of edges below the value
-        edges = df.groupBy(*keys).agg(F.percentile_approx(o0, probs, accuracy).alias("_edges"))
-        if len(sizes) * n_buckets <= BROADCAST_ROWS:
-            edges = F.broadcast(edges)
-        b = df.join(edges, on=keys, how="inner")
-        from riskloom.functions.exprs import bin_value
-
-        b = b.withColumn("_bucket", bin_value("_edges", F.col(o0), n_buckets)).drop("_edges")
-    else:
-        # one global set of edges: binary search via Bucketizer
-        from pyspark.ml.feature import Bucketizer
-
-        e = df.agg(F.percentile_approx(o0, probs, accuracy).alias("e")).collect()[0]["e"]
-        splits = [float("-inf")] + sorted({float(v) for v in e}) + [float("inf")]
-        b = df.withColumn("_o0", F.col(o0).cast("double"))
-        b = Bucketizer(splits=splits, inputCol="_o0", outputCol="_bk", handleInvalid="keep").transform(b)
-        b = b.withColumn("_bucket", F.col("_bk").cast("int")).drop("_o0", "_bk")
+        b, levels, n_small = _cut_groups(df, keys, o0, max_rows, bucket_rows)
+        return _bucket_prefix(b, keys, levels, order, cols, suffix, n_small)
+    # one global set of edges: binary search via Bucketizer
+    from pyspark.ml.feature import Bucketizer
 
-    return _bucket_prefix(b, keys, order, cols, suffix, len(sizes) * n_buckets)
-
-
-def _bucket_prefix(b: DataFrame, keys, order, cols, suffix: str, n_small: int) -> DataFrame:
-    """Exact running sums given a value-range ``_bucket`` column: bucket totals
+    n_buckets = int(math.ceil(max_rows / bucket_rows))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    e = df.agg(F.percentile_approx(o0, probs, max(10_000, 20 * n_buckets)).alias("e")).collect()[0]["e"] or []
+    splits = [float("-inf")] + sorted({float(v) for v in e if not math.isnan(v)}) + [float("inf")]
+    b = df.withColumn("_o0", F.col(o0).cast("double"))
+    b = Bucketizer(splits=splits, inputCol="_o0", outputCol="_bk", handleInvalid="keep").transform(b)
+    # NULL sorts before every value (as in a plain window); NaN has the extra last bucket
+    b = b.withColumn("_bucket", F.when(F.col("_o0").isNull(), F.lit(-1)).otherwise(F.col("_bk").cast("int"))).drop("_o0", "_bk")
+    return _bucket_prefix(b, keys, ["_bucket"], order, cols, suffix, n_buckets + 2)
+
+
+def _cut_groups(df: DataFrame, keys: list, o0: str, max_rows: int, bucket_rows: int) -> tuple[DataFrame, list[str], int]:
+    """Value-range buckets of about ``bucket_rows`` rows inside every group.
+
+    Each level cuts by at most LEVEL_BUCKETS approximate quantiles per group
+    (a codegen'd count of edges below the value; NULL counts as below all,
+    NaN as above all); while a bucket is still too large, the next level cuts
+    inside the buckets. Stops when cutting no longer helps (one hot value).
+    """
+    from riskloom.functions.exprs import bin_value
+
+    levels: list[str] = []
+    while True:
+        n = min(int(math.ceil(max_rows / bucket_rows)), LEVEL_BUCKETS)
+        probs = [i / n for i in range(1, n)]
+        by = [*keys, *levels]
+        edges = df.groupBy(*by).agg(F.percentile_approx(o0, probs, max(10_000, 20 * n)).alias("_edges"))
+        level = f"_bucket{len(levels)}"
+        df = join_groups(df, edges, by, False).withColumn(level, bin_value("_edges", F.col(o0), n)).drop("_edges")
+        levels.append(level)
+        row = df.groupBy(*by, level).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c").alias("m"), F.count(F.lit(1)).alias("n")).first()
+        if row["m"] <= 2 * bucket_rows or row["m"] >= max_rows:
+            return df, levels, row["n"]
+        max_rows = row["m"]
+
+
+def _bucket_prefix(b: DataFrame, keys, levels: Sequence[str], order, cols, suffix: str, n_small: int) -> DataFrame:
+    """Exact running sums given value-range bucket columns: bucket totals
     (tiny) -> exclusive offsets -> joined back -> window per (group, bucket)."""
-    bk = list(keys) + ["_bucket"]
+    bk = [*keys, *levels]
     totals = b.groupBy(*bk).agg(*[F.sum(x).alias(f"_t_{x}") for x in cols])
-    wt = (Window.partitionBy(*keys) if keys else Window).orderBy("_bucket").rowsBetween(
+    wt = (Window.partitionBy(*keys) if keys else Window).orderBy(*levels).rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = totals.select(
         *bk, *[F.coalesce(F.sum(f"_t_{x}").over(wt), F.lit(0)).alias(f"_o_{x}") for x in cols]
     )
-    if n_small <= BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
-    b = b.join(offsets, on=bk, how="inner")
+    b = join_groups(b, offsets, bk, n_small <= BROADCAST_ROWS)
     w = Window.partitionBy(*bk).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = b.withColumns({f"{x}{suffix}": F.col(f"_o_{x}") + F.sum(x).over(w) for x in cols})
-    return out.drop("_bucket", *[f"_o_{x}" for x in cols])
+    return out.drop(*levels, *[f"_o_{x}" for x in cols])
 
 
 def _selected_bins(
@@ -242,9 +268,7 @@ def _selected_bins(
     kf = [f for f in coll.schema.fields if f.name in keys]
     schema = StructType(kf + [StructField("_bin", IntegerType()), StructField("_below", LongType())])
     sel = coll.sparkSession.createDataFrame(need, schema)
-    if len(need) <= BROADCAST_ROWS:
-        sel = F.broadcast(sel)
-    picked = b.join(sel, on=[*keys, "_bin"], how="inner")
+    picked = join_groups(b, sel, [*keys, "_bin"], len(need) <= BROADCAST_ROWS)
     w = Window.partitionBy(*keys, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return picked.withColumn("_w_cum", F.col("_below") + F.sum("_w").over(w)).drop("_bin", "_below")
 
@@ -320,7 +344,7 @@ def exact_quantiles(
         tdf = pre.sparkSession.createDataFrame(trows, schema)
         if len(trows) <= BROADCAST_ROWS:
             tdf = F.broadcast(tdf)
-        cond = [pre[k] == tdf[k] for k in keys] + [
+        cond = [pre[k].eqNullSafe(tdf[k]) for k in keys] + [
             (tdf["_rlo"].between(start, end)) | (tdf["_rhi"].between(start, end))
         ]
         hits = pre.join(tdf, on=cond, how="inner").select(

@@ -23,7 +23,7 @@ CLUSTER_FEATURES = ["util_mean", "pay_ratio_mean", "max_delinquency", "total_del
                     "balance_growth_rate", "months_paid_full", "stress_score", "total_pay_ratio"]
 MODEL_FEATURES = CLUSTER_FEATURES + ["limit_bal", "util_max", "pay_ratio_min", "balance_to_limit",
                                      "months_paid_zero", "pay_3", "pay_4", "pay_5", "pay_6", "net_debt_accumulation"]
-N_TREES = 20
+N_TREES = 30
 
 
 _MODEL_TABLES: dict = {}

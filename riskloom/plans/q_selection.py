@@ -73,7 +73,7 @@ def q_vif(spark, sf):
 @register("drop_report")
 def q_drop_report(spark, sf):
     df, feats = _statement(spark, sf)
-    return SL.MulticollinearityFilter().fit(df, feats, "y").report(spark)
+    return SL.CollinearityScreen().fit(df, feats, "y").report(spark)
 
 
 # VIF of three features, closed form (adjugate of the 3x3 uncentred Gram matrix)

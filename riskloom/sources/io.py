@@ -94,11 +94,14 @@ def write_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
 
 def cached_clean(spark: SparkSession, cache_path: str, make: Callable[[], DataFrame]) -> DataFrame:
     """Read the cleaned parquet cache if present, else build, write and read it."""
-    try:
-        return spark.read.parquet(cache_path)
-    except Exception:  # noqa: BLE001 - missing path
-        make().write.mode("overwrite").parquet(cache_path)
-        return spark.read.parquet(cache_path)
+    if not path_exists(spark, cache_path):  # a damaged cache raises: it is never overwritten
+        make().write.parquet(cache_path)
+    return spark.read.parquet(cache_path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
 def assemble_xy(x: DataFrame, y: DataFrame, key: str = "ID") -> DataFrame:
@@ -120,14 +123,11 @@ def write_report_csv(df: DataFrame, path: str) -> None:
 
 def read_report(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv") -> DataFrame:
     """Read a report; a missing path gives an empty table of the same schema."""
-    try:
-        if fmt == "csv":
-            return spark.read.option("header", True).schema(schema).csv(path)
-        if fmt == "json":
-            return spark.read.schema(schema).json(path)
-        return spark.read.text(path)
-    except Exception:  # noqa: BLE001 - missing report
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    if fmt == "csv":
+        return spark.read.option("header", True).schema(schema).csv(path)
+    return spark.read.schema(schema).json(path) if fmt == "json" else spark.read.text(path)
 
 
 def write_model_card(card: DataFrame, path: str) -> None:
@@ -137,7 +137,7 @@ def write_model_card(card: DataFrame, path: str) -> None:
 
 def write_text_report(lines: DataFrame, path: str, order_col: str = "line_no", text_col: str = "value") -> None:
     """Ordered text lines (section/key/value flattened) -> one text file."""
-    lines.orderBy(order_col).select(text_col).coalesce(1).write.mode("overwrite").text(path)
+    lines.coalesce(1).sortWithinPartitions(order_col).select(text_col).write.mode("overwrite").text(path)
 
 
 _ = F
