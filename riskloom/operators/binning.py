@@ -1,13 +1,12 @@
 """Quantile edges, WoE/IV tables and the WoE transform.
 
 All features are handled together: the wide table is unpivoted to
-``(feature, x, y)`` and collapsed once to ``(feature, x) -> n, events``.
-That collapse (map-side partial aggregation, one shuffle) is the only
-pass over the raw rows; edges, bins and per-bin statistics are computed
-from the collapsed table, which is at most the number of distinct values
-per feature. Fitted state (edges, WoE per bin) is bounded by
-features x bins and is applied as literal expressions: no join, no
-shuffle at transform time.
+``(feature, x, y)`` inside the scan, edges come from
+:mod:`riskloom.operators.quantiles`, and rows are counted per
+``(feature, bin)``. Every shuffle carries partial aggregates of at most
+features x bins rows a task; values themselves are never shuffled or
+written. Fitted state (edges, WoE per bin) is bounded by features x bins
+and is applied as literal expressions: no join, no shuffle at transform time.
 """
 
 from __future__ import annotations
@@ -18,8 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import constants as K
-from riskloom.functions.exprs import bin_left, bin_right, bin_right_lit, bin_value, bin_value_lit
-from riskloom.operators.ordered import _attach_group_table, exact_quantiles, group_sizes, materialize
+from riskloom.functions.exprs import bin_left_lit, bin_right_lit, bin_value_lit
+from riskloom.operators.ordered import _attach_group_table
+from riskloom.operators.quantiles import quantiles, value_stats
+
 
 # pandas qcut asks for linspace(0, 1, q+1): i * (1/q) ...
 def qcut_probs(q: int) -> list[float]:
@@ -50,8 +51,9 @@ def quantile_edges(
 ) -> DataFrame:
     """``(feature, edges)``: sorted unique exact quantiles per feature."""
     long = unpivot_features(df if where is None else df.where(where), features)
-    e = exact_quantiles(long, ["feature"], "x", probs if probs is not None else qcut_probs(q))
-    return e.select("feature", F.array_distinct("edges").alias("edges"))
+    q_ = quantiles(long, "feature", "x", probs if probs is not None else qcut_probs(q))
+    rows = [(f, list(dict.fromkeys(e))) for f, e in sorted(q_.items())]
+    return df.sparkSession.createDataFrame(rows, "feature string, edges array<double>")
 
 
 def _woe_columns(g: DataFrame) -> DataFrame:
@@ -64,47 +66,60 @@ def _woe_columns(g: DataFrame) -> DataFrame:
 
 def fit_bins(
     df: DataFrame, features: Sequence[str], label: str = "y", n_bins: int = K.WOE_MAX_BINS
-) -> tuple[DataFrame, DataFrame, list[dict]]:
-    """Collapse + edges. Returns (collapsed, edges, per-feature stats).
+) -> tuple[dict[str, tuple[str, list[float]]], list[dict]]:
+    """Returns (edges, per-feature stats).
 
-    ``edges`` rows: (feature, kind, edges) with kind 'value' (one bin per
-    distinct value, <= n_bins values) or 'quantile' (qcut edges).
+    Edges per feature: ('value', distinct values) with <= n_bins of them (one
+    bin per value), else ('quantile', qcut edges). An approximate distinct count
+    only says for which features the values are looked at one by one.
     """
-    long = unpivot_features(df.where(F.col(label).isNotNull()), features, extra=[label])
-    coll = long.groupBy("feature", "x").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("ev")
+    long = unpivot_features(df.where(F.col(label).isNotNull()), features, extra=[label]).select(
+        "feature", "x", F.col(label).cast("long").alias("ev")
     )
-    # stats, edges and bins all read the collapsed table: write it once
-    coll = materialize(coll, "woe-coll")
-    stats = group_sizes(
-        coll, ["feature"], {"E": F.sum("ev"), "T": F.sum("n"), "_n": F.sum("n"), "_min": F.min("x"), "_max": F.max("x")}
+    stats = value_stats(long, "feature", "x", E=F.sum("ev"), d=F.approx_count_distinct("x"))
+    few = [f for f, r in stats.items() if r["d"] <= 4 * n_bins]
+    values: dict[str, list[float]] = {}
+    if few:
+        for r in long.where(F.col("feature").isin(few)).select("feature", "x").distinct().orderBy("feature", "x").collect():
+            values.setdefault(r["feature"], []).append(r["x"])
+    edges = {f: ("value", v) for f, v in values.items() if len(v) <= n_bins}
+    many = [f for f in stats if f not in edges]
+    if many:
+        got = quantiles(long.where(F.col("feature").isin(many)), "feature", "x", qcut_probs(n_bins), {f: stats[f] for f in many})
+        edges |= {f: ("quantile", list(dict.fromkeys(e))) for f, e in got.items()}
+    return edges, [{"feature": f, "E": r["E"], "N": r["n"] - r["E"]} for f, r in stats.items()]
+
+
+def _bin_lit(kind: str, edges: list[float], x: Column) -> Column:
+    return {"value": bin_value_lit, "quantile": bin_right_lit, "left": bin_left_lit}[kind](edges, x)
+
+
+def binned_rows(df: DataFrame, edges: dict[str, tuple[str, list[float]]], extra: Sequence[Column]) -> DataFrame:
+    """Long ``(extra..., feature, bin, x)`` with the fitted edges as literals; NULL x dropped."""
+    if not edges:
+        return df.select(*extra, F.lit("").alias("feature"), F.lit(0).alias("bin"), F.lit(0.0).alias("x")).limit(0)
+    cells = []
+    for f, (kind, e) in edges.items():
+        x = F.col(f"`{f}`").cast("double")
+        cells.append(F.struct(F.lit(f).alias("feature"), _bin_lit(kind, e, x).cast("int").alias("bin"), x.alias("x")))
+    return df.select(*extra, F.explode(F.array(*cells)).alias("_c")).select("*", "_c.*").drop("_c").where(F.col("x").isNotNull())
+
+
+def _count_bins(df: DataFrame, label: str, edges: dict[str, tuple[str, list[float]]], stats: list[dict]) -> DataFrame:
+    """Counts and value range per (feature, bin), with the totals E and N of features that have both classes."""
+    rows = binned_rows(df.where(F.col(label).isNotNull()), edges, [F.col(label).cast("long").alias("_ev")])
+    g = rows.groupBy("feature", "bin").agg(
+        F.count(F.lit(1)).alias("n_total"),
+        F.sum("_ev").alias("n_events"),
+        F.min("x").alias("bin_lo"),
+        F.max("x").alias("bin_hi"),
     )
-    low = [r["feature"] for r in stats if r["_rows"] <= n_bins]
-    high = [r["feature"] for r in stats if r["_rows"] > n_bins]
-    parts = []
-    if low:
-        v = coll.where(F.col("feature").isin(low)).groupBy("feature").agg(
-            F.array_sort(F.collect_list("x")).alias("edges")
-        )
-        parts.append(v.withColumn("kind", F.lit("value")))
-    if high:
-        qe = exact_quantiles(
-            coll.where(F.col("feature").isin(high)), ["feature"], "x", qcut_probs(n_bins), weight="n",
-            sizes=[r for r in stats if r["feature"] in high], collapsed=True,
-        )
-        parts.append(qe.select("feature", F.array_distinct("edges").alias("edges"), F.lit("quantile").alias("kind")))
-    edges = parts[0]
-    for p in parts[1:]:
-        edges = edges.unionByName(p)
-    return coll, edges.select("feature", "kind", "edges"), stats
-
-
-def _assign_bins(coll: DataFrame, edges: DataFrame, n_bins: int = K.WOE_MAX_BINS) -> DataFrame:
-    # edges: one row per feature (tiny) -> broadcast
-    j = coll.join(F.broadcast(edges), "feature")
-    m = n_bins + 1
-    b = F.when(F.col("kind") == "value", bin_value("edges", "x", m)).otherwise(bin_right("edges", "x", m))
-    return j.withColumn("bin", b)
+    by_value = [f for f, (kind, _) in edges.items() if kind == "value"]
+    g = g.withColumns({
+        "kind": F.when(F.col("feature").isin(by_value), "value").otherwise("quantile"),
+        "n_nonevents": F.col("n_total") - F.col("n_events"),
+    })
+    return _attach_group_table(g, ["feature"], stats, ["E", "N"]).where((F.col("E") > 0) & (F.col("N") > 0))
 
 
 def woe_table(
@@ -116,25 +131,9 @@ def woe_table(
     Rows with NULL x or y are dropped per feature; features whose target has
     one class are skipped (their IV is 0).
     """
-    coll, edges, stats = fit_bins(df, features, label, n_bins)
-    b = _assign_bins(coll, edges, n_bins)
-    g = b.groupBy("feature", "bin").agg(
-        F.sum("n").alias("n_total"),
-        F.sum("ev").alias("n_events"),
-        F.min("x").alias("bin_lo"),
-        F.max("x").alias("bin_hi"),
-        F.first("kind").alias("kind"),
-    )
-    for r in stats:
-        r["N"] = r["T"] - r["E"]
-    g = _attach_group_table(g, ["feature"], stats, ["E", "N"])
-    g = g.where((F.col("E") > 0) & (F.col("N") > 0))
-    g = g.withColumns(
-        {
-            "n_nonevents": F.col("n_total") - F.col("n_events"),
-            "event_rate": F.col("n_events") / F.col("n_total"),
-        }
-    )
+    edges, stats = fit_bins(df, features, label, n_bins)
+    g = _count_bins(df, label, edges, stats)
+    g = g.withColumn("event_rate", F.col("n_events") / F.col("n_total"))
     g = _woe_columns(g)
     return g.select(
         "feature", "bin", "kind", "bin_lo", "bin_hi", "n_total", "n_events", "n_nonevents", "event_rate",
@@ -187,14 +186,8 @@ class WoEModel:
 
     @classmethod
     def fit(cls, df: DataFrame, features: Sequence[str], label: str = "y", n_bins: int = K.WOE_MAX_BINS):
-        coll, edges, stats = fit_bins(df, features, label, n_bins)
-        e = {r["feature"]: (r["kind"], [float(v) for v in r["edges"]]) for r in edges.collect()}
-        b = _assign_bins(coll, edges, n_bins)
-        g = b.groupBy("feature", "bin").agg(F.sum("n").alias("n_total"), F.sum("ev").alias("n_events"))
-        for r in stats:
-            r["N"] = r["T"] - r["E"]
-        g = _attach_group_table(g, ["feature"], stats, ["E", "N"]).where((F.col("E") > 0) & (F.col("N") > 0))
-        g = _woe_columns(g.withColumn("n_nonevents", F.col("n_total") - F.col("n_events")))
+        e, stats = fit_bins(df, features, label, n_bins)
+        g = _woe_columns(_count_bins(df, label, e, stats))
         w: dict[str, dict[int, float]] = {}
         for r in g.select("feature", "bin", "woe").collect():
             w.setdefault(r["feature"], {})[int(r["bin"])] = float(r["woe"])
@@ -203,7 +196,7 @@ class WoEModel:
     def bin_expr(self, feature: str) -> Column:
         kind, edges = self.edges[feature]
         x = F.col(f"`{feature}`").cast("double")
-        return bin_value_lit(edges, x) if kind == "value" else bin_right_lit(edges, x)
+        return _bin_lit(kind, edges, x)
 
     def woe_expr(self, feature: str) -> Column:
         table = self.woe.get(feature, {})
@@ -222,11 +215,6 @@ class WoEModel:
         return df.withColumns({f"{prefix}{f}": self.woe_expr(f) for f in feats})
 
 
-def psi_edges(expected: DataFrame, features: Sequence[str], n_bins: int = 10) -> DataFrame:
-    """Unique exact percentiles of the expected sample per feature."""
-    return quantile_edges(expected, features, probs=percentile_probs(n_bins))
-
-
 def psi_table(
     df: DataFrame, features: Sequence[str], part_col: str = "part", expected: str = "expected", actual: str = "actual",
     n_bins: int = 10,
@@ -234,33 +222,24 @@ def psi_table(
     """Per (feature, bin): exp_pct, act_pct, psi_bin.
 
     Edges = unique percentiles of the expected side, outer edges open;
-    bins are left-closed; empty bins get 1e-6. Both sides are counted in
-    one ``groupBy(feature, part, x)`` over a single scan.
+    bins are left-closed; empty bins get 1e-6. Both sides are counted per
+    (feature, bin) over a single scan.
     """
     long = unpivot_features(df.where(F.col(part_col).isin(expected, actual)), features, extra=[part_col])
-    coll = materialize(long.groupBy("feature", part_col, "x").agg(F.count(F.lit(1)).alias("n")), "psi-coll")
     is_exp = F.col(part_col) == expected
-    sizes = group_sizes(coll, ["feature"], {
-        "n_exp": F.sum(F.when(is_exp, F.col("n")).otherwise(0)),
-        "n_act": F.sum(F.when(F.col(part_col) == actual, F.col("n")).otherwise(0)),
-        "_d_exp": F.count_if(is_exp),
-        "_min": F.min(F.when(is_exp, F.col("x"))),
-        "_max": F.max(F.when(is_exp, F.col("x"))),
-    })
-    qsizes = [
-        {"feature": r["feature"], "_rows": r["_d_exp"], "_n": r["n_exp"], "_min": r["_min"], "_max": r["_max"]}
-        for r in sizes
-    ]
-    e = exact_quantiles(
-        coll.where(is_exp), ["feature"], "x", percentile_probs(n_bins), weight="n", sizes=qsizes, collapsed=True
-    ).select("feature", F.array_distinct("edges").alias("edges"))
-    e = e.withColumn("k", F.greatest(F.size("edges") - 1, F.lit(1)))
-    b = coll.join(F.broadcast(e), "feature").withColumn("bin", bin_left("edges", "x", n_bins + 1))
-    counts = b.groupBy("feature", "bin").agg(
-        F.sum(F.when(F.col(part_col) == expected, F.col("n")).otherwise(0)).alias("c_exp"),
-        F.sum(F.when(F.col(part_col) == actual, F.col("n")).otherwise(0)).alias("c_act"),
+    exp_x = F.when(is_exp, F.col("x"))
+    sides = value_stats(
+        long.select("feature", exp_x.alias("x"), is_exp.alias("e")), "feature", "x", n_act=F.count_if(~F.col("e"))
+    )
+    sizes = [{"feature": f, "n_exp": r["n"], "n_act": r["n_act"]} for f, r in sides.items()]
+    q = quantiles(long.where(is_exp), "feature", "x", percentile_probs(n_bins), sides)
+    e = {f: ("left", list(dict.fromkeys(v))) for f, v in q.items()}
+    rows = binned_rows(df.where(F.col(part_col).isin(expected, actual)), e, [F.col(part_col).alias("_part")])
+    counts = rows.groupBy("feature", "bin").agg(
+        F.count_if(F.col("_part") == expected).alias("c_exp"), F.count_if(F.col("_part") == actual).alias("c_act")
     )
-    spine = e.select("feature", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("bin"))
+    bins = [(f, i) for f, (_, v) in e.items() for i in range(max(len(v) - 1, 1))]
+    spine = df.sparkSession.createDataFrame(bins, "feature string, bin int")
     t = spine.join(counts, ["feature", "bin"], "left").na.fill({"c_exp": 0, "c_act": 0})
     t = _attach_group_table(t, ["feature"], sizes, ["n_exp", "n_act"])
     ep = F.when(F.col("c_exp") > 0, F.col("c_exp") / F.col("n_exp")).otherwise(F.lit(K.PSI_PCT_FLOOR))
@@ -272,13 +251,16 @@ def psi_table(
 
 def psi_status(psi: Column) -> Column:
     s, m, h = K.PSI_STATUS
-    return F.when(psi < K.PSI_STABLE, s).when(psi < K.PSI_MODERATE, m).otherwise(h)
+    return F.when(psi < K.PSI_STABLE, s).when(psi < K.PSI_MODERATE, m).when(psi.isNotNull(), h)
 
 
 def psi_report(df: DataFrame, features: Sequence[str], part_col: str = "part", **kw) -> DataFrame:
-    """PSI per feature (rounded 5), status, number of bins; sorted by PSI desc."""
+    """PSI per feature (rounded 5), status, number of bins; sorted by PSI desc.
+    A feature without expected values has 0 bins and neither PSI nor status."""
     t = psi_table(df, features, part_col, **kw)
     g = t.groupBy("feature").agg(F.sum("psi_bin").alias("psi_raw"), F.count(F.lit(1)).alias("n_bins"))
+    names = df.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    g = F.broadcast(names).join(g, "feature", "left").na.fill({"n_bins": 0})
     g = g.withColumn("psi", F.round("psi_raw", 5))
     return g.select("feature", "psi", psi_status(F.col("psi")).alias("status"), "n_bins").orderBy(
         F.desc("psi"), "feature"

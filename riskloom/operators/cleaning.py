@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.exprs import clip, nan_to_null
 from riskloom.operators.binning import unpivot_features
-from riskloom.operators.ordered import exact_quantiles, group_sizes, prefix_sums
+from riskloom.operators.ordered import group_sizes, prefix_sums
+from riskloom.operators.quantiles import quantiles
 
 # FIXED VALUES: generic column names of one distribution of the card-statement
 # data, mapped to the canonical names (X1..X23, Y), then alias renames.
@@ -102,12 +103,11 @@ def clip_outliers(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> tupl
 
 
 def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
-    """Exact medians of many columns in one distributed pass (unpivot + quantiles)."""
+    """Exact medians of many columns together; values are counted, never shuffled."""
     if not cols:
         return {}
-    q = exact_quantiles(unpivot_features(df, cols), ["feature"], "x", [0.5]).collect()
-    got = {r["feature"]: r["edges"][0] for r in q}
-    return {c: got.get(c) for c in cols}
+    got = quantiles(unpivot_features(df, cols), "feature", "x", [0.5])
+    return {c: got.get(c, [None])[0] for c in cols}
 
 
 def zero_to_median(df: DataFrame, col: str) -> DataFrame:

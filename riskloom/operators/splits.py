@@ -1,25 +1,34 @@
 """Reproducible stratified splits, k-folds and samples.
 
-Rows are ranked within each class by the md5 of their key (a
+Rows are ordered within each class by the md5 of their key (a
 deterministic shuffle that needs no seed state and is identical in any
-engine). Ranks come from the bucketed :func:`prefix_sums`, so even a
-class holding most rows is ranked by many tasks, never one.
+engine). A split needs only the hashes at its two cut ranks: rows compare
+their hash with them and are neither shuffled nor sorted. Folds need every
+rank; those come from the bucketed :func:`prefix_sums`, so even a class
+holding most rows is ranked by many tasks, never one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from riskloom.functions import constants as K
 from riskloom.functions.exprs import hash_rank_key, md5_key
-from riskloom.operators.ordered import _attach_group_table, group_sizes, prefix_sums
+from riskloom.operators.ordered import BROADCAST_ROWS, _attach_group_table, group_sizes, join_groups, prefix_sums
+from riskloom.operators.quantiles import LEAF_ROWS
 
+# Hex digits by which hashes are counted at a time, and digits of an md5.
+DIGITS = 3
+MD5_DIGITS = 32
 
-def _round_half_up(x: Column) -> Column:
-    return F.round(x, 0)
+
+def _round_half_up(x: float) -> int:
+    return int(Decimal(repr(x)).quantize(Decimal(1), ROUND_HALF_UP))
 
 
 def hash_rank(df: DataFrame, key: Sequence[str] | str, label: str) -> DataFrame:
@@ -37,6 +46,53 @@ def hash_rank(df: DataFrame, key: Sequence[str] | str, label: str) -> DataFrame:
     return r.withColumnRenamed("_one_cum", "_rank").drop("_one", "_hk")
 
 
+def _hash_cuts(hashes: DataFrame, label: str, sizes: Callable[[int], list[int]]) -> dict[object, list[str]]:
+    """Per class the ``_h`` of its s-th row in hash order for every s of ``sizes(class size)`` ('' for 0).
+
+    Counts per hash prefix (classes x 16^DIGITS rows) tell which prefix holds a
+    cut; a prefix with too many rows is divided by the next digits.
+    """
+    def prefix_counts(df: DataFrame, digits: int) -> dict:
+        out: dict = {}
+        for r in df.groupBy(label, F.substring("_h", 1, digits).alias("_p")).agg(F.count(F.lit(1)).alias("c")).collect():
+            out.setdefault(r[label], []).append((r["_p"], r["c"]))
+        return out
+
+    def under(parts: list[tuple]) -> DataFrame:  # two rows a class: broadcast
+        schema = StructType([StructField(label, hashes.schema[label].dataType), StructField("_p", StringType())])
+        table = hashes.sparkSession.createDataFrame([p[:2] for p in parts], schema).withColumnRenamed(label, "_y").distinct()
+        on = F.col(label).eqNullSafe(F.col("_y")) & F.col("_h").startswith(F.col("_p"))
+        return hashes.join(F.broadcast(table), on, "left_semi")
+
+    digits = DIGITS
+    counts = prefix_counts(hashes, digits)
+    want = {y: sizes(sum(c for _, c in rows)) for y, rows in counts.items()}
+    todo = [(y, "", 0, s) for y, ends in want.items() for s in ends if s]
+    cut: dict[tuple, str] = {}
+    leaves: list[tuple] = []
+    while todo:
+        deeper = []
+        for y, prefix, below, s in todo:
+            for p, c in sorted(t for t in counts[y] if t[0].startswith(prefix)):
+                if below < s <= below + c:
+                    if digits >= MD5_DIGITS:
+                        cut[y, s] = p
+                    else:
+                        (leaves if c <= LEAF_ROWS else deeper).append((y, p, below, s))
+                    break
+                below += c
+        todo, digits = deeper, min(digits + DIGITS, MD5_DIGITS)
+        counts = prefix_counts(under(todo), digits) if todo else {}
+    rows = prefix_counts(under(leaves), MD5_DIGITS) if leaves else {}
+    for y, prefix, below, s in leaves:
+        for h, c in sorted(t for t in rows[y] if t[0].startswith(prefix)):
+            below += c
+            if s <= below:
+                cut[y, s] = h
+                break
+    return {y: [cut.get((y, s), "") for s in ends] for y, ends in want.items()}
+
+
 def stratified_split(
     df: DataFrame,
     key: Sequence[str] | str,
@@ -46,13 +102,20 @@ def stratified_split(
     out: str = "split",
 ) -> DataFrame:
     """oot = first round(oot*n_y) rows of each class in hash order; test = the next
-    round(test*(n_y - n_oot)); the rest is train. Event rates are equal by design."""
-    r = hash_rank(df, key, label)
-    n = F.col("_n").cast("double")
-    n_oot = _round_half_up(F.lit(oot) * n)
-    n_test = _round_half_up(F.lit(test) * (n - n_oot))
-    split = F.when(F.col("_rank") <= n_oot, "oot").when(F.col("_rank") <= n_oot + n_test, "test").otherwise("train")
-    return r.withColumn(out, split).drop("_h", "_rank", "_n")
+    round(test*(n_y - n_oot)); the rest is train. Event rates are equal by design.
+    Rows that share a key share their part."""
+    key = [key] if isinstance(key, str) else list(key)
+    d = df.withColumn("_h", md5_key(*key))
+
+    def sizes(n: int) -> list[int]:
+        n_oot = _round_half_up(oot * n)
+        return [n_oot, n_oot + _round_half_up(test * (n - n_oot))]
+
+    cuts = [(y, *last) for y, last in _hash_cuts(d.select(label, "_h"), label, sizes).items()]
+    schema = StructType([StructField(label, df.schema[label].dataType), StructField("_c1", StringType()), StructField("_c2", StringType())])
+    r = join_groups(d, d.sparkSession.createDataFrame(cuts, schema), [label], len(cuts) <= BROADCAST_ROWS)
+    split = F.when(F.col("_h") <= F.col("_c1"), "oot").when(F.col("_h") <= F.col("_c2"), "test").otherwise("train")
+    return r.withColumn(out, split).drop("_h", "_c1", "_c2")
 
 
 def stratified_kfold(df: DataFrame, key: Sequence[str] | str, label: str = "y", k: int = K.CV_FOLDS) -> DataFrame:

@@ -94,11 +94,9 @@ WHERE feature IN (SELECT feature FROM (SELECT feature, count(DISTINCT x) AS d
 @register("low_card_bins", with_fixtures(SQL_LOWCARD, "li_risk"), ["value"])
 def q_low_card_bins(spark, sf):
     """One bin per distinct value for features with <= 10 values."""
-    _, edges, _ = B.fit_bins(fx.li_risk(spark, sf), LOWCARD, "y")
-    v = edges.where(F.col("kind") == "value")
-    return v.select("feature", F.posexplode("edges").alias("bin", "value")).select(
-        "feature", "value", F.col("bin").cast("int")
-    )
+    edges, _ = B.fit_bins(fx.li_risk(spark, sf), LOWCARD, "y")
+    rows = [(f, v, i) for f, (kind, values) in edges.items() if kind == "value" for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "feature string, value double, bin int")
 
 
 IV_SQL = f"""
