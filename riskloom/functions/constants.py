@@ -78,6 +78,7 @@ BIAS_SHARE_BANDS = (0.03, 0.05)
 N_PERIODS = 5
 
 # Boosted-tree preset (Spark GBT counterpart of the published learner settings)
+GBT_TREES = 500  # upper bound; early stopping on a validation slice ends it sooner
 GBT_MAX_DEPTH = 5
 GBT_STEP_SIZE = 0.05
 GBT_SUBSAMPLE = 0.8

@@ -8,9 +8,10 @@ never shuffle.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.exprs import clip, nan_to_null
@@ -18,6 +19,8 @@ from riskloom.operators.binning import unpivot_features
 from riskloom.operators.ordered import group_sizes, prefix_sums
 from riskloom.operators.quantiles import quantiles
 
+log = logging.getLogger(__name__)
+
 # FIXED VALUES: generic column names of one distribution of the card-statement
 # data, mapped to the canonical names (X1..X23, Y), then alias renames.
 GENERIC_NAMES = {
@@ -168,15 +171,17 @@ def fit_one_hot(df: DataFrame, max_levels: int = 10) -> dict[str, list[str]]:
     return {c: list(v[c]) for c in cand if len(v[c]) <= max_levels}
 
 
-def one_hot_low_card(df: DataFrame, vocab: dict[str, list[str]] | None = None, drop_first: bool = True) -> DataFrame:
+def one_hot_low_card(
+    df: DataFrame, vocab: dict[str, list[str]] | None = None, drop_first: bool = True, keep: Sequence[str] = ()
+) -> DataFrame:
     """0/1 dummies ``<col>_<value>`` from a fitted vocabulary; first level dropped;
-    the source string column is removed."""
+    the source string column is removed unless ``keep`` names it (audit groups)."""
     vocab = fit_one_hot(df) if vocab is None else vocab
     out = {}
     for c, levels in vocab.items():
         for v in levels[1:] if drop_first else levels:
             out[f"{c}_{v}"] = F.coalesce((F.col(c) == v).cast("int"), F.lit(0))
-    return df.withColumns(out).drop(*vocab) if out or vocab else df
+    return df.withColumns(out).drop(*[c for c in vocab if c not in keep])
 
 
 class InfMedianImputer:
@@ -204,7 +209,6 @@ def validate_contract(
 ) -> DataFrame:
     """One aggregation -> long (check, column, value, ok) rows: row count, target
     present, target values within {0,1}, null rate per column (warn above 30 %)."""
-    spark = df.sparkSession
     has_t = target in df.columns
     aggs = [F.count(F.lit(1)).alias("_n")]
     if has_t:
@@ -223,10 +227,21 @@ def validate_contract(
     for i, c in enumerate(df.columns):
         checks.append(F.struct(F.lit("null_rate").alias("check"), F.lit(c).alias("column"),
                                F.col(f"_null_{i}").alias("value"), (F.col(f"_null_{i}") <= max_null_rate).alias("ok")))
-    _ = spark
     return r.select(F.explode(F.array(*checks)).alias("c")).select("c.*")
 
 
+def enforce_contract(df: DataFrame, target: str, min_rows: int = 1000, max_null_rate: float = 0.30) -> DataFrame:
+    """``df`` itself; raises when it is too small, has no target or a target
+    outside {0, 1}, and warns about columns with many NULLs (one aggregation)."""
+    failed = validate_contract(df, target, min_rows, max_null_rate).where(~F.col("ok")).collect()
+    broken = [f"{r['check']} of {r['column']}: {r['value']}" for r in failed if r["check"] != "null_rate"]
+    if broken:
+        raise ValueError("data contract broken: " + "; ".join(broken))
+    for r in failed:
+        log.warning("column %s is NULL in %.1f %% of rows", r["column"], 100 * r["value"])
+    return df
+
+
 def profile_summary(df: DataFrame, target: str) -> DataFrame:
     """rows, columns, events, event rate, total NULL cells (one aggregation)."""
     nulls = sum((F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns), F.lit(0))
@@ -244,8 +259,8 @@ def select_features(df: DataFrame, id_col: str, target: str, keep: Sequence[str]
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
-# FIXED VALUES: feature groups of the card-statement features, by name
-# fragments (a feature can be in several groups)
+# FIXED VALUES: feature groups of the three borrower shapes: name fragments,
+# then whole names (a feature can be in several groups)
 FEATURE_GROUPS = (
     ("Utilization", ("UTIL",), ()),
     ("Payment", ("PAY_RATIO", "MONTHS_PAID", "TOTAL_PAY"), ()),
@@ -255,17 +270,40 @@ FEATURE_GROUPS = (
     ("Interaction", ("STRESS", "X_", "LIMIT_TO"), ()),
     ("Raw", (), ("LIMIT_BAL", "AGE", "SEX", "EDUCATION", "MARRIAGE", "PAY_3", "PAY_4", "PAY_5", "PAY_6")),
 )
+BORROWER_GROUPS = (
+    ("Delinquency", ("DELINQUENT", "DELINQUENCY", "LATE"), ()),
+    ("Debt Burden", ("DEBT", "INCOME", "RESIDUAL"), ()),
+    ("Credit Lines", ("CREDIT", "UTIL", "LIMIT"), ()),
+    ("Life Stage", ("AGE", "DEPENDENT", "YOUNG", "SENIOR"), ()),
+    ("Interaction", ("STRESS", "X_"), ()),
+    ("Raw", (), ("RevolvingUtilizationOfUnsecuredLines", "age", "DebtRatio", "MonthlyIncome",
+                 "NumberOfOpenCreditLinesAndLoans", "NumberRealEstateLoansOrLines", "NumberOfDependents")),
+)
+APPLICATION_GROUPS = (
+    ("Credit Ratios", ("RATIO", "CREDIT_TO"), ()),
+    ("Age/Employment", ("AGE", "EMPLOY", "YOUNG", "SENIOR"), ()),
+    ("External Scores", ("EXT_SOURCE",), ()),
+    ("Enquiries", ("ENQUIR",), ()),
+    ("Interaction", ("STRESS", "X_"), ()),
+    ("Raw", (), ("AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "DAYS_BIRTH", "DAYS_EMPLOYED", "CNT_FAM_MEMBERS")),
+)
 
 
-def feature_groups(features: DataFrame, name_col: str = "feature") -> DataFrame:
-    """(group, feature) rows from a catalog table of feature names."""
-    f = F.upper(F.col(name_col))
+def feature_groups(features: DataFrame, groups=FEATURE_GROUPS, name_col: str = "feature", any_case: bool = True) -> DataFrame:
+    """(group, feature) rows from a catalog table of feature names. ``any_case``
+    compares upper-cased names; the other two shapes mix cases on purpose."""
+    f = F.upper(F.col(name_col)) if any_case else F.col(name_col)
     arms = []
-    for g, frags, exact in FEATURE_GROUPS:
-        cond: Column = F.lit(False)
-        for fr in frags:
-            cond = cond | f.contains(fr)
-        if exact:
-            cond = cond | f.isin(*exact)
-        arms.append(F.when(cond, F.lit(g)))
+    for g, fragments, names in groups:
+        hit = F.lit(False) if not names else f.isin(*names)
+        for part in fragments:
+            hit = hit | f.contains(part)
+        arms.append(F.when(hit, F.lit(g)))
     return features.select(F.explode(F.array_compact(F.array(*arms))).alias("group"), F.col(name_col).alias("feature"))
+
+
+def present_features(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``(feature)``: the named columns with at least one value (one aggregation)."""
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(names)])
+    found = F.array(*[F.when(F.col(f"n{i}") > 0, F.lit(c)) for i, c in enumerate(names)])
+    return counts.select(F.explode(F.array_compact(found)).alias("feature"))

@@ -89,68 +89,56 @@ def _bits(m: np.ndarray, d: int) -> np.ndarray:
 
 def _shap_tree_pairs(tree: dict, x: np.ndarray, bg: np.ndarray, d: int, fact: np.ndarray) -> np.ndarray:
     """Single-reference values summed over backgrounds, for all rows of ``x`` at
-    once: the walk carries (row, background) pairs instead of one row."""
+    once: the walk carries (row, background) pairs instead of one row.
+
+    A mask has one bit per distinct feature on the path from the root (``path``),
+    so the number of features is not limited: Spark's trees are at most 30 deep."""
     nx, nb = len(x), len(bg)
     phi = np.zeros((nx, d))
-    rows0 = np.repeat(np.arange(nx), nb)
-    bgs0 = np.tile(np.arange(nb), nx)
     z = np.zeros(nx * nb, dtype=np.uint64)
-    stack = [(0, rows0, bgs0, z, z.copy())]
-    left, right, feat, thr, val = tree["left"], tree["right"], tree["feat"], tree["thr"], tree["val"]
+    stack = [(0, (), np.repeat(np.arange(nx), nb), np.tile(np.arange(nb), nx), z, z.copy())]
     while stack:
-        node, ri, bi, ma, mb = stack.pop()
+        node, path, ri, bi, ma, mb = stack.pop()
         if len(ri) == 0:
             continue
-        if left[node] < 0:
-            ba, bb = _bits(ma, d), _bits(mb, d)
-            a = ba.sum(axis=1).astype(np.int64)
-            b = bb.sum(axis=1).astype(np.int64)
-            s = a + b
-            has = s > 0
-            if not has.any():
-                continue
-            a, b, s = a[has], b[has], s[has]
-            v = val[node]
-            wa = np.where(a > 0, fact[np.maximum(a - 1, 0)] * fact[b] / fact[s], 0.0) * v
-            wb = np.where(b > 0, fact[a] * fact[np.maximum(b - 1, 0)] / fact[s], 0.0) * v
-            np.add.at(phi, ri[has], wa[:, None] * ba[has] - wb[:, None] * bb[has])
+        if tree["left"][node] < 0:
+            _add_leaf(phi, tree["val"][node], path, ri, _bits(ma, len(path)), _bits(mb, len(path)), fact)
             continue
-        f = feat[node]
-        t = thr[node]
-        xl = x[ri, f] <= t
-        rl = bg[bi, f] <= t
-        same = xl == rl
-        bit = np.uint64(1) << np.uint64(f)
-        # same direction: follow it, no feature involved
-        for go_left in (True, False):
-            m = same & (xl == go_left)
-            if m.any():
-                stack.append((left[node] if go_left else right[node], ri[m], bi[m], ma[m], mb[m]))
-        diff = ~same
-        if diff.any():
-            r2, b2, a2, c2, x2 = ri[diff], bi[diff], ma[diff], mb[diff], xl[diff]
-            okx = (c2 & bit) == 0  # x side: f joins A unless it is already in B
-            for go_left in (True, False):
-                m = okx & (x2 == go_left)
-                if m.any():
-                    stack.append((left[node] if go_left else right[node], r2[m], b2[m], a2[m] | bit, c2[m]))
-            okr = (a2 & bit) == 0  # reference side: f joins B unless it is already in A
-            for go_left in (True, False):
-                m = okr & (x2 != go_left)
-                if m.any():
-                    stack.append((left[node] if go_left else right[node], r2[m], b2[m], a2[m], c2[m] | bit))
+        f = int(tree["feat"][node])
+        if f not in path:
+            path = (*path, f)
+        bit = np.uint64(1 << path.index(f))
+        none = np.uint64(0)
+        xl, rl = x[ri, f] <= tree["thr"][node], bg[bi, f] <= tree["thr"][node]
+        part = xl != rl
+        for go_left, child in ((True, tree["left"][node]), (False, tree["right"][node])):
+            # both go this way: no feature is involved
+            # only the row goes this way: the feature joins A unless it is in B; only the reference: B unless in A
+            together = ~part & (xl == go_left)
+            row_only = part & (xl == go_left) & ((mb & bit) == 0)
+            ref_only = part & (rl == go_left) & ((ma & bit) == 0)
+            for take, in_a, in_b in ((together, none, none), (row_only, bit, none), (ref_only, none, bit)):
+                stack.append((child, path, ri[take], bi[take], ma[take] | in_a, mb[take] | in_b))
     return phi
 
 
+def _add_leaf(phi, value, path, rows, in_a, in_b, fact) -> None:
+    """Add a leaf's share to the features of ``path`` that its pairs had to have in or out."""
+    a, b = in_a.sum(axis=1).astype(np.int64), in_b.sum(axis=1).astype(np.int64)
+    total = fact[a + b]
+    gain = np.where(a > 0, fact[np.maximum(a - 1, 0)] * fact[b] / total, 0.0) * value
+    loss = np.where(b > 0, fact[a] * fact[np.maximum(b - 1, 0)] / total, 0.0) * value
+    np.add.at(phi, (rows[:, None], np.array(path, dtype=np.int64)[None, :]), gain[:, None] * in_a - loss[:, None] * in_b)
+
+
 ROW_CHUNK = 256
+MAX_DEPTH = 30  # of a Spark tree
 
 
 def shap_values(trees: list[dict], x: np.ndarray, bg: np.ndarray) -> np.ndarray:
     """Interventional values (rows x d) on the margin scale."""
     d = x.shape[1]
-    if d > 63:
-        raise ValueError("tree attribution supports at most 63 features")
-    fact = np.array([math.factorial(k) for k in range(d + 2)], dtype=float)
+    fact = np.array([math.factorial(k) for k in range(MAX_DEPTH + 2)], dtype=float)
     out = np.zeros((len(x), d))
     for lo in range(0, len(x), ROW_CHUNK):
         xs = x[lo : lo + ROW_CHUNK]

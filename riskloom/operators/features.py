@@ -8,6 +8,7 @@ newest first); names can be overridden through :class:`StatementCols`.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -38,6 +39,15 @@ class StatementCols:
 
 
 S = StatementCols()
+# the same columns under the canonical names of the cleaned table
+CANONICAL = StatementCols(
+    limit="LIMIT_BAL",
+    bill=tuple(f"BILL_AMT{k}" for k in range(1, 7)),
+    paid=tuple(f"PAY_AMT{k}" for k in range(1, 7)),
+    status=tuple(f"PAY_{k}" for k in range(1, 7)),
+    age="AGE",
+    excluded_status=("PAY_1", "PAY_2"),
+)
 
 
 # ---------------------------------------------------------------- statements
@@ -336,37 +346,80 @@ def application_features(df: DataFrame) -> DataFrame:
     return df
 
 
-class StatementPipeline:
-    """Card-statement feature pipeline: ordered stages, fitted state from train.
+class FeaturePipeline:
+    """Feature stages of one borrower shape with state fitted on the training rows.
 
-    ``fit`` builds the features on the training rows and stores the
-    medians used to fill NULL/inf (one distributed median pass);
-    ``transform`` applies the same stages and the stored medians to any
-    split. State is a small dict, applied as literals (no shuffle).
+    ``fit`` builds the features, keeps what the stages need from train (if
+    anything) and the medians that fill NULL/inf; ``transform`` applies the
+    same stages and the stored state to any split. The state is a small dict
+    of literals: no shuffle. ``others`` (audit groups, segments) are no features.
     """
 
-    KEEP = ("id", "y")
-    DROP = ("seg", "nationkey")
-
-    def __init__(self, s: StatementCols = S):
-        self.s = s
+    def __init__(self, key: str, label: str, others: Sequence[str] = ()):
+        self.key, self.label, self.others = key, label, tuple(others)
         self.imputer = None
         self.features: list[str] = []
 
+    def _learn(self, train: DataFrame) -> None:
+        """State of the stages beyond the medians."""
+
     def _build(self, df: DataFrame) -> DataFrame:
-        return statement_features(df, self.s)
+        raise NotImplementedError
 
-    def fit(self, train: DataFrame) -> "StatementPipeline":
+    def fit(self, train: DataFrame) -> "FeaturePipeline":
         from riskloom.operators.cleaning import InfMedianImputer
 
+        self._learn(train)
         f = self._build(train)
-        self.features = [c for c in f.columns if c not in self.KEEP + self.DROP]
+        self.features = [c for c in f.columns if c not in (self.key, self.label, *self.others)]
         self.imputer = InfMedianImputer.fit(f, self.features)
         return self
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+        """Key, label, ``extra`` columns and the filled features."""
         if self.imputer is None:
             raise RuntimeError("pipeline is not fitted")
         f = self._build(df)
-        keep = [c for c in self.KEEP if c in f.columns]
-        return self.imputer.transform(f, self.features).select(*keep, *self.features)
+        keep = [c for c in (self.key, self.label) if c in f.columns]
+        return self.imputer.transform(f, self.features).select(*keep, *extra, *[F.col(f"`{c}`") for c in self.features])
+
+
+class StatementPipeline(FeaturePipeline):
+    """Card statements."""
+
+    def __init__(self, s: StatementCols = S, key: str = "id", label: str = "y", others: Sequence[str] = ("seg", "nationkey")):
+        super().__init__(key, label, others)
+        self.s = s
+
+    def _build(self, df: DataFrame) -> DataFrame:
+        return statement_features(df, self.s)
+
+
+class BorrowerPipeline(FeaturePipeline):
+    """Borrower table; the largest weighted delinquency of train scales the stress index."""
+
+    max_weighted: float | None = None
+
+    def _learn(self, train: DataFrame) -> None:
+        self.max_weighted = fit_gmc_stress(train)
+
+    def _build(self, df: DataFrame) -> DataFrame:
+        return borrower_features(df, self.max_weighted)
+
+
+class ApplicationPipeline(FeaturePipeline):
+    """Loan applications."""
+
+    def _build(self, df: DataFrame) -> DataFrame:
+        return application_features(df)
+
+
+def pipeline_for(name: str) -> FeaturePipeline:
+    """The unfitted pipeline of a registered dataset, over its cleaned columns."""
+    if name == "uci":
+        return StatementPipeline(CANONICAL, "ID", "default_payment_next_month", ())
+    if name == "gmc":
+        return BorrowerPipeline("ID", "SeriousDlqin2yrs")
+    if name == "homecredit":
+        return ApplicationPipeline("ID", "TARGET", ("CODE_GENDER",))
+    raise ValueError(f"Unknown dataset {name!r}")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import constants as K
@@ -80,7 +80,9 @@ def bias_audit(
     Group columns are unpivoted into (group_col, group_val) so every
     subgroup AUC comes from one grouped cumulative pass.
     """
-    group_cols = [c for c in group_cols if c in df.columns]
+    unknown = [c for c in group_cols if c not in df.columns]
+    if unknown:
+        raise ValueError(f"no such group columns: {unknown}")
     # two grouped passes read the same three or four columns: write them once
     df = materialize(df.select(score, label, *group_cols), "bias-input")
     overall_t = cumulative_table(df, score, label, [])
@@ -156,6 +158,50 @@ def psi_status_counts(report: DataFrame) -> DataFrame:
     )
 
 
+def kpi_summary(metrics: DataFrame, psi: DataFrame, stability: DataFrame, bias: DataFrame) -> DataFrame:
+    """One row of headline KPIs with their pass rules.
+
+    ``metrics`` has one row per split (test, oot) of the governed model; the
+    other inputs are its PSI report, Gini per period and bias audit. All are
+    reports of a few rows; each becomes one row and those are put side by side.
+    """
+    def of(split: str, metric: str) -> Column:
+        return F.max(F.when(F.col("split") == split, F.col(metric)))
+
+    one = metrics.agg(of("test", "auc").alias("auc_test"), of("test", "ks").alias("ks_test"), of("oot", "auc").alias("auc_oot"))
+    rows = [
+        one,
+        psi.agg(F.max("psi").alias("max_psi")),
+        stability.agg(F.min("gini").alias("min_gini")),
+        bias.agg(F.max(F.abs("auc_delta")).alias("max_bias")),
+    ]
+    # one row each: an equi-join on a constant, never more than one row a side
+    out = rows[0].withColumn("_k", F.lit(1))
+    for r in rows[1:]:
+        out = out.join(r.withColumn("_k", F.lit(1)), "_k")
+    out = out.withColumns({"gini_test": 2 * F.col("auc_test") - 1, "auc_delta": F.col("auc_oot") - F.col("auc_test")})
+    return out.select(
+        "auc_test", "gini_test", "ks_test", "auc_oot", "auc_delta", "max_psi", "min_gini", "max_bias",
+        (F.col("auc_test") > 0.75).alias("auc_ok"),
+        (F.col("gini_test") > 0.5).alias("gini_ok"),
+        (F.col("ks_test") > 0.3).alias("ks_ok"),
+        (F.abs("auc_delta") < 0.03).alias("oot_ok"),
+        (F.col("max_psi") < K.PSI_STABLE).alias("psi_ok"),
+        (F.col("min_gini") >= K.MIN_ACCEPTABLE_GINI).alias("min_gini_ok"),
+        (F.col("max_bias") < K.BIAS_AUC_DELTA_FLAG).alias("bias_ok"),
+    )
+
+
+# What a deployed model is watched for, and how often.
+MONITORING_PLAN = {
+    "score_psi": f"monthly, model review above {K.PSI_MODERATE}",
+    "feature_psi": f"monthly, top features above {K.PSI_STABLE}",
+    "gini": f"quarterly, alert when it falls by more than {K.GINI_DEGRADATION_ALERT} from the baseline",
+    "bias_audit": "every six months, gaps between subgroups",
+    "rebuild": f"Gini below {K.MIN_ACCEPTABLE_GINI} or a large shift of the score",
+}
+
+
 # ------------------------------------------------------------------ model card
 def model_card(
     spark,
@@ -168,22 +214,29 @@ def model_card(
     psi_score: float | None,
     top_features: DataFrame,
     limitations: list[str],
+    architecture: dict[str, str],
+    cross_validation: dict,
 ) -> DataFrame:
-    """One-row nested document: overview, data, performance, stability,
-    fairness, monitoring, top features, limitations.
+    """One-row nested document: overview, data, architecture, performance,
+    cross-validation, stability, fairness (with the audit rows), monitoring and
+    its plan, top features, limitations.
 
     Inputs are Spark results; the scalars that enter the card are small
     aggregates (min/max of a per-period table, max |delta|, top-n list).
     """
-    st = stability.agg(F.min("gini").alias("mn"), F.max("gini").alias("mx")).collect()[0]
-    mx_bias = bias.where(F.col("group_col") != "OVERALL").agg(F.max(F.abs("auc_delta")).alias("m")).collect()[0]["m"]
+    st = stability.agg(F.min("gini").alias("mn"), F.max("gini").alias("mx"), F.count(F.lit(1)).alias("n")).collect()[0]
+    audit = bias.select("group_col", "group_val", "n", "auc", "gini", "event_rate", "auc_delta").collect()
+    mx_bias = max((abs(r["auc_delta"]) for r in audit if r["group_col"] != "OVERALL"), default=None)
     feats = [(r[0], float(r[1])) for r in top_features.collect()]
     min_gini = st["mn"]
     row = {
         "overview": {"model_name": name, "version": version},
         "data": {k: (None if v is None else float(v)) for k, v in data.items()},
+        "architecture": architecture,
         "performance": {k: (None if v is None else float(v)) for k, v in performance.items()},
+        "cross_validation": {k: float(v) for k, v in cross_validation.items()},
         "stability": {
+            "periods": int(st["n"]),
             "min_gini": None if min_gini is None else float(min_gini),
             "max_gini": None if st["mx"] is None else float(st["mx"]),
             "status": "STABLE" if (min_gini is not None and min_gini >= K.MIN_ACCEPTABLE_GINI) else "DEGRADED",
@@ -192,21 +245,29 @@ def model_card(
             "max_abs_auc_delta": None if mx_bias is None else float(mx_bias),
             "status": "PASS" if (mx_bias is not None and mx_bias <= K.BIAS_AUC_DELTA_FLAG) else "REVIEW",
         },
+        "groups_tested": sorted({r["group_col"] for r in audit} - {"OVERALL"}),
+        "fairness_details": [r.asDict() for r in audit],
         "monitoring": {
             "score_psi": psi_score,
             "psi_stable_below": K.PSI_STABLE,
             "psi_review_above": K.PSI_MODERATE,
         },
+        "monitoring_plan": MONITORING_PLAN,
         "top_features": [{"feature": f, "importance": v} for f, v in feats],
         "limitations": list(limitations),
     }
     schema = (
         "overview struct<model_name:string,version:string>, "
         f"data struct<{','.join(f'{k}:double' for k in data)}>, "
+        f"architecture struct<{','.join(f'{k}:string' for k in architecture)}>, "
         f"performance struct<{','.join(f'{k}:double' for k in performance)}>, "
-        "stability struct<min_gini:double,max_gini:double,status:string>, "
+        f"cross_validation struct<{','.join(f'{k}:double' for k in cross_validation)}>, "
+        "stability struct<periods:long,min_gini:double,max_gini:double,status:string>, "
         "fairness struct<max_abs_auc_delta:double,status:string>, "
+        "groups_tested array<string>, fairness_details array<struct<group_col:string,group_val:string,n:long,"
+        "auc:double,gini:double,event_rate:double,auc_delta:double>>, "
         "monitoring struct<score_psi:double,psi_stable_below:double,psi_review_above:double>, "
+        f"monitoring_plan struct<{','.join(f'{k}:string' for k in MONITORING_PLAN)}>, "
         "top_features array<struct<feature:string,importance:double>>, limitations array<string>"
     )
     return spark.createDataFrame([row], schema)

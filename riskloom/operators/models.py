@@ -39,7 +39,7 @@ def class_weight(df: DataFrame, label: str, preset: str) -> Column:
     return F.when(F.col(label) == 1, F.lit(n / (2.0 * p))).otherwise(F.lit(n / (2.0 * (n - p))))
 
 
-def gbt(preset: str = "xgboost", n_trees: int = 50, seed: int = K.SEED, validation_col: str | None = None) -> GBTClassifier:
+def gbt(preset: str = "xgboost", n_trees: int = K.GBT_TREES, seed: int = K.SEED, validation_col: str | None = None) -> GBTClassifier:
     if preset not in PRESETS:
         raise ValueError(f"preset must be one of {PRESETS}")
     kw = dict(
@@ -67,8 +67,8 @@ def _prep(df: DataFrame, features: Sequence[str], label: str, preset: str) -> Da
 
 
 def fit_gbt(
-    df: DataFrame, features: Sequence[str], label: str = "y", preset: str = "xgboost", n_trees: int = 50,
-    validation_col: str | None = None,
+    df: DataFrame, features: Sequence[str], label: str = "y", preset: str = "xgboost",
+    n_trees: int = K.GBT_TREES, validation_col: str | None = None,
 ):
     """Fit one boosted-tree model; ``validation_col`` (bool) enables early stopping."""
     return gbt(preset, n_trees, validation_col=validation_col).fit(_prep(df, features, label, preset))
@@ -104,7 +104,7 @@ class PlattEnsemble:
 
 def platt_calibrate(
     df: DataFrame, features: Sequence[str], label: str = "y", key: str = "id", preset: str = "xgboost",
-    n_trees: int = 30, folds: int = 3,
+    n_trees: int = K.GBT_TREES, folds: int = 3,
 ) -> PlattEnsemble:
     """Sigmoid calibration with ``folds`` splits: fit on k-1 folds, calibrate the
     margin on the held-out fold with a 1-feature unregularised logistic model."""
@@ -132,7 +132,7 @@ def predict_pd(model, df: DataFrame, features: Sequence[str], out: str = "pd_raw
 
 def gbt_cv(
     df: DataFrame, features: Sequence[str], label: str = "y", key: str = "id", preset: str = "xgboost",
-    k: int = K.CV_FOLDS, n_trees: int = 30,
+    k: int = K.CV_FOLDS, n_trees: int = K.GBT_TREES,
 ) -> DataFrame:
     """k-fold CV: one metrics row per fold plus an out-of-fold row (fold = -1)."""
     f = stratified_kfold(df, key, label, k).withColumn("label", F.col(label).cast("double"))

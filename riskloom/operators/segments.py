@@ -180,15 +180,31 @@ def kmeans_segments(
     return m, sm, cost
 
 
-def assign_segments(model, scaler, df: DataFrame, features: Sequence[str], pd_col: str = "pd_score") -> DataFrame:
-    """New rows -> cluster (nearest centroid), PD tier."""
+def assign_segments(
+    model, scaler, df: DataFrame, features: Sequence[str], pd_col: str = "pd_score", names: dict[int, str] | None = None
+) -> DataFrame:
+    """New rows -> cluster (nearest centroid), PD tier and, with the fitted ``names``
+    (:func:`segment_names`), the segment name (``Unknown`` for a cluster without one).
+    The features themselves keep their values."""
     from riskloom.operators.models import assemble
 
-    v = assemble(scaler.transform(df), features)
-    out = model.transform(v).drop("features")
+    raw = [f"_raw_{f}" for f in features]
+    v = scaler.transform(df.withColumns({r: F.col(f) for r, f in zip(raw, features)}))
+    out = model.transform(assemble(v, features)).drop("features")
+    out = out.withColumns({f: F.col(r) for r, f in zip(raw, features)}).drop(*raw)
+    if names is not None:
+        segment = F.lit(K.UNKNOWN_TIER)
+        for cluster, name in names.items():
+            segment = F.when(F.col("cluster") == cluster, name).otherwise(segment)
+        out = out.withColumn("segment", segment)
     return out.withColumn("risk_tier", tier_expr(pd_col))
 
 
+def segment_names(df: DataFrame, cluster_col: str = "cluster", pd_col: str = "pd_score") -> dict[int, str]:
+    """Cluster -> name of fitted segments (one row per cluster reaches the driver)."""
+    return {r[cluster_col]: r["segment"] for r in segment_labels(df, cluster_col, pd_col).collect()}
+
+
 def nearest_centroid(df: DataFrame, features: Sequence[str], centroids: list[list[float]], out: str = "cluster") -> Column:
     """argmin squared distance to fixed centroids (first index on ties), as one expression."""
     d = [
@@ -213,8 +229,11 @@ def silhouette(model_df: DataFrame, features_col: str = "features", cluster_col:
     return float(ev.evaluate(model_df))
 
 
-def elbow(df: DataFrame, features: Sequence[str], ks: Sequence[int] = range(2, 9), seed: int = 42) -> list[tuple]:
-    """(k, inertia, silhouette) for each k."""
+def elbow(
+    df: DataFrame, features: Sequence[str], ks: Sequence[int] = range(2, 9), restarts: int = 10, max_iter: int = 300,
+    seed: int = 42,
+) -> list[tuple]:
+    """(k, inertia, silhouette) of the best of ``restarts`` starts for each k."""
     from pyspark.ml.clustering import KMeans
 
     from riskloom.session import run_parallel
@@ -222,11 +241,14 @@ def elbow(df: DataFrame, features: Sequence[str], ks: Sequence[int] = range(2, 9
     v, _ = _std_vectors(df, features)
     v = v.select("features").persist()
     try:
-        def one(k):
-            m = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(v)
-            return (int(k), float(m.summary.trainingCost), silhouette(m.transform(v)))
+        def fit(k, r):
+            m = KMeans(k=k, maxIter=max_iter, seed=seed + r, featuresCol="features", predictionCol="cluster").fit(v)
+            return float(m.summary.trainingCost), m
 
-        return run_parallel([lambda k=k: one(k) for k in ks])
+        ks = [int(k) for k in ks]
+        fits = run_parallel([lambda k=k, r=r: (k, *fit(k, r)) for k in ks for r in range(restarts)])
+        best = {k: min((f for f in fits if f[0] == k), key=lambda f: f[1]) for k in ks}
+        return run_parallel([lambda b=best[k]: (b[0], b[1], silhouette(b[2].transform(v))) for k in ks])
     finally:
         v.unpersist()
 

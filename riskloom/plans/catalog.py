@@ -27,7 +27,7 @@ class Query:
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         df = self.build(spark, sf_dir)
         if self.doubles:
-            df = df.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in self.doubles})
+            df = df.withColumns({c: F.round(F.col(f"`{c}`").cast("double"), 6) for c in self.doubles})
         return df
 
     def oracle(self) -> str | None:
@@ -51,6 +51,7 @@ def load_all() -> dict[str, Query]:
     # import side effect: each module registers its queries
     from riskloom.plans import (  # noqa: F401
         q_cleaning,
+        q_datasets,
         q_features,
         q_governance,
         q_metrics,
@@ -61,6 +62,7 @@ def load_all() -> dict[str, Query]:
         q_selection,
         q_sources,
         q_splits,
+        q_workflow,
     )
 
     return REGISTRY

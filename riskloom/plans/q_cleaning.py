@@ -218,11 +218,8 @@ def q_select_features(spark, sf):
 def _feature_catalog(spark, sf):
     """Feature names present in the engineered table (columns with at least one value)."""
     df = fe.statement_features(fx.panel(spark, sf))
-    feats = [c for c in df.columns if c not in ("id", "seg", "nationkey", "y")]
-    # one aggregation over the whole table: the columns with any value
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in feats])
-    arr = F.array(*[F.when(F.col(c) > 0, F.lit(c.upper())) for c in feats])
-    return counts.select(F.explode(F.array_compact(arr)).alias("feature"))
+    names = [c for c in df.columns if c not in ("id", "seg", "nationkey", "y")]
+    return C.present_features(df, names).select(F.upper("feature").alias("feature"))
 
 
 def _groups_sql() -> str:

@@ -123,15 +123,16 @@ def q_gini_stability_time(spark, sf):
 
 
 GROUPS = ("seg", "nationkey")
-_LONG_G = " UNION ALL ".join(
-    f"SELECT '{c}' AS group_col, cast({c} AS varchar) AS group_val, pd_score, y FROM scored" for c in GROUPS
-)
-BIAS_SQL = f"""
+
+
+def bias_sql(src: str, score: str, groups) -> str:
+    long = " UNION ALL ".join(f"SELECT '{c}' AS group_col, cast({c} AS varchar) AS group_val, {score} AS s0, y FROM {src}" for c in groups)
+    return f"""
 WITH ov AS (SELECT max(P) + max(N) AS n, {AUC_SQL} AS auc, max(P) / cast(max(P) + max(N) AS double) AS event_rate
-            FROM ({cum_sql('scored', 'pd_score', 'y')}) t),
-lg AS ({_LONG_G}),
+            FROM ({cum_sql(src, score, 'y')}) t),
+lg AS ({long}),
 a AS (SELECT group_col, group_val, max(P) + max(N) AS n, max(P) AS pp, max(N) AS nn, {AUC_SQL} AS auc_raw
-      FROM ({cum_sql('lg', 'pd_score', 'y', ('group_col', 'group_val'))}) t GROUP BY group_col, group_val)
+      FROM ({cum_sql('lg', 's0', 'y', ('group_col', 'group_val'))}) t GROUP BY group_col, group_val)
 SELECT 'OVERALL' AS group_col, 'All' AS group_val, n, auc, 2 * auc - 1 AS gini, event_rate, 0.0::double AS auc_delta FROM ov
 UNION ALL
 SELECT group_col, group_val, n, round(auc_raw, 4), round(2 * auc_raw - 1, 4), round(pp / cast(n AS double), 4),
@@ -139,11 +140,27 @@ SELECT group_col, group_val, n, round(auc_raw, 4), round(2 * auc_raw - 1, 4), ro
 FROM a WHERE n >= {K.BIAS_MIN_GROUP} AND pp > 0 AND nn > 0"""
 
 
+BIAS_SQL = bias_sql("scored", "pd_score", GROUPS)
+
+
 @register("bias_audit", with_fixtures(BIAS_SQL, "scored"), ["auc", "gini", "event_rate", "auc_delta"])
 def q_bias_audit(spark, sf):
     return G.bias_audit(fx.scored(spark, sf), "pd_score", "y", GROUPS)
 
 
+LI_GROUPS = ("ship_year", "part")
+
+
+@register(
+    "bias_audit_lineitem",
+    with_fixtures(bias_sql("li_risk", "l_extendedprice", LI_GROUPS), "li_risk"),
+    ["auc", "gini", "event_rate", "auc_delta"],
+)
+def q_bias_audit_lineitem(spark, sf):
+    """The audit at volume: one nearly unique score per line item."""
+    return G.bias_audit(fx.li_risk(spark, sf), "l_extendedprice", "y", LI_GROUPS)
+
+
 lo, hi = K.BIAS_SHARE_BANDS
 SHARES_SQL = (
     BIAS_SQL.replace("\nSELECT 'OVERALL'", ", ba AS (SELECT 'OVERALL'", 1)
@@ -186,39 +203,44 @@ def q_score_shift(spark, sf):
     return G.score_shift(_scored_parts(spark, sf), "pd_score", "part")
 
 
-KPI_SQL = f"""
-WITH sp AS (SELECT pd_score, y, CASE WHEN rn <= round({K.OOT_FRACTION} * n_y) THEN 'oot'
+KPI_FEATS = ["limit_bal", "bill_amt1", "pay_amt1"]
+KPI_SQL = (
+    f"""
+WITH cut AS (SELECT pd_score, y, {', '.join(KPI_FEATS)}, CASE WHEN rn <= round({K.OOT_FRACTION} * n_y) THEN 'oot'
                     WHEN rn <= round({K.OOT_FRACTION} * n_y) + round({K.TEST_SIZE} * (n_y - round({K.OOT_FRACTION} * n_y))) THEN 'test'
                     ELSE 'train' END AS split
-      FROM (SELECT pd_score, y, row_number() OVER (PARTITION BY y ORDER BY md5(cast(id AS varchar))) AS rn,
+      FROM (SELECT *, row_number() OVER (PARTITION BY y ORDER BY md5(cast(id AS varchar))) AS rn,
                    count(*) OVER (PARTITION BY y) AS n_y FROM scored) r),
+sp AS (SELECT *, CASE split WHEN 'test' THEN 'expected' WHEN 'oot' THEN 'actual' END AS part FROM cut),
 m AS (SELECT split, {AUC_SQL} AS auc,
              greatest(max((P - pos_cum + pos) / cast(P AS double) - (N - neg_cum + neg) / cast(N AS double)), 0.0) AS ks
       FROM ({cum_sql('sp', 'pd_score', 'y', ('split',))}) t GROUP BY split),
 k AS (SELECT max(CASE WHEN split = 'test' THEN auc END) AS auc_test, max(CASE WHEN split = 'test' THEN ks END) AS ks_test,
-             max(CASE WHEN split = 'oot' THEN auc END) AS auc_oot FROM m)
-SELECT auc_test, 2 * auc_test - 1 AS gini_test, ks_test, auc_oot, auc_oot - auc_test AS auc_delta,
+             max(CASE WHEN split = 'oot' THEN auc END) AS auc_oot FROM m),
+{psi_ctes('sp', KPI_FEATS)},
+j AS (SELECT *, (SELECT max(psi) FROM (SELECT round(sum(psi_bin), 5) AS psi FROM psi_t GROUP BY feature) f) AS max_psi,
+             (SELECT min(gini) FROM ({GINI_CHUNK_SQL}) g) AS min_gini,
+             (SELECT max(abs(auc_delta)) FROM ({BIAS_SQL}) b) AS max_bias FROM k)
+SELECT auc_test, 2 * auc_test - 1 AS gini_test, ks_test, auc_oot, auc_oot - auc_test AS auc_delta, max_psi, min_gini, max_bias,
        auc_test > 0.75 AS auc_ok, 2 * auc_test - 1 > 0.5 AS gini_ok, ks_test > 0.3 AS ks_ok,
-       abs(auc_oot - auc_test) < 0.03 AS oot_ok
-FROM k"""
+       abs(auc_oot - auc_test) < 0.03 AS oot_ok, max_psi < {K.PSI_STABLE} AS psi_ok,
+       min_gini >= {K.MIN_ACCEPTABLE_GINI} AS min_gini_ok, max_bias < {K.BIAS_AUC_DELTA_FLAG} AS bias_ok
+FROM j"""
+)
 
 
-@register("kpi_summary", with_fixtures(KPI_SQL, "scored"), ["auc_test", "gini_test", "ks_test", "auc_oot", "auc_delta"])
+@register(
+    "kpi_summary",
+    with_fixtures(KPI_SQL, "scored"),
+    ["auc_test", "gini_test", "ks_test", "auc_oot", "auc_delta", "max_psi", "min_gini", "max_bias"],
+)
 def q_kpi(spark, sf):
     """Headline KPIs with their pass rules (test vs holdout of the scored portfolio)."""
-    s = SP.stratified_split(fx.scored(spark, sf), "id", "y").where(F.col("split").isin("test", "oot"))
-    m = M.evaluate_model(s, "pd_score", "y", ["split"])
-    # two rows -> one: conditional aggregation, no join
-    row = m.agg(
-        F.max(F.when(F.col("split") == "test", F.col("auc"))).alias("auc_test"),
-        F.max(F.when(F.col("split") == "test", F.col("ks"))).alias("ks_test"),
-        F.max(F.when(F.col("split") == "oot", F.col("auc"))).alias("auc_oot"),
-    )
-    row = row.withColumns({"gini_test": 2 * F.col("auc_test") - 1, "auc_delta": F.col("auc_oot") - F.col("auc_test")})
-    return row.select(
-        "auc_test", "gini_test", "ks_test", "auc_oot", "auc_delta",
-        (F.col("auc_test") > 0.75).alias("auc_ok"),
-        (F.col("gini_test") > 0.5).alias("gini_ok"),
-        (F.col("ks_test") > 0.3).alias("ks_ok"),
-        (F.abs("auc_delta") < 0.03).alias("oot_ok"),
+    s = _scored_parts(spark, sf)
+    held = s.where(F.col("split").isin("test", "oot"))
+    return G.kpi_summary(
+        M.evaluate_model(held, "pd_score", "y", ["split"]),
+        B.psi_report(s, KPI_FEATS, "part"),
+        G.gini_stability(s, "pd_score", "y", order_col="id"),
+        G.bias_audit(s, "pd_score", "y", GROUPS),
     )

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskloom.functions import constants as K
 from riskloom.operators import metrics as M
 from riskloom.operators import scorecard as SC
+from riskloom.operators import splits as SP
 from riskloom.plans.catalog import register
 from riskloom.plans.fixture_sql import with_fixtures
 from riskloom.sources import fixtures as fx
@@ -134,18 +136,38 @@ def q_hist(spark, sf):
     return M.score_histogram(s, "score", "y")
 
 
-SQL_BY_SEG = metric_sql("scored", "pd_score", "y", ("seg",), EVAL_SELECT)
+# two scores side by side: the fixture's PD and one of a single statement
+SIMPLE_PD = "round(1 / (1 + exp(1.6 - 0.5 * greatest(pay_3, 0))), 6)"
+_N_OOT = f"round({K.OOT_FRACTION} * n_y)"
+SQL_MODELS = f"""
+WITH cut AS (SELECT *, CASE WHEN rn <= {_N_OOT} THEN 'oot' WHEN rn <= {_N_OOT} + round({K.TEST_SIZE} * (n_y - {_N_OOT})) THEN 'test' END AS split
+  FROM (SELECT *, row_number() OVER (PARTITION BY y ORDER BY md5(cast(id AS varchar))) AS rn,
+               count(*) OVER (PARTITION BY y) AS n_y FROM scored) r),
+ms AS (SELECT 'portfolio' AS model, split, y, pd_score AS p FROM cut WHERE split IS NOT NULL
+       UNION ALL SELECT 'status', split, y, {SIMPLE_PD} FROM cut WHERE split IS NOT NULL)
+""" + metric_sql("ms", "p", "y", ("model", "split"), EVAL_SELECT)
 
 
 @register(
     "model_comparison",
-    with_fixtures(SQL_BY_SEG, "scored"),
+    with_fixtures(SQL_MODELS, "scored"),
     ["event_rate", "auc", "ks", "avg_precision", "brier", "gini"],
 )
 def q_model_comparison(spark, sf):
-    """Metrics grouped by a key (here market segment): the same code path serves
-    (model, split) groups of a long score table."""
-    return M.evaluate_model(fx.scored(spark, sf), "pd_score", "y", keys=["seg"])
+    """Metrics of two scores on the test and the holdout split, in one pass
+    (``workflow_comparison`` does the same for the fitted models)."""
+    s = SP.stratified_split(fx.scored(spark, sf), "id", "y").where(F.col("split") != "train")
+    scores = F.array(
+        F.struct(F.lit("portfolio").alias("model"), F.col("pd_score").alias("p")),
+        F.struct(F.lit("status").alias("model"), F.expr(SIMPLE_PD).alias("p")),
+    )
+    return M.model_comparison(s.select("split", "y", F.explode(scores).alias("m")).select("split", "y", "m.*"), "p", "y")
 
 
-_ = F
+SQL_AUC_LI = f"SELECT {AUC_SQL} AS auc, 2 * {AUC_SQL} - 1 AS gini FROM ({cum_sql('li_risk', 'l_extendedprice', 'y')}) t"
+
+
+@register("auc_gini_lineitem", with_fixtures(SQL_AUC_LI, "li_risk"), ["auc", "gini"])
+def q_auc_lineitem(spark, sf):
+    """AUC at volume: one nearly unique score per line item."""
+    return M.auc_gini(fx.li_risk(spark, sf), "l_extendedprice", "y")

@@ -26,34 +26,13 @@ MODEL_FEATURES = CLUSTER_FEATURES + ["limit_bal", "util_max", "pay_ratio_min", "
 N_TREES = 30
 
 
-_MODEL_TABLES: dict = {}
-
-
 def modelling_table(spark, sf):
     """Engineered, imputed statement features + split column (fit on train).
 
-    Written once per session and input folder to the shared checkpoint
-    folder; every model query reads the same files."""
-    key = (spark.sparkContext.applicationId, sf)
-    path = _MODEL_TABLES.get(key)
-    if path is not None:
-        try:
-            return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - files removed: rebuild
-            _MODEL_TABLES.pop(key, None)
-    t = _build_modelling_table(spark, sf)
-    _MODEL_TABLES[key] = t.inputFiles()[0].rsplit("/", 1)[0] if t.inputFiles() else None
-    return t
-
-
-def _build_modelling_table(spark, sf):
-    p = fx.panel(spark, sf)
-    s = SP.stratified_split(p, "id", "y")
-    train = s.where(F.col("split") == "train").drop("split")
-    pipe = StatementPipeline().fit(train)
-    feats = pipe.transform(p).join(s.select("id", "split"), "id")
-    # several model fits read this table: write it once (lineage cut)
-    return materialize(feats.select("id", "y", "split", *MODEL_FEATURES), "modelling")
+    Written once a query to the shared checkpoint folder: several fits read it."""
+    s = materialize(SP.stratified_split(fx.panel(spark, sf), "id", "y"), "modelling-split")
+    pipe = StatementPipeline(others=("seg", "nationkey", "split")).fit(s.where(F.col("split") == "train"))
+    return materialize(pipe.transform(s, ["split"]).select("id", "y", "split", *MODEL_FEATURES), "modelling")
 
 
 @register("fit_gbt")
@@ -92,10 +71,13 @@ def q_platt(spark, sf):
 
 @register("predict_pd")
 def q_predict_pd(spark, sf):
-    """Raw PD of a fitted GBT for every test row."""
+    """Raw and calibrated PD of every row of every split, from models fitted on train."""
     t = modelling_table(spark, sf)
-    m = MD.fit_gbt(t.where(F.col("split") == "train"), MODEL_FEATURES, "y", "xgboost", N_TREES)
-    return MD.predict_pd(m, t.where(F.col("split") == "test"), MODEL_FEATURES).select("id", "y", "pd_raw")
+    train = t.where(F.col("split") == "train")
+    raw = MD.fit_gbt(train, MODEL_FEATURES, "y", "xgboost", N_TREES)
+    calibrated = MD.platt_calibrate(train, MODEL_FEATURES, "y", "id", "xgboost", N_TREES, folds=3)
+    scored = calibrated.transform(MD.predict_pd(raw, t, MODEL_FEATURES))
+    return scored.select("id", "y", "split", "pd_raw", "pd_score")
 
 
 @register("gbt_cv")

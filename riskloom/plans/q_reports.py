@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from riskloom.operators import binning as B
 from riskloom.operators import governance as G
 from riskloom.operators import metrics as M
-from riskloom.operators import splits as SP
 from riskloom.plans.catalog import register
 from riskloom.plans.fixture_sql import with_fixtures
 from riskloom.plans.q_governance import BIAS_SQL, GROUPS
@@ -24,21 +23,10 @@ LIMITATIONS = [
 
 
 def _card(spark, sf):
-    s = SP.stratified_split(fx.scored(spark, sf), "id", "y")
-    ev = {r["split"]: r for r in M.evaluate_model(s, "pd_score", "y", ["split"]).collect()}
-    data = {f"n_{k}": ev[k]["n"] for k in ("train", "test", "oot")}
-    data["event_rate"] = ev["train"]["event_rate"]
-    perf = {}
-    for k in ("test", "oot"):
-        for m in ("auc", "gini", "ks", "brier"):
-            perf[f"{m}_{k}"] = ev[k][m]
-    stab = G.gini_stability(fx.scored(spark, sf), "pd_score", "y", order_col="id")
-    bias = G.bias_audit(fx.scored(spark, sf), "pd_score", "y", GROUPS)
-    part = s.withColumn("part", F.when(F.col("split") == "test", "expected").when(F.col("split") == "oot", "actual"))
-    psi = G.score_shift(part, "pd_score", "part").collect()[0]["psi"]
-    li = fx.li_risk(spark, sf)
-    iv = B.iv_table(B.woe_table(li, fx.LI_FEATURES, "y"), fx.LI_FEATURES).select("feature", "iv").limit(20)
-    return G.model_card(spark, "pd_scorecard", "1.0.0", data, perf, stab, bias, psi, iv, LIMITATIONS)
+    """Card of the model that the workflow fits."""
+    from riskloom.plans.q_workflow import workflow
+
+    return workflow(spark, sf).card("credit_default_pd", "1.0.0", LIMITATIONS)
 
 
 @register("model_card")

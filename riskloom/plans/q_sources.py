@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.operators import cleaning as C
 from riskloom.operators import features as fe
 from riskloom.operators import segments as sg
 from riskloom.operators import splits as SP
@@ -12,13 +11,16 @@ from riskloom.plans.catalog import register
 from riskloom.plans.fixture_sql import with_fixtures
 from riskloom.plans.q_cleaning import CANON, SQL_RENAME
 from riskloom.plans.q_features import (
-    BAL, INTER, PAY_COLS, RATIO, SQL_BALANCE, SQL_DELINQ, SQL_INTER, SQL_PAYMENT, SQL_UTIL, SQL_VELOCITY, UTIL,
+    BAL, INTER, RATIO, SQL_BALANCE, SQL_DELINQ, SQL_INTER, SQL_PAYMENT, SQL_UTIL, SQL_VELOCITY, UTIL,
     UTIL_COLS, VEL,
 )
 from riskloom.functions import constants as K
 from riskloom.sources import fixtures as fx
 from riskloom.sources import io
 
+# the smallest test tables hold 150 customers; real tables keep the default of 1,000 rows
+FIXTURE_MIN_ROWS = 100
+
 SQL_UCI_CLEAN = (
     "SELECT row_number() OVER (ORDER BY \"Unnamed: 0\") AS ID, "
     + ", ".join(
@@ -35,7 +37,7 @@ SQL_UCI_CLEAN = (
 @register("load_dataset", with_fixtures(SQL_UCI_CLEAN, "uci_raw"), ["LIMIT_BAL"])
 def q_load_dataset(spark, sf):
     """Registry lookup -> raw card-statement table -> cleaning chain."""
-    return io.load_dataset(spark, "uci", sf)
+    return io.load_dataset(spark, "uci", sf, FIXTURE_MIN_ROWS)
 
 
 SQL_SCAN = 'SELECT * EXCLUDE ("Unnamed: 0") FROM uci_raw'
@@ -55,8 +57,8 @@ def q_scan_csv(spark, sf):
 def q_cached_clean(spark, sf):
     """First call cleans and writes the parquet cache; later calls read it."""
     path = io.scratch_path(spark, "uci-clean")
-    io.cached_clean(spark, path, lambda: io.load_dataset(spark, "uci", sf))
-    return io.cached_clean(spark, path, lambda: io.load_dataset(spark, "uci", sf))
+    io.cached_clean(spark, path, lambda: io.load_dataset(spark, "uci", sf, FIXTURE_MIN_ROWS))
+    return io.cached_clean(spark, path, lambda: io.load_dataset(spark, "uci", sf, FIXTURE_MIN_ROWS))
 
 
 SQL_XY = "SELECT * FROM (" + SQL_UCI_CLEAN + ") t"
@@ -64,7 +66,7 @@ SQL_XY = "SELECT * FROM (" + SQL_UCI_CLEAN + ") t"
 
 @register("assemble_xy", with_fixtures(SQL_XY, "uci_raw"), ["LIMIT_BAL"])
 def q_assemble_xy(spark, sf):
-    clean = io.load_dataset(spark, "uci", sf)
+    clean = io.load_dataset(spark, "uci", sf, FIXTURE_MIN_ROWS)
     x = clean.drop("default_payment_next_month")
     y = clean.select("ID", "default_payment_next_month")
     return io.assemble_xy(x, y, "ID")
@@ -78,7 +80,6 @@ FEATS = (
     "months_paid_zero", "total_pay_ratio", "max_delinquency", "total_delinquency_score", "delinquency_trend",
     "chronic_delinquent"] + BAL + VEL + INTER
 )
-_ = PAY_COLS
 
 
 def _pipeline_sql() -> str:
@@ -128,5 +129,3 @@ def q_read_report(spark, sf):
     io.write_report_csv(t, path)
     return missing.unionByName(io.read_report(spark, path, t.schema, "csv"))
 
-
-_ = C

@@ -57,5 +57,5 @@ def round_cols(sql: str, cols: Sequence[str], digits: int = 6) -> str:
     """Wrap a query so the listed double columns are rounded."""
     if not cols:
         return sql
-    rep = ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
+    rep = ", ".join(f'round("{c}", {digits}) AS "{c}"' for c in cols)
     return f"SELECT * REPLACE ({rep}) FROM ({sql}) _q"
