@@ -175,10 +175,11 @@ def kpi_summary(metrics: DataFrame, psi: DataFrame, stability: DataFrame, bias:
         stability.agg(F.min("gini").alias("min_gini")),
         bias.agg(F.max(F.abs("auc_delta")).alias("max_bias")),
     ]
-    # one row each: an equi-join on a constant, never more than one row a side
-    out = rows[0].withColumn("_k", F.lit(1))
+    # one row each, folded into one by an aggregation: no join
+    out = rows[0]
     for r in rows[1:]:
-        out = out.join(r.withColumn("_k", F.lit(1)), "_k")
+        out = out.unionByName(r, allowMissingColumns=True)
+    out = out.agg(*[F.max(c).alias(c) for c in out.columns])
     out = out.withColumns({"gini_test": 2 * F.col("auc_test") - 1, "auc_delta": F.col("auc_oot") - F.col("auc_test")})
     return out.select(
         "auc_test", "gini_test", "ks_test", "auc_oot", "auc_delta", "max_psi", "min_gini", "max_bias",
