@@ -3,7 +3,8 @@
 1. Equal vectors collapse to one class with a multiplicity.
 2. A neighbour graph starts from random-hyperplane cells: vectors of one cell
    (cut into blocks where a cell is large) are compared with each other, over
-   several independent sets of planes.
+   several independent sets of planes: the deeper the cells, the more sets, so
+   that a pair at the threshold shares a cell with a chance of ``recall``.
 3. Rounds of neighbours-of-neighbours joins: the vectors in and around each
    vertex's list (reverse neighbours included, hubs cut into blocks) are
    compared with each other; every vertex keeps its nearest. Every pair seen
@@ -12,13 +13,15 @@
 4. Lists saturated with links are enlarged to their whole component: inside
    every component of links all pairs are compared, in pairs of blocks, so a
    vector's number of links is exact within it and no pair becomes a row.
-5. Audit: the links of ``AUDIT`` vectors (smallest hashes) are counted by brute
-   force against all rows. Below ``recall`` the lists double and new planes
-   and another round are added, up to ``tries`` times.
-
-Cosines are double precision over the stored components. Vectors that are
-null, zero, or hold null or non-finite components link with nothing, and so do
-vectors of another length than the most frequent one. Ties keep the smaller
+5. Audit: vectors are asked by brute force against all rows, in the order of
+   their hashes, until ``AUDIT`` of them have shown a link or all are asked;
+   each counts alike, by the share of its links that was found. Below
+   ``recall`` the lists double and new planes and another round are added, up
+   to ``tries`` times; below it after that, the search raises.
+
+Every vector length is searched on its own. Cosines are double precision over
+the stored components. Vectors that are null, zero, or hold null or non-finite
+components link with nothing. Ties keep the smaller
 number. A null id counts as larger than every id and comes back as null; rows
 that repeat an id are rows of their own that share the smallest id. An empty
 table gives an empty result; extra columns are ignored.
@@ -27,6 +30,7 @@ table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +49,7 @@ CELL = 48
 BLOCK = 256
 HUB = 48
 AUDIT = 256
+ASK = 8192  # vectors of one brute-force pass
 RECALL = 0.99
 TRIES = 4
 
@@ -123,10 +128,19 @@ def _compare(rows: DataFrame, dims: int, k: int, threshold: float) -> DataFrame:
     return _sorted_units(rows).mapInArrow(run, "u long, v long, sim double")
 
 
-def _cells(reps: DataFrame, n: int, dims: int, seed: int) -> DataFrame:
+def _trees(depth: int, threshold: float, recall: float) -> int:
+    """Sets of ``depth`` planes of which one at least holds a pair at the threshold together with a chance of ``recall``."""
+    together = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** depth
+    if together >= 1:
+        return TREES
+    return max(TREES, math.ceil(math.log(1 - min(recall, 0.999)) / math.log1p(-together)))
+
+
+def _cells(reps: DataFrame, n: int, dims: int, seed: int, threshold: float, recall: float) -> DataFrame:
     """Every vector once per set of planes, in a block of its cell."""
     depth = max(0, math.ceil(math.log2(max(n, 1) / CELL)))
-    planes = np.random.default_rng(seed).standard_normal((TREES, depth, dims))
+    trees = _trees(depth, threshold, recall)
+    planes = np.random.default_rng(seed).standard_normal((trees, depth, dims))
 
     def run(batches):
         for batch in batches:
@@ -134,7 +148,7 @@ def _cells(reps: DataFrame, n: int, dims: int, seed: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             x = _units_of(vec.to_pylist(), dims)
-            for t in range(TREES):
+            for t in range(trees):
                 code = (x @ planes[t].T > 0) @ (1 << np.arange(depth, dtype=np.int64)) if depth else np.zeros(len(x), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t), pa.int32()), pa.array(code), rid, vec], ["tree", "cell", "rid", "vec"])
 
@@ -196,11 +210,25 @@ def _count_links(linked: DataFrame, reps: DataFrame, dims: int, threshold: float
 
 
 def audit(reps: DataFrame, counted: DataFrame, dims: int, threshold: float) -> float:
-    """Share of the links of AUDIT vectors, by brute force over all rows, that were found."""
-    asked = reps.orderBy(F.xxhash64("rid"), "rid").limit(AUDIT).select("rid", "vec").collect()
-    if not asked:
-        return 1.0
-    who = reps.sparkSession.sparkContext.broadcast((np.array([r["rid"] for r in asked]), _units_of([bytes(r["vec"]) for r in asked], dims)))
+    """Share of found links, averaged over ``AUDIT`` linked vectors (over all, where there are fewer), by brute force over all rows."""
+    h = F.xxhash64("rid")  # one to one
+    last, size, shares = None, AUDIT, []
+    while len(shares) < AUDIT:
+        rest = reps if last is None else reps.where(h > F.lit(last))
+        asked = rest.select("rid", "vec", h.alias("h")).orderBy("h").limit(size).collect()
+        if not asked:
+            break
+        q = np.array([r["rid"] for r in asked]), _units_of([bytes(r["vec"]) for r in asked], dims)
+        true = _true_links(reps, q, threshold).where(F.col("true") > 0)
+        both = true.join(counted, "rid", "left").select("true", F.coalesce("links", F.lit(0)).alias("found")).collect()
+        shares.extend(min(1.0, r["found"] / r["true"]) for r in both)
+        last, size = asked[-1]["h"], min(2 * size, ASK)
+    return float(np.mean(shares)) if shares else 1.0
+
+
+def _true_links(reps: DataFrame, asked: tuple[np.ndarray, np.ndarray], threshold: float) -> DataFrame:
+    """(rid, true): the links of the asked vectors, from all rows."""
+    who = reps.sparkSession.sparkContext.broadcast(asked)
 
     def run(batches):
         rid, q = who.value
@@ -208,33 +236,22 @@ def audit(reps: DataFrame, counted: DataFrame, dims: int, threshold: float) -> f
         for batch in batches:
             if batch.num_rows:
                 other, mult = column(batch, "rid").to_numpy(), column(batch, "mult").to_numpy()
-                hit = q @ _units_of(column(batch, "vec").to_pylist(), dims).T >= threshold
+                hit = q @ _units_of(column(batch, "vec").to_pylist(), q.shape[1]).T >= threshold
                 total += (hit & (rid[:, None] != other[None, :])) @ mult
-        yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(total)], ["rid", "true"])
+        some = total > 0
+        yield pa.RecordBatch.from_arrays([pa.array(rid[some]), pa.array(total[some])], ["rid", "true"])
 
-    true = reps.select("rid", "vec", "mult").mapInArrow(run, "rid long, true long").groupBy("rid").agg(F.sum("true").alias("true"))
-    both = true.join(counted, "rid", "left").agg(F.sum("true").alias("t"), F.sum(F.coalesce("links", F.lit(0))).alias("f")).first()
-    return 1.0 if not both["t"] else both["f"] / both["t"]
+    return reps.select("rid", "vec", "mult").mapInArrow(run, "rid long, true long").groupBy("rid").agg(F.sum("true").alias("true"))
 
 
-def near_duplicates(
-    vectors: DataFrame, threshold: float = THRESHOLD, k: int = K, rounds: int = 2, recall: float = RECALL, tries: int = TRIES,
-    id_col: str = "vec_id", vec_col: str = "embedding",
-) -> DataFrame:
-    """(id, n_links, component_id, kept) of every row."""
-    spark = vectors.sparkSession
-    prepare(spark)
-    ws = Workspace(spark, "nn-descent")
-    rows = ws.save(_vectors(vectors, id_col, vec_col), "vectors")
-    lengths = rows.where("dims > 0").groupBy("dims").agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("dims")).first()
-    dims = lengths["dims"] if lengths else 1
-    members = rows.withColumn("h1", F.when(F.col("dims") == dims, F.col("h1"))).select("id", "h1", "h2")
+def _search(rows: DataFrame, dims: int, threshold: float, k: int, rounds: int, recall: float, tries: int, ws: Workspace) -> DataFrame:
+    """(h1, h2, n_links, component_id) of the vectors of one length."""
     reps = rows.where(F.col("dims") == dims).groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count("*").alias("mult"), F.first("vec").alias("vec"))
     reps = ws.save(reps.withColumn("rid", F.monotonically_increasing_id()), "classes")
     n = reps.count()
     graph = edges = None
     for attempt in range(tries):
-        seen = ws.save(_compare(_cells(reps, n, dims, seed=101 + attempt), dims, k, threshold), "cells")
+        seen = ws.save(_compare(_cells(reps, n, dims, 101 + attempt, threshold, recall), dims, k, threshold), "cells")
         for step in range(rounds + 1):
             links = seen.where(F.col("sim") >= threshold).select(F.col("u").alias("a"), F.col("v").alias("b"))
             edges = links if edges is None else edges.unionByName(links)
@@ -243,13 +260,31 @@ def near_duplicates(
                 seen = ws.save(_compare(_around(graph, reps), dims, k, threshold), "round")
         linked = ws.save(components(edges, ws), "components")
         counted = ws.save(_count_links(linked, reps, dims, threshold), "links")
-        if audit(reps, counted, dims, threshold) >= recall:
+        reached = audit(reps, counted, dims, threshold)
+        if reached >= recall:
             break
         k *= 2
+    else:
+        raise RuntimeError(f"near_duplicates: {reached:.4f} of the links of {dims}-component vectors found after {tries} tries, {recall} asked; raise k or tries")
     named = reps.join(linked, F.col("rid") == F.col("node"), "left").withColumn("root", F.coalesce("comp", "rid"))
     least = named.groupBy("root").agg(F.min("id").alias("component_id"))
     found = named.join(least, "root").join(counted, "rid", "left")
-    found = found.select("h1", "h2", (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
+    return found.select("h1", "h2", (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
+
+
+def near_duplicates(
+    vectors: DataFrame, threshold: float = THRESHOLD, k: int = K, rounds: int = 2, recall: float = RECALL, tries: int = TRIES,
+    id_col: str = "vec_id", vec_col: str = "embedding",
+) -> DataFrame:
+    """(id, n_links, component_id, kept) of every row."""
+    spark = vectors.sparkSession
+    prepare(spark)
+    ws = Workspace(spark, "nn-descent")
+    rows = ws.save(_vectors(vectors, id_col, vec_col), "vectors")
+    lengths = rows.where("dims > 0").groupBy("dims").agg(F.count("*").alias("n")).where("n > 1").orderBy("dims").collect()
+    members = rows.withColumn("h1", F.when(F.col("dims") > 0, F.col("h1"))).select("id", "h1", "h2")
+    searched = [_search(rows, dims, threshold, k, rounds, recall, tries, ws) for dims in [r["dims"] for r in lengths] or [1]]
+    found = reduce(DataFrame.unionByName, searched)
     out = members.join(found, ["h1", "h2"], "left")
     out = out.withColumn("n_links", F.coalesce("n_links", F.lit(0))).withColumn("component_id", F.coalesce("component_id", "id"))
     return out.select(

@@ -402,3 +402,42 @@ def test_embedding_links(spark):
     assert {r["component_id"] for r in got if r["vec_id"] is not None and 300 <= r["vec_id"] < 360} == {0}
     assert {r["component_id"] for r in got if r["vec_id"] is None} == {7}
     assert nn_descent.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_embedding_links_of_every_length(spark):
+    rng = np.random.default_rng(8)
+    data = []
+    for dims, n in ((16, 30), (15, 10), (3, 2)):
+        x = rng.normal(size=(n, dims))
+        data += [(len(data) + i, v.tolist()) for i, v in enumerate([*x, *(x + 0.001 * rng.normal(size=x.shape))])]
+    links = {}
+    for i, v in data:
+        u = np.array(v) / np.linalg.norm(v)
+        links[i] = sum(j != i and len(w) == len(v) and u @ (np.array(w) / np.linalg.norm(w)) >= 0.95 for j, w in data)
+    got = nn_descent.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<double>")).collect()
+    assert {r["vec_id"]: r["n_links"] for r in got} == links
+    assert min(links.values()) > 0
+
+
+def test_embedding_audit_weighs_vectors_alike_and_asks_until_links_are_seen(spark):
+    rng = np.random.default_rng(9)
+
+    def classes(x):
+        return spark.createDataFrame([(i, 1, bytearray(v.tobytes())) for i, v in enumerate(x)], "rid long, mult long, vec binary")
+
+    pairs = np.repeat(rng.normal(size=(100, 32)), 2, axis=0) + 0.001 * rng.normal(size=(200, 32))
+    hot = rng.normal(size=32) + 0.001 * rng.normal(size=(200, 32))
+    counted = spark.createDataFrame([(200 + i, 199) for i in range(200)], "rid long, links long")  # no pair was found
+    assert 0.3 < nn_descent.audit(classes(np.concatenate([pairs, hot])), counted, 32, 0.95) < 0.7
+    lone = rng.normal(size=(1500, 32))
+    assert nn_descent.audit(classes(np.concatenate([lone, lone[:1] + 0.001])), counted.limit(0), 32, 0.95) == 0
+    assert nn_descent.audit(classes(lone), counted.limit(0), 32, 0.95) == 1
+
+
+def test_embedding_search_widens_with_depth_and_raises_below_its_recall(spark, monkeypatch):
+    for depth in (4, 8, 14, 21):
+        together = (1 - np.arccos(0.95) / np.pi) ** depth
+        assert 1 - (1 - together) ** nn_descent._trees(depth, 0.95, 0.99) >= 0.99
+    monkeypatch.setattr(nn_descent, "audit", lambda *_: 0.5)
+    with pytest.raises(RuntimeError, match="0.5000"):
+        nn_descent.near_duplicates(spark.createDataFrame([(1, [1.0, 2.0]), (2, [2.0, 1.0])], "vec_id long, embedding array<double>"), tries=1)
