@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import NO_ID, Workspace, column, id_or_null, ids, prepare, text_bytes
 from riskloom.llm.jaccard_join import row_slices
-from riskloom.llm.words import chain, mix, words
+from riskloom.llm.words import chain, words
 
 MIN_WORDS = 50
 WINDOW = 16
@@ -76,18 +76,17 @@ def _suffixes(batch: pa.RecordBatch, head: int):
 
 def _contexts(h: np.ndarray, at: np.ndarray, rows, places, head: int) -> tuple[np.ndarray, np.ndarray]:
     """WINDOW words after the head and WINDOW words before it (nearest first); beyond the text nothing matches."""
-    low = (h & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    low = np.maximum((h & np.uint64(0xFFFFFFFF)).astype(np.uint32), np.uint32(1))  # 0: beyond the text
     steps = np.arange(WINDOW)
-    odd = (mix(h[places] ^ places.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32)[:, None]
     r, l = places[:, None] + head + steps, places[:, None] - 1 - steps
-    right = np.where(r < at[rows + 1][:, None], low[np.minimum(r, len(h) - 1)], odd + np.uint32(1))
-    left = np.where(l >= at[rows][:, None], low[np.maximum(l, 0)], odd + np.uint32(2))
+    right = np.where(r < at[rows + 1][:, None], low[np.minimum(r, len(h) - 1)], np.uint32(0))
+    left = np.where(l >= at[rows][:, None], low[np.maximum(l, 0)], np.uint32(0))
     return right.astype(">u4"), left.astype(">u4")
 
 
 def _same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Leading equal words of two context tables, row by row."""
-    differ = a != b
+    """Leading equal words of two context tables, row by row, up to the end of either text."""
+    differ = (a != b) | (a == 0)
     return np.where(differ.any(axis=1), differ.argmax(axis=1), a.shape[1])
 
 

@@ -441,3 +441,35 @@ def test_embedding_search_widens_with_depth_and_raises_below_its_recall(spark, m
     monkeypatch.setattr(nn_descent, "audit", lambda *_: 0.5)
     with pytest.raises(RuntimeError, match="0.5000"):
         nn_descent.near_duplicates(spark.createDataFrame([(1, [1.0, 2.0]), (2, [2.0, 1.0])], "vec_id long, embedding array<double>"), tries=1)
+
+
+def passages(data):
+    """Repeated passages of 50 words by brute force."""
+    owner, texts = defaultdict(set), defaultdict(list)
+    for i, t in data:
+        w = tokens(t)
+        texts[i].append(w)
+        for s in range(len(w) - 49):
+            owner[tuple(w[s : s + 50])].add(i)
+    want = set()
+    for i, many in texts.items():
+        hit = sorted({s for w in many for s in range(len(w) - 49) if len(owner[tuple(w[s : s + 50])]) > 1})
+        while hit:
+            a = b = hit.pop(0)
+            while hit and hit[0] <= b + 50:
+                b = hit.pop(0)
+            want.add((i, a, b + 50, b + 50 - a))
+    return want
+
+
+def test_repeated_passages_end_with_their_texts(spark):
+    opening, copy = sentence(31, 42), sentence(32, 80)
+    data = [(i, opening + " " + sentence(40 + i, 60)) for i in range(6)] + [(i, copy) for i in (10, 11)] + [(12, sentence(33, 60) + " " + opening)]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "1")  # every text is the first of its slice
+    try:
+        got = repeats.repeated_passages(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set(key, was)
+    assert {tuple(r) for r in got} == passages(data) == {(10, 0, 80, 80), (11, 0, 80, 80)}
