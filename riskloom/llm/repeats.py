@@ -10,20 +10,20 @@ lie inside both.
    heads that only one id holds are dropped after a count with map-side sums.
 2. The documents that hold shared heads are read again: every shared suffix
    gets WINDOW words to its right (after the head) and to its left.
-3. The suffixes are range-partitioned and sorted by (head, right, left, id),
-   and again by (head, left, right, id), and each is compared with its nearest
-   neighbours of another id on both sides: matching words right and left extend the match. Range borders can
-   fall inside a head, so a passage that a third of all documents hold is
-   spread; the outermost suffixes of every partition are compared once more
-   with those of the next.
-4. Matches of MIN_WORDS words or more become spans; the selected positions of
-   a passage are at most WINDOW apart, so their spans overlap and their union
-   is the whole passage. Spans of a document are merged.
-
-A neighbour in either order shares the longest part on that side. A passage of
-MIN_WORDS + WINDOW - 1 words or more is always found; a shorter one can be
-missed only where other texts share more of its right part and others more of
-its left part than the copy does, and neither of them MIN_WORDS words.
+3. The suffixes are range-partitioned and sorted by (head, right, left, id).
+   A passage of MIN_WORDS words around a head has one of WINDOW places: l
+   words left of it and WINDOW - 1 - l right. For each l, neighbours in order
+   that agree in all of these words form a group; with two ids in it, all its
+   members repeat. Range borders can fall inside a head, so a passage that a
+   third of all documents hold is spread.
+4. What agrees need not be adjacent: others sort between, or the copy lies in
+   another range. Members of groups of one id, whose head has other groups or
+   touches a range border, are looked up by the hash of the whole passage
+   (least and largest id a hash, map-side), against each other and the groups
+   with two ids.
+5. The union of these passages is every word of a repeated passage of
+   MIN_WORDS words: any such passage holds a selected head in all its copies.
+   Overlapping spans of a document are merged.
 
 Defined results: a null or empty text has no passage; rows that share an id
 are one document, so equal rows with one id do not repeat each other; rows
@@ -36,13 +36,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import NO_ID, Workspace, column, id_or_null, ids, prepare, text_bytes
 from riskloom.llm.jaccard_join import row_slices
-from riskloom.llm.words import chain, words
+from riskloom.llm.words import chain, mix, words
 
 MIN_WORDS = 50
 WINDOW = 16
@@ -93,43 +92,49 @@ def _same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class _Sorted:
     """Suffixes in order, as arrays."""
 
-    FIELDS = ("head", "id", "place", "right", "left")
-
     def __init__(self, table):
         self.head, self.id, self.place = (column_of(table, c) for c in ("head", "id", "place"))
         self.right, self.left = (_matrix(table, c) for c in ("right", "left"))
 
-    def matches(self, head: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(id, start, end) of every suffix that its nearest neighbour of another id extends to ``least`` words."""
-        n = len(self.id)
-        if not n:
-            return self.id, self.id, self.id
-        new = np.ones(n, bool)
-        new[1:] = (self.id[1:] != self.id[:-1]) | (self.head[1:] != self.head[:-1])
-        first = np.flatnonzero(new)
-        run = np.cumsum(new) - 1
-        last = np.append(first[1:], n) - 1
-        out = []
-        for other in (first[run] - 1, last[run] + 1):
-            i = np.flatnonzero((other >= 0) & (other < n))
-            j = other[i]
-            keep = self.head[i] == self.head[j]
-            i, j = i[keep], j[keep]
-            keep = self.id[i] != self.id[j]
-            i, j = i[keep], j[keep]
-            right, left = _same(self.right[i], self.right[j]), _same(self.left[i], self.left[j])
-            long = right + left + head >= least
-            i = i[long]
-            out.append((self.id[i], self.place[i] - left[long], self.place[i] + head + right[long]))
-        return tuple(np.concatenate(x) for x in zip(*out))
-
-    def outermost(self) -> np.ndarray:
-        """The first and last suffix and the next ones of other ids than theirs."""
+    def key(self, i: np.ndarray, l: int) -> np.ndarray:
+        """Hash of the passage around the heads of ``i`` with ``l`` words left."""
+        h = mix(self.head[i].view(np.uint64) + np.uint64(l + 1))
+        for c in range(l):
+            h = mix(h + self.left[i, c].astype(np.uint64))
+        for c in range(WINDOW - 1 - l):
+            h = mix(h + self.right[i, c].astype(np.uint64))
+        return h.view(np.int64)
+
+    def matches(self, head: int):
+        """Spans (id, start, end) shared by adjacent suffixes of two ids, and open passages (key, least id, largest id, start or -1)."""
         n = len(self.id)
-        if not n:
-            return np.zeros(0, np.int64)
-        up, down = np.flatnonzero(self.id != self.id[0]), np.flatnonzero(self.id != self.id[-1])
-        return np.unique(np.concatenate([[0, n - 1], up[:1], down[-1:]]).astype(np.int64))
+        same = np.append(False, self.head[1:] == self.head[:-1])
+        of = np.cumsum(~same) - 1
+        border = np.zeros(of[-1] + 1, bool)
+        border[[0, -1]] = True
+        right, left = (np.append(0, _same(x[1:], x[:-1])) for x in (self.right, self.left))
+        far_right, far_left = ((x != 0).sum(axis=1) for x in (self.right, self.left))
+        least_l, most_l = np.full(n, WINDOW), np.full(n, -1)
+        rest = []
+        for l in range(WINDOW):
+            whole = (far_left >= l) & (far_right >= WINDOW - 1 - l)
+            first = np.flatnonzero(~(same & (left >= l) & (right >= WINDOW - 1 - l)))
+            group = np.repeat(np.arange(len(first)), np.diff(np.append(first, n)))
+            least, most = np.minimum.reduceat(self.id, first), np.maximum.reduceat(self.id, first)
+            many = least != most
+            found = many[group] & whole
+            least_l[found] = np.minimum(least_l[found], l)
+            most_l[found] = l
+            others = np.bincount(of[first[whole[first]]], minlength=len(border)) > 1
+            lone = np.flatnonzero(whole & ~found & (others | border)[of])
+            asked = border.copy()
+            asked[of[lone]] = True
+            known = np.flatnonzero(many & whole[first] & asked[of[first]])
+            rest.append((self.key(lone, l), self.id[lone], self.id[lone], self.place[lone] - l))
+            rest.append((self.key(first[known], l), least[known], most[known], np.full(len(known), -1)))
+        i = np.flatnonzero(most_l >= 0)
+        spans = self.id[i], self.place[i] - most_l[i], self.place[i] + head + WINDOW - 1 - least_l[i]
+        return spans, tuple(np.concatenate(x) for x in zip(*rest))
 
 
 def column_of(table, name: str) -> np.ndarray:
@@ -143,10 +148,6 @@ def _matrix(table, name: str) -> np.ndarray:
 _RECORD = "head long, right binary, left binary, id long, place long"
 
 
-def _spans(found) -> list[pa.Array]:
-    return [pa.array(np.asarray(x, np.int64)) for x in found]
-
-
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(id, start_word, end_word, n_words) of every passage of ``min_words`` words that another document holds, too."""
     if min_words < WINDOW + GRAM + 1:
@@ -189,8 +190,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     records = ws.save(rows.join(held, "id").mapInArrow(extend, _RECORD), "records")
     ws.drop(suffixes)
-    found = [_in_order(records, order, head, min_words, ws) for order in _ORDERS]
-    spans = found[0].unionByName(found[1])
+    spans = _in_order(records, head, min_words, ws)
     by = Window.partitionBy("id").orderBy("start", "end")
     reach = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum(F.when(F.col("start") <= F.col("reach"), 0).otherwise(1)).over(by.rowsBetween(Window.unboundedPreceding, 0))
@@ -199,52 +199,32 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return merged.select(id_or_null("id").alias(id_col), "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"))
 
 
-_ORDERS = (("head", "right", "left", "id", "place"), ("head", "left", "right", "id", "place"))
+_ORDER = ("head", "right", "left", "id", "place")
 
 
-def _in_order(records: DataFrame, order: tuple[str, ...], head: int, min_words: int, ws: Workspace) -> DataFrame:
-    """(id, start, end) of the suffixes that a neighbour in this order extends to ``min_words``."""
+def _in_order(records: DataFrame, head: int, min_words: int, ws: Workspace) -> DataFrame:
+    """(id, start, end) of the parts of every suffix's surroundings that another id shares over ``min_words``."""
     n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = records.distinct().repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = records.distinct().repartitionByRange(n, *_ORDER).sortWithinPartitions(*_ORDER)
 
     def compare(batches):
-        batches = list(batches)  # one range: its size follows the number of partitions
-        part = TaskContext.get().partitionId()
+        batches = [b for b in batches if b.num_rows]  # one range: its size follows the number of partitions
         if not batches:
             return
-        table = pa.Table.from_batches(batches)
-        suffix = _Sorted(table)
-        doc, start, end = suffix.matches(head, min_words)
-        edge = table.take(pa.array(suffix.outermost()))
-        m, k = len(doc), edge.num_rows
+        (doc, start, end), (key, least, most, at) = _Sorted(pa.Table.from_batches(batches)).matches(head)
+        m, k = len(doc), len(key)
         yield pa.RecordBatch.from_arrays(
             [
-                *_spans((np.concatenate([doc, column_of(edge, "id")]), np.concatenate([start, column_of(edge, "place")]))),
-                pa.array([*end.tolist(), *[None] * k], pa.int64()),
-                pa.array([*[None] * m, *column_of(edge, "head").tolist()], pa.int64()),
-                pa.array([*[None] * m, *edge.column("right").to_pylist()], pa.binary()),
-                pa.array([*[None] * m, *edge.column("left").to_pylist()], pa.binary()),
-                pa.array(np.full(m + k, part), pa.int32()),
+                pa.array(np.concatenate([doc, least])), pa.array(np.concatenate([doc, most])), pa.array(np.concatenate([start, at])),
+                pa.array(np.concatenate([end, at + min_words])), pa.array(np.concatenate([np.zeros(m, np.int64), key])),
+                pa.array(np.arange(m + k) >= m),
             ],
-            ["id", "start", "end", "head", "right", "left", "part"],
-        )
-
-    compared = ws.save(ranged.mapInArrow(compare, "id long, start long, end long, head long, right binary, left binary, part int"), "compared")
-
-    def borders(batches):
-        table = pa.Table.from_batches(list(batches)) if batches else None
-        if table is not None and table.num_rows:
-            yield pa.RecordBatch.from_arrays(_spans(_Sorted(table).matches(head, min_words)), ["id", "start", "end"])
-
-    edges = compared.where("end is null").withColumnRenamed("start", "place").select("head", "right", "left", "id", "place")
-    across = edges.coalesce(1).sortWithinPartitions(*order).mapInArrow(_nonempty(borders), "id long, start long, end long")  # four rows a partition
-    return compared.where("end is not null").select("id", "start", "end").unionByName(across)
-
-
-def _nonempty(f):
-    def run(batches):
-        batches = [b for b in batches if b.num_rows]
-        if batches:
-            yield from f(batches)
-
-    return run
+            ["id", "most", "start", "end", "key", "open"],
+        )
+
+    compared = ws.save(ranged.mapInArrow(compare, "id long, most long, start long, end long, key long, open boolean"), "compared")
+    rest = compared.where("open")
+    keys = rest.groupBy("key").agg(F.min("id").alias("least"), F.max("most").alias("largest")).where("least <> largest").select("key")
+    keys = ws.save(keys, "keys")  # both sides of the join are then plain shuffles, a hot key's can be split
+    again = rest.where("start >= 0").join(keys, "key")
+    return compared.where("not open").select("id", "start", "end").unionByName(again.select("id", "start", "end"))

@@ -473,3 +473,22 @@ def test_repeated_passages_end_with_their_texts(spark):
     finally:
         spark.conf.set(key, was)
     assert {tuple(r) for r in got} == passages(data) == {(10, 0, 80, 80), (11, 0, 80, 80)}
+
+
+def test_repeated_passages_of_least_length_among_many_near_ones(spark):
+    rng, source = np.random.default_rng(6), sentence(34, 64).split()
+    data = []
+    for i in range(240):
+        a, b = (0, 56) if i in (100, 200) else (rng.integers(3, 15), 64) if i % 2 else (0, rng.integers(36, 50))
+        data.append((i, " ".join([sentence(1000 + i, 20), *source[a:b], sentence(3000 + i, 20)])))
+    got = repeats.repeated_passages(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    want = passages(data)
+    assert {tuple(r) for r in got} == want
+    assert {i for i, *_ in want} >= {100, 200}
+
+
+def test_repeated_passages_of_an_id_that_fills_ranges(spark):
+    passage = sentence(35, 60)
+    data = [(1, " ".join(passage + " " + sentence(5000 + i, 30) for i in range(300))), (2, passage + " " + sentence(36, 30))]
+    got = repeats.repeated_passages(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert {tuple(r) for r in got} == passages(data)
