@@ -156,19 +156,22 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     prepare(spark)
     ws = Workspace(spark, "repeats")
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
+    rows = rows.withColumn("row", F.xxhash64("text"))  # places are kept per text: an id can have any number of texts
 
     def emit(batches):
         for batch in batches:
-            doc = ids(column(batch, "id"))
+            doc, text = ids(column(batch, "id")), column(batch, "row").to_numpy()
             for a, _, at, row, place, key in _suffixes(batch, head):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(doc[a + row]), pa.array(place - at[row])], ["head", "id", "place"]
+                    [pa.array(key.view(np.int64)), pa.array(doc[a + row]), pa.array(text[a + row]), pa.array(place - at[row])],
+                    ["head", "id", "row", "place"],
                 )
 
-    suffixes = ws.save(rows.mapInArrow(emit, "head long, id long, place long"), "suffixes")
+    suffixes = ws.save(rows.mapInArrow(emit, "head long, id long, row long, place long"), "suffixes")
     shared = suffixes.groupBy("head").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most").select("head")
     shared = ws.save(shared, "shared")  # both sides of the join are then plain shuffles, a hot head's can be split
-    held = suffixes.join(shared, "head").groupBy("id").agg(F.collect_list("place").alias("places"))  # of one document
+    held = suffixes.join(shared, "head").groupBy("id", "row").agg(F.collect_set("place").alias("places"))  # of one text
+    held = ws.save(held, "held")
 
     def extend(batches):
         for batch in batches:
@@ -188,7 +191,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                     ["head", "right", "left", "id", "place"],
                 )
 
-    records = ws.save(rows.join(held, "id").mapInArrow(extend, _RECORD), "records")
+    records = ws.save(rows.join(held, ["id", "row"]).mapInArrow(extend, _RECORD), "records")
     ws.drop(suffixes)
     spans = _in_order(records, head, min_words, ws)
     by = Window.partitionBy("id").orderBy("start", "end")

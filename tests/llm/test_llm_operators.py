@@ -492,3 +492,18 @@ def test_repeated_passages_of_an_id_that_fills_ranges(spark):
     data = [(1, " ".join(passage + " " + sentence(5000 + i, 30) for i in range(300))), (2, passage + " " + sentence(36, 30))]
     got = repeats.repeated_passages(spark.createDataFrame(data, "doc_id long, text string")).collect()
     assert {tuple(r) for r in got} == passages(data)
+
+
+def test_repeated_passages_keep_places_per_text(spark, monkeypatch):
+    passage, saved = sentence(37, 60), {}
+    data = [(None if i % 2 else 5, sentence(6000 + i, 30) + " " + passage + " " + sentence(7000 + i, 30)) for i in range(60)]
+
+    class Kept(repeats.Workspace):
+        def save(self, df, name):
+            saved[name] = super().save(df, name)
+            return saved[name]
+
+    monkeypatch.setattr(repeats, "Workspace", Kept)
+    got = repeats.repeated_passages(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()
+    assert {tuple(r) for r in got} == {(None, 30, 90, 60), (5, 30, 90, 60)}
+    assert saved["held"].count() == 60 and saved["held"].selectExpr("max(size(places))").first()[0] < 40
