@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, html_text, jaccard_join, langid, line_dedup, nn_descent, packing, quality, repeats, token_store
+from riskloom.llm import decontaminate, html_text, jaccard_join, langid, line_dedup, minhash, nn_descent, packing, quality, repeats, token_store
 from riskloom.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -63,10 +63,14 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"), k=3, num=9, den=10)
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.edited_pairs(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_files, op2_decontamination, op3_best_fit_packing, op4_quality_gam, op5_language_ecoc, op6_html_text,
-        op7_repeated_passages, op8_nn_descent, op9_line_dedup, op10_jaccard_join,
+        op7_repeated_passages, op8_nn_descent, op9_line_dedup, op10_jaccard_join, op11_minhash,
     )
 }
