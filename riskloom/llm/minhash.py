@@ -178,7 +178,7 @@ def _ranges(rows: DataFrame) -> tuple[DataFrame, bool]:
     """
     n = RANGES_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     probs = [i / n for i in range(1, n)]
-    cuts = rows.agg(F.percentile_approx("oid", probs, max(10_000, 20 * n))).first()[0] or []
+    cuts = rows.agg(F.percentile_approx("oid", probs, max(10_000, 20 * n))).first()[0] or [0]
     hot = {v: cuts.count(v) + 1 for v in set(cuts) if cuts.count(v) > 1}
     splits = [float("-inf"), *sorted({float(v) for v in cuts}), float("inf")]
     rows = rows.withColumn("__o", F.col("oid").cast("double"))
@@ -193,8 +193,8 @@ def _ranges(rows: DataFrame) -> tuple[DataFrame, bool]:
     return rows.withColumn("sub", sub.cast("int")), bool(hot)
 
 
-def with_next(rows: DataFrame, cols: tuple[str, ...]) -> tuple[DataFrame, bool]:
-    """Distinct places (``oid``, ``text``) with ``next_<c>`` for every column, after the last the first.
+def with_next(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """Rows with their fingerprint ``fp`` and the next row's text and fingerprint; after the last comes the first.
 
     Each range of ids is one window partition. The first row of the following
     range joins a range as a guest at its end, so no row needs a join.
@@ -209,14 +209,11 @@ def with_next(rows: DataFrame, cols: tuple[str, ...]) -> tuple[DataFrame, bool]:
     first = rows.groupBy("r", "sub").agg(F.min(F.struct("oid", "h", "text")).alias("f"))
     line = Window.orderBy("r", "sub")  # one row per range
     guests = first.withColumn("g", F.coalesce(F.lead("f").over(line), F.first("f").over(line)))
-    guests = guests.select(F.col("g.oid").alias("oid"), F.col("g.text").alias("text"), F.col("g.h").alias("h"), "r", "sub", F.lit(0).cast("bigint").alias("copies"))
+    guests = guests.select("g.*", "r", "sub", F.lit(0).cast("bigint").alias("copies"))
     both = rows.select(guests.columns).withColumn("guest", F.lit(0)).unionByName(guests.withColumn("guest", F.lit(1)))
-    both = both.select("*", *[e.alias(c) for c, e in _DERIVED.items() if c in cols])
+    both = both.withColumn("fp", fingerprint(F.col("text")))
     w = Window.partitionBy("r", "sub").orderBy("guest", "oid", "h", "text")
-    return both.withColumns({f"next_{c}": F.lead(c).over(w) for c in cols}).where("guest = 0"), hot
-
-
-_DERIVED = {"fp": fingerprint(F.col("text"))}
+    return both.withColumns({f"next_{c}": F.lead(c).over(w) for c in ("text", "fp")}).where("guest = 0"), hot
 
 
 def _copies(pairs: DataFrame) -> DataFrame:
@@ -242,7 +239,7 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("oid"), text.alias("text"), F.xxhash64(text).alias("h"))
-    pairs, hot = with_next(rows, ("text", "fp"))
+    pairs, hot = with_next(rows)
     if hot:
         pairs = _copies(pairs)
     n = F.char_length("text")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, html_text, jaccard_join, langid, line_dedup, minhash, nn_descent, packing, quality, repeats, token_store
+from riskloom.llm import decontaminate, html_text, jaccard_join, langid, line_dedup, minhash, nn_descent, packing, prefix_trie, quality, repeats, structure_repair, token_store
 from riskloom.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -67,10 +67,18 @@ def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.edited_pairs(read(spark, sf_dir, "documents"))
 
 
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair.repair(structure_repair.damage(read(spark, sf_dir, "conversations")))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(read(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_files, op2_decontamination, op3_best_fit_packing, op4_quality_gam, op5_language_ecoc, op6_html_text,
-        op7_repeated_passages, op8_nn_descent, op9_line_dedup, op10_jaccard_join, op11_minhash,
+        op7_repeated_passages, op8_nn_descent, op9_line_dedup, op10_jaccard_join, op11_minhash, op12_structure_repair, op13_prefix_trie,
     )
 }
