@@ -233,7 +233,7 @@ def validate_contract(
 def enforce_contract(df: DataFrame, target: str, min_rows: int = 1000, max_null_rate: float = 0.30) -> DataFrame:
     """``df`` itself; raises when it is too small, has no target or a target
     outside {0, 1}, and warns about columns with many NULLs (one aggregation)."""
-    failed = validate_contract(df, target, min_rows, max_null_rate).where(~F.col("ok")).collect()
+    failed = [r for r in validate_contract(df, target, min_rows, max_null_rate).collect() if not r["ok"]]
     broken = [f"{r['check']} of {r['column']}: {r['value']}" for r in failed if r["check"] != "null_rate"]
     if broken:
         raise ValueError("data contract broken: " + "; ".join(broken))

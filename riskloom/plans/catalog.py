@@ -53,6 +53,7 @@ def load_all() -> dict[str, Query]:
         q_cleaning,
         q_datasets,
         q_features,
+        q_files,
         q_governance,
         q_metrics,
         q_models,

@@ -6,10 +6,12 @@ written with a single output file for convenience.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -65,13 +67,34 @@ def dataset_spec(name: str) -> DatasetSpec:
     return specs[name]
 
 
-def load_dataset(spark: SparkSession, name: str, sf_dir: str, min_rows: int = 1000) -> DataFrame:
+def load_dataset(
+    spark: SparkSession,
+    name: str,
+    sf_dir: str | None = None,
+    min_rows: int = 1000,
+    *,
+    path: str | None = None,
+    fmt: str = "csv",
+    max_rejected: float = 0.05,
+) -> DataFrame:
     """name -> spec -> raw table -> clean table that meets its contract
-    (:func:`cleaning.enforce_contract`). Unknown names raise."""
+    (:func:`cleaning.enforce_contract`). Unknown names raise.
+
+    With ``path`` the raw table is a folder of CSV or Parquet files
+    (:mod:`riskloom.sources.files`); more than ``max_rejected`` of its records
+    in quarantine raise. Without, it is derived from the tables in ``sf_dir``.
+    """
     from riskloom.operators.cleaning import enforce_contract
+    from riskloom.sources.files import enforce_share, ingest
 
     s = dataset_spec(name)
-    return enforce_contract(s.clean(s.builder(spark, sf_dir)), s.target, min_rows)
+    if path is None:
+        raw = s.builder(spark, sf_dir)
+    else:
+        got = ingest(spark, name, path, fmt)
+        enforce_share(got, max_rejected)
+        raw = got.records
+    return enforce_contract(s.clean(raw), s.target, min_rows)
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType | None = None, drop_index: bool = True) -> DataFrame:
@@ -89,16 +112,52 @@ def write_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
     (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
 
 
-def cached_clean(spark: SparkSession, cache_path: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """Read the cleaned parquet cache if present, else build, write and read it."""
-    if not path_exists(spark, cache_path):  # a damaged cache raises: it is never overwritten
-        make().write.parquet(cache_path)
-    return spark.read.parquet(cache_path)
+def _hadoop(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    fs, at = _hadoop(spark, path)
+    return fs.exists(at)
+
+
+def fingerprint(spark: SparkSession, inputs: Sequence[str], version: str) -> str:
+    """Key of a cleaned table: names, lengths and modification times of its input files, and the cleaning's version."""
+    seen = [version]
+    for path in sorted(inputs):
+        fs, at = _hadoop(spark, path)
+        files = fs.listFiles(at, True)
+        found = []
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+        seen += [path, *sorted(found)]
+    return hashlib.sha256("\n".join(seen).encode()).hexdigest()[:32]
+
+
+def cached_clean(spark: SparkSession, root: str, inputs: Sequence[str], version: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The cleaned table of these input files, built once per state of the files and cleaning version.
+
+    The table is written under a name of its own. Only when that is complete,
+    a marker named by the fingerprint is created and names the folder: an
+    interrupted write leaves no marker and is never read, a changed input has
+    another fingerprint, and of two writers the first marker counts.
+    """
+    marker = f"{root}/{fingerprint(spark, inputs, version)}.marker"
+    if not path_exists(spark, marker):
+        folder = f"{root}/data-{uuid.uuid4().hex}"
+        make().write.parquet(folder)
+        fs, at = _hadoop(spark, marker)
+        try:
+            out = fs.create(at, False)
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" not in str(e.java_exception):
+                raise
+        else:
+            out.write(bytearray(folder.encode()))
+            out.close()
+    return spark.read.parquet(spark.read.text(marker, wholetext=True).first()[0])
 
 
 def assemble_xy(x: DataFrame, y: DataFrame, key: str = "ID") -> DataFrame:
