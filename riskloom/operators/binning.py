@@ -5,7 +5,9 @@ All features are handled together: the wide table is unpivoted to
 :mod:`riskloom.operators.quantiles`, and rows are counted per
 ``(feature, bin)``. Every shuffle carries partial aggregates of at most
 features x bins rows a task; values themselves are never shuffled or
-written. Fitted state (edges, WoE per bin) is bounded by features x bins
+written. String features are categories: one bin per value of a fitted
+vocabulary, the rarest values together where there are more than the bins
+allow. Fitted state (edges, WoE per bin) is bounded by features x bins
 and is applied as literal expressions: no join, no shuffle at transform time.
 """
 
@@ -13,8 +15,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from riskloom.functions import constants as K
 from riskloom.functions.exprs import bin_left_lit, bin_right_lit, bin_value_lit
@@ -64,48 +67,97 @@ def _woe_columns(g: DataFrame) -> DataFrame:
     return g.withColumn("iv", (F.col("pct_events") - F.col("pct_nonevents")) * F.col("woe"))
 
 
+# (kind, edges): 'value' and 'quantile' hold doubles, 'category' and 'top' (category plus a bin for all others) hold texts
+Bins = dict[str, tuple[str, list]]
+
+
+def is_text(df: DataFrame, feature: str) -> bool:
+    return isinstance(df.schema[feature].dataType, StringType)
+
+
+def fit_vocabulary(df: DataFrame, features: Sequence[str], label: str, n_bins: int = K.WOE_MAX_BINS) -> tuple[Bins, list[dict]]:
+    """Categories of string features, and per-feature stats.
+
+    Up to ``n_bins`` distinct values: one bin each. More: the ``n_bins - 1``
+    most frequent ones (ties: the smaller text) and one bin for the others.
+    Values are counted per (feature, value); at most ``n_bins + 1`` rows a
+    feature reach the driver.
+    """
+    cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"`{f}`").alias("v")) for f in features])
+    long = df.select(F.col(label).cast("long").alias("ev"), F.explode(cells).alias("c")).select("ev", "c.*").where("v IS NOT NULL")
+    counts = long.groupBy("feature", "v").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("feature").orderBy(F.desc("n"), "v"))
+    top: dict[str, list[str]] = {}
+    for r in counts.withColumn("place", place).where(F.col("place") <= n_bins + 1).orderBy("place").collect():
+        top.setdefault(r["feature"], []).append(r["v"])
+    bins: Bins = {
+        f: ("category", sorted(v)) if len(v) <= n_bins else ("top", sorted(v[: n_bins - 1])) for f, v in top.items()
+    }
+    totals = long.groupBy("feature").agg(F.sum("ev").alias("E"), F.count("ev").alias("n")).collect()
+    return bins, [{"feature": r["feature"], "E": r["E"], "N": r["n"] - r["E"]} for r in totals]
+
+
 def fit_bins(
     df: DataFrame, features: Sequence[str], label: str = "y", n_bins: int = K.WOE_MAX_BINS
-) -> tuple[dict[str, tuple[str, list[float]]], list[dict]]:
+) -> tuple[Bins, list[dict]]:
     """Returns (edges, per-feature stats).
 
-    Edges per feature: ('value', distinct values) with <= n_bins of them (one
-    bin per value), else ('quantile', qcut edges). An approximate distinct count
-    only says for which features the values are looked at one by one.
+    Edges per numeric feature: ('value', distinct values) with <= n_bins of them
+    (one bin per value), else ('quantile', qcut edges). An approximate distinct
+    count only says for which features the values are looked at one by one.
+    String features: see :func:`fit_vocabulary`.
     """
-    long = unpivot_features(df.where(F.col(label).isNotNull()), features, extra=[label]).select(
-        "feature", "x", F.col(label).cast("long").alias("ev")
-    )
+    df = df.where(F.col(label).isNotNull())
+    texts = [f for f in features if is_text(df, f)]
+    edges, rows = fit_vocabulary(df, texts, label, n_bins) if texts else ({}, [])
+    features = [f for f in features if f not in texts]
+    if not features:
+        return edges, rows
+    long = unpivot_features(df, features, extra=[label]).select("feature", "x", F.col(label).cast("long").alias("ev"))
     stats = value_stats(long, "feature", "x", E=F.sum("ev"), d=F.approx_count_distinct("x"))
     few = [f for f, r in stats.items() if r["d"] <= 4 * n_bins]
     values: dict[str, list[float]] = {}
     if few:
         for r in long.where(F.col("feature").isin(few)).select("feature", "x").distinct().orderBy("feature", "x").collect():
             values.setdefault(r["feature"], []).append(r["x"])
-    edges = {f: ("value", v) for f, v in values.items() if len(v) <= n_bins}
+    edges |= {f: ("value", v) for f, v in values.items() if len(v) <= n_bins}
     many = [f for f in stats if f not in edges]
     if many:
         got = quantiles(long.where(F.col("feature").isin(many)), "feature", "x", qcut_probs(n_bins), {f: stats[f] for f in many})
         edges |= {f: ("quantile", list(dict.fromkeys(e))) for f, e in got.items()}
-    return edges, [{"feature": f, "E": r["E"], "N": r["n"] - r["E"]} for f, r in stats.items()]
+    return edges, rows + [{"feature": f, "E": r["E"], "N": r["n"] - r["E"]} for f, r in stats.items()]
+
 
+def bin_category_lit(values: Sequence[str], x: Column, others: bool) -> Column:
+    """Index of a text among ``values``; any other text gets the next index (``others``) or none."""
+    if not values:
+        return F.when(x.isNotNull(), F.lit(0)) if others else F.lit(None).cast("int")
+    out = None
+    for i, v in enumerate(values):
+        out = F.when(x == v, F.lit(i)) if out is None else out.when(x == v, F.lit(i))
+    return out.when(x.isNotNull(), F.lit(len(values))) if others else out
 
-def _bin_lit(kind: str, edges: list[float], x: Column) -> Column:
-    return {"value": bin_value_lit, "quantile": bin_right_lit, "left": bin_left_lit}[kind](edges, x)
 
+def _bin_lit(kind: str, edges: list, x: Column) -> Column:
+    if kind in ("category", "top"):
+        return bin_category_lit(edges, x, kind == "top")
+    return {"value": bin_value_lit, "quantile": bin_right_lit, "left": bin_left_lit}[kind](edges, x.cast("double"))
 
-def binned_rows(df: DataFrame, edges: dict[str, tuple[str, list[float]]], extra: Sequence[Column]) -> DataFrame:
-    """Long ``(extra..., feature, bin, x)`` with the fitted edges as literals; NULL x dropped."""
+
+def binned_rows(df: DataFrame, edges: Bins, extra: Sequence[Column]) -> DataFrame:
+    """Long ``(extra..., feature, bin, x)`` with the fitted edges as literals; NULL values dropped (x of a text is NULL)."""
     if not edges:
         return df.select(*extra, F.lit("").alias("feature"), F.lit(0).alias("bin"), F.lit(0.0).alias("x")).limit(0)
     cells = []
     for f, (kind, e) in edges.items():
-        x = F.col(f"`{f}`").cast("double")
-        cells.append(F.struct(F.lit(f).alias("feature"), _bin_lit(kind, e, x).cast("int").alias("bin"), x.alias("x")))
-    return df.select(*extra, F.explode(F.array(*cells)).alias("_c")).select("*", "_c.*").drop("_c").where(F.col("x").isNotNull())
+        v = F.col(f"`{f}`")
+        x = F.lit(None).cast("double") if kind in ("category", "top") else v.cast("double")
+        b = F.when(v.isNotNull() if kind in ("category", "top") else x.isNotNull(), _bin_lit(kind, e, v).cast("int"))
+        cells.append(F.struct(F.lit(f).alias("feature"), b.alias("bin"), x.alias("x")))
+    return df.select(*extra, F.explode(F.array(*cells)).alias("_c")).select("*", "_c.*").drop("_c").where(F.col("bin").isNotNull())
 
 
-def _count_bins(df: DataFrame, label: str, edges: dict[str, tuple[str, list[float]]], stats: list[dict]) -> DataFrame:
+def _count_bins(df: DataFrame, label: str, edges: Bins, stats: list[dict]) -> DataFrame:
     """Counts and value range per (feature, bin), with the totals E and N of features that have both classes."""
     rows = binned_rows(df.where(F.col(label).isNotNull()), edges, [F.col(label).cast("long").alias("_ev")])
     g = rows.groupBy("feature", "bin").agg(
@@ -114,9 +166,9 @@ def _count_bins(df: DataFrame, label: str, edges: dict[str, tuple[str, list[floa
         F.min("x").alias("bin_lo"),
         F.max("x").alias("bin_hi"),
     )
-    by_value = [f for f, (kind, _) in edges.items() if kind == "value"]
+    kinds = F.create_map(*[F.lit(x) for f, (kind, _) in edges.items() for x in (f, kind)]) if edges else None
     g = g.withColumns({
-        "kind": F.when(F.col("feature").isin(by_value), "value").otherwise("quantile"),
+        "kind": F.element_at(kinds, F.col("feature")) if edges else F.lit("quantile"),
         "n_nonevents": F.col("n_total") - F.col("n_events"),
     })
     return _attach_group_table(g, ["feature"], stats, ["E", "N"]).where((F.col("E") > 0) & (F.col("N") > 0))
@@ -129,9 +181,14 @@ def woe_table(
     pct_nonevents (floored at 1e-9), woe, iv, bin_lo/bin_hi (value range seen).
 
     Rows with NULL x or y are dropped per feature; features whose target has
-    one class are skipped (their IV is 0).
+    one class are skipped (their IV is 0). A bin of a string feature has no
+    value range; :func:`bin_labels` names it.
     """
     edges, stats = fit_bins(df, features, label, n_bins)
+    return _woe_rows(df, label, edges, stats)
+
+
+def _woe_rows(df: DataFrame, label: str, edges: Bins, stats: list[dict]) -> DataFrame:
     g = _count_bins(df, label, edges, stats)
     g = g.withColumn("event_rate", F.col("n_events") / F.col("n_total"))
     g = _woe_columns(g)
@@ -141,6 +198,30 @@ def woe_table(
     )
 
 
+OTHERS = "(others)"
+
+
+def bin_labels(edges: Bins) -> list[tuple[str, int, str]]:
+    """(feature, bin, label) of fitted bins: a value, a right-closed interval, a category, or all others."""
+    out = []
+    for f, (kind, e) in edges.items():
+        if kind in ("category", "top"):
+            names = [*e, OTHERS] if kind == "top" else e
+        elif kind == "value":
+            names = [f"{v:g}" for v in e]
+        else:
+            names = [f"({a:g}, {b:g}]" for a, b in zip(e, e[1:])] or [f"{e[0]:g}"]
+        out += [(f, i, n) for i, n in enumerate(names)]
+    return out
+
+
+def labelled_woe_table(df: DataFrame, features: Sequence[str], label: str = "y", n_bins: int = K.WOE_MAX_BINS) -> DataFrame:
+    """:func:`woe_table` with the ``label`` of every bin (features x bins names, a broadcast join)."""
+    edges, stats = fit_bins(df, features, label, n_bins)
+    names = df.sparkSession.createDataFrame(bin_labels(edges), "feature string, bin int, label string")
+    return _woe_rows(df, label, edges, stats).join(F.broadcast(names), ["feature", "bin"], "left")
+
+
 def iv_table(woe: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
     """IV per feature (rounded 4), number of bins, flag; sorted by IV desc.
 
@@ -180,7 +261,7 @@ def iv_strength(iv: DataFrame) -> DataFrame:
 class WoEModel:
     """Fitted edges + WoE per bin, applied as literal expressions (no shuffle)."""
 
-    def __init__(self, edges: dict[str, tuple[str, list[float]]], woe: dict[str, dict[int, float]]):
+    def __init__(self, edges: Bins, woe: dict[str, dict[int, float]]):
         self.edges = edges
         self.woe = woe
 
@@ -195,8 +276,7 @@ class WoEModel:
 
     def bin_expr(self, feature: str) -> Column:
         kind, edges = self.edges[feature]
-        x = F.col(f"`{feature}`").cast("double")
-        return _bin_lit(kind, edges, x)
+        return _bin_lit(kind, edges, F.col(f"`{feature}`"))
 
     def woe_expr(self, feature: str) -> Column:
         table = self.woe.get(feature, {})

@@ -173,6 +173,79 @@ def q_standardize(spark, sf):
     return fit_standard(li, FEATS).transform(li.select("key", *FEATS))
 
 
+# ------------------------------------------------------ string categories
+CATEGORIES = ["seg", "nation"]
+SEGMENT_SRC = "(SELECT *, cast(nationkey AS varchar) AS nation FROM panel)"
+
+
+def category_ctes(src: str, cats=CATEGORIES, label: str = "y", where: str = "true") -> str:
+    """CTE text ending in ``cwoe``: WoE per category, the rarest together beyond the bins."""
+    arms = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS v, {label} AS y FROM {src} s WHERE {where}" for c in cats)
+    n = K.WOE_MAX_BINS
+    return f"""
+cl AS (SELECT * FROM ({arms}) a WHERE v IS NOT NULL AND y IS NOT NULL),
+cn AS (SELECT feature, v, count(*) AS n, sum(y) AS ev FROM cl GROUP BY feature, v),
+cr AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC, v) AS place, count(*) OVER (PARTITION BY feature) AS d FROM cn),
+cb AS (SELECT *, CASE WHEN d <= {n} OR place < {n} THEN v END AS kept, CASE WHEN d <= {n} THEN 'category' ELSE 'top' END AS kind FROM cr),
+ci AS (SELECT *, cast(CASE WHEN kept IS NULL THEN {n} - 1 ELSE row_number() OVER (PARTITION BY feature, kept IS NULL ORDER BY v) - 1 END AS int) AS bin FROM cb),
+cg AS (SELECT feature, bin, any_value(kind) AS kind, coalesce(any_value(kept), '{B.OTHERS}') AS label,
+              cast(sum(n) AS bigint) AS n_total, cast(sum(ev) AS bigint) AS n_events FROM ci GROUP BY feature, bin),
+ct AS (SELECT *, sum(n_events) OVER (PARTITION BY feature) AS te, sum(n_total - n_events) OVER (PARTITION BY feature) AS tn FROM cg),
+cp AS (SELECT *, greatest(n_events / cast(te AS double), {K.WOE_PCT_FLOOR!r}) AS pct_events,
+              greatest((n_total - n_events) / cast(tn AS double), {K.WOE_PCT_FLOOR!r}) AS pct_nonevents FROM ct WHERE te > 0 AND tn > 0),
+cwoe AS (SELECT feature, bin, kind, label, n_total, n_events, n_total - n_events AS n_nonevents, n_events / cast(n_total AS double) AS event_rate,
+                pct_events, pct_nonevents, ln(pct_events / pct_nonevents) AS woe,
+                (pct_events - pct_nonevents) * ln(pct_events / pct_nonevents) AS iv FROM cp)"""
+
+
+def _segments(spark, sf):
+    return fx.panel(spark, sf).withColumn("nation", F.col("nationkey").cast("string"))
+
+
+CAT_COLS = ["feature", "bin", "kind", "label", "n_total", "n_events", "n_nonevents", "event_rate", "pct_events", "pct_nonevents", "woe", "iv"]
+SQL_TYPED = (
+    "WITH " + woe_ctes("panel", ["limit_bal"]) + "," + category_ctes(SEGMENT_SRC)
+    + f" SELECT {', '.join(CAT_COLS)} FROM cwoe UNION ALL SELECT {', '.join('NULL' if c == 'label' else c for c in CAT_COLS)} FROM woe"
+)
+
+
+@register("woe_table_typed", with_fixtures(SQL_TYPED, "panel"), ["event_rate", "pct_events", "pct_nonevents", "woe", "iv"])
+def q_woe_table_typed(spark, sf):
+    """WoE of customers by market segment, nation (25 texts: the nine largest and all others) and limit."""
+    w = B.labelled_woe_table(_segments(spark, sf), [*CATEGORIES, "limit_bal"], "y")
+    text = F.col("kind").isin("category", "top")
+    return w.withColumn("label", F.when(text, F.col("label"))).select(CAT_COLS)
+
+
+SQL_CATS = "WITH " + category_ctes(SEGMENT_SRC, label="0") + " SELECT feature, label AS value, bin, kind FROM cg"
+
+
+@register("category_bins", with_fixtures(SQL_CATS, "panel"))
+def q_category_bins(spark, sf):
+    """The fitted vocabulary of string features."""
+    edges, _ = B.fit_vocabulary(_segments(spark, sf), CATEGORIES, "y")
+    rows = [(f, v, i, edges[f][0]) for f, i, v in B.bin_labels(edges)]
+    return spark.createDataFrame(rows, "feature string, value string, bin int, kind string")
+
+
+UNSEEN = "MACHINERY"
+SQL_CAT_WOE = (
+    "WITH " + category_ctes(SEGMENT_SRC, where=f"seg <> '{UNSEEN}'")
+    + f""" SELECT id, coalesce(a.woe, 0.0) AS WOE_seg, coalesce(b.woe, c.woe, 0.0) AS WOE_nation FROM {SEGMENT_SRC} p
+LEFT JOIN cwoe a ON a.feature = 'seg' AND a.label = p.seg
+LEFT JOIN cwoe b ON b.feature = 'nation' AND b.label = p.nation
+LEFT JOIN cwoe c ON c.feature = 'nation' AND c.label = '{B.OTHERS}'"""
+)
+
+
+@register("woe_transform_typed", with_fixtures(SQL_CAT_WOE, "panel"), ["WOE_seg", "WOE_nation"])
+def q_woe_transform_typed(spark, sf):
+    """WoE of categories fitted without one segment: its customers get 0, nations outside the vocabulary their common bin."""
+    t = _segments(spark, sf)
+    m = B.WoEModel.fit(t.where(F.col("seg") != UNSEEN), CATEGORIES, "y")
+    return m.transform(t, CATEGORIES).select("id", "WOE_seg", "WOE_nation")
+
+
 @register("score_points", with_fixtures(f"SELECT id, pd_score, {SC.SCORE_SQL} AS score FROM scored", "scored"), ["pd_score", "score"])
 def q_score_points(spark, sf):
     return SC.score_points(fx.scored(spark, sf)).select("id", "pd_score", "score")

@@ -62,3 +62,44 @@ def test_woe_transform_unseen_and_null(spark):
     assert out[1] == 0.0  # NULL -> neutral
     assert out[2] == 0.0  # a value never seen in a one-bin-per-value feature -> its own bin index, unseen -> 0
     _ = F
+
+
+def test_string_categories(spark):
+    rows = [(c, i % 3, int(i % 3 == 0 or c == "b")) for i, c in enumerate(["a"] * 40 + ["b"] * 30 + ["c"] * 20 + [None] * 5)]
+    df = spark.createDataFrame(rows, "c string, z int, y int")
+    w = {(r["feature"], r["label"]): r for r in B.labelled_woe_table(df, ["c", "z"], "y").collect()}
+    assert {k for k in w if k[0] == "c"} == {("c", v) for v in "abc"} and w["c", "b"]["n_nonevents"] == 0
+    assert w["c", "a"]["kind"] == "category" and w["c", "a"]["bin_lo"] is None and w["z", "1"]["kind"] == "value"
+    a = sum(y for c, _, y in rows if c == "a")
+    total = sum(y for c, _, y in rows if c)
+    assert w["c", "a"]["woe"] == math.log((a / total) / ((40 - a) / (90 - total)))
+    m = B.WoEModel.fit(df, ["c"], "y")
+    out = m.transform(spark.createDataFrame([("a",), ("zz",), (None,), ("",)], "c string")).select("WOE_c").collect()
+    assert out[0][0] == w["c", "a"]["woe"] and [r[0] for r in out[1:]] == [0.0, 0.0, 0.0]
+
+
+def test_many_categories_share_a_bin(spark):
+    rows = [(f"v{k:02d}", (k + j) % 2) for k in range(30) for j in range(3 + (k == 7) * 5)]
+    df = spark.createDataFrame(rows, "c string, y int")
+    edges, _ = B.fit_bins(df, ["c"], "y", n_bins=4)
+    assert edges["c"] == ("top", ["v00", "v01", "v07"])  # the largest, then ties by text
+    w = {r["label"]: r["n_total"] for r in B.labelled_woe_table(df, ["c"], "y", n_bins=4).collect()}
+    assert w == {"v00": 3, "v01": 3, "v07": 8, B.OTHERS: len(rows) - 14}
+    m = B.WoEModel.fit(df, ["c"], "y", n_bins=4)
+    got = m.transform(spark.createDataFrame([("never",), ("v20",), (None,)], "c string")).collect()
+    assert got[0]["WOE_c"] == got[1]["WOE_c"] == m.woe["c"][3]
+    assert got[2]["WOE_c"] == 0.0
+
+
+def test_approximate_distinct_count_does_not_decide(spark):
+    """Features near the limit get value bins by their exact count."""
+    for n in (9, 10, 11, 12, 40, 41):
+        df = spark.createDataFrame([(float(i % n), i % 2) for i in range(40 * n)], "x double, y int")
+        kind, edges = B.fit_bins(df, ["x"], "y")[0]["x"]
+        assert (kind == "value") == (n <= 10) and (kind != "value" or len(edges) == n)
+
+
+def test_empty_category_column(spark):
+    df = spark.createDataFrame([(None, 0), (None, 1)], "c string, y int")
+    assert B.woe_table(df, ["c"], "y").count() == 0
+    assert B.WoEModel.fit(df, ["c"], "y").transform(df, ["c"]).first()["WOE_c"] == 0.0

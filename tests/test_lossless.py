@@ -63,8 +63,12 @@ def test_bad_target_text_fails(spark):
 
 
 def test_damaged_cache_is_not_overwritten(spark, tmp_path):
-    (tmp_path / "cache").mkdir()
-    (tmp_path / "cache" / "part-0.parquet").write_bytes(b"damaged")
+    source, root = str(tmp_path / "src"), tmp_path / "cache"
+    spark.range(3).write.parquet(source)
+    cached_clean(spark, str(root), [source], "1", lambda: spark.range(3))
+    parts = [f for f in next(root.glob("data-*")).iterdir() if f.suffix == ".parquet"]
+    for f in parts:
+        f.write_bytes(b"damaged")
     with pytest.raises(Exception):
-        cached_clean(spark, str(tmp_path / "cache"), lambda: spark.range(3)).collect()
-    assert (tmp_path / "cache" / "part-0.parquet").read_bytes() == b"damaged"
+        cached_clean(spark, str(root), [source], "1", lambda: spark.range(3)).collect()
+    assert all(f.read_bytes() == b"damaged" for f in parts)
