@@ -1,7 +1,7 @@
 """Monitoring: Gini stability by period, subgroup bias audit, score shift, KPIs.
 
-Per-period and per-subgroup AUCs are one grouped cumulative pass
-(``metrics.cumulative_table`` with keys), never a loop over groups.
+Per-period and per-subgroup AUCs come from one sort by score for all groups
+(``subgroups.subgroup_auc``), never a loop over groups or a copy per column.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from riskloom.functions import constants as K
 from riskloom.functions.exprs import bin_right_lit
 from riskloom.operators.binning import psi_report, quantile_edges
-from riskloom.operators.metrics import _auc_expr, cumulative_table
 from riskloom.operators.ordered import materialize
+from riskloom.operators.subgroups import OVERALL, subgroup_auc
 
 
 def period_column(df: DataFrame, order_col: str, n_periods: int = K.N_PERIODS) -> DataFrame:
@@ -40,20 +40,16 @@ def gini_stability(
         df = materialize(df.select(order_col, score, label), "gini-input")
         df = period_column(df, order_col, n_periods)
         time_col = "period"
-    t = cumulative_table(df, score, label, [time_col])
-    g = t.groupBy(time_col).agg(
-        (F.max("P") + F.max("N")).alias("n_customers"),
-        F.max("P").alias("P"),
-        F.max("N").alias("N"),
-        _auc_expr().alias("auc_raw"),
-    )
-    g = g.where((F.col("n_customers") >= K.GINI_MIN_PERIOD_ROWS) & (F.col("P") > 0) & (F.col("N") > 0))
+    kind = df.schema[time_col].dataType
+    g = subgroup_auc(df, score, label, [time_col]).where(F.col("group_col") == time_col)
+    g = g.withColumn("n_customers", F.col("n_pos") + F.col("n_neg"))
+    g = g.where((F.col("n_customers") >= K.GINI_MIN_PERIOD_ROWS) & F.col("auc").isNotNull())
     g = g.select(
-        F.col(time_col).alias("period"),
+        F.col("group_val").cast(kind).alias("period"),
         "n_customers",
-        F.round(F.col("P") / F.col("n_customers"), 4).alias("event_rate"),
-        F.round(2 * F.col("auc_raw") - 1, 4).alias("gini"),
-        F.round("auc_raw", 4).alias("auc"),
+        F.round(F.col("n_pos") / F.col("n_customers"), 4).alias("event_rate"),
+        F.round(2 * F.col("auc") - 1, 4).alias("gini"),
+        F.round("auc", 4).alias("auc"),
     )
     # one row per period: an unpartitioned window over a handful of rows
     w = Window.partitionBy().orderBy("period").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -77,53 +73,29 @@ def bias_audit(
     """Overall row + one row per (column, value) with n >= 100 and two classes:
     n, AUC, Gini, event rate, AUC delta (rounded 4; the overall row unrounded).
 
-    Group columns are unpivoted into (group_col, group_val) so every
-    subgroup AUC comes from one grouped cumulative pass.
+    All groups share one sort by score; no row is copied per group column.
     """
     unknown = [c for c in group_cols if c not in df.columns]
     if unknown:
         raise ValueError(f"no such group columns: {unknown}")
-    # two grouped passes read the same three or four columns: write them once
-    df = materialize(df.select(score, label, *group_cols), "bias-input")
-    overall_t = cumulative_table(df, score, label, [])
-    overall = overall_t.agg(
-        F.lit("OVERALL").alias("group_col"),
-        F.lit("All").alias("group_val"),
-        (F.max("P") + F.max("N")).alias("n"),
-        _auc_expr().alias("auc"),
-        (F.max("P") / (F.max("P") + F.max("N"))).alias("event_rate"),
-    )
-    ov = overall.collect()[0]
-    overall_auc = ov["auc"]
-    overall = overall.select(
-        "group_col", "group_val", "n", "auc", (2 * F.col("auc") - 1).alias("gini"), "event_rate",
-        F.lit(0.0).alias("auc_delta"),
-    )
-    long = df.select(
-        F.col(score),
-        F.col(label),
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("group_col"), F.col(c).cast("string").alias("group_val")) for c in group_cols])
-        ).alias("g"),
-    ).select(score, label, "g.group_col", "g.group_val")
-    t = cumulative_table(long, score, label, ["group_col", "group_val"])
-    g = t.groupBy("group_col", "group_val").agg(
-        (F.max("P") + F.max("N")).alias("n_rows"),
-        F.max("P").alias("n_pos"),
-        F.max("N").alias("n_neg"),
-        _auc_expr().alias("auc_raw"),
-    )
-    g = g.where((F.col("n_rows") >= min_group) & (F.col("n_pos") > 0) & (F.col("n_neg") > 0))
-    g = g.select(
-        "group_col",
-        "group_val",
-        F.col("n_rows").alias("n"),
-        F.round("auc_raw", 4).alias("auc"),
-        F.round(2 * F.col("auc_raw") - 1, 4).alias("gini"),
-        F.round(F.col("n_pos") / F.col("n_rows"), 4).alias("event_rate"),
-        F.round(F.col("auc_raw") - F.lit(overall_auc), 4).alias("auc_delta"),
-    )
-    return overall.unionByName(g)
+    # a row per group value; a group is a value of a column in use
+    g = materialize(subgroup_auc(df, score, label, group_cols), "subgroups")
+    g = g.withColumns({"n": F.col("n_pos") + F.col("n_neg"), "event_rate": F.col("n_pos") / (F.col("n_pos") + F.col("n_neg"))})
+    whole = F.col("group_col") == OVERALL[0]
+    everyone = g.where(whole).first()
+    cols = ["group_col", "group_val", "n", "auc", "gini", "event_rate", "auc_delta"]
+    if everyone is None:  # no row has a score and a label
+        kinds = "group_col string, group_val string, n long, auc double, gini double, event_rate double, auc_delta double"
+        return df.sparkSession.createDataFrame([(*OVERALL, None, None, None, None, 0.0)], kinds)
+    overall = g.where(whole).withColumns({"gini": 2 * F.col("auc") - 1, "auc_delta": F.lit(0.0)})
+    sub = g.where(~whole & (F.col("n") >= min_group) & F.col("auc").isNotNull())
+    sub = sub.withColumns({
+        "gini": F.round(2 * F.col("auc") - 1, 4),
+        "event_rate": F.round("event_rate", 4),
+        "auc_delta": F.round(F.col("auc") - F.lit(everyone["auc"]), 4),
+        "auc": F.round("auc", 4),
+    })
+    return overall.select(cols).unionByName(sub.select(cols))
 
 
 def bias_shares(audit: DataFrame) -> DataFrame:
