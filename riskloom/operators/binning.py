@@ -21,7 +21,7 @@ from pyspark.sql.types import StringType
 
 from riskloom.functions import constants as K
 from riskloom.functions.exprs import bin_left_lit, bin_right_lit, bin_value_lit
-from riskloom.operators.ordered import _attach_group_table
+from riskloom.operators.ordered import attach_rows
 from riskloom.operators.quantiles import quantiles, value_stats
 
 
@@ -171,7 +171,7 @@ def _count_bins(df: DataFrame, label: str, edges: Bins, stats: list[dict]) -> Da
         "kind": F.element_at(kinds, F.col("feature")) if edges else F.lit("quantile"),
         "n_nonevents": F.col("n_total") - F.col("n_events"),
     })
-    return _attach_group_table(g, ["feature"], stats, ["E", "N"]).where((F.col("E") > 0) & (F.col("N") > 0))
+    return attach_rows(g, ["feature"], stats, ["E", "N"]).where((F.col("E") > 0) & (F.col("N") > 0))
 
 
 def woe_table(
@@ -321,7 +321,7 @@ def psi_table(
     bins = [(f, i) for f, (_, v) in e.items() for i in range(max(len(v) - 1, 1))]
     spine = df.sparkSession.createDataFrame(bins, "feature string, bin int")
     t = spine.join(counts, ["feature", "bin"], "left").na.fill({"c_exp": 0, "c_act": 0})
-    t = _attach_group_table(t, ["feature"], sizes, ["n_exp", "n_act"])
+    t = attach_rows(t, ["feature"], sizes, ["n_exp", "n_act"])
     ep = F.when(F.col("c_exp") > 0, F.col("c_exp") / F.col("n_exp")).otherwise(F.lit(K.PSI_PCT_FLOOR))
     ap = F.when(F.col("c_act") > 0, F.col("c_act") / F.col("n_act")).otherwise(F.lit(K.PSI_PCT_FLOOR))
     t = t.withColumns({"exp_pct": ep, "act_pct": ap})

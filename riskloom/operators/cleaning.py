@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.exprs import clip, nan_to_null
 from riskloom.operators.binning import unpivot_features
-from riskloom.operators.ordered import group_sizes, prefix_sums
+from riskloom.operators.ordered import prefix_sums
 from riskloom.operators.quantiles import quantiles
 
 log = logging.getLogger(__name__)
@@ -63,7 +63,7 @@ def ensure_id(df: DataFrame, order: Sequence[str], id_col: str = "ID") -> DataFr
     if id_col in df.columns:
         return df
     d = df.withColumn("_one", F.lit(1))
-    r = prefix_sums(d, [], list(order), ["_one"], sizes=group_sizes(d, []))
+    r = prefix_sums(d, [], list(order), ["_one"])
     return r.withColumnRenamed("_one_cum", id_col).drop("_one")
 
 

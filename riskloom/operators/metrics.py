@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.exprs import bin_right_lit
-from riskloom.operators.ordered import _attach_group_table, group_sizes, materialize, prefix_sums
+from riskloom.operators.ordered import attach_groups, group_stats, materialize, prefix_sums
 
 
 def _base(df: DataFrame, score: str, label: str, keys: Sequence[str]) -> DataFrame:
@@ -37,9 +37,9 @@ def cumulative_table(df: DataFrame, score: str, label: str, keys: Sequence[str]
     # the stats job and the final plan both read the collapsed scores: write
     # them once so the upstream plan runs once
     coll = materialize(coll, "scores")
-    sizes = group_sizes(coll, keys, {"P": F.sum("pos"), "N": F.sum("neg"), "_min": F.min("s"), "_max": F.max("s")})
-    pre = prefix_sums(coll, keys, ["s"], ["pos", "neg"], sizes=sizes)
-    return _attach_group_table(pre, keys, sizes, ["P", "N"])
+    groups = group_stats(coll, keys, P=F.sum("pos"), N=F.sum("neg"), _min=F.min("s"), _max=F.max("s"))
+    pre = prefix_sums(coll, keys, ["s"], ["pos", "neg"], groups=groups)
+    return attach_groups(pre, keys, groups, ["P", "N"])
 
 
 def _tp_fp(t: DataFrame) -> tuple[Column, Column]:

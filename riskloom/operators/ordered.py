@@ -15,18 +15,21 @@ precision, percentile edges, stratified ranks) is built instead on
 
 The result is exact whatever the edges are: a distinct value never spans
 two buckets, and offsets carry everything below the bucket.
+
+Statistics per group stay a table (:class:`Groups`) that is joined on the
+keys, NULL keys included: any number of groups; the driver sees one summary
+row.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Most groups whose small statistics rows we accept on the driver.
-MAX_DRIVER_GROUPS = 1_000_000
 # Largest number of collapsed rows we let one window task sort.
 DEFAULT_BUCKET_ROWS = 2_000_000
 # Broadcast a helper table only when it has at most this many rows.
@@ -56,55 +59,61 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column] | None = None) -> list[dict]:
-    """Small per-group statistics collected to the driver (one row per group)."""
-    aggs = dict(aggs or {})
-    aggs.setdefault("_rows", F.count(F.lit(1)))
-    exprs = [e.alias(k) for k, e in aggs.items()]
-    if keys:
-        # groups are features, subgroups, periods, classes: bounded, checked
-        rows = df.groupBy(*keys).agg(*exprs).limit(MAX_DRIVER_GROUPS + 1).collect()
-        if len(rows) > MAX_DRIVER_GROUPS:
-            raise ValueError(
-                f"more than {MAX_DRIVER_GROUPS} groups for {list(keys)}: group statistics are kept on the driver; "
-                "aggregate or bucket the grouping columns first"
-            )
-    else:
-        rows = df.agg(*exprs).collect()
-    return [r.asDict() for r in rows]
+class Groups(NamedTuple):
+    """Statistics per group as a written table, and what the driver needs to plan."""
 
+    table: DataFrame
+    n_groups: int
+    total: int
+    max_rows: int
 
-def _attach_group_table(df: DataFrame, keys: Sequence[str], rows: list[dict], cols: Sequence[str]) -> DataFrame:
-    """Add per-group scalars (``cols``) to ``df``.
+    @property
+    def small(self) -> bool:
+        return self.n_groups <= BROADCAST_ROWS
 
-    Without keys they become literals; with keys a small table is joined,
-    broadcast only when its row count (known on the driver) is small.
-    """
+
+def group_stats(df: DataFrame, keys: Sequence[str], **aggs: Column) -> Groups:
+    """Rows per group (``_rows``) and ``aggs``; without keys one row for the whole table."""
+    exprs = [F.count(F.lit(1)).alias("_rows"), *[e.alias(k) for k, e in aggs.items()]]
+    table = materialize(df.groupBy(*keys).agg(*exprs) if keys else df.agg(*exprs), "groups")
+    r = table.agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("t"), F.max("_rows").alias("m")).first()
+    return Groups(table, r["n"], r["t"] or 0, r["m"] or 0)
+
+
+def attach_groups(df: DataFrame, keys: Sequence[str], groups: Groups, cols: Sequence[str]) -> DataFrame:
+    """Add per-group columns of ``groups`` to ``df`` (literals without keys)."""
     if not keys:
-        r = rows[0] if rows else {}
-        return df.withColumns({k: F.lit(r.get(k)) for k in cols})
-    spark = df.sparkSession
-    schema_fields = [f for f in df.schema.fields if f.name in keys]
+        r = groups.table.select(*cols).first()
+        return df.withColumns({c: F.lit(r[c]).cast(groups.table.schema[c].dataType) for c in cols})
+    return join_groups(df, groups.table.select(*keys, *cols), keys, groups.small)
+
+
+def attach_rows(df: DataFrame, keys: Sequence[str], rows: list[dict], cols: Sequence[str]) -> DataFrame:
+    """Add per-group scalars that the driver holds (features or classes in use) to ``df``."""
     from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-    fields = list(schema_fields)
+    fields = [f for f in df.schema.fields if f.name in keys]
     for k in cols:
         sample = next((r[k] for r in rows if r.get(k) is not None), None)
         fields.append(StructField(k, LongType() if isinstance(sample, int) else DoubleType(), True))
     data = [tuple(r.get(f.name) for f in fields) for r in rows]
-    small = spark.createDataFrame(data, StructType(fields))
-    return join_groups(df, small, keys, len(rows) <= BROADCAST_ROWS)
+    return join_groups(df, df.sparkSession.createDataFrame(data, StructType(fields)), keys, len(rows) <= BROADCAST_ROWS)
+
 
+def join_groups(df: DataFrame, table: DataFrame, keys: Sequence[str], broadcast: bool, how: str = "inner") -> DataFrame:
+    """Join on group keys in which NULL is a group like any other: an inner join with all groups loses no row.
 
-def join_groups(df: DataFrame, table: DataFrame, keys: Sequence[str], broadcast: bool) -> DataFrame:
-    """Inner join on group keys in which NULL is a group like any other: no row is lost."""
+    ``broadcast`` is the caller's check of the row count; without it the join
+    is a sort-merge join, since a file of many rows can be small enough for
+    Spark to broadcast it.
+    """
     other = {k: f"_key{i}" for i, k in enumerate(keys)}
     table = table.withColumnsRenamed(other)
     cond = None
     for k, o in other.items():
         same = F.col(k).eqNullSafe(F.col(o))
         cond = same if cond is None else cond & same
-    return df.join(F.broadcast(table) if broadcast else table, cond, "inner").drop(*other.values())
+    return df.join(F.broadcast(table) if broadcast else table.hint("merge"), cond, how).drop(*other.values())
 
 
 def prefix_sums(
@@ -113,7 +122,7 @@ def prefix_sums(
     order: Sequence[str],
     cols: Sequence[str],
     *,
-    sizes: list[dict] | None = None,
+    groups: Groups | None = None,
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
     suffix: str = "_cum",
 ) -> DataFrame:
@@ -122,47 +131,42 @@ def prefix_sums(
     ``df`` must hold one row per ``(keys, order)`` (collapse ties first).
     ``order[0]`` must be numeric: it is the column that buckets are cut on;
     later order columns only break ties inside a bucket.
-    ``sizes`` (rows per group, from :func:`group_sizes`) can be passed to
-    save a job.
+    ``groups`` (from :func:`group_stats`; with ``_min`` and ``_max`` of
+    ``order[0]`` few groups are cut into ranges without a further job) saves
+    a job.
     """
-    keys = list(keys)
-    order = list(order)
-    if sizes is None:
-        sizes = group_sizes(df, keys)
-    max_rows = max((r["_rows"] for r in sizes), default=0)
-
-    total = sum(r["_rows"] for r in sizes)
+    keys, order = list(keys), list(order)
+    groups = group_stats(df, keys) if groups is None else groups
     o0 = order[0]
-    if max_rows <= bucket_rows:
-        par = max(1, df.sparkSession.sparkContext.defaultParallelism)
-        ranged = all("_min" in r and "_max" in r for r in sizes) and sizes
-        if total < PARALLEL_MIN_ROWS or not ranged:
-            w = (Window.partitionBy(*keys) if keys else Window).orderBy(*order).rowsBetween(
-                Window.unboundedPreceding, Window.currentRow
-            )
-            return df.withColumns({f"{x}{suffix}": F.sum(x).over(w) for x in cols})
+
+    def plain(d: DataFrame) -> DataFrame:
+        w = (Window.partitionBy(*keys) if keys else Window).orderBy(*order).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        return d.withColumns({f"{x}{suffix}": F.sum(x).over(w) for x in cols})
+
+    if groups.max_rows <= bucket_rows:
+        nb = 2 * max(1, df.sparkSession.sparkContext.defaultParallelism)
+        ranged = {"_min", "_max"} <= set(groups.table.columns)
+        if groups.total < PARALLEL_MIN_ROWS or not ranged or groups.n_groups >= nb:
+            return plain(df)
         # Each group fits one task, but few groups would leave cores idle and
         # sort long runs of equal keys: cut equal-width value ranges between
         # the group's min and max (known from the stats job) - no extra job.
-        nb = 2 * par
-        b = _attach_group_table(df, keys, sizes, ["_min", "_max"])
-        span = (F.col("_max") - F.col("_min")).cast("double")
-        pos = F.floor((F.col(o0) - F.col("_min")).cast("double") / span * nb)
-        b = b.withColumn(
-            "_bucket", F.when(F.isnan(F.col(o0).cast("double")), F.lit(nb - 1))
-            .when(span > 0, F.least(F.greatest(pos, F.lit(0)), F.lit(nb - 1)))
-            .otherwise(F.lit(0))
-            .cast("int"),
-        ).drop("_min", "_max")
-        return _bucket_prefix(b, keys, ["_bucket"], order, cols, suffix, len(sizes) * nb)
+        b = _width_bins(attach_groups(df, keys, groups, ["_min", "_max"]), o0, nb, "_bucket")
+        return _bucket_prefix(b, keys, ["_bucket"], order, cols, suffix, groups.n_groups * nb)
 
     if keys:
-        b, levels, n_small = _cut_groups(df, keys, o0, max_rows, bucket_rows)
-        return _bucket_prefix(b, keys, levels, order, cols, suffix, n_small)
+        # only groups beyond the limit are cut; there are at most total / bucket_rows of them
+        over = groups.table.where(F.col("_rows") > bucket_rows).select(*keys)
+        few = groups.total // bucket_rows <= BROADCAST_ROWS
+        b, levels, n_small = _cut_groups(join_groups(df, over, keys, few, "left_semi"), keys, o0, groups.max_rows, bucket_rows)
+        cut = _bucket_prefix(b, keys, levels, order, cols, suffix, n_small)
+        return plain(join_groups(df, over, keys, few, "left_anti")).unionByName(cut)
     # one global set of edges: binary search via Bucketizer
     from pyspark.ml.feature import Bucketizer
 
-    n_buckets = int(math.ceil(max_rows / bucket_rows))
+    n_buckets = int(math.ceil(groups.max_rows / bucket_rows))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     e = df.agg(F.percentile_approx(o0, probs, max(10_000, 20 * n_buckets)).alias("e")).collect()[0]["e"] or []
     splits = [float("-inf")] + sorted({float(v) for v in e if not math.isnan(v)}) + [float("inf")]
@@ -173,6 +177,19 @@ def prefix_sums(
     return _bucket_prefix(b, keys, ["_bucket"], order, cols, suffix, n_buckets + 2)
 
 
+def _width_bins(df: DataFrame, value: str, n_bins: int, out: str) -> DataFrame:
+    """Add the equal-width bin of ``value`` between ``_min`` and ``_max`` (dropped); NaN in the last one."""
+    x = F.col(value)
+    span = (F.col("_max") - F.col("_min")).cast("double")
+    pos = F.floor(F.try_divide((x - F.col("_min")).cast("double"), span) * n_bins)
+    place = (
+        F.when(F.isnan(x.cast("double")), F.lit(n_bins - 1))
+        .when(span > 0, F.least(F.greatest(pos, F.lit(0)), F.lit(n_bins - 1)))
+        .otherwise(F.lit(0))
+    )
+    return df.withColumn(out, place.cast("int")).drop("_min", "_max")
+
+
 def _cut_groups(df: DataFrame, keys: list, o0: str, max_rows: int, bucket_rows: int) -> tuple[DataFrame, list[str], int]:
     """Value-range buckets of about ``bucket_rows`` rows inside every group.
 
@@ -215,60 +232,37 @@ def _bucket_prefix(b: DataFrame, keys, levels: Sequence[str], order, cols, suffi
     return out.drop(*levels, *[f"_o_{x}" for x in cols])
 
 
+def _target_ranks(groups: Groups, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(keys, _j, _pos, _rlo, _rhi): the wanted position of every prob in every group, and the ranks around it."""
+    n = F.col("_n") - 1
+    spots = F.array(*[F.struct(F.lit(j).alias("_j"), (n.cast("double") * F.lit(float(p))).alias("_pos")) for j, p in enumerate(probs)])
+    t = groups.table.where("_n > 0").select(*keys, F.explode(spots).alias("_t")).select(*keys, "_t.*")
+    return t.withColumns({"_rlo": F.floor("_pos"), "_rhi": F.ceil("_pos")})
+
+
 def _selected_bins(
-    coll: DataFrame, keys: list, value: str, probs: Sequence[float], sizes: list[dict], bucket_rows: int,
-    n_bins: int | None = None,
+    coll: DataFrame, keys: list, value: str, targets: DataFrame, groups: Groups, n_targets: int, bucket_rows: int
 ) -> DataFrame | None:
     """Rows of the histogram bins that hold a target rank, with exact ``_w_cum``.
 
-    An equal-width histogram per group (exact counts; one aggregation whose
-    result is at most groups x bins rows) tells the driver which bin holds
-    each target rank and how many rows lie below it; only those bins are
-    sorted. Returns None (caller sorts everything with the bucketed prefix
-    sum) when a needed bin holds more than ``bucket_rows`` values.
+    An equal-width histogram per group (exact counts, at most groups x bins
+    rows, a written table) tells by a window per group which bins hold a
+    target rank and how many rows lie below them; only those bins are sorted.
+    Returns None (caller sorts everything with the bucketed prefix sum) when a
+    needed bin holds more than ``bucket_rows`` values.
     """
-    import bisect
-
-    n_bins = n_bins or HIST_BINS
-    groups = [r for r in sizes if r.get("_n")]
-    if not groups or any(r.get("_min") is None for r in groups):
+    b = _width_bins(attach_groups(coll, keys, groups, ["_min", "_max"]), value, HIST_BINS, "_bin")
+    hist = b.groupBy(*keys, "_bin").agg(F.sum("_w").alias("_c"), F.count(F.lit(1)).alias("_d"))
+    line = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    hist = hist.withColumn("_below", F.coalesce(F.sum("_c").over(line), F.lit(0)))
+    ranks = targets.groupBy(*keys).agg(F.collect_set("_rlo").alias("_lo"), F.collect_set("_rhi").alias("_hi"))  # probs of one group
+    few = groups.n_groups * n_targets <= BROADCAST_ROWS
+    held = lambda r: (r >= F.col("_below")) & (r < F.col("_below") + F.col("_c"))
+    need = join_groups(hist, ranks, keys, few).where(F.exists("_lo", held) | F.exists("_hi", held))
+    need = materialize(need.select(*keys, "_bin", "_below", "_d"), "bins")
+    if (need.agg(F.max("_d")).first()[0] or 0) > bucket_rows:
         return None
-    b = _attach_group_table(coll, keys, groups, ["_min", "_max"])
-    span = (F.col("_max") - F.col("_min")).cast("double")
-    pos = F.floor((F.col(value) - F.col("_min")).cast("double") / span * n_bins)
-    b = b.withColumn(
-        "_bin", F.when(span > 0, F.least(F.greatest(pos, F.lit(0)), F.lit(n_bins - 1))).otherwise(F.lit(0)).cast("int")
-    ).drop("_min", "_max")
-    hist = b.groupBy(*keys, "_bin").agg(F.sum("_w").alias("c"), F.count(F.lit(1)).alias("d")).collect()
-    per: dict = {}
-    for r in hist:
-        per.setdefault(tuple(r[k] for k in keys), []).append((r["_bin"], r["c"], r["d"]))
-    need = []  # (keys..., bin, weight below the bin)
-    for g in groups:
-        gk = tuple(g[k] for k in keys)
-        bins = sorted(per.get(gk, []))
-        if not bins:
-            continue
-        cum, c0 = [], 0
-        for _, c, _ in bins:
-            cum.append(c0)
-            c0 += c
-        n = int(g["_n"])
-        chosen = set()
-        for p in probs:
-            pos_ = (n - 1) * float(p)
-            for rk in {int(math.floor(pos_)), int(math.ceil(pos_))}:
-                chosen.add(bisect.bisect_right(cum, rk) - 1)
-        for i in sorted(chosen):
-            if bins[i][2] > bucket_rows:
-                return None
-            need.append((*gk, int(bins[i][0]), int(cum[i])))
-    from pyspark.sql.types import IntegerType, LongType, StructField, StructType
-
-    kf = [f for f in coll.schema.fields if f.name in keys]
-    schema = StructType(kf + [StructField("_bin", IntegerType()), StructField("_below", LongType())])
-    sel = coll.sparkSession.createDataFrame(need, schema)
-    picked = join_groups(b, sel, [*keys, "_bin"], len(need) <= BROADCAST_ROWS)
+    picked = join_groups(b, need.drop("_d"), [*keys, "_bin"], few)
     w = Window.partitionBy(*keys, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return picked.withColumn("_w_cum", F.col("_below") + F.sum("_w").over(w)).drop("_bin", "_below")
 
@@ -281,109 +275,51 @@ def exact_quantiles(
     *,
     weight: str | None = None,
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
-    sizes: list[dict] | None = None,
     collapsed: bool = False,
 ) -> DataFrame:
-    """Exact linear-interpolated quantiles per group, fully distributed.
+    """Exact linear-interpolated quantiles per group, fully distributed, for any number of groups.
 
     Returns ``(keys..., edges array<double>)`` with one entry per prob, in
     prob order. Same rule as ``quantile_cont`` / NumPy ``linear``: position
     ``(n-1)*p``, value ``lo + (hi-lo)*(pos-floor(pos))``. NULL values are
     ignored. ``weight`` names a count column when ``df`` is already
     collapsed to ``(keys, value, weight)``; ``collapsed=True`` says it already
-    holds one row per ``(keys, value)``. ``sizes`` (per group ``_rows``,
-    ``_n`` = total weight, ``_min``/``_max`` of the value) saves the
-    statistics job.
+    holds one row per ``(keys, value)``.
 
     The rows holding the target ranks are found through an exact
     equal-width histogram (see :func:`_selected_bins`), so only a few bins
     are sorted; with a bin too large (heavy skew) the bucketed prefix sum
-    over all values is used instead. Both are exact.
+    over all values is used instead. Both are exact. Group statistics,
+    histograms and target ranks are tables, joined on the keys.
     """
-    keys = list(keys)
+    given = list(keys)
+    keys = given or ["_all"]
     base = df.where(F.col(value).isNotNull())
+    if not given:
+        base = base.withColumn("_all", F.lit(0))
     if collapsed:
         coll = base.select(*keys, value, F.col(weight).cast("long").alias("_w"))
     elif weight is None:
         coll = base.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_w"))
     else:
         coll = base.groupBy(*keys, value).agg(F.sum(weight).cast("long").alias("_w"))
-    if sizes is None or not all(k in r for r in sizes for k in ("_n", "_min", "_max", "_rows")):
-        sizes = group_sizes(coll, keys, {"_n": F.sum("_w"), "_min": F.min(value), "_max": F.max(value)})
-    pre = _selected_bins(coll, keys, value, probs, sizes, bucket_rows)
+    coll = materialize(coll, "values")
+    groups = group_stats(coll, keys, _n=F.sum("_w"), _min=F.min(value), _max=F.max(value))
+    targets = _target_ranks(groups, keys, probs)
+    pre = _selected_bins(coll, keys, value, targets, groups, len(probs), bucket_rows)
     if pre is None:
-        pre = prefix_sums(coll, keys, [value], ["_w"], sizes=sizes, bucket_rows=bucket_rows)
-    # Target ranks are known on the driver (n per group): floor/ceil of
-    # (n-1)*p. Keep only the collapsed rows whose rank span
-    # [cum-w, cum-1] holds a target: a codegen'd range test (literal when
-    # ungrouped, a broadcast equi-join on the group keys otherwise), so the
-    # per-target work touches at most 2*len(probs) rows per group.
-    start = F.col("_w_cum") - F.col("_w")
-    end = F.col("_w_cum") - F.lit(1)
-    trows = []
-    for r in sizes:
-        n = int(r["_n"] or 0)
-        if n <= 0:
-            continue
-        for j, p in enumerate(probs):
-            pos = (n - 1) * float(p)
-            trows.append((*[r[k] for k in keys], j, pos, int(math.floor(pos)), int(math.ceil(pos))))
-    if keys:
-        from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
-
-        kf = [f for f in pre.schema.fields if f.name in keys]
-        schema = StructType(
-            kf
-            + [
-                StructField("_j", IntegerType()),
-                StructField("_pos", DoubleType()),
-                StructField("_rlo", LongType()),
-                StructField("_rhi", LongType()),
-            ]
-        )
-        tdf = pre.sparkSession.createDataFrame(trows, schema)
-        if len(trows) <= BROADCAST_ROWS:
-            tdf = F.broadcast(tdf)
-        cond = [pre[k].eqNullSafe(tdf[k]) for k in keys] + [
-            (tdf["_rlo"].between(start, end)) | (tdf["_rhi"].between(start, end))
-        ]
-        hits = pre.join(tdf, on=cond, how="inner").select(
-            *[pre[k] for k in keys],
-            F.col(value).cast("double").alias("_v"),
-            "_j",
-            "_pos",
-            tdf["_rlo"].between(start, end).alias("_is_lo"),
-            tdf["_rhi"].between(start, end).alias("_is_hi"),
-        )
-    else:
-        ranks = sorted({t[2] for t in trows} | {t[3] for t in trows})
-        any_hit = F.lit(False)
-        for rk in ranks:
-            any_hit = any_hit | F.lit(rk).between(start, end)
-        targets = F.array(
-            *[
-                F.struct(F.lit(t[0]).alias("j"), F.lit(t[1]).alias("pos"), F.lit(t[2]).alias("rlo"), F.lit(t[3]).alias("rhi"))
-                for t in trows
-            ]
-        ) if trows else F.array().cast("array<struct<j:int,pos:double,rlo:bigint,rhi:bigint>>")
-        cand = pre.where(any_hit).select(
-            F.col(value).cast("double").alias("_v"), start.alias("_s"), end.alias("_e"), F.explode(targets).alias("_t")
-        )
-        hits = cand.select(
-            "_v",
-            F.col("_t.j").alias("_j"),
-            F.col("_t.pos").alias("_pos"),
-            F.col("_t.rlo").between(F.col("_s"), F.col("_e")).alias("_is_lo"),
-            F.col("_t.rhi").between(F.col("_s"), F.col("_e")).alias("_is_hi"),
-        ).where(F.col("_is_lo") | F.col("_is_hi"))
-    per_q = hits.groupBy(*keys, F.col("_j").alias("j")).agg(
-        F.max(F.when(F.col("_is_lo"), F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_is_hi"), F.col("_v"))).alias("_hi"),
+        pre = prefix_sums(coll, keys, [value], ["_w"], groups=groups, bucket_rows=bucket_rows)
+    # a collapsed row covers ranks _w_cum - _w .. _w_cum - 1; at most 2 rows per target hold one of its ranks
+    hits = join_groups(pre, targets, keys, groups.n_groups * len(probs) <= BROADCAST_ROWS)
+    start, end = F.col("_w_cum") - F.col("_w"), F.col("_w_cum") - 1
+    is_lo, is_hi = F.col("_rlo").between(start, end), F.col("_rhi").between(start, end)
+    per_q = hits.where(is_lo | is_hi).groupBy(*keys, F.col("_j").alias("j")).agg(
+        F.max(F.when(is_lo, F.col(value).cast("double"))).alias("_lo"),
+        F.max(F.when(is_hi, F.col(value).cast("double"))).alias("_hi"),
         F.max("_pos").alias("_pos"),
     )
-    q = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_pos") - F.floor(F.col("_pos")))
-    per_q = per_q.select(*keys, "j", q.alias("q"))
-    agg = F.transform(F.array_sort(F.collect_list(F.struct("j", "q"))), lambda s: s["q"]).alias("edges")
-    if keys:
-        return per_q.groupBy(*keys).agg(agg)
-    return per_q.agg(agg)
+    step = (F.col("_hi") - F.col("_lo")) * (F.col("_pos") - F.floor(F.col("_pos")))
+    q = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(F.col("_lo") + step)
+    edges = F.transform(F.array_sort(F.collect_list(F.struct("j", q.alias("q")))), lambda s: s["q"]).alias("edges")
+    out = per_q.groupBy(*keys).agg(edges)  # one entry per prob
+    return out if given else out.select("edges")

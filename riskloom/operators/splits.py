@@ -19,7 +19,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from riskloom.functions import constants as K
 from riskloom.functions.exprs import hash_rank_key, md5_key
-from riskloom.operators.ordered import BROADCAST_ROWS, _attach_group_table, group_sizes, join_groups, prefix_sums
+from riskloom.operators.ordered import BROADCAST_ROWS, attach_groups, group_stats, join_groups, prefix_sums
 from riskloom.operators.quantiles import LEAF_ROWS
 
 # Hex digits by which hashes are counted at a time, and digits of an md5.
@@ -36,13 +36,10 @@ def hash_rank(df: DataFrame, key: Sequence[str] | str, label: str) -> DataFrame:
     and ``_n`` (class size)."""
     key = [key] if isinstance(key, str) else list(key)
     d = df.withColumn("_h", md5_key(*key)).withColumn("_hk", hash_rank_key("_h")).withColumn("_one", F.lit(1))
-    sizes = group_sizes(d, [label])
-    for s in sizes:  # the hash key spans [0, 16^15): its range needs no pass over the data
-        s["_min"], s["_max"] = 0, 16**15 - 1
-    r = prefix_sums(d, [label], ["_hk", "_h"], ["_one"], sizes=sizes)
-    for s in sizes:
-        s["_n"] = s["_rows"]
-    r = _attach_group_table(r, [label], sizes, ["_n"])
+    # the hash key spans [0, 16^15): its range needs no pass over the data
+    groups = group_stats(d, [label], _n=F.count(F.lit(1)), _min=F.lit(0).cast("long"), _max=F.lit(16**15 - 1))
+    r = prefix_sums(d, [label], ["_hk", "_h"], ["_one"], groups=groups)
+    r = attach_groups(r, [label], groups, ["_n"])
     return r.withColumnRenamed("_one_cum", "_rank").drop("_one", "_hk")
 
 
