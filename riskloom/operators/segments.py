@@ -156,28 +156,17 @@ def kmeans_segments(
     df: DataFrame, features: Sequence[str], k: int = K.N_CLUSTERS, restarts: int = 10, max_iter: int = 300,
     seed: int = 42, min_features: int = 3,
 ):
-    """K-Means on standardised features (population std), ``restarts`` seeds,
-    keep the lowest training cost. Returns (model, scaler, cost)."""
-    from pyspark.ml.clustering import KMeans
+    """K-Means on standardised features (population std), ``restarts`` starts in shared
+    passes, the lowest cost kept. Returns (model, scaler, cost)."""
+    from riskloom.operators.clusters import CentroidModel, shared_kmeans, vectors
+    from riskloom.operators.scaling import fit_standard
 
     feats = [f for f in features if f in df.columns]
     if len(feats) < min_features:
         raise ValueError(f"need at least {min_features} clustering features, got {feats}")
-    v, sm = _std_vectors(df, feats)
-    from riskloom.session import run_parallel
-
-    v = v.select("features").persist()
-    try:
-        def fit(r):
-            m = KMeans(k=k, maxIter=max_iter, seed=seed + r, featuresCol="features", predictionCol="cluster").fit(v)
-            return m, m.summary.trainingCost
-
-        fits = run_parallel([lambda r=r: fit(r) for r in range(restarts)])
-    finally:
-        v.unpersist()
-    # lowest cost wins; ties keep the earliest seed
-    m, cost = min(fits, key=lambda t: t[1])
-    return m, sm, cost
+    sm = fit_standard(df, feats)
+    best = shared_kmeans(vectors(sm.transform(df), feats), [k], restarts, max_iter, seed)[k]
+    return CentroidModel(best.centers), sm, best.inertia
 
 
 def assign_segments(
@@ -233,24 +222,15 @@ def elbow(
     df: DataFrame, features: Sequence[str], ks: Sequence[int] = range(2, 9), restarts: int = 10, max_iter: int = 300,
     seed: int = 42,
 ) -> list[tuple]:
-    """(k, inertia, silhouette) of the best of ``restarts`` starts for each k."""
-    from pyspark.ml.clustering import KMeans
-
-    from riskloom.session import run_parallel
+    """(k, inertia, silhouette) of the best of ``restarts`` starts for each k: one scan per iteration for
+    all of them, one for all silhouettes (squared Euclidean distance, every row)."""
+    from riskloom.operators.clusters import shared_kmeans, silhouettes, vectors
+    from riskloom.operators.scaling import fit_standard
 
-    v, _ = _std_vectors(df, features)
-    v = v.select("features").persist()
-    try:
-        def fit(k, r):
-            m = KMeans(k=k, maxIter=max_iter, seed=seed + r, featuresCol="features", predictionCol="cluster").fit(v)
-            return float(m.summary.trainingCost), m
-
-        ks = [int(k) for k in ks]
-        fits = run_parallel([lambda k=k, r=r: (k, *fit(k, r)) for k in ks for r in range(restarts)])
-        best = {k: min((f for f in fits if f[0] == k), key=lambda f: f[1]) for k in ks}
-        return run_parallel([lambda b=best[k]: (b[0], b[1], silhouette(b[2].transform(v))) for k in ks])
-    finally:
-        v.unpersist()
+    rows = vectors(fit_standard(df, features).transform(df), features)
+    ks = [int(k) for k in ks]
+    best = shared_kmeans(rows, ks, restarts, max_iter, seed)
+    return [(k, best[k].inertia, s) for k, s in zip(ks, silhouettes(rows, [best[k] for k in ks]))]
 
 
 def pca_projection(df: DataFrame, features: Sequence[str], key: str, k: int = 2):

@@ -173,6 +173,12 @@ SELECT id, cast(list_position(dist, list_min(dist)) - 1 AS int) AS cluster FROM
 def q_assign(spark, sf):
     """Nearest of fixed centroids (here: per-market-segment means of the
     standardised features), computed as one expression per row."""
+    z, centroids = _fixed_centroids(spark, sf)
+    return z.select("id", sg.nearest_centroid(z, _Z_FEATS, centroids).cast("int").alias("cluster"))
+
+
+def _fixed_centroids(spark, sf):
+    """Standardised features and the mean of each market segment."""
     from riskloom.operators.scaling import fit_standard
 
     df = fx.panel(spark, sf)
@@ -181,8 +187,7 @@ def q_assign(spark, sf):
     df = df.where(F.col("util_mean").isNotNull()).select("id", "seg", *_Z_FEATS)
     z = fit_standard(df, _Z_FEATS).transform(df)
     cents = z.groupBy("seg").agg(*[F.avg(f).alias(f) for f in _Z_FEATS]).orderBy("seg").collect()
-    centroids = [[r[f] for f in _Z_FEATS] for r in cents]
-    return z.select("id", sg.nearest_centroid(z, _Z_FEATS, centroids).cast("int").alias("cluster"))
+    return z, [[r[f] for f in _Z_FEATS] for r in cents]
 
 
 @register("silhouette")
@@ -197,6 +202,32 @@ def q_silhouette(spark, sf):
     return spark.createDataFrame([(4, sg.silhouette(v))], "k int, silhouette double")
 
 
+_EUCLID = " + ".join(f"pow(a.{f} - b.{f}, 2)" for f in _Z_FEATS)
+SQL_EUCLID = f"""WITH {_z_sql()},
+ce AS (SELECT list(v ORDER BY seg) AS cents
+       FROM (SELECT seg, [{', '.join(f'avg({f})' for f in _Z_FEATS)}] AS v FROM z GROUP BY seg) g),
+zc AS (SELECT z.*, list_transform((SELECT cents FROM ce),
+                                  lambda c: {' + '.join(f'pow({f} - c[{i + 1}], 2)' for i, f in enumerate(_Z_FEATS))}) AS dist FROM z),
+sp AS (SELECT *, cast(list_position(dist, list_min(dist)) - 1 AS bigint) AS cluster FROM zc ORDER BY md5(cast(id AS varchar)) LIMIT 2000),
+sz AS (SELECT cluster, count(*) AS n FROM sp GROUP BY cluster),
+pr AS (SELECT a.id, a.cluster, b.cluster AS other, sum(sqrt({_EUCLID})) AS total FROM sp a CROSS JOIN sp b GROUP BY ALL),
+av AS (SELECT p.id, p.cluster, s.n, p.cluster = p.other AS mine, CASE WHEN p.cluster = p.other THEN total / greatest(s.n - 1, 1) ELSE total / s.n END AS d
+       FROM pr p JOIN sz s ON s.cluster = p.other),
+ab AS (SELECT id, cluster, max(CASE WHEN mine THEN n END) AS n, max(CASE WHEN mine THEN d END) AS own, min(CASE WHEN NOT mine THEN d END) AS other
+       FROM av GROUP BY id, cluster)
+SELECT cast(id AS varchar) AS key, cluster, own, other, CASE WHEN n > 1 THEN (other - own) / greatest(own, other) ELSE 0.0 END AS silhouette FROM ab"""
+
+
+@register("silhouette_euclidean", with_fixtures(SQL_EUCLID, "panel"), ["own", "other", "silhouette"])
+def q_silhouette_euclidean(spark, sf):
+    """Exact Euclidean silhouette of 2,000 sampled customers whose clusters are the nearest fixed centroids."""
+    from riskloom.operators.clusters import euclidean_silhouette
+
+    z, centroids = _fixed_centroids(spark, sf)
+    z = z.withColumn("cluster", sg.nearest_centroid(z, _Z_FEATS, centroids))
+    return euclidean_silhouette(z, _Z_FEATS, "id")
+
+
 @register("elbow")
 def q_elbow(spark, sf):
     from riskloom.plans.q_models import CLUSTER_FEATURES
