@@ -305,23 +305,29 @@ def psi_table(
     bins are left-closed; empty bins get 1e-6. Both sides are counted per
     (feature, bin) over a single scan.
     """
-    long = unpivot_features(df.where(F.col(part_col).isin(expected, actual)), features, extra=[part_col])
-    is_exp = F.col(part_col) == expected
-    exp_x = F.when(is_exp, F.col("x"))
-    sides = value_stats(
-        long.select("feature", exp_x.alias("x"), is_exp.alias("e")), "feature", "x", n_act=F.count_if(~F.col("e"))
-    )
-    sizes = [{"feature": f, "n_exp": r["n"], "n_act": r["n_act"]} for f, r in sides.items()]
-    q = quantiles(long.where(is_exp), "feature", "x", percentile_probs(n_bins), sides)
-    e = {f: ("left", list(dict.fromkeys(v))) for f, v in q.items()}
-    rows = binned_rows(df.where(F.col(part_col).isin(expected, actual)), e, [F.col(part_col).alias("_part")])
+    sides = df.where(F.col(part_col).isin(expected, actual))
+    e = psi_edges(sides.where(F.col(part_col) == expected), features, n_bins)
+    rows = binned_rows(sides, e, [F.col(part_col).alias("_part")])
     counts = rows.groupBy("feature", "bin").agg(
         F.count_if(F.col("_part") == expected).alias("c_exp"), F.count_if(F.col("_part") == actual).alias("c_act")
     )
+    return psi_rows(counts, e)
+
+
+def psi_edges(expected: DataFrame, features: Sequence[str], n_bins: int = 10) -> Bins:
+    """Unique percentiles per feature; bins are left-closed, the outer ones open."""
+    q = quantiles(unpivot_features(expected, features), "feature", "x", percentile_probs(n_bins))
+    return {f: ("left", list(dict.fromkeys(v))) for f, v in q.items()}
+
+
+def psi_rows(counts: DataFrame, e: Bins) -> DataFrame:
+    """PSI per (feature, bin) of ``c_exp`` and ``c_act`` counts; bins that ``counts`` lacks are empty."""
     bins = [(f, i) for f, (_, v) in e.items() for i in range(max(len(v) - 1, 1))]
-    spine = df.sparkSession.createDataFrame(bins, "feature string, bin int")
+    spine = counts.sparkSession.createDataFrame(bins, "feature string, bin int")
     t = spine.join(counts, ["feature", "bin"], "left").na.fill({"c_exp": 0, "c_act": 0})
-    t = attach_rows(t, ["feature"], sizes, ["n_exp", "n_act"])
+    # features x bins rows
+    whole = Window.partitionBy("feature")
+    t = t.withColumns({"n_exp": F.sum("c_exp").over(whole), "n_act": F.sum("c_act").over(whole)})
     ep = F.when(F.col("c_exp") > 0, F.col("c_exp") / F.col("n_exp")).otherwise(F.lit(K.PSI_PCT_FLOOR))
     ap = F.when(F.col("c_act") > 0, F.col("c_act") / F.col("n_act")).otherwise(F.lit(K.PSI_PCT_FLOOR))
     t = t.withColumns({"exp_pct": ep, "act_pct": ap})
@@ -337,9 +343,13 @@ def psi_status(psi: Column) -> Column:
 def psi_report(df: DataFrame, features: Sequence[str], part_col: str = "part", **kw) -> DataFrame:
     """PSI per feature (rounded 5), status, number of bins; sorted by PSI desc.
     A feature without expected values has 0 bins and neither PSI nor status."""
-    t = psi_table(df, features, part_col, **kw)
+    return psi_summary(psi_table(df, features, part_col, **kw), features)
+
+
+def psi_summary(t: DataFrame, features: Sequence[str]) -> DataFrame:
+    """PSI per feature of :func:`psi_rows`."""
     g = t.groupBy("feature").agg(F.sum("psi_bin").alias("psi_raw"), F.count(F.lit(1)).alias("n_bins"))
-    names = df.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    names = t.sparkSession.createDataFrame([(f,) for f in features], "feature string")
     g = F.broadcast(names).join(g, "feature", "left").na.fill({"n_bins": 0})
     g = g.withColumn("psi", F.round("psi_raw", 5))
     return g.select("feature", "psi", psi_status(F.col("psi")).alias("status"), "n_bins").orderBy(

@@ -63,6 +63,7 @@ def load_all() -> dict[str, Query]:
         q_selection,
         q_sources,
         q_splits,
+        q_store,
         q_workflow,
     )
 

@@ -15,6 +15,7 @@ from riskloom.plans.q_features import (
     UTIL_COLS, VEL,
 )
 from riskloom.functions import constants as K
+from riskloom.plans.q_segments import SQL_TIER_SUMMARY
 from riskloom.sources import fixtures as fx
 from riskloom.sources import io
 
@@ -113,7 +114,10 @@ def q_feature_pipeline(spark, sf):
 
 
 # ---------------------------------------------------------------- sinks
-@register("write_report_csv")
+TIER_DBL = ["avg_pd", "actual_default_rate", "pct_of_portfolio"]
+
+
+@register("write_report_csv", with_fixtures(SQL_TIER_SUMMARY, "scored"), TIER_DBL)
 def q_write_report_csv(spark, sf):
     """Tier summary written as a one-file header CSV, read back with its schema."""
     t = sg.tier_summary(fx.scored(spark, sf))
@@ -122,7 +126,7 @@ def q_write_report_csv(spark, sf):
     return io.read_report(spark, path, t.schema, "csv")
 
 
-@register("read_report")
+@register("read_report", with_fixtures(SQL_TIER_SUMMARY, "scored"), TIER_DBL)
 def q_read_report(spark, sf):
     """A missing report gives an empty table of the expected schema; an existing one is read."""
     t = sg.tier_summary(fx.scored(spark, sf))
