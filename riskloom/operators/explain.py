@@ -2,25 +2,30 @@
 
 For one reference row r, the contribution of feature i to f(x) - f(r) is
 the Shapley value of the game v(S) = f(x_S, r_rest). For a tree it is
-exact and cheap: walk the tree for (x, r); where both go the same way no
-feature is involved; where they part at a split on feature j the path
-forks into an "x side" (j must be in S) and an "r side" (j must not).
-A leaf reached with required-in set A and required-out set B adds
-  v * (|A|-1)! |B)! / (|A|+|B|)!   to each feature of A and
+exact: a leaf's path asks one condition of each of its m features. Where x
+and r both meet a feature's condition it isn't involved; where only x does it
+must be in S (set A), where only r does it must not (set B), and where neither
+does the leaf is out of reach. A leaf of value v that is in reach adds
+  v * (|A|-1)! |B|! / (|A|+|B|)!   to each feature of A and
  -v * |A|! (|B|-1)! / (|A|+|B|)!   to each feature of B.
 Averaging over a background sample gives the interventional values;
 they add up to f(x) - mean f(background) (tested).
 
-Spark runs it: the tree tables (trees x nodes) and the bounded
-background sample ship to the tasks with the function, and
-``mapInPandas`` explains every input row, batch by batch. The walk is
-vectorised over (row, background) pairs with numpy.
+So a leaf sees of a row, and of a reference, only m bits. The background of
+a leaf is a table of the bit patterns that occur in it with their counts, and
+what a row gets from a leaf depends on the row's pattern alone: it is worked
+out once per pattern, for all 2**m patterns beforehand where m is small. A
+row then costs its conditions and one look-up a leaf, not the references.
+
+Spark runs it: the pattern tables (trees x leaves) ship to the tasks with the
+function, and ``mapInPandas`` explains every input row, batch by batch.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -81,74 +86,86 @@ def _tree_predict(tree: dict, x: np.ndarray) -> np.ndarray:
 def margin(trees: list[dict], x: np.ndarray) -> np.ndarray:
     return sum(t["w"] * _tree_predict(t, x) for t in trees)
 
-def _bits(m: np.ndarray, d: int) -> np.ndarray:
-    """uint64 masks -> (len, d) 0/1 matrix (little-endian bit order)."""
-    b = np.unpackbits(m.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    return b[:, :d].astype(np.float64)
+# Leaves with at most this many features have all their patterns worked out beforehand.
+TABLE_BITS = 8
+MAX_DEPTH = 30  # of a Spark tree
+_FACTORIAL = np.array([math.factorial(k) for k in range(MAX_DEPTH + 2)], dtype=float)
 
 
-def _shap_tree_pairs(tree: dict, x: np.ndarray, bg: np.ndarray, d: int, fact: np.ndarray) -> np.ndarray:
-    """Single-reference values summed over backgrounds, for all rows of ``x`` at
-    once: the walk carries (row, background) pairs instead of one row.
+class Leaf(NamedTuple):
+    """``path``: per distinct feature its (inner node, goes left) conditions; ``patterns``/``shares``: bits that the
+    background meets and how often; ``table``: contributions per pattern of a row, if worked out."""
 
-    A mask has one bit per distinct feature on the path from the root (``path``),
-    so the number of features is not limited: Spark's trees are at most 30 deep."""
-    nx, nb = len(x), len(bg)
-    phi = np.zeros((nx, d))
-    z = np.zeros(nx * nb, dtype=np.uint64)
-    stack = [(0, (), np.repeat(np.arange(nx), nb), np.tile(np.arange(nb), nx), z, z.copy())]
-    while stack:
-        node, path, ri, bi, ma, mb = stack.pop()
-        if len(ri) == 0:
-            continue
-        if tree["left"][node] < 0:
-            _add_leaf(phi, tree["val"][node], path, ri, _bits(ma, len(path)), _bits(mb, len(path)), fact)
-            continue
-        f = int(tree["feat"][node])
-        if f not in path:
-            path = (*path, f)
-        bit = np.uint64(1 << path.index(f))
-        none = np.uint64(0)
-        xl, rl = x[ri, f] <= tree["thr"][node], bg[bi, f] <= tree["thr"][node]
-        part = xl != rl
-        for go_left, child in ((True, tree["left"][node]), (False, tree["right"][node])):
-            # both go this way: no feature is involved
-            # only the row goes this way: the feature joins A unless it is in B; only the reference: B unless in A
-            together = ~part & (xl == go_left)
-            row_only = part & (xl == go_left) & ((mb & bit) == 0)
-            ref_only = part & (rl == go_left) & ((ma & bit) == 0)
-            for take, in_a, in_b in ((together, none, none), (row_only, bit, none), (ref_only, none, bit)):
-                stack.append((child, path, ri[take], bi[take], ma[take] | in_a, mb[take] | in_b))
-    return phi
+    value: float
+    features: np.ndarray
+    path: list[list[tuple[int, bool]]]
+    patterns: np.ndarray
+    shares: np.ndarray
+    table: np.ndarray | None
 
 
-def _add_leaf(phi, value, path, rows, in_a, in_b, fact) -> None:
-    """Add a leaf's share to the features of ``path`` that its pairs had to have in or out."""
-    a, b = in_a.sum(axis=1).astype(np.int64), in_b.sum(axis=1).astype(np.int64)
-    total = fact[a + b]
-    gain = np.where(a > 0, fact[np.maximum(a - 1, 0)] * fact[b] / total, 0.0) * value
-    loss = np.where(b > 0, fact[a] * fact[np.maximum(b - 1, 0)] / total, 0.0) * value
-    np.add.at(phi, (rows[:, None], np.array(path, dtype=np.int64)[None, :]), gain[:, None] * in_a - loss[:, None] * in_b)
+def _bits_met(path: list[list[tuple[int, bool]]], left: np.ndarray) -> np.ndarray:
+    """Per row the bits of the features whose conditions it meets; ``left`` (rows x nodes): goes left at a node."""
+    out = np.zeros(len(left), np.int64)
+    for bit, conditions in enumerate(path):
+        met = np.ones(len(left), bool)
+        for node, goes_left in conditions:
+            met &= left[:, node] == goes_left
+        out |= met.astype(np.int64) << bit
+    return out
 
 
-ROW_CHUNK = 256
-MAX_DEPTH = 30  # of a Spark tree
+def _shares(value: float, m: int, rows: np.ndarray, patterns: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """Contributions (row patterns x m features) of a leaf against the background's patterns."""
+    full = (1 << m) - 1
+    x, r = rows[:, None], patterns[None, :]
+    in_, out = x & ~r, r & ~x
+    a, b = np.bitwise_count(in_).astype(np.int64), np.bitwise_count(out).astype(np.int64)
+    weight = np.where((x | r) == full, value * shares / _FACTORIAL[a + b], 0.0)
+    gain = np.where(a > 0, _FACTORIAL[np.maximum(a - 1, 0)] * _FACTORIAL[b], 0.0) * weight
+    loss = np.where(b > 0, _FACTORIAL[a] * _FACTORIAL[np.maximum(b - 1, 0)], 0.0) * weight
+    bits = range(m)
+    return np.stack([(gain * (in_ >> j & 1) - loss * (out >> j & 1)).sum(1) for j in bits], 1) if m else np.zeros((len(rows), 0))
 
 
-def shap_values(trees: list[dict], x: np.ndarray, bg: np.ndarray) -> np.ndarray:
-    """Interventional values (rows x d) on the margin scale."""
-    d = x.shape[1]
-    fact = np.array([math.factorial(k) for k in range(MAX_DEPTH + 2)], dtype=float)
-    out = np.zeros((len(x), d))
-    for lo in range(0, len(x), ROW_CHUNK):
-        xs = x[lo : lo + ROW_CHUNK]
-        acc = np.zeros((len(xs), d))
-        for t in trees:
-            acc += t["w"] * _shap_tree_pairs(t, xs, bg, d, fact)
-        out[lo : lo + ROW_CHUNK] = acc / len(bg)
+def _left(tree: dict, x: np.ndarray) -> np.ndarray:
+    return x[:, np.maximum(tree["feat"], 0)] <= tree["thr"]
+
+
+def leaf_patterns(tree: dict, bg: np.ndarray) -> list[Leaf]:
+    """The leaves of a tree with the background's patterns."""
+    left, out = _left(tree, bg), []
+    stack: list[tuple[int, dict]] = [(0, {})]
+    while stack:
+        node, path = stack.pop()
+        if tree["left"][node] >= 0:
+            f = int(tree["feat"][node])
+            for goes_left, child in ((True, tree["left"][node]), (False, tree["right"][node])):
+                stack.append((int(child), path | {f: [*path.get(f, []), (node, goes_left)]}))
+            continue
+        conditions, m = list(path.values()), len(path)
+        patterns, counts = np.unique(_bits_met(conditions, left), return_counts=True)
+        value, shares = float(tree["w"] * tree["val"][node]), counts / len(bg)
+        table = _shares(value, m, np.arange(1 << m), patterns, shares) if m <= TABLE_BITS else None
+        out.append(Leaf(value, np.array(list(path), np.int64), conditions, patterns, shares, table))
     return out
 
 
+def shap_values(trees: list[dict], x: np.ndarray, leaves: list[list[Leaf]]) -> np.ndarray:
+    """Interventional values (rows x d) on the margin scale; ``leaves`` per tree from :func:`leaf_patterns`."""
+    phi = np.zeros(x.shape)
+    for tree, held in zip(trees, leaves):
+        left = _left(tree, x)
+        for leaf in held:
+            met = _bits_met(leaf.path, left)
+            table = leaf.table
+            if table is None:
+                seen, met = np.unique(met, return_inverse=True)
+                table = _shares(leaf.value, len(leaf.path), seen, leaf.patterns, leaf.shares)
+            phi[:, leaf.features] += table[met]
+    return phi
+
+
 def tree_attribution(
     df: DataFrame, model, features: Sequence[str], key: str, background: DataFrame
 ) -> tuple[DataFrame, float]:
@@ -159,6 +176,7 @@ def tree_attribution(
     feats = list(features)
     bg = np.array([[float(r[f]) if r[f] is not None else np.nan for f in feats] for r in background.select(*feats).collect()])
     base = float(margin(trees, bg).mean())
+    leaves = [leaf_patterns(t, bg) for t in trees]
 
     def explain(it):
         import pandas as pd
@@ -167,7 +185,7 @@ def tree_attribution(
             if pdf.empty:
                 continue
             x = pdf[feats].to_numpy(dtype=float)
-            phi = shap_values(trees, x, bg)
+            phi = shap_values(trees, x, leaves)
             n, d = phi.shape
             yield pd.DataFrame(
                 {
