@@ -419,28 +419,50 @@ def test_embedding_links_of_every_length(spark):
     assert min(links.values()) > 0
 
 
-def test_embedding_audit_weighs_vectors_alike_and_asks_until_links_are_seen(spark):
-    rng = np.random.default_rng(9)
+def classes(spark, x):
+    return spark.createDataFrame([(i, 1, bytearray(v.tobytes())) for i, v in enumerate(x)], "rid long, mult long, vec binary")
 
-    def classes(x):
-        return spark.createDataFrame([(i, 1, bytearray(v.tobytes())) for i, v in enumerate(x)], "rid long, mult long, vec binary")
 
+def test_embedding_audit_weighs_vectors_alike(spark):
+    rng = np.random.default_rng(9)
+    near = spark.createDataFrame([], "rid long, sim double")
     pairs = np.repeat(rng.normal(size=(100, 32)), 2, axis=0) + 0.001 * rng.normal(size=(200, 32))
     hot = rng.normal(size=32) + 0.001 * rng.normal(size=(200, 32))
     counted = spark.createDataFrame([(200 + i, 199) for i in range(200)], "rid long, links long")  # no pair was found
-    assert 0.3 < nn_descent.audit(classes(np.concatenate([pairs, hot])), counted, 32, 0.95) < 0.7
+    assert 0.3 < nn_descent.audit(classes(spark, np.concatenate([pairs, hot])), counted, near, 32, 0.95) < 0.7
     lone = rng.normal(size=(1500, 32))
-    assert nn_descent.audit(classes(np.concatenate([lone, lone[:1] + 0.001])), counted.limit(0), 32, 0.95) == 0
-    assert nn_descent.audit(classes(lone), counted.limit(0), 32, 0.95) == 1
+    assert nn_descent.audit(classes(spark, np.concatenate([lone, lone[:1] + 0.001])), counted.limit(0), near, 32, 0.95) == 0
+    assert nn_descent.audit(classes(spark, lone), counted.limit(0), near, 32, 0.95) == 1
+
+
+def test_embedding_audit_is_bounded_and_asks_near_the_threshold(spark, monkeypatch):
+    """Vectors without links cost three passes at most; a lost link of a vector near the threshold is seen."""
+    monkeypatch.setattr(nn_descent, "AUDIT", 20)
+    monkeypatch.setattr(nn_descent, "ASK", 50)
+    asked, plain = [], nn_descent._true_links
+    monkeypatch.setattr(nn_descent, "_true_links", lambda reps, q, t: asked.append(len(q[0])) or plain(reps, q, t))
+    lone = np.random.default_rng(10).normal(size=(2000, 16))
+    reps, nothing = classes(spark, [*lone, lone[7] + 0.001]), spark.createDataFrame([], "rid long, links long")
+    near = spark.createDataFrame([(7, 0.94), (8, 0.5), (9, 0.96)], "rid long, sim double")
+    assert nn_descent.audit(reps, nothing, near, 16, 0.95) == 0.0
+    assert asked == [20, 50, 1]
 
 
-def test_embedding_search_widens_with_depth_and_raises_below_its_recall(spark, monkeypatch):
+def test_embedding_search_widens_with_depth_and_compares_all_below_its_recall(spark, monkeypatch):
     for depth in (4, 8, 14, 21):
         together = (1 - np.arccos(0.95) / np.pi) ** depth
         assert 1 - (1 - together) ** nn_descent._trees(depth, 0.95, 0.99) >= 0.99
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(120, 12))
+    x = np.concatenate([x, x[:50] + 0.001 * rng.normal(size=(50, 12)), x[:1].repeat(30, 0) + 0.05 * rng.normal(size=(30, 12)), x[3:4]])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, nn_descent.near_duplicates(df).collect()))
     monkeypatch.setattr(nn_descent, "audit", lambda *_: 0.5)
-    with pytest.raises(RuntimeError, match="0.5000"):
-        nn_descent.near_duplicates(spark.createDataFrame([(1, [1.0, 2.0]), (2, [2.0, 1.0])], "vec_id long, embedding array<double>"), tries=1)
+    monkeypatch.setattr(nn_descent, "_around", lambda graph, reps: pytest.fail("no round was asked for"))
+    monkeypatch.setattr(nn_descent, "ASK", 64)
+    assert sorted(map(tuple, nn_descent.near_duplicates(df, rounds=0, tries=1).collect())) == want
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert [r[1] for r in want] == ((unit @ unit.T >= 0.95).sum(1) - 1).tolist()
 
 
 def passages(data):
