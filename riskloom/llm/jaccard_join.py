@@ -13,16 +13,21 @@ prefixes) have a token in common.
    hash, then the others by hash. Exact frequencies are counted for the
    window's tokens alone, over all classes. Tokens of one class only take
    their place in the prefix but make no candidates.
-3. Classes that share a prefix token meet in that token's group. A group over
-   ``block`` members is cut into blocks, a task sees two blocks. Size and a
+3. Classes that share a prefix token meet in that token's group. Size and a
    parity bitmap (its distance bounds the symmetric difference from below)
    rule pairs out, and a union-find keeps a spanning forest of the rest: rows
    grow with members, never with pairs. Components of the forests bound
    where links can be.
-4. Inside a candidate component (again in pairs of blocks) the full sets meet.
-   A pair must share prefix tokens under a second and a third order (hashes
-   of their own) as well; then the intersection is counted exactly. Pairs
-   that links already connect are skipped: components, not links, are asked.
+4. Inside a candidate component the full sets meet. A pair must share prefix
+   tokens under a second and a third order (hashes of their own) as well; then
+   the intersection is counted exactly. Pairs that links already connect are
+   skipped: components, not links, are asked.
+
+Both times a group over BLOCK members is cut at random into blocks, which
+differ from group to group and from pass to pass, and members first meet
+inside blocks: a group of near copies is connected by then, at the cost of
+its members. Only members that stay apart from the largest part of their
+group then meet all of it, block by block.
 
 Defined results: a null or empty text, or one without words, is an empty set
 that links with nothing (its component is its own id); a null id counts as
@@ -132,13 +137,36 @@ def _close(n1, n2, distance, num: int, den: int):
     return sizes & (distance * (den + num) <= (den - num) * (n1 + n2))
 
 
-def _blocks(rows: DataFrame, count: str, member: str, *key: str) -> DataFrame:
-    """Each member once per pair of blocks that its block is part of; ``unit`` names the pair."""
+def _blocks(rows: DataFrame, count: str, member: str, key: str, seed: int) -> DataFrame:
+    """Each member once, in a random block of its group; ``unit`` names the block."""
     nb = F.ceil(F.col(count) / F.lit(BLOCK)).cast("int")
-    mine = F.when(nb > 1, F.pmod(F.xxhash64(member, F.lit(7)), nb)).otherwise(F.lit(0)).cast("int")
-    rows = rows.withColumn("nb", nb).withColumn("mine", mine)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    return rows.withColumn("unit", F.xxhash64(*key, F.least("mine", "other"), F.greatest("mine", "other"))).drop("nb", "mine", "other", count)
+    block = F.when(nb > 1, F.pmod(F.xxhash64(member, key, F.lit(seed)), nb)).otherwise(F.lit(0))
+    return rows.withColumn("unit", F.xxhash64(key, block.cast("int"))).drop(count)
+
+
+def _apart(rows: DataFrame, joined: DataFrame, count: str, member: str, key: str, ws: Workspace) -> DataFrame:
+    """The pairs of blocks in which members outside the largest part of a group over BLOCK members meet all of it.
+
+    ``joined``: (node, comp) of what is connected so far; rows get it as ``part``.
+    """
+
+    def parted(df: DataFrame) -> DataFrame:
+        df = df.join(joined, F.col(member) == F.col("node"), "left")
+        return df.withColumn("part", F.coalesce("comp", member)).drop("node", "comp")
+
+    large = parted(rows.where(F.col(count) > BLOCK).select(key, member))
+    parts = large.groupBy(key, "part").agg(F.count("*").alias("size"))
+    top = parts.groupBy(key).agg(F.max(F.struct("size", "part")).alias("top"), F.sum("size").alias("all"))
+    top = top.select(F.col(key), F.col("top.part").alias("largest"), (F.col("all") - F.col("top.size")).alias("others"))
+    rows = parted(rows.join(ws.save(top.where("others > 0"), "parts"), key))
+    few, many = (F.ceil(F.col(c) / F.lit(BLOCK)).cast("int") for c in ("others", count))
+
+    def dealt(df: DataFrame, mine: str, other: str, n, m) -> DataFrame:
+        df = df.withColumn(mine, F.pmod(F.xxhash64(member, F.lit(13)), n).cast("int"))
+        return df.withColumn(other, F.explode(F.sequence(F.lit(0), m - 1)))
+
+    both = dealt(rows.where("part <> largest"), "i", "j", few, many).unionByName(dealt(rows, "j", "i", many, few))
+    return both.withColumn("unit", F.xxhash64(key, "i", "j")).drop("i", "j", "largest", "others", count)
 
 
 def _sorted_units(rows: DataFrame) -> DataFrame:
@@ -220,7 +248,14 @@ def candidates(prefix: DataFrame, reps: DataFrame, num: int, den: int, ws: Works
                 b.append(rid[s + moved])
             yield _edges(np.concatenate(a), np.concatenate(b))
 
-    return _sorted_units(_blocks(rows, "g", "rid", "token")).mapInArrow(pair_up, "a long, b long").distinct()
+    def edges(units: DataFrame) -> DataFrame:
+        return _sorted_units(units.select("unit", "rid", "n", "bits")).mapInArrow(pair_up, "a long, b long").distinct()
+
+    found = ws.save(edges(_blocks(rows, "g", "rid", "token", 7)), "candidates")
+    if (groups.agg(F.max("g")).first()[0] or 0) <= BLOCK:
+        return found
+    rest = edges(_apart(rows, ws.save(components(found, ws), "joined"), "g", "rid", "token", ws))
+    return ws.save(found.unionByName(rest), "candidates")
 
 
 def _share_prefix(tokens: list[np.ndarray], seed: np.uint64, num: int, den: int) -> np.ndarray:
@@ -247,13 +282,17 @@ def _share_prefix(tokens: list[np.ndarray], seed: np.uint64, num: int, den: int)
     return out
 
 
-def _linked(tokens: list[np.ndarray], num: int, den: int) -> np.ndarray:
-    """Root of each set's component under exact links among these sets."""
+def _linked(tokens: list[np.ndarray], num: int, den: int, part: np.ndarray | None = None) -> np.ndarray:
+    """Root of each set's component under exact links among these sets; sets of one ``part`` are connected already."""
     m, n = len(tokens), np.array([len(t) for t in tokens], np.int64)
     maybe = den * np.minimum.outer(n, n) >= num * np.maximum.outer(n, n)
     for seed in _ORDERS:
         maybe &= _share_prefix(tokens, seed, num, den)
     forest = _Forest(m)
+    if part is not None:
+        _, first, same = np.unique(part, return_index=True, return_inverse=True)
+        for x in range(m):
+            forest.join(x, int(first[same[x]]))
     for x in range(m - 1):
         ys = np.flatnonzero(maybe[x, x + 1 :]) + x + 1
         mine = forest.root(x)
@@ -268,9 +307,11 @@ def _linked(tokens: list[np.ndarray], num: int, den: int) -> np.ndarray:
     return forest.roots()
 
 
-def verify(docs: DataFrame, reps: DataFrame, cand: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+def verify(
+    docs: DataFrame, reps: DataFrame, cand: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str, ws: Workspace
+) -> DataFrame:
     """Spanning edges of the exact links inside the candidate components."""
-    sizes = cand.groupBy("comp").agg(F.count("*").alias("g"))
+    sizes = ws.save(cand.groupBy("comp").agg(F.count("*").alias("g")), "sizes")
     members = cand.join(sizes, "comp").join(reps.select("rid", "id", "h1", "h2"), F.col("node") == F.col("rid"))
     members = members.select("rid", "id", "h1", "h2", "comp", "g")
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
@@ -278,30 +319,45 @@ def verify(docs: DataFrame, reps: DataFrame, cand: DataFrame, k: int, num: int,
 
     def sets(batches):
         for batch in batches:
+            known: set[tuple[int, int]] = set()  # rows of one id can be copies: one of a batch goes on
             for _, tokens, at in token_sets(column(batch, "text"), k):
                 parts = [tokens[i:j] for i, j in zip(at, at[1:])]
                 h = [set_hash(p) for p in parts]
+                new = [i for i, x in enumerate(h) if not (x in known or known.add(x))]
+                parts, h = [parts[i] for i in new], [h[i] for i in new]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x[0] for x in h], pa.int64()), pa.array([x[1] for x in h], pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())],
                     ["h1", "h2", "tokens"],
                 )
 
-    full = rows.mapInArrow(sets, "h1 long, h2 long, tokens binary").join(members, ["h1", "h2"]).select("rid", "comp", "g", "tokens")
+    full = rows.mapInArrow(sets, "h1 long, h2 long, tokens binary").join(members, ["h1", "h2"])
+    full = full.select("rid", F.col("comp").alias("group"), "g", "tokens")
 
     def check(batches):
-        for table, unit in _units(batches, ["rid", "tokens"]):
-            rid, tokens = table.column("rid").to_numpy(), table.column("tokens").to_pylist()
+        for table, unit in _units(batches, ["rid", "tokens", "part"]):
+            rid, tokens, part = table.column("rid").to_numpy(), table.column("tokens").to_pylist(), table.column("part").to_numpy()
             a, b = [], []
             start = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
             for s, e in zip(start, np.append(start[1:], len(unit))):
                 mine, at = np.unique(rid[s:e], return_index=True)  # rows of one id and set occur once
-                root = _linked([np.frombuffer(tokens[s + i], np.uint64) for i in at], num, den)
+                root = _linked([np.frombuffer(tokens[s + i], np.uint64) for i in at], num, den, part[s + at])
                 moved = np.flatnonzero(root != np.arange(len(mine)))
                 a.append(mine[root[moved]])
                 b.append(mine[moved])
             yield _edges(np.concatenate(a), np.concatenate(b))
 
-    return _sorted_units(_blocks(full, "g", "rid", "comp")).mapInArrow(check, "a long, b long")
+    def edges(units: DataFrame) -> DataFrame:
+        return _sorted_units(units.select("unit", "rid", "tokens", "part")).mapInArrow(check, "a long, b long")
+
+    if (sizes.agg(F.max("g")).first()[0] or 0) <= BLOCK:
+        return ws.save(edges(_blocks(full.withColumn("part", F.col("rid")), "g", "rid", "group", 7)), "links")
+    full = ws.save(full, "sets")
+    found = ws.save(edges(_blocks(full.withColumn("part", F.col("rid")), "g", "rid", "group", 7)), "links")
+    # once more with other blocks: what is alike but met in no block is connected by way of others
+    again = full.where(F.col("g") > BLOCK).withColumn("part", F.col("rid"))
+    found = ws.save(found.unionByName(edges(_blocks(again, "g", "rid", "group", 11))), "links")
+    rest = edges(_apart(full, ws.save(components(found, ws), "joined"), "g", "rid", "group", ws))
+    return ws.save(found.unionByName(rest), "links")
 
 
 def _classes(docs, ws, id_col, text_col, k, num, den) -> tuple[DataFrame, DataFrame]:
@@ -315,8 +371,8 @@ def _classes(docs, ws, id_col, text_col, k, num, den) -> tuple[DataFrame, DataFr
     reps = ws.save(reps.withColumn("rid", F.monotonically_increasing_id()), "classes")
     ws.drop(signed)
     prefix = ws.save(prefixes(reps, num, den, ws), "prefixes")
-    cand = ws.save(components(ws.save(candidates(prefix, reps, num, den, ws), "candidates"), ws), "candidate-components")
-    links = ws.save(verify(docs, reps, cand, k, num, den, id_col, text_col), "links")
+    cand = ws.save(components(candidates(prefix, reps, num, den, ws), ws), "candidate-components")
+    links = verify(docs, reps, cand, k, num, den, id_col, text_col, ws)
     linked = components(links, ws)
     rooted = reps.select("h1", "h2", "id", "rid").join(linked, F.col("rid") == F.col("node"), "left")
     return members, ws.save(rooted.select("h1", "h2", "id", F.coalesce("comp", "rid").alias("root")), "roots")
