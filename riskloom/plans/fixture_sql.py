@@ -89,6 +89,8 @@ def with_fixtures(sql: str, *names: str, extra: dict[str, str] | None = None) ->
     if not ctes:
         return sql
     body = sql.lstrip()
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return "WITH RECURSIVE " + ",\n".join(ctes) + ",\n" + body[15:]
     if body[:5].upper() == "WITH ":
         return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + sql

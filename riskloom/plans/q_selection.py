@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from riskloom.functions import constants as K
 from riskloom.operators import features as fe
 from riskloom.operators import selection as SL
 from riskloom.plans.catalog import register
 from riskloom.plans.fixture_sql import with_fixtures
+from riskloom.plans.q_sources import FEATS as FE_COLS
+from riskloom.plans.q_sources import RAW_KEEP, statement_sql
 from riskloom.sources import fixtures as fx
 
 FEATS = fx.LI_FEATURES
@@ -52,7 +55,31 @@ def _statement(spark, sf):
     return df, feats
 
 
-@register("corr_prune")
+# column order of the engineered statement features
+STATEMENT = ["limit_bal", *[c for k in range(1, 7) for c in (f"bill_amt{k}", f"pay_amt{k}", f"pay_{k}") if c in RAW_KEEP], *FE_COLS[len(RAW_KEEP):]]
+
+
+def _prune_sql(feats=STATEMENT, threshold: float = K.CORR_THRESHOLD) -> str:
+    """The pairs above the threshold, settled one by one in column order."""
+    pairs = ", ".join(
+        f"{{'i': {i}, 'j': {j}, 'r': abs(corr({a}, {b}))}}" for j, b in enumerate(feats) for i, a in enumerate(feats[:j])
+    )
+    gains = ", ".join(f"coalesce(abs(corr({f}, y)), 0.0)" for f in feats)
+    return f"""WITH RECURSIVE fe AS ({statement_sql()}),
+cr AS (SELECT [{pairs}] AS pairs, [{gains}] AS gain FROM fe),
+pr AS (SELECT unnest(pairs) AS p FROM cr),
+hi AS (SELECT row_number() OVER (ORDER BY p.j, p.i) AS n, p.i AS i, p.j AS j FROM pr WHERE p.r > {threshold} AND NOT isnan(p.r)),
+walk AS (
+    SELECT 0::BIGINT AS n, []::BIGINT[] AS gone
+    UNION ALL
+    SELECT hi.n, CASE WHEN list_contains(gone, i) OR list_contains(gone, j) THEN gone
+        ELSE list_append(gone, CASE WHEN gain[j + 1] >= gain[i + 1] THEN i ELSE j END) END
+    FROM walk JOIN hi ON hi.n = walk.n + 1 CROSS JOIN cr
+)
+SELECT {feats!r}[unnest(gone) + 1] AS feature FROM (SELECT gone FROM walk ORDER BY n DESC LIMIT 1) w"""
+
+
+@register("corr_prune", with_fixtures(_prune_sql(), "panel"))
 def q_corr_prune(spark, sf):
     """Greedy |r| > 0.85 pruning over the engineered statement features."""
     df, feats = _statement(spark, sf)

@@ -85,9 +85,14 @@ FEATS = (
 )
 
 
-def _pipeline_sql() -> str:
+def statement_sql() -> str:
+    """All engineered statement features of the panel, as they are before any fill."""
     parts = [SQL_UTIL, SQL_PAYMENT, SQL_DELINQ, SQL_BALANCE, SQL_VELOCITY, SQL_INTER]
     joins = " ".join(f"JOIN ({p}) t{i} USING (id)" for i, p in enumerate(parts))
+    return f"SELECT p.id, p.y, {', '.join('p.' + c for c in RAW_KEEP)}, {', '.join(c for c in FEATS if c not in RAW_KEEP)} FROM panel p {joins}"
+
+
+def _pipeline_sql() -> str:
     split = f"""SELECT id, CASE WHEN rn <= round({K.OOT_FRACTION} * n_y) THEN 'oot'
         WHEN rn <= round({K.OOT_FRACTION} * n_y) + round({K.TEST_SIZE} * (n_y - round({K.OOT_FRACTION} * n_y))) THEN 'test'
         ELSE 'train' END AS split
@@ -97,8 +102,7 @@ def _pipeline_sql() -> str:
         f"coalesce(cast({c} AS double), (SELECT CASE WHEN count_if({c} IS NULL) > 0 THEN coalesce(quantile_cont({c}, 0.5), 0.0) ELSE 0.0 END FROM tr)) AS {c}"
         for c in FEATS
     )
-    return f"""WITH fe AS (SELECT p.id, p.y, {', '.join('p.' + c for c in RAW_KEEP)}, {', '.join(c for c in FEATS if c not in RAW_KEEP)}
-                FROM panel p {joins}),
+    return f"""WITH fe AS ({statement_sql()}),
 sp AS ({split}),
 tr AS (SELECT fe.* FROM fe JOIN sp ON fe.id = sp.id WHERE split = 'train')
 SELECT id, y, {fill} FROM fe"""
