@@ -5,8 +5,8 @@ row to its nearest centre of every solution still moving (one matrix product
 a batch) and a task hands on, per centre, a count, a cost and sums. So a
 pass costs one scan however many solutions there are, and only solutions x
 centres x features numbers leave the tasks. The next pass drops solutions
-that have settled. Starts are drawn by k-means++ from a sample of INIT_ROWS
-rows; every pass reads all rows.
+that have settled. Starts are drawn by greedy k-means++ from a sample of at
+most INIT_ROWS different rows; every pass reads all rows.
 """
 
 from __future__ import annotations
@@ -103,16 +103,27 @@ def _advance(rows: DataFrame, d: int, sets: list[np.ndarray]) -> list[Solution]:
 
 
 def _plus_plus(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++: each further centre with a chance in proportion to its squared distance from the nearest one."""
+    """k-means++: each further centre is the best of a few rows drawn with a chance in proportion to their squared
+    distance from the nearest centre."""
     centers = [sample[rng.integers(len(sample))]]
     far = _distances(sample, centers[0][None])[:, 0]
     while len(centers) < k:
         p = far / far.sum() if far.sum() > 0 else None
-        centers.append(sample[rng.choice(len(sample), p=p)])
-        far = np.minimum(far, _distances(sample, centers[-1][None])[:, 0])
+        drawn = sample[rng.choice(len(sample), 2 + int(np.log(k)), p=p)]
+        left = np.minimum(far[:, None], _distances(sample, drawn))
+        best = left.sum(0).argmin()
+        centers.append(drawn[best])
+        far = left[:, best]
     return np.array(centers)
 
 
+def _sample(rows: DataFrame) -> np.ndarray:
+    """At most INIT_ROWS different rows, the same whatever the partitions: of the rows of each hash class one."""
+    h = F.xxhash64("x")
+    one = rows.groupBy(F.pmod(h, F.lit(INIT_ROWS)).alias("c")).agg(F.min_by("x", F.xxhash64(h)).alias("x")).orderBy("c")
+    return np.array([r["x"] for r in one.collect()])
+
+
 def vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """A written table of the features as one array; rows with a NULL, NaN or infinite value are left out."""
     cols = [F.col(f"`{f}`").cast("double") for f in features]
@@ -124,7 +135,7 @@ def vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def shared_kmeans(rows: DataFrame, ks: Sequence[int], restarts: int = 10, max_iter: int = 300, seed: int = 42) -> dict[int, Solution]:
     """The solution of least cost for every k; ``rows`` come from :func:`vectors`."""
-    sample = np.array([r["x"] for r in rows.orderBy(F.rand(seed)).limit(INIT_ROWS).collect()])
+    sample = _sample(rows)
     if not len(sample):
         raise ValueError("no row has all clustering features")
     d = sample.shape[1]

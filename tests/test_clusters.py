@@ -19,13 +19,15 @@ F3 = ["f0", "f1", "f2"]
 def test_no_worse_than_the_best_of_sparks_starts(spark):
     df = blobs(spark)
     rows = CL.vectors(df, F3)
-    best = CL.shared_kmeans(rows, [2, 4, 5], restarts=4)
+    best = CL.shared_kmeans(rows, [2, 3, 4], restarts=4)
     from riskloom.operators.models import assemble
 
     v = assemble(df, F3)
     for k, s in best.items():
         spark_cost = min(KMeans(k=k, seed=42 + r, maxIter=300).fit(v).summary.trainingCost for r in range(4))
         assert s.inertia <= spark_cost * (1 + 1e-6) and s.n.sum() == 1500
+    again = CL.shared_kmeans(CL.vectors(df.repartition(7), F3), [4], restarts=4)[4]
+    assert again.inertia == pytest.approx(best[4].inertia, rel=1e-9)  # the same whatever the partitions
 
 
 def test_one_pass_per_iteration_for_all_solutions(spark, monkeypatch):
