@@ -26,11 +26,11 @@ a chance of 2**-32, which may raise a likeness.
 
 from __future__ import annotations
 
+import math
 import struct
 from collections.abc import Callable
 
 import xxhash
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -170,6 +170,17 @@ def likeness(a: Column, b: Column, bits: int = BITS, bins: int = BINS) -> Column
     return F.when(a == b, F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(corrected)
 
 
+def _place(x: Column, cuts: list[int]) -> Column:
+    """How many of the sorted ``cuts`` are at most ``x``: first among every ``step``-th one, then inside that step."""
+    step = max(1, math.isqrt(len(cuts)))
+    fine, coarse = _numbers(cuts, "bigint"), _numbers(cuts[step - 1 :: step], "bigint")
+
+    def upto(of: Column) -> Column:
+        return F.size(F.filter(of, lambda c: c <= x))
+
+    return _let(upto(coarse) * step, lambda at: at + upto(F.slice(fine, at + 1, F.lit(step))))
+
+
 def _ranges(rows: DataFrame) -> tuple[DataFrame, bool]:
     """Rows with ``r`` and ``sub``, which grow with (``oid``, ``h``), and whether an id is frequent.
 
@@ -180,9 +191,7 @@ def _ranges(rows: DataFrame) -> tuple[DataFrame, bool]:
     probs = [i / n for i in range(1, n)]
     cuts = rows.agg(F.percentile_approx("oid", probs, max(10_000, 20 * n))).first()[0] or [0]
     hot = {v: cuts.count(v) + 1 for v in set(cuts) if cuts.count(v) > 1}
-    splits = [float("-inf"), *sorted({float(v) for v in cuts}), float("inf")]
-    rows = rows.withColumn("__o", F.col("oid").cast("double"))
-    rows = Bucketizer(splits=splits, inputCol="__o", outputCol="r").transform(rows).drop("__o")
+    rows = rows.withColumn("r", _place(F.col("oid"), sorted(set(cuts))))
     sub = F.lit(0)
     if hot:
         at = F.create_map(*[x for v, c in hot.items() for x in (F.lit(v), F.lit(c))])

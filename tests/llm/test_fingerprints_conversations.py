@@ -116,6 +116,18 @@ def test_long_runs_of_copies_are_dealt_in_chunks(spark, monkeypatch):
     check_pairs([rows[-1], *rows[:-1]], minhash.edited_pairs(frame(spark, rows)).collect())
 
 
+def test_places_among_cuts(spark):
+    import bisect
+
+    rng = random.Random(1)
+    for n in (1, 2, 3, 10, 97, 800):
+        cuts = sorted(rng.sample(range(-(10**15), 10**15), n))
+        xs = [*cuts, cuts[0] - 1, cuts[-1] + 1, *(rng.randrange(-(10**15), 10**15) for _ in range(50)), 2**63 - 1]
+        df = spark.createDataFrame([(x,) for x in xs], "x long")
+        got = [r[0] for r in df.select(minhash._place(df["x"], cuts)).collect()]
+        assert got == [bisect.bisect_right(cuts, x) for x in xs]
+
+
 def test_one_document_and_none(spark):
     check_pairs([(4, "one two three four five six")], minhash.edited_pairs(frame(spark, [(4, "one two three four five six")])).collect())
     assert minhash.edited_pairs(frame(spark, [])).collect() == []
@@ -141,7 +153,7 @@ def test_likeness_estimates_jaccard(spark):
 
 def test_no_python_in_the_fingerprint_plan(spark):
     plan = minhash.edited_pairs(frame(spark, [(1, "a")]))._jdf.queryExecution().toString()
-    assert not re.search("Python|Arrow|Pandas", plan)
+    assert not re.search("Python|Arrow|Pandas|UDF|bucketizer", plan)
 
 
 # --- structure repair ---------------------------------------------------------------------------------------------
