@@ -288,9 +288,10 @@ def test_hamming_index_guarantees_its_radius():
     prints = rng.integers(0, 2**16, (50, decontaminate.BLOCKS)).astype(np.uint16)
     index = decontaminate.HammingIndex(prints)
     for i in range(50):
-        bits = np.unpackbits(prints[i].view(np.uint8))
-        bits[rng.choice(len(bits), decontaminate.RADIUS, replace=False)] ^= 1
-        assert i in index.within(np.packbits(bits).view(np.uint16))
+        for radius in (15, 63, 72, 110):
+            bits = np.unpackbits(prints[i].view(np.uint8))
+            bits[rng.choice(len(bits), radius, replace=False)] ^= 1
+            assert i in index.within(np.packbits(bits).view(np.uint16), radius)
 
 
 def test_repeated_passages(docs, nothing):
