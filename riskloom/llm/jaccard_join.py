@@ -157,16 +157,20 @@ def _apart(rows: DataFrame, joined: DataFrame, count: str, member: str, key: str
     large = parted(rows.where(F.col(count) > BLOCK).select(key, member))
     parts = large.groupBy(key, "part").agg(F.count("*").alias("size"))
     top = parts.groupBy(key).agg(F.max(F.struct("size", "part")).alias("top"), F.sum("size").alias("all"))
-    top = top.select(F.col(key), F.col("top.part").alias("largest"), (F.col("all") - F.col("top.size")).alias("others"))
-    rows = parted(rows.join(ws.save(top.where("others > 0"), "parts"), key))
-    few, many = (F.ceil(F.col(c) / F.lit(BLOCK)).cast("int") for c in ("others", count))
-
-    def dealt(df: DataFrame, mine: str, other: str, n, m) -> DataFrame:
-        df = df.withColumn(mine, F.pmod(F.xxhash64(member, F.lit(13)), n).cast("int"))
-        return df.withColumn(other, F.explode(F.sequence(F.lit(0), m - 1)))
-
-    both = dealt(rows.where("part <> largest"), "i", "j", few, many).unionByName(dealt(rows, "j", "i", many, few))
-    return both.withColumn("unit", F.xxhash64(key, "i", "j")).drop("i", "j", "largest", "others", count)
+    top = top.select(key, F.col("top.part").alias("largest"), F.col("top.size").alias("size"), (F.col("all") - F.col("top.size")).alias("others"))
+    blocks = [F.ceil(F.col(c) / F.lit(BLOCK)).cast("int").alias(n) for c, n in (("others", "few"), ("size", "many"))]
+    rows = parted(rows.join(ws.save(top.where("others > 0").select(key, "largest", *blocks), "parts"), key))
+
+    def meet(df: DataFrame, mine: str, other: str, *pair) -> DataFrame:
+        """Each member, in its block i of ``mine``, once for every block j of ``other``."""
+        df = df.withColumn("i", F.pmod(F.xxhash64(member, F.lit(13)), F.col(mine)).cast("int"))
+        df = df.withColumn("j", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        return df.withColumn("unit", F.xxhash64(key, *pair)).drop("i", "j")
+
+    apart, main = rows.where("part <> largest"), rows.where("part = largest")
+    among = meet(apart, "few", "few", F.lit(0), F.least("i", "j"), F.greatest("i", "j"))
+    across = meet(apart, "few", "many", F.lit(1), "i", "j").unionByName(meet(main, "many", "few", F.lit(1), "j", "i"))
+    return among.unionByName(across).drop("largest", "few", "many", count)
 
 
 def _sorted_units(rows: DataFrame) -> DataFrame:
