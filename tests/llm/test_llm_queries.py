@@ -12,7 +12,7 @@ from riskloom.llm.oracles import ORACLES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql_parity(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     want = con.execute(ORACLES[name])
     cols = [d[0] for d in want.description]
@@ -23,7 +23,7 @@ def test_sql_parity(spark, name):
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = E.queries()
-    assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11))
+    assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 14))
     assert "pipeline" in names and [n for n, _ in P.STAGES] == ["quality", "line_dedup", "near_duplicates", "decontamination", "packing"]
 
 
