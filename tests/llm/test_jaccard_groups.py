@@ -1,4 +1,4 @@
-"""Large groups in the Jaccard join: all links by brute force, and rows that don't grow with the square of a group."""
+"""Groups over many blocks in the Jaccard join: all links by brute force."""
 
 import random
 
@@ -67,32 +67,6 @@ def test_components_by_brute_force_over_small_blocks(spark, monkeypatch, block,
     assert [got[i] for i in range(len(docs))] == brute(docs, k, num, den)
 
 
-def test_rows_a_document_do_not_grow_with_a_group(spark, monkeypatch):
-    """A group of near copies four times as large has units of the same size per document."""
-    monkeypatch.setattr(J, "BLOCK", 16)
-    sent, plain = [], J._sorted_units
-
-    def counted(rows):
-        sent.append(rows.count())
-        return plain(rows)
-
-    monkeypatch.setattr(J, "_sorted_units", counted)
-    base, per = text(1, 150), {}
-    for n in (100, 400):
-        rng = random.Random(n)
-        rows = []
-        for i in range(n):
-            w = list(base)
-            w[rng.randrange(len(w))] = f"x{i}"
-            rows.append((i, " ".join(w)))
-        rows += [(n + i, " ".join(text(1000 + i, 100))) for i in range(20)]
-        sent.clear()
-        got = J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 9, 10).collect()
-        assert {r["component_id"] for r in got if r["doc_id"] < n} == {0}
-        per[n] = sum(sent) / n
-    assert per[400] < 1.3 * per[100]
-
-
 def test_hot_null_id_of_copies(spark):
     rows = [(None, "a b c d e f g")] * 3000 + [(1, "a b c d e f g"), (2, "a b c d e f h i j k"), (None, "q r s")]
     got = J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 9, 10)
