@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.exprs import clip, nan_to_null
 from riskloom.operators.binning import unpivot_features
-from riskloom.operators.ordered import prefix_sums
+from riskloom.operators.ordered import group_stats, materialize, prefix_sums, task_rows
 from riskloom.operators.quantiles import quantiles
 
 log = logging.getLogger(__name__)
@@ -58,12 +58,15 @@ def ensure_id(df: DataFrame, order: Sequence[str], id_col: str = "ID") -> DataFr
     """Add a dense 1..n ``ID`` in the stated order when absent.
 
     The rank comes from the bucketed prefix sum (no single-task global
-    window); ``order[0]`` must be numeric.
+    window); ``order[0]`` must be numeric. The rows are written first, since
+    they are read for the cuts, the bucket totals and the ranks, and every
+    core gets its own value ranges.
     """
     if id_col in df.columns:
         return df
-    d = df.withColumn("_one", F.lit(1))
-    r = prefix_sums(d, [], list(order), ["_one"])
+    d = materialize(df.withColumn("_one", F.lit(1)), "unnumbered")
+    groups = group_stats(d, [])
+    r = prefix_sums(d, [], list(order), ["_one"], groups=groups, bucket_rows=task_rows(d, groups.total))
     return r.withColumnRenamed("_one_cum", id_col).drop("_one")
 
 

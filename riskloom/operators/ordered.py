@@ -36,6 +36,8 @@ DEFAULT_BUCKET_ROWS = 2_000_000
 BROADCAST_ROWS = 200_000
 # Below this many collapsed rows a plain window is cheapest.
 PARALLEL_MIN_ROWS = 1_000_000
+# Fewest rows worth a task of their own.
+TASK_MIN_ROWS = 10_000
 # Equal-width histogram bins used to locate quantile ranks.
 HIST_BINS = 1024
 # Most buckets that one level of cuts makes per group; larger groups are cut again inside their buckets.
@@ -59,6 +61,12 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def task_rows(df: DataFrame, total: int) -> int:
+    """Bucket size that gives every core about two of ``total`` rows' buckets; small tables stay in few tasks."""
+    cores = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    return min(DEFAULT_BUCKET_ROWS, max(TASK_MIN_ROWS, math.ceil(total / (2 * cores))))
+
+
 class Groups(NamedTuple):
     """Statistics per group as a written table, and what the driver needs to plan."""
 
@@ -177,6 +185,15 @@ def prefix_sums(
     return _bucket_prefix(b, keys, ["_bucket"], order, cols, suffix, n_buckets + 2)
 
 
+def ranged_sums(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], groups: Groups, n_ranges: int, suffix: str = "_cum"
+) -> DataFrame:
+    """:func:`prefix_sums` over ``n_ranges`` equal-width ranges of an ``order[0]`` that is spread evenly
+    between the ``_min`` and ``_max`` of ``groups`` (hashes): a window task per group and range."""
+    b = _width_bins(attach_groups(df, keys, groups, ["_min", "_max"]), order[0], n_ranges, "_bucket")
+    return _bucket_prefix(b, list(keys), ["_bucket"], list(order), cols, suffix, groups.n_groups * n_ranges)
+
+
 def _width_bins(df: DataFrame, value: str, n_bins: int, out: str) -> DataFrame:
     """Add the equal-width bin of ``value`` between ``_min`` and ``_max`` (dropped); NaN in the last one."""
     x = F.col(value)

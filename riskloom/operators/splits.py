@@ -4,12 +4,13 @@ Rows are ordered within each class by the md5 of their key (a
 deterministic shuffle that needs no seed state and is identical in any
 engine). A split needs only the hashes at its two cut ranks: rows compare
 their hash with them and are neither shuffled nor sorted. Folds need every
-rank; those come from the bucketed :func:`prefix_sums`, so even a class
-holding most rows is ranked by many tasks, never one.
+rank; those come from running counts within ranges of the hash, so even a
+class holding most rows is ranked by many tasks, never one.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -19,7 +20,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from riskloom.functions import constants as K
 from riskloom.functions.exprs import hash_rank_key, md5_key
-from riskloom.operators.ordered import BROADCAST_ROWS, attach_groups, group_stats, join_groups, prefix_sums
+from riskloom.operators.ordered import BROADCAST_ROWS, attach_groups, group_stats, join_groups, ranged_sums, task_rows
 from riskloom.operators.quantiles import LEAF_ROWS
 
 # Hex digits by which hashes are counted at a time, and digits of an md5.
@@ -36,9 +37,10 @@ def hash_rank(df: DataFrame, key: Sequence[str] | str, label: str) -> DataFrame:
     and ``_n`` (class size)."""
     key = [key] if isinstance(key, str) else list(key)
     d = df.withColumn("_h", md5_key(*key)).withColumn("_hk", hash_rank_key("_h")).withColumn("_one", F.lit(1))
-    # the hash key spans [0, 16^15): its range needs no pass over the data
+    # the hash key spans [0, 16^15): its range needs no pass over the data. Hashes spread evenly over it, so
+    # equal-width ranges of it are even tasks for any class size.
     groups = group_stats(d, [label], _n=F.count(F.lit(1)), _min=F.lit(0).cast("long"), _max=F.lit(16**15 - 1))
-    r = prefix_sums(d, [label], ["_hk", "_h"], ["_one"], groups=groups)
+    r = ranged_sums(d, [label], ["_hk", "_h"], ["_one"], groups, math.ceil(groups.max_rows / task_rows(d, groups.total)))
     r = attach_groups(r, [label], groups, ["_n"])
     return r.withColumnRenamed("_one_cum", "_rank").drop("_one", "_hk")
 

@@ -57,6 +57,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+# HotSpot never compiles a method beyond this many bytes of bytecode.
+JIT_METHOD_BYTES = "8000"
+_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+def wide_rows(spark: SparkSession) -> None:
+    """Keep projections and aggregates over dozens of columns in compiled code.
+
+    Whole-stage code of such a stage is one method that the JVM only ever
+    interprets; beyond HotSpot's limit Spark then generates its smaller
+    functions instead. A limit that the session states is left alone.
+    """
+    if spark.sparkContext.getConf().get(_METHOD_LIMIT) is None:
+        spark.conf.set(_METHOD_LIMIT, JIT_METHOD_BYTES)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Per-application folder for intermediate tables, under the shared checkpoint dir."""
     return f"{checkpoint_dir(spark).rstrip('/')}/riskloom-scratch/{spark.sparkContext.applicationId}"

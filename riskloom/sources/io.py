@@ -83,18 +83,23 @@ def load_dataset(
     With ``path`` the raw table is a folder of CSV or Parquet files
     (:mod:`riskloom.sources.files`); more than ``max_rejected`` of its records
     in quarantine raise. Without, it is derived from the tables in ``sf_dir``.
+    The clean table is written once: the contract and whatever is fitted on it
+    read it many times.
     """
     from riskloom.operators.cleaning import enforce_contract
+    from riskloom.operators.ordered import materialize
+    from riskloom.session import wide_rows
     from riskloom.sources.files import enforce_share, ingest
 
     s = dataset_spec(name)
+    wide_rows(spark)
     if path is None:
         raw = s.builder(spark, sf_dir)
     else:
         got = ingest(spark, name, path, fmt)
         enforce_share(got, max_rejected)
         raw = got.records
-    return enforce_contract(s.clean(raw), s.target, min_rows)
+    return enforce_contract(materialize(s.clean(raw), f"clean-{name}"), s.target, min_rows)
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType | None = None, drop_index: bool = True) -> DataFrame:
