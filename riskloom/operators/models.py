@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import constants as K
 from riskloom.operators.metrics import evaluate_model
+from riskloom.operators.ordered import materialize
 from riskloom.operators.splits import stratified_kfold
 
 PRESETS = ("xgboost", "lightgbm")
@@ -102,13 +103,20 @@ class PlattEnsemble:
         return v.withColumn(out, avg).drop("features", *[f"_m{i}" for i in range(len(cols))])
 
 
+def fold_table(df: DataFrame, features: Sequence[str], label: str, key: str, folds: int) -> DataFrame:
+    """Label, features and fold of every row, written once: every fit reads it several times."""
+    f = stratified_kfold(df.select(key, label, *[F.col(f"`{c}`") for c in features]), key, label, folds)
+    f = f.select(F.col(label).cast("double").alias("label"), *[F.col(f"`{c}`") for c in features], "fold")
+    return materialize(f, "folds")
+
+
 def platt_calibrate(
     df: DataFrame, features: Sequence[str], label: str = "y", key: str = "id", preset: str = "xgboost",
     n_trees: int = K.GBT_TREES, folds: int = 3,
 ) -> PlattEnsemble:
     """Sigmoid calibration with ``folds`` splits: fit on k-1 folds, calibrate the
     margin on the held-out fold with a 1-feature unregularised logistic model."""
-    f = stratified_kfold(df, key, label, folds).withColumn("label", F.col(label).cast("double"))
+    f = fold_table(df, features, label, key, folds)
     f = f.withColumn("w", class_weight(f, "label", preset))
     f = assemble(f, features)
     from riskloom.session import run_parallel
@@ -135,7 +143,7 @@ def gbt_cv(
     k: int = K.CV_FOLDS, n_trees: int = K.GBT_TREES,
 ) -> DataFrame:
     """k-fold CV: one metrics row per fold plus an out-of-fold row (fold = -1)."""
-    f = stratified_kfold(df, key, label, k).withColumn("label", F.col(label).cast("double"))
+    f = fold_table(df, features, label, key, k)
     f = f.withColumn("w", class_weight(f, "label", preset))
     f = assemble(f, features)
     from riskloom.session import run_parallel
@@ -145,6 +153,7 @@ def gbt_cv(
     for i, m in enumerate(models):
         p = m.transform(f.where(F.col("fold") == i)).select("fold", F.col("label").cast("int").alias("y"), p_one(None).alias("p"))
         preds = p if preds is None else preds.unionByName(p)
+    preds = materialize(preds, "cv-scores")
     per_fold = evaluate_model(preds, "p", "y", ["fold"])
     oof = evaluate_model(preds, "p", "y").withColumn("fold", F.lit(-1))
     return per_fold.unionByName(oof)

@@ -70,7 +70,7 @@ class CreditWorkflow:
         self.card_features = [f for f in feats if f in chosen] or list(feats)
         woe = [f"WOE_{f}" for f in self.card_features]
         bins = B.WoEModel.fit(train, self.card_features, "y")
-        train_woe = bins.transform(train, self.card_features)
+        train_woe = materialize(bins.transform(train, self.card_features).select("y", *woe), "wf-woe")
         scale = fit_standard(train_woe, woe)
         self.logit, intercept, coefs = SC.fit_logit(scale.transform(train_woe), woe, "y")
         z = sum((F.lit(coefs[c]) * F.col(f"`{c}`") for c in woe), F.lit(intercept))
