@@ -282,13 +282,20 @@ class WoEModel:
         table = self.woe.get(feature, {})
         if feature not in self.edges or not table:
             return F.lit(0.0)
-        keys = sorted(table)
-        m = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.lit(table[k]) for k in keys]))
-        x, bin_ = F.col(f"`{feature}`"), self.bin_expr(feature)
+        x, zero = F.col(f"`{feature}`"), F.lit(0.0)
         kind, edges = self.edges[feature]
-        if kind == "value":  # a value that training never saw has no bin: WoE 0
-            bin_ = F.when(x.cast("double").isin([float(v) for v in edges]), bin_)
-        return F.when(x.isNull() | bin_.isNull(), F.lit(0.0)).otherwise(F.coalesce(F.element_at(m, bin_), F.lit(0.0)))
+        woe = [F.lit(table.get(i, 0.0)) for i in range(len(edges) + 1)]
+        # one chain of comparisons straight to the WoE, the same bins as bin_expr; no value, or one
+        # that training never saw and that has no bin: WoE 0
+        if kind == "quantile":  # right-closed; the first and the last bin are open, NaN is above all
+            out, last = F.when(x.isNull(), zero), max(len(edges) - 2, 0)
+            for i, e in enumerate(edges[1:-1]):
+                out = out.when(x.cast("double") <= F.lit(float(e)), woe[i])
+            return out.otherwise(woe[last])
+        out = F.when(x.isNull(), zero)
+        for i, e in enumerate(edges):
+            out = out.when(x == F.lit(e) if kind in ("category", "top") else x.cast("double") == F.lit(float(e)), woe[i])
+        return out.otherwise(woe[len(edges)] if kind == "top" else zero)
 
     def transform(self, df: DataFrame, features: Sequence[str] | None = None, prefix: str = "WOE_") -> DataFrame:
         feats = list(features if features is not None else self.edges)

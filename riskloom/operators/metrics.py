@@ -19,20 +19,23 @@ from riskloom.functions.exprs import bin_right_lit
 from riskloom.operators.ordered import attach_groups, group_stats, materialize, prefix_sums
 
 
-def _base(df: DataFrame, score: str, label: str, keys: Sequence[str]) -> DataFrame:
+def _base(df: DataFrame, score: str, label: str, keys: Sequence[str], count: str | None = None) -> DataFrame:
+    copies = [] if count is None else [F.col(count).cast("long").alias("_copies")]
     return df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
-        *keys, F.col(score).cast("double").alias("s"), F.col(label).cast("int").alias("y")
+        *keys, F.col(score).cast("double").alias("s"), F.col(label).cast("int").alias("y"), *copies
     )
 
 
-def cumulative_table(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()) -> DataFrame:
+def cumulative_table(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), count: str | None = None) -> DataFrame:
     """One row per distinct ``(keys, s)``: pos, neg, inclusive ascending
-    running sums ``pos_cum``/``neg_cum`` and group totals ``P``/``N``."""
+    running sums ``pos_cum``/``neg_cum`` and group totals ``P``/``N``.
+    ``count`` names a column that says how many rows a row stands for."""
     keys = list(keys)
+    copies = F.lit(1) if count is None else F.col("_copies")
     coll = (
-        _base(df, score, label, keys)
+        _base(df, score, label, keys, count)
         .groupBy(*keys, "s")
-        .agg(F.sum("y").cast("long").alias("pos"), F.sum(1 - F.col("y")).cast("long").alias("neg"))
+        .agg(F.sum(copies * F.col("y")).cast("long").alias("pos"), F.sum(copies * (1 - F.col("y"))).cast("long").alias("neg"))
     )
     # the stats job and the final plan both read the collapsed scores: write
     # them once so the upstream plan runs once
@@ -72,9 +75,9 @@ def _group(t: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
     return t.groupBy(*keys).agg(*aggs) if keys else t.agg(*aggs)
 
 
-def auc_gini(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()) -> DataFrame:
+def auc_gini(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), count: str | None = None) -> DataFrame:
     """ROC AUC (ties count one half) and Gini = 2*AUC - 1, per group."""
-    t = cumulative_table(df, score, label, keys)
+    t = cumulative_table(df, score, label, keys, count)
     out = _group(t, keys, _auc_expr().alias("auc"))
     return out.withColumn("gini", 2 * F.col("auc") - 1)
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,9 +29,21 @@ class StandardModel:
         return df.withColumns(out)
 
 
-def fit_standard(df: DataFrame, cols: Sequence[str]) -> StandardModel:
+def fit_standard(df: DataFrame, cols: Sequence[str], count: str | None = None) -> StandardModel:
+    """``count`` names a column that says how many rows a row stands for."""
+    if count is not None:
+        return _fit_counted(df, cols, F.col(count).cast("double"))
     aggs = []
     for c in cols:
         aggs += [F.avg(f"`{c}`").alias(f"m_{c}"), F.stddev_pop(f"`{c}`").alias(f"s_{c}")]
     r = df.agg(*aggs).collect()[0]
     return StandardModel({c: r[f"m_{c}"] for c in cols}, {c: r[f"s_{c}"] for c in cols})
+
+
+def _fit_counted(df: DataFrame, cols: Sequence[str], n: Column) -> StandardModel:
+    x = {c: F.col(f"`{c}`").cast("double") for c in cols}
+    rows = {c: F.sum(F.when(v.isNotNull(), n)) for c, v in x.items()}
+    r = df.agg(*[F.try_divide(F.sum(n * v), rows[c]).alias(f"m_{c}") for c, v in x.items()]).first()
+    means = {c: r[f"m_{c}"] for c in cols}
+    r = df.agg(*[F.sqrt(F.try_divide(F.sum(n * F.pow(v - F.lit(means[c]), 2)), rows[c])).alias(f"s_{c}") for c, v in x.items()]).first()
+    return StandardModel(means, {c: r[f"s_{c}"] for c in cols})

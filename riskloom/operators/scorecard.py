@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import constants as K
+from riskloom.operators.ordered import materialize
 
 FACTOR = K.SCORE_PDO / math.log(2.0)
 OFFSET = K.SCORE_BASE + FACTOR * math.log(1.0)
@@ -55,6 +56,18 @@ def score_deciles(df: DataFrame, score: str = "score", label: str = "y", q: int
     return out.withColumn("event_rate", F.col("n_events") / F.col("n_total")).orderBy(F.desc("decile"))
 
 
+COUNT = "n_rows"
+
+
+def counted(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Every distinct row of ``cols`` once, with the number of its rows; written, since fits read it many times.
+
+    For binned features: the WoE of a few features takes at most the product
+    of their bins' numbers of values, whatever the number of rows.
+    """
+    return materialize(df.groupBy(*cols).agg(F.count(F.lit(1)).alias(COUNT)), "counted")
+
+
 def fit_logit(
     df: DataFrame,
     features: Sequence[str],
@@ -62,29 +75,32 @@ def fit_logit(
     C: float = K.REGULARIZATION_C,
     balanced: bool = True,
     max_iter: int = 1000,
+    count: str | None = None,
 ):
     """L2 logistic regression matching ``C``-parametrised, class-balanced fitting.
 
     Spark minimises mean(weighted loss) + regParam/2 ||w||^2; the C form is
     sum(weighted loss) + 1/(2C) ||w||^2, so regParam = 1/(C * sum(w)).
-    Balanced weights n/(2 n_class) make sum(w) = n.
+    Balanced weights n/(2 n_class) make sum(w) = n. ``count`` names a column of
+    row numbers (:func:`counted`): the loss then has that many copies of a row.
     Returns (model, intercept, {feature: coef}).
     """
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
-    data = df.select(*features, F.col(label).cast("double").alias("label"))
-    counts = {int(r["label"]): r["n"] for r in data.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    copies = F.lit(1) if count is None else F.col(count)
+    data = df.select(*features, F.col(label).cast("double").alias("label"), copies.alias("_copies"))
+    counts = {int(r["label"]): r["n"] for r in data.groupBy("label").agg(F.sum("_copies").alias("n")).collect()}
     n = sum(counts.values())
     if balanced:
         w = None
         for cls, cnt in counts.items():
             term = F.lit(n / (2.0 * cnt))
             w = F.when(F.col("label") == cls, term) if w is None else w.when(F.col("label") == cls, term)
-        data = data.withColumn("w", w)
+        data = data.withColumn("w", w * F.col("_copies"))
         sum_w = float(n)
     else:
-        data = data.withColumn("w", F.lit(1.0))
+        data = data.withColumn("w", F.col("_copies").cast("double"))
         sum_w = float(n)
     vec = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep").transform(data)
     lr = LogisticRegression(

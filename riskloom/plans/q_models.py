@@ -16,6 +16,7 @@ from riskloom.operators.ordered import materialize
 from riskloom.operators.scaling import fit_standard
 from riskloom.plans.catalog import register
 from riskloom.plans.fixture_sql import with_fixtures
+from riskloom.session import run_parallel, wide_rows
 from riskloom.sources import fixtures as fx
 
 # FIXED VALUES: the clustering / modelling feature set of the card-statement shape
@@ -30,7 +31,9 @@ def modelling_table(spark, sf):
     """Engineered, imputed statement features + split column (fit on train).
 
     Written once a query to the shared checkpoint folder: several fits read it."""
-    s = materialize(SP.stratified_split(fx.panel(spark, sf), "id", "y"), "modelling-split")
+    wide_rows(spark)
+    panel = materialize(fx.panel(spark, sf), "modelling-panel")
+    s = materialize(SP.stratified_split(panel, "id", "y"), "modelling-split")
     pipe = StatementPipeline(others=("seg", "nationkey", "split")).fit(s.where(F.col("split") == "train"))
     return materialize(pipe.transform(s, ["split"]).select("id", "y", "split", *MODEL_FEATURES), "modelling")
 
@@ -43,8 +46,6 @@ def q_fit_gbt(spark, sf):
     tr = SP.stratified_split(tr.drop("split"), "id", "y", oot=0.0, test=0.15, out="part").withColumn(
         "is_val", F.col("part") == "test"
     )
-    from riskloom.session import run_parallel
-
     models = run_parallel(
         [lambda p=p: MD.fit_gbt(tr, MODEL_FEATURES, "y", p, N_TREES, validation_col="is_val") for p in MD.PRESETS]
     )
@@ -90,30 +91,27 @@ def q_gbt_cv(spark, sf):
 @register("scorecard_cv")
 def q_scorecard_cv(spark, sf):
     """5-fold AUC of the class-balanced L2 logistic model on WoE features."""
+    wide_rows(spark)
     li = fx.li_risk(spark, sf)
     feats = fx.LI_FEATURES
     m = B.WoEModel.fit(li, feats, "y")
     woe = [f"WOE_{f}" for f in feats]
-    t = m.transform(li, feats)
-    t = fit_standard(t, woe).transform(t)
-    t = SP.stratified_kfold(t.select("key", "y", *woe), "key", "y", 5).persist()
-    try:
-        from riskloom.session import run_parallel
-
-        def one(k):
-            model, b0, coefs = SC.fit_logit(t.where(F.col("fold") != k), woe, "y")
-            z = b0 + sum(F.lit(coefs[c]) * F.col(c) for c in woe)
-            auc = M.auc_gini(t.where(F.col("fold") == k).withColumn("p", z), "p", "y").collect()[0]["auc"]
-            return (k, float(auc))
-
-        rows = run_parallel([lambda k=k: one(k) for k in range(5)])
-        mean = sum(a for _, a in rows) / len(rows)
-        std = math.sqrt(sum((a - mean) ** 2 for _, a in rows) / len(rows))
-        rows.append((-1, mean))
-        df = spark.createDataFrame(rows, "fold int, auc double")
-        return df.withColumns({"gini": 2 * F.col("auc") - 1, "auc_std": F.lit(std)})
-    finally:
-        t.unpersist()
+    folds = SP.stratified_kfold(m.transform(li, feats).select("key", "y", *woe), "key", "y", 5)
+    t = SC.counted(folds, ["fold", "y", *woe])
+    t = fit_standard(t, woe, SC.COUNT).transform(t)
+
+    def one(k):
+        model, b0, coefs = SC.fit_logit(t.where(F.col("fold") != k), woe, "y", count=SC.COUNT)
+        z = b0 + sum(F.lit(coefs[c]) * F.col(c) for c in woe)
+        auc = M.auc_gini(t.where(F.col("fold") == k).withColumn("p", z), "p", "y", count=SC.COUNT).collect()[0]["auc"]
+        return (k, float(auc))
+
+    rows = run_parallel([lambda k=k: one(k) for k in range(5)])
+    mean = sum(a for _, a in rows) / len(rows)
+    std = math.sqrt(sum((a - mean) ** 2 for _, a in rows) / len(rows))
+    rows.append((-1, mean))
+    df = spark.createDataFrame(rows, "fold int, auc double")
+    return df.withColumns({"gini": 2 * F.col("auc") - 1, "auc_std": F.lit(std)})
 
 
 # ------------------------------------------------------ linear attributions

@@ -299,12 +299,14 @@ def q_score_deciles(spark, sf):
 def q_fit_logit(spark, sf):
     """Class-balanced L2 logistic regression on standardised WoE features (Spark ML)."""
     from riskloom.operators.scaling import fit_standard
+    from riskloom.session import wide_rows
 
+    wide_rows(spark)
     li = fx.li_risk(spark, sf)
     m = B.WoEModel.fit(li, FEATS, "y")
     woe_cols = [f"WOE_{f}" for f in FEATS]
-    t = m.transform(li, FEATS)
-    t = fit_standard(t, woe_cols).transform(t)
-    model, b0, coefs = SC.fit_logit(t, woe_cols, "y")
+    t = SC.counted(m.transform(li, FEATS), ["y", *woe_cols])
+    t = fit_standard(t, woe_cols, SC.COUNT).transform(t)
+    model, b0, coefs = SC.fit_logit(t, woe_cols, "y", count=SC.COUNT)
     rows = [("(intercept)", b0)] + list(coefs.items())
     return spark.createDataFrame(rows, "term string, coef double")
