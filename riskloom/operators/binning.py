@@ -21,7 +21,7 @@ from pyspark.sql.types import StringType
 
 from riskloom.functions import constants as K
 from riskloom.functions.exprs import bin_left_lit, bin_right_lit, bin_value_lit
-from riskloom.operators.ordered import attach_rows
+from riskloom.operators.ordered import attach_rows, materialize
 from riskloom.operators.quantiles import quantiles, value_stats
 
 
@@ -268,11 +268,21 @@ class WoEModel:
     @classmethod
     def fit(cls, df: DataFrame, features: Sequence[str], label: str = "y", n_bins: int = K.WOE_MAX_BINS):
         e, stats = fit_bins(df, features, label, n_bins)
-        g = _woe_columns(_count_bins(df, label, e, stats))
+        return cls._read(e, _woe_columns(_count_bins(df, label, e, stats)))
+
+    @classmethod
+    def fit_table(cls, df: DataFrame, features: Sequence[str], label: str = "y", n_bins: int = K.WOE_MAX_BINS) -> tuple["WoEModel", DataFrame]:
+        """The model and its written :func:`woe_table`, from one fit of the bins."""
+        e, stats = fit_bins(df, features, label, n_bins)
+        table = materialize(_woe_rows(df, label, e, stats), "woe")
+        return cls._read(e, table), table
+
+    @classmethod
+    def _read(cls, edges: Bins, g: DataFrame) -> "WoEModel":
         w: dict[str, dict[int, float]] = {}
         for r in g.select("feature", "bin", "woe").collect():
             w.setdefault(r["feature"], {})[int(r["bin"])] = float(r["woe"])
-        return cls(e, w)
+        return cls(edges, w)
 
     def bin_expr(self, feature: str) -> Column:
         kind, edges = self.edges[feature]

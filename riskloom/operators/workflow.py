@@ -65,11 +65,11 @@ class CreditWorkflow:
     def _fit_scorecard(self, train: DataFrame, df: DataFrame) -> DataFrame:
         """Logistic model on the standardised WoE of the features with enough information value."""
         feats = self.screen.selected
-        self.iv = B.iv_table(B.woe_table(train, feats, "y"), feats)
+        bins, table = B.WoEModel.fit_table(train, feats, "y")
+        self.iv = B.iv_table(table, feats)
         chosen = [r["feature"] for r in B.iv_select(self.iv).select("feature").collect()]
         self.card_features = [f for f in feats if f in chosen] or list(feats)
         woe = [f"WOE_{f}" for f in self.card_features]
-        bins = B.WoEModel.fit(train, self.card_features, "y")
         train_woe = materialize(bins.transform(train, self.card_features).select("y", *woe), "wf-woe")
         scale = fit_standard(train_woe, woe)
         self.logit, intercept, coefs = SC.fit_logit(scale.transform(train_woe), woe, "y")
@@ -80,7 +80,7 @@ class CreditWorkflow:
     def _fit_trees(self, train: DataFrame, df: DataFrame) -> DataFrame:
         """Both presets with early stopping; the first one is calibrated by folds."""
         feats = self.screen.selected
-        early = SP.stratified_split(train.drop("split"), "id", "y", oot=0.0, test=K.EARLY_STOP_FRACTION, out="part")
+        early = SP.stratified_split(train.select("id", "y", *feats), "id", "y", oot=0.0, test=K.EARLY_STOP_FRACTION, out="part")
         early = materialize(early.withColumn("is_val", F.col("part") == "test"), "wf-early")
         self.xgboost, lightgbm, calibrated = run_parallel([
             lambda: MD.fit_gbt(early, feats, "y", "xgboost", self.n_trees, "is_val"),

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.operators import binning as B
 from riskloom.operators import cleaning as C
 from riskloom.operators import explain as XP
 from riskloom.operators import governance as G
@@ -54,6 +55,20 @@ def test_card_and_kpis_come_from_the_same_model(fitted):
     assert {"architecture", "cross_validation", "monitoring_plan", "fairness_details"} <= sections
 
 
+def test_scorecard_fits_its_bins_once(spark, monkeypatch):
+    rows = [(i, float(i % 23), float(i * 7 % 31), int(i * i % 5 == 1)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, y int")
+    fits, fit_bins = [], B.fit_bins
+    monkeypatch.setattr(B, "fit_bins", lambda *args: fits.append(args) or fit_bins(*args))
+    w = CreditWorkflow(pipeline_for("uci"))
+    w.screen.selected = ["a", "b"]
+    scored = w._fit_scorecard(df, df)
+    assert len(fits) == 1 and scored.where(F.col("pd_scorecard").between(0, 1)).count() == 600
+    model, table = B.WoEModel.fit_table(df, ["a", "b"])
+    assert model.woe == B.WoEModel.fit(df, ["a", "b"]).woe
+    assert sorted(table.collect()) == sorted(B.woe_table(df, ["a", "b"]).collect())
+
+
 def test_contract_stops_bad_tables(spark):
     with pytest.raises(ValueError, match="min_rows"):
         io.load_dataset(spark, "uci", SF001)
