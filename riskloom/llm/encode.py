@@ -5,7 +5,10 @@ them. Where the tokenizer never joins characters across a space, a text is
 cut there and each distinct piece goes through the library's own stages
 (normalizer, pre-tokenizer, model) once; a bounded memo keeps its ids. The
 ids equal ``Tokenizer.encode(text, add_special_tokens=False)`` with special
-tokens' strings as ordinary text.
+tokens' strings as ordinary text. Where white space only separates and the
+file says what a word is, a text is normalized and cut into words as a whole
+and the memo holds words alone: far fewer than pieces with their capitals and
+punctuation.
 
 ``spaces`` tells what a space does: "leads" (byte-level BPE: one space may
 begin the next word), "dropped" (white space only separates), or "joins"
@@ -50,6 +53,15 @@ def _word_pattern(spec: dict) -> str | None:
     return None
 
 
+# White space of the library's patterns: Python's without the four information separators.
+_SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def _in_sets(pattern: str) -> bool:
+    """Whether all character classes of a pattern stand inside brackets."""
+    return re.search(r"\\[a-zA-Z]", re.sub(r"\[[^\]]*\]", "", pattern)) is None
+
+
 class _Memo(dict):
     """Two generations: what was not asked for since the last turn goes, so frequent pieces stay and memory is bounded."""
 
@@ -82,9 +94,14 @@ class Encoder:
         if self.tokenizer.normalizer:
             self._normal = self.tokenizer.normalizer.normalize_str
         self._split = regex.compile(pattern).findall if pattern else None
+        self._words = self._ascii_words = None
+        if pattern and spaces == "dropped" and _in_sets(pattern):
+            self._words = regex.compile(pattern.replace(r"\s", _SPACE)).findall
+            plain = pattern.replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9").replace(r"\s", r"\t-\r ")
+            self._ascii_words = re.compile(plain).findall if r"\p" not in plain else self._words
         self._model = self.tokenizer.model.tokenize
         self._simple = [x["type"] for x in (json.loads(tokenizer_json).get("normalizer") or {}).get("normalizers", [])] == _LOWERING
-        self._plain = _Memo(self._piece, memo)
+        self._plain = _Memo(self._word if self._words else self._piece, memo)
         self._led = _Memo(lambda x: self._piece(" " + x), memo)
 
     def _word(self, word: str) -> bytes:
@@ -109,6 +126,12 @@ class Encoder:
         """All ids of ``text`` as ``dtype`` bytes."""
         if not text:
             return b""
+        if self._words:
+            if text.isascii() and (self._simple or not self._normal):
+                words = self._ascii_words(text.lower() if self._normal else text)
+            else:
+                words = self._words(self._normal(text) if self._normal else text)
+            return b"".join(map(self._plain.__getitem__, words))
         if self.spaces == "dropped":
             return b"".join(map(self._plain.__getitem__, text.split(" ")))
         if self.spaces == "leads":

@@ -107,6 +107,13 @@ def test_encoder_equals_the_library(name, spaces):
         assert np.frombuffer(e.encode(t), e.dtype).tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_memo_of_separated_words_holds_words_alone():
+    e = encode.Encoder(tokenizer("word_bpe_49k.json"), "dropped")
+    text = "Der der, DER.\nder! über Über, x\x1cx X;x"
+    assert np.frombuffer(e.encode(text), e.dtype).tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
+    assert set(e._plain) == {"der", ",", ".", "!", "über", "x", "\x1c", ";"}
+
+
 def test_token_files_round_trip(docs, nothing, spark):
     e = encode.Encoder(tokenizer("byte_bpe_50k.json"), "leads")
     got = rows_of(token_store.token_files(docs, tokenizer("byte_bpe_50k.json"), "leads", end_id=2, file_bytes=20_000))
