@@ -61,17 +61,23 @@ def gbt(preset: str = "xgboost", n_trees: int = K.GBT_TREES, seed: int = K.SEED,
     return GBTClassifier(**kw)
 
 
+def vector_table(df: DataFrame, features: Sequence[str], keep: Sequence[str], name: str) -> DataFrame:
+    """``keep`` and the assembled features, written once: a fit reads its rows three times or more, and one
+    vector is read back far cheaper than dozens of columns are scanned and assembled."""
+    return materialize(assemble(df, features).select(*keep, "features"), name)
+
+
 def _prep(df: DataFrame, features: Sequence[str], label: str, preset: str) -> DataFrame:
     d = df.withColumn("label", F.col(label).cast("double"))
     d = d.withColumn("w", class_weight(d, "label", preset))
-    return assemble(d, features)
+    return d if "features" in d.columns else assemble(d, features)
 
 
 def fit_gbt(
     df: DataFrame, features: Sequence[str], label: str = "y", preset: str = "xgboost",
     n_trees: int = K.GBT_TREES, validation_col: str | None = None,
 ):
-    """Fit one boosted-tree model; ``validation_col`` (bool) enables early stopping."""
+    """Fit one boosted-tree model; ``validation_col`` (bool) enables early stopping. ``df`` may be a :func:`vector_table`."""
     return gbt(preset, n_trees, validation_col=validation_col).fit(_prep(df, features, label, preset))
 
 
@@ -104,10 +110,10 @@ class PlattEnsemble:
 
 
 def fold_table(df: DataFrame, features: Sequence[str], label: str, key: str, folds: int) -> DataFrame:
-    """Label, features and fold of every row, written once: every fit reads it several times."""
+    """Label, fold and feature vector of every row, written once: every fit reads it several times."""
     f = stratified_kfold(df.select(key, label, *[F.col(f"`{c}`") for c in features]), key, label, folds)
     f = f.select(F.col(label).cast("double").alias("label"), *[F.col(f"`{c}`") for c in features], "fold")
-    return materialize(f, "folds")
+    return vector_table(f, features, ["label", "fold"], "folds")
 
 
 def platt_calibrate(
@@ -118,12 +124,12 @@ def platt_calibrate(
     margin on the held-out fold with a 1-feature unregularised logistic model."""
     f = fold_table(df, features, label, key, folds)
     f = f.withColumn("w", class_weight(f, "label", preset))
-    f = assemble(f, features)
     from riskloom.session import run_parallel
 
     def one(k):
         m = gbt(preset, n_trees).fit(f.where(F.col("fold") != k))
-        held = m.transform(f.where(F.col("fold") == k)).select(margin(None).alias("m"), "label")
+        # two numbers a row, written: the calibrator's passes don't run the trees again
+        held = materialize(m.transform(f.where(F.col("fold") == k)).select(margin(None).alias("m"), "label"), "margins")
         lr = LogisticRegression(featuresCol="mv", labelCol="label", regParam=0.0, maxIter=100)
         cm = lr.fit(assemble(held, ["m"], "mv"))
         return m, (float(cm.coefficients[0]), float(cm.intercept))
@@ -145,7 +151,6 @@ def gbt_cv(
     """k-fold CV: one metrics row per fold plus an out-of-fold row (fold = -1)."""
     f = fold_table(df, features, label, key, k)
     f = f.withColumn("w", class_weight(f, "label", preset))
-    f = assemble(f, features)
     from riskloom.session import run_parallel
 
     models = run_parallel([lambda i=i: gbt(preset, n_trees).fit(f.where(F.col("fold") != i)) for i in range(k)])

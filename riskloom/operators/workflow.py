@@ -81,7 +81,7 @@ class CreditWorkflow:
         """Both presets with early stopping; the first one is calibrated by folds."""
         feats = self.screen.selected
         early = SP.stratified_split(train.select("id", "y", *feats), "id", "y", oot=0.0, test=K.EARLY_STOP_FRACTION, out="part")
-        early = materialize(early.withColumn("is_val", F.col("part") == "test"), "wf-early")
+        early = MD.vector_table(early.withColumn("is_val", F.col("part") == "test"), feats, ["y", "is_val"], "wf-early")
         self.xgboost, lightgbm, calibrated = run_parallel([
             lambda: MD.fit_gbt(early, feats, "y", "xgboost", self.n_trees, "is_val"),
             lambda: MD.fit_gbt(early, feats, "y", "lightgbm", self.n_trees, "is_val"),

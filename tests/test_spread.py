@@ -80,3 +80,17 @@ def test_woe_chain_takes_the_bins_of_the_fit(spark):
         v = m.woe["v"].get(int(r["v"]), 0.0) if r["v"] in (0.0, 1.0, 2.0) else 0.0
         t = m.woe["t"].get("abc".index(r["t"]), 0.0) if r["t"] in ("a", "b", "c") else 0.0
         assert (r["WOE_q"], r["WOE_v"], r["WOE_t"]) == (q, v, t)
+
+
+def test_fits_read_written_vectors(spark):
+    """One assembled vector a row is written; fits from it are the fits from the columns."""
+    rnd = random.Random(3)
+    rows = [(i, float(i % 17), rnd.random(), float(i % 5), int(rnd.random() < (i % 17) / 17)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, y int").coalesce(1)
+    feats = ["a", "b", "c"]
+    f = MD.fold_table(df, feats, "y", "id", 3)
+    assert f.columns == ["label", "fold", "features"] and "UDF" not in plan(f)
+    early = MD.vector_table(df, feats, ["y"], "vectors")
+    assert early.columns == ["y", "features"] and "UDF" not in plan(early)
+    one, two = MD.fit_gbt(df, feats, n_trees=3), MD.fit_gbt(early.coalesce(1), feats, n_trees=3)
+    assert two.featureImportances.toArray().tolist() == pytest.approx(one.featureImportances.toArray().tolist())
