@@ -154,8 +154,3 @@ def sigmoid(z: ColLike) -> Column:
 def md5_key(*cols: ColLike) -> Column:
     """Deterministic row key: md5 of the '|'-joined string forms."""
     return F.md5(F.concat_ws("|", *[c(x).cast("string") for x in cols]))
-
-
-def hash_rank_key(md5_col: ColLike) -> Column:
-    """A bigint that orders like the md5 hex string (first 15 hex digits)."""
-    return F.conv(F.substring(c(md5_col), 1, 15), 16, 10).cast("bigint")

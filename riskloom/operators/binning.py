@@ -22,7 +22,7 @@ from pyspark.sql.types import StringType
 from riskloom.functions import constants as K
 from riskloom.functions.exprs import bin_left_lit, bin_right_lit, bin_value_lit
 from riskloom.operators.ordered import attach_rows, materialize
-from riskloom.operators.quantiles import quantiles, value_stats
+from riskloom.operators.quantiles import bin_values, first_histogram, quantiles, value_stats
 
 
 # pandas qcut asks for linspace(0, 1, q+1): i * (1/q) ...
@@ -49,12 +49,16 @@ def unpivot_features(df: DataFrame, features: Sequence[str], extra: Sequence[str
     return long.where(F.col("x").isNotNull())
 
 
+def feature_quantiles(df: DataFrame, features: Sequence[str], probs: Sequence[float], stats=None, first=None) -> dict[str, list[float]]:
+    """:func:`quantiles` per feature; passes after the first unpivot only the features that need them."""
+    return quantiles(unpivot_features(df, features), "feature", "x", probs, stats, first, lambda some: unpivot_features(df, some))
+
+
 def quantile_edges(
     df: DataFrame, features: Sequence[str], q: int = 10, probs: Sequence[float] | None = None, where: Column | None = None
 ) -> DataFrame:
     """``(feature, edges)``: sorted unique exact quantiles per feature."""
-    long = unpivot_features(df if where is None else df.where(where), features)
-    q_ = quantiles(long, "feature", "x", probs if probs is not None else qcut_probs(q))
+    q_ = feature_quantiles(df if where is None else df.where(where), features, probs if probs is not None else qcut_probs(q))
     rows = [(f, list(dict.fromkeys(e))) for f, e in sorted(q_.items())]
     return df.sparkSession.createDataFrame(rows, "feature string, edges array<double>")
 
@@ -103,8 +107,10 @@ def fit_bins(
     """Returns (edges, per-feature stats).
 
     Edges per numeric feature: ('value', distinct values) with <= n_bins of them
-    (one bin per value), else ('quantile', qcut edges). An approximate distinct
-    count only says for which features the values are looked at one by one.
+    (one bin per value), else ('quantile', qcut edges). The first histogram of the
+    quantiles shows the values of most features that have few; where its few bins
+    hold several values each, an approximate distinct count says whether the values
+    are looked at one by one.
     String features: see :func:`fit_vocabulary`.
     """
     df = df.where(F.col(label).isNotNull())
@@ -114,16 +120,21 @@ def fit_bins(
     if not features:
         return edges, rows
     long = unpivot_features(df, features, extra=[label]).select("feature", "x", F.col(label).cast("long").alias("ev"))
-    stats = value_stats(long, "feature", "x", E=F.sum("ev"), d=F.approx_count_distinct("x"))
-    few = [f for f, r in stats.items() if r["d"] <= 4 * n_bins]
-    values: dict[str, list[float]] = {}
-    if few:
-        for r in long.where(F.col("feature").isin(few)).select("feature", "x").distinct().orderBy("feature", "x").collect():
-            values.setdefault(r["feature"], []).append(r["x"])
+    stats = value_stats(long, "feature", "x", E=F.sum("ev"))
+    first = first_histogram(long, "feature", "x", stats)
+    values = {f: bin_values(cells) for f, cells in first.items() if len(cells) <= n_bins}
+    unclear = [f for f, v in values.items() if v is None]
+    values = {f: v for f, v in values.items() if v is not None}
+    if unclear:
+        near = value_stats(unpivot_features(df, unclear), "feature", "x", d=F.approx_count_distinct("x"))
+        few = [f for f, r in near.items() if r["d"] <= 4 * n_bins]
+        if few:
+            for r in unpivot_features(df, few).select("feature", "x").distinct().orderBy("feature", "x").collect():
+                values.setdefault(r["feature"], []).append(r["x"])
     edges |= {f: ("value", v) for f, v in values.items() if len(v) <= n_bins}
     many = [f for f in stats if f not in edges]
     if many:
-        got = quantiles(long.where(F.col("feature").isin(many)), "feature", "x", qcut_probs(n_bins), {f: stats[f] for f in many})
+        got = feature_quantiles(df, many, qcut_probs(n_bins), {f: stats[f] for f in many}, first)
         edges |= {f: ("quantile", list(dict.fromkeys(e))) for f, e in got.items()}
     return edges, rows + [{"feature": f, "E": r["E"], "N": r["n"] - r["E"]} for f, r in stats.items()]
 
@@ -288,13 +299,20 @@ class WoEModel:
         kind, edges = self.edges[feature]
         return _bin_lit(kind, edges, F.col(f"`{feature}`"))
 
-    def woe_expr(self, feature: str) -> Column:
+    def _values(self, feature: str) -> list[float]:
+        """Every WoE that the feature can have: 0 for no bin, then that of each bin."""
         table = self.woe.get(feature, {})
         if feature not in self.edges or not table:
-            return F.lit(0.0)
-        x, zero = F.col(f"`{feature}`"), F.lit(0.0)
+            return [0.0]
+        return [0.0, *[table.get(i, 0.0) for i in range(len(self.edges[feature][1]) + 1)]]
+
+    def _pick(self, feature: str, values: list[Column]) -> Column:
+        """The one of ``values`` that stands at the place of the row's WoE in :meth:`_values`."""
+        zero, woe = values[0], values[1:]
+        if not woe:
+            return zero
+        x = F.col(f"`{feature}`")
         kind, edges = self.edges[feature]
-        woe = [F.lit(table.get(i, 0.0)) for i in range(len(edges) + 1)]
         # one chain of comparisons straight to the WoE, the same bins as bin_expr; no value, or one
         # that training never saw and that has no bin: WoE 0
         if kind == "quantile":  # right-closed; the first and the last bin are open, NaN is above all
@@ -307,6 +325,38 @@ class WoEModel:
             out = out.when(x == F.lit(e) if kind in ("category", "top") else x.cast("double") == F.lit(float(e)), woe[i])
         return out.otherwise(woe[len(edges)] if kind == "top" else zero)
 
+    def woe_expr(self, feature: str) -> Column:
+        return self._pick(feature, [F.lit(v) for v in self._values(feature)])
+
+    def _strides(self, features: Sequence[str]) -> list[tuple[str, int, int]]:
+        """(feature, number of the cell column, stride in it): as many features in one long as fit."""
+        out, column, stride = [], 0, 1
+        for f in features:
+            n = len(self._values(f))
+            if stride * n > 2**62:
+                column, stride = column + 1, 1
+            out.append((f, column, stride))
+            stride *= n
+        return out
+
+    def cells(self, features: Sequence[str]) -> dict[str, Column]:
+        """Columns ``cell_0``, ... that number the combination of the features' WoE: short rows to shuffle and count."""
+        out: dict[str, Column] = {}
+        for f, column, stride in self._strides(features):
+            part = self._pick(f, [F.lit(i * stride).cast("long") for i in range(len(self._values(f)))])
+            name = f"cell_{column}"
+            out[name] = out[name] + part if name in out else part
+        return out
+
+    def from_cells(self, df: DataFrame, features: Sequence[str], prefix: str = "WOE_") -> DataFrame:
+        """The columns of :meth:`transform` in place of those of :meth:`cells`."""
+        woe = {}
+        for f, column, stride in self._strides(features):
+            values = self._values(f)
+            place = F.expr(f"cell_{column} div {stride}L") % len(values)
+            woe[f"{prefix}{f}"] = F.element_at(F.array(*[F.lit(v) for v in values]), (place + 1).cast("int"))
+        return df.withColumns(woe).drop(*{f"cell_{column}" for _, column, _ in self._strides(features)})
+
     def transform(self, df: DataFrame, features: Sequence[str] | None = None, prefix: str = "WOE_") -> DataFrame:
         feats = list(features if features is not None else self.edges)
         return df.withColumns({f"{prefix}{f}": self.woe_expr(f) for f in feats})
@@ -333,7 +383,7 @@ def psi_table(
 
 def psi_edges(expected: DataFrame, features: Sequence[str], n_bins: int = 10) -> Bins:
     """Unique percentiles per feature; bins are left-closed, the outer ones open."""
-    q = quantiles(unpivot_features(expected, features), "feature", "x", percentile_probs(n_bins))
+    q = feature_quantiles(expected, features, percentile_probs(n_bins))
     return {f: ("left", list(dict.fromkeys(v))) for f, v in q.items()}
 
 

@@ -162,14 +162,14 @@ def prefix_sums(
         # sort long runs of equal keys: cut equal-width value ranges between
         # the group's min and max (known from the stats job) - no extra job.
         b = _width_bins(attach_groups(df, keys, groups, ["_min", "_max"]), o0, nb, "_bucket")
-        return _bucket_prefix(b, keys, ["_bucket"], order, cols, suffix, groups.n_groups * nb)
+        return bucket_sums(b, keys, ["_bucket"], order, cols, groups.n_groups * nb, suffix)
 
     if keys:
         # only groups beyond the limit are cut; there are at most total / bucket_rows of them
         over = groups.table.where(F.col("_rows") > bucket_rows).select(*keys)
         few = groups.total // bucket_rows <= BROADCAST_ROWS
         b, levels, n_small = _cut_groups(join_groups(df, over, keys, few, "left_semi"), keys, o0, groups.max_rows, bucket_rows)
-        cut = _bucket_prefix(b, keys, levels, order, cols, suffix, n_small)
+        cut = bucket_sums(b, keys, levels, order, cols, n_small, suffix)
         return plain(join_groups(df, over, keys, few, "left_anti")).unionByName(cut)
     # one global set of edges: binary search via Bucketizer
     from pyspark.ml.feature import Bucketizer
@@ -182,16 +182,7 @@ def prefix_sums(
     b = Bucketizer(splits=splits, inputCol="_o0", outputCol="_bk", handleInvalid="keep").transform(b)
     # NULL sorts before every value (as in a plain window); NaN has the extra last bucket
     b = b.withColumn("_bucket", F.when(F.col("_o0").isNull(), F.lit(-1)).otherwise(F.col("_bk").cast("int"))).drop("_o0", "_bk")
-    return _bucket_prefix(b, keys, ["_bucket"], order, cols, suffix, n_buckets + 2)
-
-
-def ranged_sums(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], groups: Groups, n_ranges: int, suffix: str = "_cum"
-) -> DataFrame:
-    """:func:`prefix_sums` over ``n_ranges`` equal-width ranges of an ``order[0]`` that is spread evenly
-    between the ``_min`` and ``_max`` of ``groups`` (hashes): a window task per group and range."""
-    b = _width_bins(attach_groups(df, keys, groups, ["_min", "_max"]), order[0], n_ranges, "_bucket")
-    return _bucket_prefix(b, list(keys), ["_bucket"], list(order), cols, suffix, groups.n_groups * n_ranges)
+    return bucket_sums(b, keys, ["_bucket"], order, cols, n_buckets + 2, suffix)
 
 
 def _width_bins(df: DataFrame, value: str, n_bins: int, out: str) -> DataFrame:
@@ -232,9 +223,12 @@ def _cut_groups(df: DataFrame, keys: list, o0: str, max_rows: int, bucket_rows:
         max_rows = row["m"]
 
 
-def _bucket_prefix(b: DataFrame, keys, levels: Sequence[str], order, cols, suffix: str, n_small: int) -> DataFrame:
-    """Exact running sums given value-range bucket columns: bucket totals
-    (tiny) -> exclusive offsets -> joined back -> window per (group, bucket)."""
+def bucket_sums(
+    b: DataFrame, keys: Sequence[str], levels: Sequence[str], order: Sequence[str], cols: Sequence[str], n_small: int, suffix: str = "_cum"
+) -> DataFrame:
+    """Exact running sums given value-range bucket columns: bucket totals (``n_small`` rows) ->
+    exclusive offsets -> joined back -> window per (bucket, group). The bucket comes first:
+    it has more values than the groups, so a sort mostly compares that."""
     bk = [*keys, *levels]
     totals = b.groupBy(*bk).agg(*[F.sum(x).alias(f"_t_{x}") for x in cols])
     wt = (Window.partitionBy(*keys) if keys else Window).orderBy(*levels).rowsBetween(
@@ -244,7 +238,7 @@ def _bucket_prefix(b: DataFrame, keys, levels: Sequence[str], order, cols, suffi
         *bk, *[F.coalesce(F.sum(f"_t_{x}").over(wt), F.lit(0)).alias(f"_o_{x}") for x in cols]
     )
     b = join_groups(b, offsets, bk, n_small <= BROADCAST_ROWS)
-    w = Window.partitionBy(*bk).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy(*levels, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = b.withColumns({f"{x}{suffix}": F.col(f"_o_{x}") + F.sum(x).over(w) for x in cols})
     return out.drop(*levels, *[f"_o_{x}" for x in cols])
 

@@ -15,7 +15,7 @@ expensive plan. Groups are features or classes; with unbounded groups use
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -81,15 +81,39 @@ def _histogram(df: DataFrame, key: str, value: str, intervals: Sequence[Interval
     return {i: sorted(rows, key=lambda t: t[0]) for i, rows in out.items()}
 
 
-def values_at_ranks(df: DataFrame, key: str, value: str, wanted: dict[object, Iterable[int]], stats: dict) -> dict[tuple, float]:
+def first_histogram(df: DataFrame, key: str, value: str, stats: dict) -> dict[object, list]:
+    """Per group its filled bins ``(bin, rows, smallest, largest)`` over its whole range, in value order."""
+    whole = [Interval(g, r["lo"], r["hi"], 0, []) for g, r in stats.items() if r["n"]]
+    hist = _histogram(df, key, value, whole, FIRST_BINS, True) if whole else {}
+    return {v.group: hist.get(i, []) for i, v in enumerate(whole)}
+
+
+def bin_values(cells: Sequence[tuple]) -> list[float] | None:
+    """The distinct values in the bins of :func:`first_histogram`, ascending; None where a bin holds several."""
+    if any(a != z and not (math.isnan(a) and math.isnan(z)) for _, _, a, z in cells):
+        return None
+    return [a + 0.0 for _, _, a, _ in cells]  # -0.0 is 0.0
+
+
+def values_at_ranks(
+    df: DataFrame, key: str, value: str, wanted: dict[object, Iterable[int]], stats: dict, first: dict | None = None,
+    rows: Callable[[list], DataFrame] | None = None,
+) -> dict[tuple, float]:
     """``{(group, rank): value}`` for 0-based ranks among a group's non-NULL doubles in ascending order
-    (NaN last); ``stats`` come from :func:`value_stats`."""
+    (NaN last); ``stats`` come from :func:`value_stats`, ``first`` from :func:`first_histogram` (else it is
+    taken here). ``rows`` gives the rows of some groups for less than a scan of ``df``: most groups need no
+    second pass."""
     found: dict[tuple, float] = {}
     todo = [Interval(g, stats[g]["lo"], stats[g]["hi"], 0, sorted(set(r))) for g, r in wanted.items() if r]
     leaves: list[Interval] = []
+    of = (lambda intervals: rows(sorted({v.group for v in intervals}))) if rows else (lambda _: df)
     bins, whole = FIRST_BINS, True
     while todo:
-        hist, nxt = _histogram(df, key, value, todo, bins, whole), []
+        if whole and first is not None:
+            hist = {i: first[v.group] for i, v in enumerate(todo)}
+        else:
+            hist = _histogram(of(todo), key, value, todo, bins, whole)
+        nxt = []
         for i, iv in enumerate(todo):
             below = iv.below
             for b, c, a, z in hist.get(i, []):
@@ -103,7 +127,7 @@ def values_at_ranks(df: DataFrame, key: str, value: str, wanted: dict[object, It
         todo, bins, whole = nxt, NEXT_BINS, False
     if leaves:
         cells: dict[int, list] = {}
-        for r in _mark(df, key, value, leaves, False).groupBy("_i", value).agg(F.count(F.lit(1)).alias("c")).collect():
+        for r in _mark(of(leaves), key, value, leaves, False).groupBy("_i", value).agg(F.count(F.lit(1)).alias("c")).collect():
             cells.setdefault(r["_i"], []).append((r[value], r["c"]))
         for i, iv in enumerate(leaves):
             below = iv.below
@@ -113,13 +137,17 @@ def values_at_ranks(df: DataFrame, key: str, value: str, wanted: dict[object, It
     return found
 
 
-def quantiles(df: DataFrame, key: str, value: str, probs: Sequence[float], stats: dict | None = None) -> dict[object, list[float]]:
+def quantiles(
+    df: DataFrame, key: str, value: str, probs: Sequence[float], stats: dict | None = None, first: dict | None = None,
+    rows: Callable[[list], DataFrame] | None = None,
+) -> dict[object, list[float]]:
     """Linear-interpolated quantiles per group, in prob order: position ``(n-1)*p``, value
-    ``lo + (hi-lo)*fraction`` (``quantile_cont``, NumPy ``linear``). Groups without values are left out."""
+    ``lo + (hi-lo)*fraction`` (``quantile_cont``, NumPy ``linear``). Groups without values are left out.
+    ``first`` and ``rows``: see :func:`values_at_ranks`."""
     stats = value_stats(df, key, value) if stats is None else stats
     spots = {g: [(s["n"] - 1) * float(p) for p in probs] for g, s in stats.items() if s["n"]}
     wanted = {g: {f(p) for p in at for f in (math.floor, math.ceil)} for g, at in spots.items()}
-    got = values_at_ranks(df, key, value, wanted, stats)
+    got = values_at_ranks(df, key, value, wanted, stats, first, rows)
     out = {}
     for g, at in spots.items():
         ends = [(float(got[g, math.floor(p)]), float(got[g, math.ceil(p)]), p - math.floor(p)) for p in at]

@@ -19,13 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from riskloom.functions import constants as K
-from riskloom.functions.exprs import hash_rank_key, md5_key
-from riskloom.operators.ordered import BROADCAST_ROWS, attach_groups, group_stats, join_groups, ranged_sums, task_rows
+from riskloom.functions.exprs import md5_key
+from riskloom.operators.ordered import BROADCAST_ROWS, Groups, attach_groups, bucket_sums, group_stats, join_groups, task_rows
 from riskloom.operators.quantiles import LEAF_ROWS
 
 # Hex digits by which hashes are counted at a time, and digits of an md5.
 DIGITS = 3
 MD5_DIGITS = 32
+# Rows of a class that share their first digits: few enough that a sort mostly compares those digits.
+RUN_ROWS = 1024
 
 
 def _round_half_up(x: float) -> int:
@@ -36,13 +38,26 @@ def hash_rank(df: DataFrame, key: Sequence[str] | str, label: str) -> DataFrame:
     """Add ``_h`` (md5 of the key), ``_rank`` (1-based within the class by ``_h``)
     and ``_n`` (class size)."""
     key = [key] if isinstance(key, str) else list(key)
-    d = df.withColumn("_h", md5_key(*key)).withColumn("_hk", hash_rank_key("_h")).withColumn("_one", F.lit(1))
-    # the hash key spans [0, 16^15): its range needs no pass over the data. Hashes spread evenly over it, so
-    # equal-width ranges of it are even tasks for any class size.
-    groups = group_stats(d, [label], _n=F.count(F.lit(1)), _min=F.lit(0).cast("long"), _max=F.lit(16**15 - 1))
-    r = ranged_sums(d, [label], ["_hk", "_h"], ["_one"], groups, math.ceil(groups.max_rows / task_rows(d, groups.total)))
+    d = df.withColumn("_h", md5_key(*key)).withColumn("_one", F.lit(1))
+    # hashes spread evenly over their first digits: those are even ranges for any class size, without a pass over
+    # the data. A hash is sorted as its 16 bytes, half the size of its digits and in the same order.
+    groups = group_stats(d, [label], _n=F.count(F.lit(1)))
+    digits = _range_digits(groups, task_rows(d, groups.total))
+    d = d.withColumns({"_bucket": F.substring("_h", 1, digits), "_bytes": F.unhex("_h")}).drop("_h")
+    r = bucket_sums(d, [label], ["_bucket"], ["_bytes"], ["_one"], groups.n_groups * 16**digits)
     r = attach_groups(r, [label], groups, ["_n"])
-    return r.withColumnRenamed("_one_cum", "_rank").drop("_one", "_hk")
+    return r.withColumn("_h", F.lower(F.hex("_bytes"))).withColumnRenamed("_one_cum", "_rank").drop("_one", "_bytes")
+
+
+def _range_digits(groups: Groups, most: int) -> int:
+    """Hex digits that divide the largest class into ranges of at most ``most`` rows; more of them, down to
+    RUN_ROWS, while the counts per class and range stay a table to broadcast."""
+    digits = 1
+    while 16**digits * most < groups.max_rows:
+        digits += 1
+    while 16**digits * RUN_ROWS < groups.max_rows and groups.n_groups * 16 ** (digits + 1) <= BROADCAST_ROWS:
+        digits += 1
+    return digits
 
 
 def _hash_cuts(hashes: DataFrame, label: str, sizes: Callable[[int], list[int]]) -> dict[object, list[str]]:

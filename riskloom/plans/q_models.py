@@ -96,8 +96,9 @@ def q_scorecard_cv(spark, sf):
     feats = fx.LI_FEATURES
     m = B.WoEModel.fit(li, feats, "y")
     woe = [f"WOE_{f}" for f in feats]
-    folds = SP.stratified_kfold(m.transform(li, feats).select("key", "y", *woe), "key", "y", 5)
-    t = SC.counted(folds, ["fold", "y", *woe])
+    cells = m.cells(feats)
+    folds = SP.stratified_kfold(li.select("key", "y", *[c.alias(name) for name, c in cells.items()]), "key", "y", 5)
+    t = m.from_cells(SC.counted(folds, ["fold", "y", *cells]), feats)
     t = fit_standard(t, woe, SC.COUNT).transform(t)
 
     def one(k):

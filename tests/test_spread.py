@@ -1,5 +1,6 @@
 """Steps of the workflow that must be spread over all cores, and fits over counted rows."""
 
+import hashlib
 import math
 import random
 
@@ -94,3 +95,42 @@ def test_fits_read_written_vectors(spark):
     assert early.columns == ["y", "features"] and "UDF" not in plan(early)
     one, two = MD.fit_gbt(df, feats, n_trees=3), MD.fit_gbt(early.coalesce(1), feats, n_trees=3)
     assert two.featureImportances.toArray().tolist() == pytest.approx(one.featureImportances.toArray().tolist())
+
+
+def test_folds_sort_short_rows(spark):
+    """Hashes are divided by their first digits and sorted as bytes: no number conversion a row, no second hash column."""
+    df = spark.range(40_000).select("id", (F.col("id") % 2).cast("int").alias("y"))
+    out = SP.stratified_kfold(df, "id", "y", 5)
+    assert "conv(" not in plan(out) and "hashpartitioning(_bucket" in plan(out)
+    hashed = sorted((hashlib.md5(str(i).encode()).hexdigest(), i) for i in range(40_000))
+    want = {}
+    for y in (0, 1):
+        want |= {i: r % 5 for r, i in enumerate(i for _, i in hashed if i % 2 == y)}
+    assert {r["id"]: r["fold"] for r in out.collect()} == want
+
+
+def test_cells_are_the_woe(spark):
+    """One long a row stands for all WoE, nulls and unseen values too."""
+    rows = [(float(i), float(i % 3), "abc"[i % 3], int(i * 7 % 5 == 0)) for i in range(60)]
+    df = spark.createDataFrame([*rows, (None, None, None, 1), (float("nan"), 9.0, "z", None)], "q double, v double, t string, y int")
+    feats = ["q", "v", "t", "none"]
+    m = B.WoEModel.fit(df, feats[:3])
+    d = df.withColumn("none", F.lit(1.0)).withColumn("i", F.monotonically_increasing_id())
+    assert list(m.cells(feats)) == ["cell_0"]
+    woe = [f"WOE_{f}" for f in feats]
+    got = m.from_cells(d.select("i", *[c.alias(k) for k, c in m.cells(feats).items()]), feats).select("i", *woe)
+    assert sorted(got.collect()) == sorted(m.transform(d, feats).select("i", *woe).collect())
+
+
+def test_few_values_are_read_from_the_first_histogram(spark, monkeypatch):
+    """No pass looks at the values one by one unless a bin holds several; later passes read only the features left."""
+    rows = [(float(i % 4) if i % 9 else None, float(i * i), 1e300 if i == 0 else float(i % 3), int(i % 2)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "few double, many double, close double, y int")
+    seen = []
+    plain = B.unpivot_features
+    monkeypatch.setattr(B, "unpivot_features", lambda d, features, extra=(): seen.append(list(features)) or plain(d, features, extra))
+    edges, _ = B.fit_bins(df, ["few", "many", "close"])
+    assert edges["few"] == ("value", [0.0, 1.0, 2.0, 3.0]) and edges["close"] == ("value", [0.0, 1.0, 2.0, 1e300])
+    want = [i * i for i in range(3000)]
+    assert edges["many"][0] == "quantile" and edges["many"][1][::10] == [want[0], want[-1]]
+    assert ["close"] in seen and seen.count(["few", "many", "close"]) == 1 and not any("few" in s for s in seen[1:])
