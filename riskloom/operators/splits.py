@@ -39,14 +39,14 @@ def hash_rank(df: DataFrame, key: Sequence[str] | str, label: str) -> DataFrame:
     and ``_n`` (class size)."""
     key = [key] if isinstance(key, str) else list(key)
     d = df.withColumn("_h", md5_key(*key)).withColumn("_one", F.lit(1))
-    # hashes spread evenly over their first digits: those are even ranges for any class size, without a pass over
-    # the data. A hash is sorted as its 16 bytes, half the size of its digits and in the same order.
+    # hashes spread evenly over their first digits: those are even ranges for any class size, without a pass over the
+    # data. A hash stays text: text is compared in place, bytes would be copied for every comparison of the sort.
     groups = group_stats(d, [label], _n=F.count(F.lit(1)))
     digits = _range_digits(groups, task_rows(d, groups.total))
-    d = d.withColumns({"_bucket": F.substring("_h", 1, digits), "_bytes": F.unhex("_h")}).drop("_h")
-    r = bucket_sums(d, [label], ["_bucket"], ["_bytes"], ["_one"], groups.n_groups * 16**digits)
+    d = d.withColumn("_bucket", F.substring("_h", 1, digits))
+    r = bucket_sums(d, [label], ["_bucket"], ["_h"], ["_one"], groups.n_groups * 16**digits)
     r = attach_groups(r, [label], groups, ["_n"])
-    return r.withColumn("_h", F.lower(F.hex("_bytes"))).withColumnRenamed("_one_cum", "_rank").drop("_one", "_bytes")
+    return r.withColumnRenamed("_one_cum", "_rank").drop("_one")
 
 
 def _range_digits(groups: Groups, most: int) -> int:

@@ -98,7 +98,7 @@ def test_fits_read_written_vectors(spark):
 
 
 def test_folds_sort_short_rows(spark):
-    """Hashes are divided by their first digits and sorted as bytes: no number conversion a row, no second hash column."""
+    """Hashes are divided by their first digits and sorted as they are: no number conversion a row, no second hash column."""
     df = spark.range(40_000).select("id", (F.col("id") % 2).cast("int").alias("y"))
     out = SP.stratified_kfold(df, "id", "y", 5)
     assert "conv(" not in plan(out) and "hashpartitioning(_bucket" in plan(out)
