@@ -299,20 +299,13 @@ class WoEModel:
         kind, edges = self.edges[feature]
         return _bin_lit(kind, edges, F.col(f"`{feature}`"))
 
-    def _values(self, feature: str) -> list[float]:
-        """Every WoE that the feature can have: 0 for no bin, then that of each bin."""
+    def woe_expr(self, feature: str) -> Column:
         table = self.woe.get(feature, {})
         if feature not in self.edges or not table:
-            return [0.0]
-        return [0.0, *[table.get(i, 0.0) for i in range(len(self.edges[feature][1]) + 1)]]
-
-    def _pick(self, feature: str, values: list[Column]) -> Column:
-        """The one of ``values`` that stands at the place of the row's WoE in :meth:`_values`."""
-        zero, woe = values[0], values[1:]
-        if not woe:
-            return zero
-        x = F.col(f"`{feature}`")
+            return F.lit(0.0)
+        x, zero = F.col(f"`{feature}`"), F.lit(0.0)
         kind, edges = self.edges[feature]
+        woe = [F.lit(table.get(i, 0.0)) for i in range(len(edges) + 1)]
         # one chain of comparisons straight to the WoE, the same bins as bin_expr; no value, or one
         # that training never saw and that has no bin: WoE 0
         if kind == "quantile":  # right-closed; the first and the last bin are open, NaN is above all
@@ -325,38 +318,6 @@ class WoEModel:
             out = out.when(x == F.lit(e) if kind in ("category", "top") else x.cast("double") == F.lit(float(e)), woe[i])
         return out.otherwise(woe[len(edges)] if kind == "top" else zero)
 
-    def woe_expr(self, feature: str) -> Column:
-        return self._pick(feature, [F.lit(v) for v in self._values(feature)])
-
-    def _strides(self, features: Sequence[str]) -> list[tuple[str, int, int]]:
-        """(feature, number of the cell column, stride in it): as many features in one long as fit."""
-        out, column, stride = [], 0, 1
-        for f in features:
-            n = len(self._values(f))
-            if stride * n > 2**62:
-                column, stride = column + 1, 1
-            out.append((f, column, stride))
-            stride *= n
-        return out
-
-    def cells(self, features: Sequence[str]) -> dict[str, Column]:
-        """Columns ``cell_0``, ... that number the combination of the features' WoE: short rows to shuffle and count."""
-        out: dict[str, Column] = {}
-        for f, column, stride in self._strides(features):
-            part = self._pick(f, [F.lit(i * stride).cast("long") for i in range(len(self._values(f)))])
-            name = f"cell_{column}"
-            out[name] = out[name] + part if name in out else part
-        return out
-
-    def from_cells(self, df: DataFrame, features: Sequence[str], prefix: str = "WOE_") -> DataFrame:
-        """The columns of :meth:`transform` in place of those of :meth:`cells`."""
-        woe = {}
-        for f, column, stride in self._strides(features):
-            values = self._values(f)
-            place = F.expr(f"cell_{column} div {stride}L") % len(values)
-            woe[f"{prefix}{f}"] = F.element_at(F.array(*[F.lit(v) for v in values]), (place + 1).cast("int"))
-        return df.withColumns(woe).drop(*{f"cell_{column}" for _, column, _ in self._strides(features)})
-
     def transform(self, df: DataFrame, features: Sequence[str] | None = None, prefix: str = "WOE_") -> DataFrame:
         feats = list(features if features is not None else self.edges)
         return df.withColumns({f"{prefix}{f}": self.woe_expr(f) for f in feats})
