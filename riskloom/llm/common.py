@@ -15,6 +15,8 @@ from riskloom.session import scratch_root
 
 # Rows in one Arrow batch: whole texts can be long, so batches stay short.
 BATCH_ROWS = 1000
+# Spark then removes the shuffle files of a query as soon as it ends, not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Stands for a null id where ids are ordered or compared: larger than every id.
 NO_ID = 2**63 - 1
 
@@ -39,9 +41,17 @@ class Workspace:
         return f"{self.root}/{self._n:03d}-{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` as Parquet and read it back: cuts the lineage, survives lost executors."""
+        """Write ``df`` as Parquet and read it back: cuts the lineage, survives lost executors, leaves no shuffle files."""
         path = self.path(name)
-        df.write.parquet(path)
+        before = self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(_CLEANUP)
+            else:
+                self.spark.conf.set(_CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
         return out

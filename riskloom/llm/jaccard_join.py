@@ -20,6 +20,8 @@ prefixes) have a token in common.
    grow with members, never with pairs. Components of the forests bound
    where links can be.
 4. Inside a candidate component (again in pairs of blocks) the full sets meet.
+   A bitmap of the members' hashed ids, of fixed size, leaves all other texts
+   where they are read; ids that it lets through by chance go at the join.
    A pair must share prefix tokens under a second and a third order (hashes
    of their own) as well; then the intersection is counted exactly. Pairs
    that links already connect are skipped: components, not links, are asked.
@@ -49,6 +51,7 @@ BITS = 256
 _SLACK = 1.3
 _ORDERS = (np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25))
 _PIECE = 4 << 20
+_FILTER_BITS = 1 << 26
 
 
 def row_slices(offsets: np.ndarray, limit: int = _PIECE):
@@ -268,25 +271,49 @@ def _linked(tokens: list[np.ndarray], num: int, den: int) -> np.ndarray:
     return forest.roots()
 
 
+def _place(doc: np.ndarray, size: int) -> np.ndarray:
+    """Bit of each id in a filter of ``size`` bits, a power of two."""
+    return mix(doc.astype(np.int64).view(np.uint64)) & np.uint64(size - 1)
+
+
+def id_filter(rows: DataFrame) -> np.ndarray:
+    """Bits set at the places of the ids of ``rows``; tasks send words of 64 bits, as many as the filter has at most."""
+    size = _FILTER_BITS
+
+    def mark(batches):
+        for batch in batches:
+            at = _place(ids(column(batch, "id")), size)
+            word, of = np.unique(at >> np.uint64(6), return_inverse=True)
+            bits = np.zeros(len(word), np.uint64)
+            np.bitwise_or.at(bits, of, np.uint64(1) << (at & np.uint64(63)))
+            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(bits.view(np.int64))], ["word", "bits"])
+
+    words = rows.select("id").mapInArrow(mark, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(size // 64, np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
 def verify(docs: DataFrame, reps: DataFrame, cand: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
     """Spanning edges of the exact links inside the candidate components."""
     sizes = cand.groupBy("comp").agg(F.count("*").alias("g"))
     members = cand.join(sizes, "comp").join(reps.select("rid", "id", "h1", "h2"), F.col("node") == F.col("rid"))
     members = members.select("rid", "id", "h1", "h2", "comp", "g")
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
-    rows = rows.join(members.select("id").distinct(), "id", "left_semi").select("text")
+    wanted = docs.sparkSession.sparkContext.broadcast(id_filter(members))
 
     def sets(batches):
         for batch in batches:
-            for _, tokens, at in token_sets(column(batch, "text"), k):
+            doc = ids(column(batch, id_col))
+            at = _place(doc, 64 * len(wanted.value))
+            here = np.flatnonzero(wanted.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1))
+            for a, tokens, at in token_sets(column(batch, text_col).take(pa.array(here)), k):
                 parts = [tokens[i:j] for i, j in zip(at, at[1:])]
                 h = [set_hash(p) for p in parts]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in h], pa.int64()), pa.array([x[1] for x in h], pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())],
-                    ["h1", "h2", "tokens"],
-                )
+                columns = [pa.array(doc[here[a : a + len(h)]]), pa.array([x[0] for x in h], pa.int64()), pa.array([x[1] for x in h], pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([p.tobytes() for p in parts], pa.binary())], ["id", "h1", "h2", "tokens"])
 
-    full = rows.mapInArrow(sets, "h1 long, h2 long, tokens binary").join(members, ["h1", "h2"]).select("rid", "comp", "g", "tokens")
+    rows = docs.select(id_col, text_col).mapInArrow(sets, "id long, h1 long, h2 long, tokens binary")
+    full = rows.join(members, ["id", "h1", "h2"]).select("rid", "comp", "g", "tokens")
 
     def check(batches):
         for table, unit in _units(batches, ["rid", "tokens"]):
@@ -315,7 +342,9 @@ def _classes(docs, ws, id_col, text_col, k, num, den) -> tuple[DataFrame, DataFr
     reps = ws.save(reps.withColumn("rid", F.monotonically_increasing_id()), "classes")
     ws.drop(signed)
     prefix = ws.save(prefixes(reps, num, den, ws), "prefixes")
-    cand = ws.save(components(ws.save(candidates(prefix, reps, num, den, ws), "candidates"), ws), "candidate-components")
+    pairs = ws.save(candidates(prefix, reps, num, den, ws), "candidates")
+    ws.drop(prefix)
+    cand = ws.save(components(pairs, ws), "candidate-components")
     links = ws.save(verify(docs, reps, cand, k, num, den, id_col, text_col), "links")
     linked = components(links, ws)
     rooted = reps.select("h1", "h2", "id", "rid").join(linked, F.col("rid") == F.col("node"), "left")

@@ -1,11 +1,13 @@
 """Groups over many blocks in the Jaccard join: all links by brute force."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom.llm import jaccard_join as J
+from riskloom.llm.common import Workspace
 
 
 def text(seed, n, rng=None):
@@ -71,3 +73,55 @@ def test_hot_null_id_of_copies(spark):
     rows = [(None, "a b c d e f g")] * 3000 + [(1, "a b c d e f g"), (2, "a b c d e f h i j k"), (None, "q r s")]
     got = J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 9, 10)
     assert got.groupBy("component_id").agg(F.count("*").alias("n")).where("component_id = 1").first()["n"] == 3001
+
+
+def files(spark):
+    """Bytes of the shuffle files that the driver's block manager holds."""
+    it = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().iterator()
+    found = 0
+    while it.hasNext():
+        found += it.next().length()
+    return found
+
+
+def test_texts_outside_candidate_components_are_not_shuffled(spark, tmp_path):
+    docs = [text(900 + i, 400) for i in range(300)]
+    docs.append([*docs[0][:-1], "x"])
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string").write.parquet(path)
+    df = spark.read.parquet(path)
+    reps = J.signatures(df, "doc_id", "text", 3, 9, 10).withColumn("rid", F.col("id"))
+    cand = spark.createDataFrame([(0, 0), (300, 0)], "node long, comp long")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where tables are large
+    try:
+        before = files(spark)
+        links = J.verify(df, reps, cand, 3, 9, 10, "doc_id", "text").collect()
+        written = files(spark) - before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert {(r["a"], r["b"]) for r in links} == {(0, 300)}
+    assert written < sum(len(" ".join(w)) for w in docs) / 8
+
+
+@pytest.mark.parametrize("size", [64, 1 << 12])
+def test_components_where_the_id_filter_lets_others_through(spark, monkeypatch, size):
+    monkeypatch.setattr(J, "_FILTER_BITS", size)
+    docs = families()
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in J.jaccard_components(df, 5, 4, 5).collect()}
+    assert [got[i] for i in range(len(docs))] == brute(docs, 5, 4, 5)
+
+
+def test_saved_tables_leave_no_shuffle_files(spark):
+    ws, key = Workspace(spark, "shuffles"), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    stated = spark.conf.get(key, None)
+    before = files(spark)
+    rows = spark.range(400_000).select(F.xxhash64("id").alias("a"))
+    saved = ws.save(rows.groupBy("a").agg(F.count("*").alias("n")), "counted")
+    until = time.time() + 20
+    while files(spark) > before and time.time() < until:
+        time.sleep(0.2)
+    assert files(spark) <= before
+    assert spark.conf.get(key, None) == stated
+    assert saved.count() == 400_000
