@@ -9,10 +9,12 @@ prefixes) have a token in common.
 1. One scan hashes every set. Equal sets collapse to one class, grouped with
    map-side partial results, so a third of all rows being copies is one row.
 2. First order: tokens whose hash lies in a window (a fixed share of the hash
-   range, a little wider than a prefix) come first, by document frequency and
+   range, twice as wide as a prefix) come first, by document frequency and
    hash, then the others by hash. Exact frequencies are counted for the
    window's tokens alone, over all classes. Tokens of one class only take
-   their place in the prefix but make no candidates.
+   their place in the prefix but make no candidates; the window is wide enough
+   for them to fill the prefixes of most sets, so that long sets, which share
+   some frequent tokens with many others, don't meet.
 3. Classes that share a prefix token meet in that token's group. A group over
    ``block`` members is cut into blocks, a task sees two blocks. Size and a
    parity bitmap (its distance bounds the symmetric difference from below)
@@ -47,8 +49,8 @@ from riskloom.llm.graph import components
 from riskloom.llm.words import distinct, mix, shingles, words
 
 BLOCK = 256
-BITS = 256
-_SLACK = 1.3
+BITS = 1024
+_SLACK = 2.0
 _ORDERS = (np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25))
 _PIECE = 4 << 20
 _FILTER_BITS = 1 << 26

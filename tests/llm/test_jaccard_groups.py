@@ -125,3 +125,14 @@ def test_saved_tables_leave_no_shuffle_files(spark):
     assert files(spark) <= before
     assert spark.conf.get(key, None) == stated
     assert saved.count() == 400_000
+
+
+def test_long_strangers_with_common_tokens_are_no_candidates(spark):
+    rng = random.Random(5)
+    docs = [[f"v{rng.randrange(75)}" for _ in range(2500)] for _ in range(60)]
+    docs.append([*docs[0][:-1], "x"])
+    ws = Workspace(spark, "strangers")
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string").repartition(4)
+    reps = ws.save(J.signatures(df, "doc_id", "text", 3, 9, 10).withColumn("rid", F.col("id")), "classes")
+    found = J.candidates(ws.save(J.prefixes(reps, 9, 10, ws), "prefixes"), reps, 9, 10, ws).collect()
+    assert {(r["a"], r["b"]) for r in found} == {(0, 60)}
