@@ -9,7 +9,7 @@ prefixes) have a token in common.
 1. One scan hashes every set. Equal sets collapse to one class, grouped with
    map-side partial results, so a third of all rows being copies is one row.
 2. First order: tokens whose hash lies in a window (a fixed share of the hash
-   range, twice as wide as a prefix) come first, by document frequency and
+   range, wider than a prefix: ``slack``) come first, by document frequency and
    hash, then the others by hash. Exact frequencies are counted for the
    window's tokens alone, over all classes. Tokens of one class only take
    their place in the prefix but make no candidates; the window is wide enough
@@ -50,7 +50,6 @@ from riskloom.llm.words import distinct, mix, shingles, words
 
 BLOCK = 256
 BITS = 1024
-_SLACK = 2.0
 _ORDERS = (np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25))
 _PIECE = 4 << 20
 _FILTER_BITS = 1 << 26
@@ -151,9 +150,14 @@ def _sorted_units(rows: DataFrame) -> DataFrame:
     return rows.repartition(n, "unit").sortWithinPartitions("unit")
 
 
+def slack(k: int) -> float:
+    """Times that the window is wider than a prefix: shingles of few words recur in texts with nothing else in common."""
+    return 2.0 if k <= 3 else 1.3
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> DataFrame:
     """One row per document: set size, set hash, tokens that can be in the prefix, how many lie in the window, parity bitmap."""
-    share = min(1.0, _SLACK * (den - num) / den)
+    share = min(1.0, slack(k) * (den - num) / den)
     cut = np.uint64(min(2**64 - 1, int(share * 2**64)))
 
     def sign(batches):
